@@ -1,0 +1 @@
+"""Intentionally empty: every job this library covers is a full-reload batch job."""
