@@ -6,7 +6,7 @@ which is only ever sorted with a limit or joined.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from depotflow.functions.calendar import period_label, period_sort
 from depotflow.functions.numeric import half_up, ladder, ladder_up, percent, ratio
@@ -34,6 +34,13 @@ TYPE_RISK = ((90, "Reliable (≥90%)"), (85, "Watch (85-90%)")), "High Risk (<85
 DSO_GOOD_LINE, DSO_WARNING_LINE, EFFICIENCY_LINE = 15, 30, 95
 
 
+def mart_average(name: str, scale: int) -> Column:
+    """Average line over all rows of a mart (one row per month or category), taken as a
+    window so that the mart is not computed a second time."""
+    everything = W.partitionBy()
+    return ratio(F.sum(name).over(everything), F.count(name).over(everything), scale)
+
+
 def number_text(col: Column, scale: int) -> Column:
     """Rounded number as text without trailing zeros."""
     text = half_up(col.cast("double"), scale).cast(f"decimal(30,{max(scale, 1)})").cast("string")
@@ -70,8 +77,9 @@ def growth_card(monthly: DataFrame) -> DataFrame:
 
 def last_month_only(monthly: DataFrame) -> DataFrame:
     """The row of the last period."""
-    latest = monthly.agg(F.max(period_sort(F.col("year"), F.col("month")))).scalar()
-    return monthly.filter(period_sort(F.col("year"), F.col("month")) == latest)
+    period = period_sort(F.col("year"), F.col("month"))
+    marked = monthly.withColumn("_last", F.max(period).over(W.partitionBy()) == period)
+    return marked.filter("_last").drop("_last")
 
 
 def production_card(production: DataFrame) -> DataFrame:
@@ -91,16 +99,19 @@ def efficiency_bullet(production: DataFrame) -> DataFrame:
     """Efficiency per financial year against the target and the average line."""
     out = production.groupBy("financial_year").agg(
         percent(F.sum("total_actual"), F.sum("total_planned"), 4).alias("efficiency_pct"),
-        half_up(F.avg(F.col("efficiency_pct").cast("double")), 4).alias("avg_month_efficiency"),
+        ratio(F.sum("efficiency_pct"), F.count("efficiency_pct"), 4).alias("avg_month_efficiency"),
         half_up(F.median(F.col("efficiency_pct").cast("double")), 4).alias("median_month_efficiency"),
         F.min("efficiency_pct").alias("min_month_efficiency"),
         F.max("efficiency_pct").alias("max_month_efficiency"),
         attribute("quarter").alias("only_quarter"),
+        F.sum("efficiency_pct").alias("_sum"),
+        F.count("efficiency_pct").alias("_n"),
     )
-    line = production.agg(half_up(F.avg(F.col("efficiency_pct").cast("double")), 4)).scalar()
+    everything = W.partitionBy()
+    line = ratio(F.sum("_sum").over(everything), F.sum("_n").over(everything), 4)
+    out = out.withColumn("average_line", line).drop("_sum", "_n")
     return out.withColumns(
         {
-            "average_line": line,
             "target_line": F.lit(EFFICIENCY_LINE),
             "status": ladder(F.col("efficiency_pct"), *CARD_EFFICIENCY_ONE),
         }
@@ -139,14 +150,13 @@ def collection_card(billing: DataFrame) -> DataFrame:
 def revenue_trend(monthly: DataFrame, growth_year: str) -> DataFrame:
     """Monthly revenue with axis label and sort key; growth only for one year."""
     year, month = F.col("year"), F.col("month")
-    line = monthly.agg(half_up(F.avg(F.col("net_revenue").cast("double")), 2)).scalar()
     return monthly.select(
         period_sort(year, month).alias("month_sort"),
         period_label(F.col("month_name"), year).alias("month_label"),
         "financial_year",
         "net_revenue",
         F.when(F.col("financial_year") == growth_year, F.col("mom_growth_pct")).alias("mom_display"),
-        line.alias("average_line"),
+        mart_average("net_revenue", 2).alias("average_line"),
     ).orderBy("month_sort")
 
 
@@ -196,7 +206,7 @@ def largest_debtors(payment: DataFrame, n: int = 5, customer_type: str | None =
         F.sum("outstanding_amount").alias("outstanding_amount"),
         F.sum("total_billed").alias("total_billed"),
         F.sum("overdue_count").alias("overdue_count"),
-        half_up(F.avg(F.col("collection_efficiency_pct").cast("double")), 4).alias("avg_efficiency"),
+        ratio(F.sum("collection_efficiency_pct"), F.count("collection_efficiency_pct"), 4).alias("avg_efficiency"),
     )
     value = F.col("avg_efficiency")
     return out.withColumns(
@@ -223,18 +233,20 @@ def dso_trend(dso: DataFrame) -> DataFrame:
     ).orderBy("period_sort")
 
 
-def finance_cards(billing: DataFrame, dso: DataFrame) -> DataFrame:
+def finance_cards(billing: DataFrame) -> DataFrame:
     """Average monthly DSO beside the open, billed and collected totals.
 
     The average of monthly DSO differs from the overall ratio in ``accounts_measures``.
     """
-    mean = dso.agg(half_up(F.avg(F.col("dso_days").cast("double")), 4)).scalar()
-    out = billing.agg(
+    days = F.col("total_outstanding").cast("double") * F.lit(30.0)
+    months = billing.withColumn("_dso", ratio(days, F.col("total_billed"), 2))
+    out = months.agg(
         F.sum("total_billed").alias("total_billed"),
         F.sum("total_collected").alias("total_collected"),
         F.sum("total_outstanding").alias("total_outstanding"),
         percent(F.sum("total_outstanding"), F.sum("total_billed"), 4).alias("outstanding_pct"),
-    ).withColumn("avg_dso", mean)
+        ratio(F.sum("_dso"), F.count("_dso"), 4).alias("avg_dso"),
+    )
     return out.withColumns(
         {
             "dso_status": ladder_up(F.col("avg_dso"), *CARD_DSO),
@@ -252,8 +264,8 @@ def current_stock_highlight(stock: DataFrame) -> DataFrame:
     now = stock.filter(F.col("date") == last_date(stock))
     out = now.groupBy(*keys).agg(
         F.sum("closing_stock").alias("closing_stock"),
-        half_up(F.avg(F.col("days_of_stock").cast("double")), 4).alias("days_of_stock"),
-        half_up(F.avg(F.col("reorder_level").cast("double")), 4).alias("reorder_level"),
+        ratio(F.sum("days_of_stock"), F.count("days_of_stock"), 4).alias("days_of_stock"),
+        ratio(F.sum("reorder_level"), F.count("reorder_level"), 4).alias("reorder_level"),
         F.sum("shelf_life_days").alias("shelf_life_days"),
         attribute("shelf_life_risk").alias("shelf_life_risk"),
     )
@@ -271,8 +283,8 @@ def current_stock_highlight(stock: DataFrame) -> DataFrame:
 
 def supply_lollipop(supply: DataFrame) -> DataFrame:
     return supply.groupBy("product_name").agg(
-        half_up(F.avg(F.col("days_of_stock_remaining").cast("double")), 4).alias("days_remaining"),
-        half_up(F.avg(F.col("shelf_life_days").cast("double")), 4).alias("shelf_life_line"),
+        ratio(F.sum("days_of_stock_remaining"), F.count("days_of_stock_remaining"), 4).alias("days_remaining"),
+        ratio(F.sum("shelf_life_days"), F.count("shelf_life_days"), 4).alias("shelf_life_line"),
     ).withColumn("shelf_life_status", ladder_up(F.col("shelf_life_line"), *SHELF_STATUS))
 
 
@@ -287,13 +299,16 @@ def at_risk_card(stock: DataFrame) -> DataFrame:
 
 def stock_cards(stock: DataFrame, turnover: DataFrame) -> DataFrame:
     """Row-based stockout rate, stock on the last date, average monthly turnover."""
-    on_hand = stock.filter(F.col("date") == last_date(stock)).agg(F.sum("closing_stock")).scalar()
-    mean = turnover.agg(half_up(F.avg(F.col("turnover_ratio").cast("double")), 4)).scalar()
-    out = stock.agg(
-        percent(F.count_if(F.col("stock_status") == "Stockout"), F.count("inventory_id"), 4).alias(
-            "stockout_rate_pct"
-        )
-    ).withColumns({"total_stock": on_hand, "avg_turnover": mean})
+    mean = turnover.agg(ratio(F.sum("turnover_ratio"), F.count("turnover_ratio"), 4)).scalar()
+    daily = stock.groupBy("date").agg(
+        F.sum("closing_stock").alias("_closing"),
+        F.count_if(F.col("stock_status") == "Stockout").alias("_stockouts"),
+        F.count("inventory_id").alias("_rows"),
+    )
+    out = daily.agg(
+        percent(F.sum("_stockouts"), F.sum("_rows"), 4).alias("stockout_rate_pct"),
+        F.max_by("_closing", "date").alias("total_stock"),
+    ).withColumn("avg_turnover", mean)
     return out.withColumns(
         {
             "stockout_status": ladder_up(F.col("stockout_rate_pct"), *CARD_STOCKOUT),
@@ -304,20 +319,19 @@ def stock_cards(stock: DataFrame, turnover: DataFrame) -> DataFrame:
 
 def _turnover_lines(turnover: DataFrame) -> DataFrame:
     return turnover.groupBy("year", "month", "month_name", "category").agg(
-        half_up(F.avg(F.col("turnover_ratio").cast("double")), 4).alias("avg_turnover")
+        ratio(F.sum("turnover_ratio"), F.count("turnover_ratio"), 4).alias("avg_turnover")
     )
 
 
 def turnover_lines(turnover: DataFrame) -> DataFrame:
     """Average turnover by month and category with the table's average line."""
     out = _turnover_lines(turnover)
-    line = out.agg(half_up(F.avg(F.col("avg_turnover").cast("double")), 4)).scalar()
     year, month = F.col("year"), F.col("month")
     return out.select(
         period_sort(year, month).alias("period_sort"),
         period_label(F.col("month_name"), year).alias("period_label"),
         F.make_date(year, month, F.lit(1)).alias("month_date"),
-        "category", "avg_turnover", line.alias("average_line"),
+        "category", "avg_turnover", mart_average("avg_turnover", 4).alias("average_line"),
     ).orderBy("period_sort", "category")
 
 

@@ -173,9 +173,7 @@ class OrderTables:
             "invoice_number",
         )
 
-    RAW_SALES_ORDER = (
-        F.col("product_id"), F.col("gross_amount"), F.col("quantity"), F.col("discount"),
-    )
+    RAW_SALES_ORDER = ("product_id", "gross_amount", "quantity", "discount")
 
     # Production ---------------------------------------------------------------
 
@@ -246,7 +244,7 @@ class OrderTables:
             }
         )
 
-    RAW_PRODUCTION_ORDER = (F.col("category"), F.col("actual_qty"))
+    RAW_PRODUCTION_ORDER = ("category", "actual_qty")
 
     # Stock --------------------------------------------------------------------
 
@@ -305,7 +303,7 @@ class OrderTables:
             }
         )
 
-    RAW_INVENTORY_ORDER = (F.col("date"),)
+    RAW_INVENTORY_ORDER = ("date",)
 
     # Receivables --------------------------------------------------------------
 
@@ -369,4 +367,4 @@ class OrderTables:
             }
         )
 
-    RAW_ACCOUNTS_ORDER = (F.col("invoice_date"), F.col("invoice_number"))
+    RAW_ACCOUNTS_ORDER = ("invoice_date", "invoice_number")
