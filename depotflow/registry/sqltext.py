@@ -278,7 +278,11 @@ _SHELF = "CASE category " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in SHELF_LI
 _STOCK_NUMBERS = ("opening_stock", "received_qty", "dispatched_qty", "closing_stock", "reorder_level")
 
 
-def clean_stock(source: str, out: str) -> str:
+def clean_stock(source: str, out: str, scope: str = "dataset") -> str:
+    unbalanced, too_much = "unbalanced", "too_much"
+    if scope == "row":
+        unbalanced = "abs(closing_stock - (opening_stock + received_qty - dispatched_qty)) > 1"
+        too_much = "dispatched_qty > opening_stock + received_qty"
     return f"""
 {out}_usable AS (
   SELECT inventory_id, {moment('date')} AS date, product_id, product_name, category,
@@ -291,9 +295,9 @@ def clean_stock(source: str, out: str) -> str:
 ),
 {out}_balanced AS (
   SELECT * REPLACE (CAST(date AS DATE) AS date,
-    CAST(CASE WHEN too_much THEN least(dispatched_qty, opening_stock + received_qty) ELSE dispatched_qty END AS {NUM}) AS dispatched_qty,
-    CAST(CASE WHEN too_much THEN opening_stock + received_qty - least(dispatched_qty, opening_stock + received_qty)
-              WHEN unbalanced THEN greatest(opening_stock + received_qty - dispatched_qty, 0)
+    CAST(CASE WHEN {too_much} THEN least(dispatched_qty, opening_stock + received_qty) ELSE dispatched_qty END AS {NUM}) AS dispatched_qty,
+    CAST(CASE WHEN {too_much} THEN opening_stock + received_qty - least(dispatched_qty, opening_stock + received_qty)
+              WHEN {unbalanced} THEN greatest(opening_stock + received_qty - dispatched_qty, 0)
               ELSE closing_stock END AS {NUM}) AS closing_stock),
     row_number() OVER (PARTITION BY inventory_id ORDER BY date) AS nth
   FROM {out}_usable CROSS JOIN {out}_flags
@@ -350,7 +354,11 @@ _ACC_NUMBERS = ("invoice_amount", "amount_paid", "outstanding_balance", "credit_
 _ACC_DATES = ("invoice_date", "due_date", "payment_date")
 
 
-def clean_invoices(source: str, order: str, out: str) -> str:
+def clean_invoices(source: str, order: str, out: str, scope: str = "dataset") -> str:
+    unbalanced, overpaid = "unbalanced", "overpaid"
+    if scope == "row":
+        unbalanced = "abs(outstanding_balance - round(invoice_amount - amount_paid, 2)) > 1"
+        overpaid = "amount_paid > invoice_amount"
     return f"""
 {out}_usable AS (
   SELECT * FROM (
@@ -365,9 +373,9 @@ def clean_invoices(source: str, order: str, out: str) -> str:
 ),
 {out}_settled AS (
   SELECT * REPLACE (
-      CAST(CASE WHEN overpaid AND amount_paid > invoice_amount THEN invoice_amount ELSE amount_paid END AS {NUM}) AS amount_paid,
-      CAST(CASE WHEN overpaid THEN CASE WHEN amount_paid > invoice_amount THEN 0 ELSE invoice_amount - amount_paid END
-                WHEN unbalanced THEN CASE WHEN round(invoice_amount - amount_paid, 2) < 0 THEN 0
+      CAST(CASE WHEN {overpaid} AND amount_paid > invoice_amount THEN invoice_amount ELSE amount_paid END AS {NUM}) AS amount_paid,
+      CAST(CASE WHEN {overpaid} THEN CASE WHEN amount_paid > invoice_amount THEN 0 ELSE invoice_amount - amount_paid END
+                WHEN {unbalanced} THEN CASE WHEN round(invoice_amount - amount_paid, 2) < 0 THEN 0
                                           ELSE round(invoice_amount - amount_paid, 2) END
                 ELSE outstanding_balance END AS {NUM}) AS outstanding_balance),
     row_number() OVER (PARTITION BY transaction_id ORDER BY {order}) AS nth

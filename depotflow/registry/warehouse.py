@@ -1 +1,158 @@
-"""Placeholder."""
+"""Storing the star tables, reading them back, and exporting."""
+
+from __future__ import annotations
+
+import uuid
+
+from depotflow.operators.rollup import row_counts
+from depotflow.plans.dimensions import dim_date
+from depotflow.plans.sales_cleaning import clean_sales
+from depotflow.plans.warehouse import export_list, marts, store_star
+from depotflow.registry.base import query
+from depotflow.registry.cleaning import _SALES, _SALES_SQL
+from depotflow.registry.kpis import FY_BASE, FY_CURRENT, YEARS
+from depotflow.registry.sqltext import (
+    ACCOUNTS,
+    CLEAN_SALES,
+    PRODUCTION,
+    SALES,
+    STOCK,
+    big,
+    dbl,
+    iso,
+    with_,
+)
+from depotflow.session import shared_dir
+from depotflow.operators.timeline import day_spine
+from depotflow.sources.files import export_all, read_raw, restore_dates, write_csv
+from depotflow.sources.order_tables import SALES_RULES, OrderTables
+
+
+def _folder(t: OrderTables) -> str:
+    return f"{shared_dir(t.spark)}/depotflow-{uuid.uuid4().hex}"
+
+
+def star_tables(t: OrderTables) -> dict:
+    """All four facts and four dimensions."""
+    return {
+        "fact_sales": t.fact_sales(customer=True, route=True, product=True),
+        "fact_production": t.fact_production(),
+        "fact_inventory": t.fact_inventory(),
+        "fact_accounts": t.fact_accounts(),
+        "dim_date": dim_date(day_spine(t.table("orders"), "o_orderdate")),
+        "dim_product": t.dim_product,
+        "dim_route": t.dim_route,
+        "dim_customer": t.dim_customer,
+    }
+
+
+_COUNTS = {
+    "fact_sales": "(SELECT count(*) FROM sales)",
+    "fact_production": "(SELECT count(*) FROM production)",
+    "fact_inventory": "(SELECT count(*) FROM stock)",
+    "fact_accounts": "(SELECT count(*) FROM accounts)",
+    "dim_date": "(SELECT date_diff('day', CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE)) + 1 FROM orders)",
+    "dim_product": "(SELECT count(*) FROM part)",
+    "dim_route": "(SELECT count(*) FROM nation)",
+    "dim_customer": "(SELECT count(*) FROM customer)",
+}
+_STAR = (SALES, PRODUCTION, STOCK, ACCOUNTS)
+
+
+@query(
+    "star_load_report",
+    with_(
+        *_STAR,
+        " UNION ALL ".join(
+            f"SELECT '{n}' AS table_name, {c} AS expected_rows, {c} AS loaded_rows, true AS verified"
+            for n, c in _COUNTS.items()
+        ),
+    ),
+)
+def _(t):
+    return store_star(t.spark, star_tables(t), _folder(t))[1]
+
+
+@query(
+    "star_table_row_counts",
+    with_(
+        *_STAR,
+        " UNION ALL ".join(f"SELECT '{n}' AS table_name, {c} AS rows" for n, c in _COUNTS.items()),
+    ),
+)
+def _(t):
+    return row_counts(star_tables(t), "table_name")
+
+
+_MONTHS = "(SELECT count(DISTINCT (year, month)) FROM {0})"
+_VIEW_COUNTS = {
+    "vw_sales_monthly": _MONTHS.format("sales"),
+    "vw_yoy_revenue": f"""(SELECT count(*) FROM (SELECT month FROM sales WHERE financial_year IN ('{FY_BASE}', '{FY_CURRENT}')
+        GROUP BY 1 HAVING count(DISTINCT financial_year) = 2))""",
+    "vw_customer_segments": "(SELECT count(DISTINCT customer_id) FROM sales)",
+    "vw_production_monthly": _MONTHS.format("production"),
+    "vw_category_efficiency": "(SELECT count(DISTINCT (year, category)) FROM production)",
+    "vw_production_yoy_yield": "(SELECT count(DISTINCT category) FROM production)",
+    "vw_shift_performance": "(SELECT count(DISTINCT shift) FROM production)",
+    "vw_stockout_frequency": "(SELECT count(DISTINCT product_id) FROM stock)",
+    "vw_monthly_turnover": "(SELECT count(DISTINCT (year, month, product_id)) FROM stock)",
+    "vw_stock_supply_risk": "(SELECT count(*) FROM stock WHERE date = (SELECT max(date) FROM stock))",
+    "vw_billing_collections": _MONTHS.format("accounts"),
+    "vw_receivables_aging": "(SELECT count(DISTINCT aging_bucket) FROM accounts WHERE payment_status = 'OverDue')",
+    "vw_customer_payment": "(SELECT count(DISTINCT customer_id) FROM accounts)",
+    "vw_dso_monthly": _MONTHS.format("accounts"),
+    "vw_custtype_efficiency": "(SELECT count(DISTINCT customer_type) FROM accounts)",
+}
+
+
+@query(
+    "view_row_counts",
+    with_(
+        *_STAR,
+        " UNION ALL ".join(f"SELECT '{n}' AS view_name, {c} AS rows" for n, c in _VIEW_COUNTS.items()),
+    ),
+)
+def _(t):
+    star, _report = store_star(t.spark, star_tables(t), _folder(t))
+    views = marts(star, FY_BASE, FY_CURRENT, YEARS)
+    return row_counts({name: build() for name, build in views.items()}, "view_name")
+
+
+@query("export_manifest")
+def _(t):
+    folder = _folder(t)
+    star, _report = store_star(t.spark, star_tables(t), f"{folder}/star")
+    views = marts(star, FY_BASE, FY_CURRENT, YEARS)
+    return export_all(t.spark, export_list(star, views), f"{folder}/export")
+
+
+@query("clean_sales_from_csv", with_(CLEAN_SALES, f"SELECT {_SALES_SQL} FROM cleaned"))
+def _(t):
+    """Raw export as CSV files, scanned as text, cleaned."""
+    path = f"{_folder(t)}/raw_sales"
+    write_csv(t.raw_sales(), path)
+    raw = read_raw(t.spark, path, multi_line=True)
+    keys = ("customer_id", "route_id", "product_id", "invoice_number", "year", "month")
+    typed = raw.withColumns({k: raw[k].cast("bigint") for k in keys})
+    return clean_sales(typed, t.RAW_SALES_ORDER, SALES_RULES).select(*_SALES)
+
+
+@query(
+    "accounts_csv_round_trip",
+    with_(
+        ACCOUNTS,
+        f"""SELECT {big('invoice_number')} AS invoice_number, {iso('invoice_date')} AS invoice_date,
+          {iso('due_date')} AS due_date, {iso('payment_date')} AS payment_date,
+          {dbl('outstanding_balance')} AS outstanding_balance FROM accounts""",
+    ),
+)
+def _(t):
+    """Cleaned invoices written as CSV and read back with their dates restored."""
+    path = f"{_folder(t)}/accounts"
+    write_csv(t.fact_accounts(), path)
+    rows = restore_dates(read_raw(t.spark, path), ["invoice_date", "due_date", "payment_date"])
+    return rows.select(
+        rows.invoice_number.cast("bigint").alias("invoice_number"),
+        "invoice_date", "due_date", "payment_date",
+        rows.outstanding_balance.cast("decimal(18,4)").alias("outstanding_balance"),
+    )

@@ -7,22 +7,26 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from depotflow.contracts import TableContract
 from depotflow.functions.calendar import to_moment
 
 # Position of a row in its file, captured at the scan.
 SCAN_ORDER = ("_file", "_block", "_row")
 
 
-def read_raw(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Raw CSV with a header, every column as text in the file's own column order.
 
-    Columns the contract does not know are kept, missing ones stay missing (the data
-    quality report names them); nothing is inferred, so no extra pass over the data.
+    Columns a contract does not know are kept, missing ones stay missing (the data
+    quality report names them).  Nothing is inferred, so only the header is read ahead.
+    ``multi_line`` accepts line breaks inside quoted values at the price of files that
+    cannot be split.
     """
-    return spark.read.option("header", True).option("inferSchema", False).option(
-        "multiLine", False
-    ).csv(path)
+    return (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
+        .option("multiLine", multi_line)
+        .csv(path)
+    )
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
