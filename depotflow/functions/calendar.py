@@ -5,6 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+MONTHS = (
+    "January February March April May June July August September October November December"
+).split()
+DAYS = "Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split()
+
+
+def _pick(names: list[str], position: Column) -> Column:
+    """Name by 1-based position: a constant array lookup, far cheaper per row than
+    formatting the date."""
+    return F.element_at(F.array(*[F.lit(n) for n in names]), position)
+
+
 def to_moment(df: DataFrame, name: str, formats: tuple[str, ...] = ()) -> Column:
     """Coerce a column to a zone-free timestamp; anything unparseable becomes null."""
     col = F.col(f"`{name}`")
@@ -28,11 +40,11 @@ def quarter_label(date: Column) -> Column:
 
 
 def month_name(date: Column) -> Column:
-    return F.date_format(date, "MMMM")
+    return _pick(MONTHS, F.month(date))
 
 
 def day_name(date: Column) -> Column:
-    return F.date_format(date, "EEEE")
+    return _pick(DAYS, F.weekday(date) + 1)
 
 
 def is_weekend(date: Column) -> Column:

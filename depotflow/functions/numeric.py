@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 NUMBER = "decimal(18,4)"  # parsed raw measure
-MONEY = "decimal(18,2)"
+MONEY = "decimal(12,2)"  # small enough for its products to stay in 64-bit arithmetic
 
 
 def to_number(col: Column) -> Column:

@@ -35,11 +35,12 @@ def strip_all(df: DataFrame) -> DataFrame:
 def title_case(col: Column) -> Column:
     """Capitalise the first letter after *any* non-letter ('a/b' -> 'A/B').
 
-    ``initcap`` alone only starts a new word at a blank, so the text is cut into
-    runs of letters and non-letters first.
+    ``initcap`` alone only starts a new word at a blank.  That is enough for text made
+    of letters and blanks; other text is cut into runs of letters and non-letters.
     """
     runs = F.regexp_extract_all(col, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    by_runs = F.array_join(F.transform(runs, F.initcap), "")
+    return F.when(col.rlike(r"[^\p{L} ]"), by_runs).otherwise(F.initcap(col))
 
 
 def is_member(col: Column, allowed: Iterable[str]) -> Column:

@@ -17,7 +17,21 @@ from depotflow.plans.accounts_cleaning import AccountsRules, clean_accounts
 from depotflow.plans.inventory_cleaning import InventoryRules, clean_inventory
 from depotflow.plans.production_cleaning import ProductionRules, clean_production
 from depotflow.plans.sales_cleaning import SalesRules
-
+from depotflow.session import stored
+
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
 START = dt.date(1995, 1, 1)
 END = dt.date(2001, 12, 31)
 ANALYSIS_DATE = dt.date(2001, 8, 31)
@@ -53,7 +67,9 @@ class OrderTables:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """Read with the declared schema, which saves the footer-reading job."""
+        reader = self.spark.read.schema(SCHEMAS[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     # Dimensions ---------------------------------------------------------------
 
@@ -95,20 +111,23 @@ class OrderTables:
     def fact_sales(
         self, customer: bool = False, route: bool = False, product: bool = False
     ) -> DataFrame:
-        """One row per order line with the requested dimension attributes."""
+        """One row per order line with the requested dimension attributes.
+
+        Period columns depend on the order alone, so they are derived once per order,
+        before the join multiplies it by its lines; unused ones are pruned.
+        """
+        day = F.col("date")
         orders = self.table("orders").select(
             "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("date"),
             F.col("o_orderpriority").alias("payment_mode"),
-        )
+        ).withColumns(period_columns(day))
         lines = self.table("lineitem")
         rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         gross = _money("l_extendedprice")
         discount = F.round(gross * F.col("l_discount").cast("decimal(4,2)"), 2).cast(MONEY)
-        day = F.col("date")
         rows = rows.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("sale_id"),
-            day,
-            *[c.alias(n) for n, c in period_columns(day).items()],
+            "date", "year", "month", "month_name", "quarter", "financial_year",
             F.col("o_custkey").alias("customer_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
@@ -185,6 +204,7 @@ class OrderTables:
         parts = self.table("part").select("p_partkey", F.col("p_type").alias("category"), "p_size")
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_returnflag",
+            F.col("l_quantity").cast("bigint").alias("pieces"),
             F.col("l_quantity").cast("decimal(10,0)").alias("qty"),
             F.col("l_discount").cast("decimal(4,2)").alias("shortfall"),
             F.col("l_tax").cast("decimal(4,2)").alias("waste"),
@@ -197,10 +217,10 @@ class OrderTables:
             "date", "category",
             F.when(F.col("l_returnflag") == "A", "Morning").otherwise("Evening").alias("shift"),
         ).agg(
-            F.sum(qty).cast("decimal(18,4)").alias("planned_qty"),
+            F.sum("pieces").cast("decimal(18,4)").alias("planned_qty"),
             F.sum(qty * (F.lit(1) - F.col("shortfall"))).cast("decimal(18,4)").alias("actual_qty"),
             F.sum(qty * F.col("waste")).cast("decimal(18,4)").alias("wastage_qty"),
-            F.sum(qty * F.col("p_size")).cast("decimal(18,4)").alias("raw_milk_used_L"),
+            F.sum(F.col("pieces") * F.col("p_size")).cast("decimal(18,4)").alias("raw_milk_used_L"),
         )
 
     def _production_export(self, run_id: Column) -> DataFrame:
@@ -248,11 +268,14 @@ class OrderTables:
 
     # Stock --------------------------------------------------------------------
 
+    @cached_property
     def stock_ledger(self) -> DataFrame:
         """Daily movements per brand with a running opening stock.
 
         The window sees one row per brand and day, so a brand's partition is bounded by
-        the number of days however many order lines it has.
+        the number of days however many order lines it has.  The ledger is stored once:
+        cleaning and reporting read it several times (triggers, averages, last date),
+        and each reading would otherwise repeat the pass over all order lines.
         """
         parts = self.table("part").select("p_partkey", "p_brand")
         lines = self.table("lineitem").select(
@@ -272,7 +295,7 @@ class OrderTables:
         ledger = moves.withColumn("opening_stock", F.greatest(carried, F.lit(0)))
         category = F.element_at(F.array(*[F.lit(t) for t in PART_TYPES]), (number % 6) + 1)
         day = F.col("date")
-        return ledger.select(
+        out = ledger.select(
             F.concat_ws("|", "product_id", F.col("date").cast("string")).alias("inventory_id"),
             "date",
             F.year(day).alias("year"), F.month(day).alias("month"),
@@ -284,14 +307,14 @@ class OrderTables:
             (F.col("opening_stock") + F.col("received_qty") - F.col("dispatched_qty")).alias("closing_stock"),
             (number * 20).alias("reorder_level"),
         )
+        return stored(out)
 
     def fact_inventory(self) -> DataFrame:
-        return clean_inventory(self.stock_ledger(), ["date"], INVENTORY_RULES)
+        return clean_inventory(self.stock_ledger, ["date"], INVENTORY_RULES)
 
     def raw_inventory(self) -> DataFrame:
         """The ledger as an untidy export; an id omits the year, so it repeats yearly."""
-        ledger = self.stock_ledger()
-        return ledger.withColumns(
+        return self.stock_ledger.withColumns(
             {
                 "inventory_id": F.concat_ws("|", F.col("product_id"), F.date_format("date", "MM-dd")),
                 "date": F.concat(F.lit(" "), F.col("date").cast("string")),
