@@ -19,9 +19,8 @@ def store_star(
     later mart reads columnar files instead of repeating the cleaning.
     """
     paths = {name: f"{folder}/{name}" for name in tables}
-    for name, df in tables.items():
-        write_table(df, paths[name])
-    report = load_report(spark, {n: (df, paths[n]) for n, df in tables.items()})
+    written = {name: (write_table(df, paths[name]), paths[name]) for name, df in tables.items()}
+    report = load_report(spark, written)
     return {name: spark.read.parquet(path) for name, path in paths.items()}, report
 
 

@@ -37,6 +37,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """Set the number of shuffle partitions so that one holds about ``target_bytes`` when
+    everything is shuffled; AQE coalesces where a stage turns out smaller."""
+    partitions = max(spark.sparkContext.defaultParallelism, -(-input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    return partitions
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder, or a fresh local one where none is set."""
     sc = spark.sparkContext
