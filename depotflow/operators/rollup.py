@@ -6,10 +6,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from depotflow.operators.joins import with_dimension
+
 Measure = tuple  # (kind, column name) with kind in sum / rows / min / max / avg / distinct
 
 
-def rollup(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
+def rollup(
+    df: DataFrame,
+    keys: Sequence[str],
+    measures: Mapping[str, Measure],
+    dimension: tuple[DataFrame, str] | None = None,
+) -> DataFrame:
     """Aggregate ``df`` by ``keys``.
 
     Without distinct counts this is one plain group-by.  With them, the rows are
@@ -17,27 +24,38 @@ def rollup(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure])
     multi-distinct expansion that follows copies folded rows instead of fact rows.  On
     a fact that was just joined on one of the counted columns the fold costs no extra
     exchange.  A hot value is combined on the map side in both steps.
+
+    ``dimension`` (table, key) supplies keys that the fact does not carry.  They are
+    joined after folding, never to the fact rows: to the finished result when the
+    dimension's key is itself among ``keys``, otherwise to the folded rows.
     """
     counted = [spec[1] for spec in measures.values() if spec[0] == "distinct"]
-    if not counted:
+    if dimension is not None:
+        table, key = dimension
+        own = [k for k in keys if k in df.columns]
+        borrowed = [k for k in keys if k not in own]
+        if key in own:
+            done = with_dimension(rollup(df, own, measures), table, key, borrowed)
+            return done.select(*keys, *measures)
+        folded = with_dimension(_fold(df, [*own, key, *counted], measures), table, key, borrowed)
+    elif counted:
+        folded = _fold(df, [*keys, *counted], measures)
+    else:
         return df.groupBy(*keys).agg(
             *[_direct(spec).alias(name) for name, spec in measures.items()]
         )
-    grain = list(dict.fromkeys([*keys, *counted]))
-    folded = df.groupBy(*grain).agg(
-        *[
-            part
-            for name, spec in measures.items()
-            if spec[0] != "distinct"
-            for part in _partials(name, spec)
-        ],
-        F.count(F.lit(1)).alias("_rows"),
-    )
     return folded.groupBy(*keys).agg(
         *[_merged(name, spec).alias(name) for name, spec in measures.items()]
     )
 
 
+def _fold(df: DataFrame, grain: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
+    return df.groupBy(*dict.fromkeys(grain)).agg(
+        *[part for name, spec in measures.items() for part in _partials(name, spec)],
+        F.count(F.lit(1)).alias("_rows"),
+    )
+
+
 def _direct(spec: Measure) -> Column:
     kind = spec[0]
     if kind == "rows":
@@ -50,7 +68,7 @@ def _direct(spec: Measure) -> Column:
 
 def _partials(name: str, spec: Measure) -> list[Column]:
     kind = spec[0]
-    if kind == "rows":
+    if kind in ("rows", "distinct"):
         return []
     if kind == "avg":
         return [F.sum(spec[1]).alias(f"_s_{name}"), F.count(spec[1]).alias(f"_n_{name}")]

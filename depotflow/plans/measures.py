@@ -86,10 +86,15 @@ def monthly_time_intelligence(sales: DataFrame) -> DataFrame:
     ).drop("_rolling")
 
 
-def revenue_rank(sales: DataFrame, key: str, small: bool = False) -> DataFrame:
+def revenue_rank(
+    sales: DataFrame,
+    key: str,
+    small: bool = False,
+    dimension: tuple[DataFrame, str] | None = None,
+) -> DataFrame:
     """Dense rank of ``key`` by revenue.  Ranking by a name merges equal names; rank by
     the id to keep them apart.  ``small=True`` only for a key of fixed small domain."""
-    totals = sales.groupBy(key).agg(F.sum("net_amount").alias("total_revenue"))
+    totals = rollup(sales, [key], {"total_revenue": ("sum", "net_amount")}, dimension)
     rank = dense_rank_small if small else dense_rank_all
     return rank(totals, "total_revenue", "revenue_rank")
 

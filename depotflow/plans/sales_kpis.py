@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from depotflow.functions.numeric import half_up, ladder, percent, ratio
 from depotflow.functions.text import with_percent_sign
+from depotflow.operators.joins import with_dimension
 from depotflow.operators.ranking import top_rows
 from depotflow.operators.rollup import rollup
 from depotflow.operators.share import share_percent
@@ -16,6 +15,9 @@ from depotflow.operators.timeline import growth, previous_period
 MONTH = ["year", "month", "month_name", "quarter", "financial_year"]
 CUSTOMER = ["customer_id", "customer_name", "customer_type"]
 
+# (table, key) of a dimension that supplies attributes the sales rows do not carry.
+Dimension = tuple[DataFrame, str]
+
 # Spend tiers (the lowest label is kept as published although the tier
 # reaches up to the next threshold).
 TIERS = (
@@ -57,7 +59,7 @@ def monthly_sales(sales: DataFrame) -> DataFrame:
     return monthly.withColumn("mom_growth_pct", change).orderBy("year", "month")
 
 
-def category_revenue(sales: DataFrame) -> DataFrame:
+def category_revenue(sales: DataFrame, products: Dimension | None = None) -> DataFrame:
     """Revenue by category; the discount figure averages per-line rates on purpose."""
     rate = (F.col("discount").cast("double") / F.nullif(F.col("gross_amount").cast("double"), F.lit(0.0)))
     lines = sales.withColumn("_rate", rate.cast("decimal(18,8)"))
@@ -71,6 +73,7 @@ def category_revenue(sales: DataFrame) -> DataFrame:
             "avg_unit_price": ("avg", "unit_price"),
             "avg_discount_pct": ("avg", "_rate"),
         },
+        products,
     )
     return out.withColumns(
         {
@@ -82,7 +85,7 @@ def category_revenue(sales: DataFrame) -> DataFrame:
     ).orderBy(F.col("net_revenue").desc(), "category")
 
 
-def route_performance(sales: DataFrame) -> DataFrame:
+def route_performance(sales: DataFrame, customers: Dimension | None = None) -> DataFrame:
     """Customers, invoices and revenue per delivery route; the average is per line."""
     out = rollup(
         sales,
@@ -93,6 +96,7 @@ def route_performance(sales: DataFrame) -> DataFrame:
             "net_revenue": ("sum", "net_amount"),
             "avg_invoice_value": ("avg", "net_amount"),
         },
+        customers,
     )
     return out.withColumns(
         {
@@ -104,11 +108,17 @@ def route_performance(sales: DataFrame) -> DataFrame:
     ).orderBy(F.col("net_revenue").desc(), "route_id")
 
 
-def top_customers(sales: DataFrame, n: int = 20) -> DataFrame:
-    """The ``n`` customers with the highest lifetime revenue."""
+def top_customers(
+    sales: DataFrame, n: int = 20, customers: Dimension | None = None
+) -> DataFrame:
+    """The ``n`` customers with the highest lifetime revenue.
+
+    With a customer dimension, only the ``n`` winners are looked up in it.
+    """
+    keys = [*CUSTOMER, "route_name"] if customers is None else ["customer_id"]
     out = rollup(
         sales,
-        [*CUSTOMER, "route_name"],
+        keys,
         {
             "total_invoices": ("distinct", "invoice_number"),
             "lifetime_revenue": ("sum", "net_amount"),
@@ -119,12 +129,16 @@ def top_customers(sales: DataFrame, n: int = 20) -> DataFrame:
         },
     )
     best = top_rows(out, "lifetime_revenue", n, "customer_id")
+    if customers is not None:
+        table, key = customers
+        winners = table.join(F.broadcast(best.select(key)), key, "left_semi")  # n rows
+        best = with_dimension(best, winners, key, ["customer_name", "customer_type", "route_name"])
     return best.withColumns(
         {
             "avg_invoice_value": half_up(F.col("avg_invoice_value"), 2),
             "lifetime_revenue": money("lifetime_revenue"),
         }
-    )
+    ).orderBy(F.col("lifetime_revenue").desc(), "customer_id")
 
 
 def payment_modes(sales: DataFrame) -> DataFrame:
@@ -197,7 +211,7 @@ def spend_tier_rank(revenue: Column) -> Column:
     return rank
 
 
-def customer_segments(sales: DataFrame) -> DataFrame:
+def customer_segments(sales: DataFrame, customers: Dimension | None = None) -> DataFrame:
     """One row per customer and route with its spend tier."""
     out = rollup(
         sales,
@@ -208,6 +222,7 @@ def customer_segments(sales: DataFrame) -> DataFrame:
             "first_purchase": ("min", "date"),
             "last_purchase": ("max", "date"),
         },
+        customers,
     ).withColumn("total_revenue", money("total_revenue"))
     revenue = F.col("total_revenue")
     return out.withColumns(
@@ -217,7 +232,8 @@ def customer_segments(sales: DataFrame) -> DataFrame:
 
 def segment_summary(sales: DataFrame) -> DataFrame:
     """Customers and revenue per spend tier (tiers by customer, whatever the route)."""
-    customers = sales.groupBy(*CUSTOMER).agg(money(F.sum("net_amount")).alias("revenue"))
+    identity = [c for c in CUSTOMER if c in sales.columns]
+    customers = sales.groupBy(*identity).agg(money(F.sum("net_amount")).alias("revenue"))
     out = rollup(
         customers.withColumn("customer_segment", spend_tier(F.col("revenue"))),
         ["customer_segment"],
@@ -236,7 +252,3 @@ def segment_summary(sales: DataFrame) -> DataFrame:
     ).withColumn("revenue_share_pct", with_percent_sign(F.col("revenue_share"))).orderBy(
         F.col("segment_revenue").desc(), "customer_segment"
     )
-
-
-def totals_by(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return sales.groupBy(*keys).agg(F.sum("net_amount").alias("revenue"))

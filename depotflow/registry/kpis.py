@@ -74,7 +74,7 @@ category_mart AS (
 
 
 def category_revenue(t):
-    return sales_kpis.category_revenue(t.fact_sales(product=True))
+    return sales_kpis.category_revenue(t.fact_sales(), t.products)
 
 
 @query("sales_by_category", with_(SALES, CATEGORY, "SELECT * FROM category_mart"))
@@ -95,7 +95,7 @@ def _(t):
     ),
 )
 def _(t):
-    return sales_kpis.route_performance(t.fact_sales(route=True))
+    return sales_kpis.route_performance(t.fact_sales(), t.customers)
 
 
 @query(
@@ -110,7 +110,7 @@ def _(t):
     ),
 )
 def _(t):
-    return sales_kpis.top_customers(t.fact_sales(route=True))
+    return sales_kpis.top_customers(t.fact_sales(), customers=t.customers)
 
 
 @query(
@@ -171,7 +171,7 @@ segment_mart AS (
     ),
 )
 def _(t):
-    return sales_kpis.customer_segments(t.fact_sales(route=True))
+    return sales_kpis.customer_segments(t.fact_sales(), t.customers)
 
 
 @query(
@@ -189,7 +189,7 @@ spend AS (SELECT {_WHO}, SUM(net_amount) AS revenue FROM sales GROUP BY {_WHO})"
     ),
 )
 def _(t):
-    return sales_kpis.segment_summary(t.fact_sales(customer=True))
+    return sales_kpis.segment_summary(t.fact_sales())
 
 
 # Production -------------------------------------------------------------------

@@ -102,17 +102,17 @@ def _(t):
 
 @query("measures_customer_name_rank", _rank_sql("customer_name"))
 def _(t):
-    return measures.revenue_rank(t.fact_sales(customer=True), "customer_name")
+    return measures.revenue_rank(t.fact_sales(), "customer_name", dimension=t.customers)
 
 
 @query("measures_product_rank", _rank_sql("product_name"))
 def _(t):
-    return measures.revenue_rank(t.fact_sales(product=True), "product_name")
+    return measures.revenue_rank(t.fact_sales(), "product_name", dimension=t.products)
 
 
 @query("measures_route_rank", _rank_sql("route_name"))
 def _(t):
-    return measures.revenue_rank(t.fact_sales(route=True), "route_name", small=True)
+    return measures.revenue_rank(t.fact_sales(), "route_name", small=True, dimension=t.customers)
 
 
 @query(

@@ -95,6 +95,16 @@ class OrderTables:
             _money("c_acctbal").alias("credit_limit"),
         )
 
+    @cached_property
+    def customers(self) -> tuple[DataFrame, str]:
+        """Customer dimension with its route name, and its key."""
+        routes = self.dim_route.select("route_id", "route_name")
+        return self.dim_customer.join(routes, "route_id", "left"), "customer_id"
+
+    @cached_property
+    def products(self) -> tuple[DataFrame, str]:
+        return self.dim_product, "product_id"
+
     @cached_property
     def dim_product(self) -> DataFrame:
         return self.table("part").select(
