@@ -130,9 +130,7 @@ def top_customers(
     )
     best = top_rows(out, "lifetime_revenue", n, "customer_id")
     if customers is not None:
-        table, key = customers
-        winners = table.join(F.broadcast(best.select(key)), key, "left_semi")  # n rows
-        best = with_dimension(best, winners, key, ["customer_name", "customer_type", "route_name"])
+        best = with_dimension(best, *customers, ["customer_name", "customer_type", "route_name"])
     return best.withColumns(
         {
             "avg_invoice_value": half_up(F.col("avg_invoice_value"), 2),

@@ -12,6 +12,7 @@ from depotflow.functions.calendar import period_label, period_sort
 from depotflow.functions.numeric import half_up, ladder, ladder_up, percent, ratio
 from depotflow.operators.joins import relate, selected_by
 from depotflow.operators.latest import last_date
+from depotflow.operators.ranking import top_rows
 from depotflow.operators.reshape import attribute, measures_as_rows, trend_line
 from depotflow.operators.share import share_percent
 from depotflow.operators.timeline import last_value
@@ -199,15 +200,15 @@ def largest_debtors(payment: DataFrame, n: int = 5, customer_type: str | None =
     are not unique, so customers that share a name are taken together.
     """
     rows = payment if customer_type is None else payment.filter(F.col("customer_type") == customer_type)
-    names = rows.groupBy("customer_name").agg(F.sum("outstanding_amount").alias("_open"))
-    top = names.orderBy(F.col("_open").desc(), "customer_name").limit(n)
-    kept = rows.join(F.broadcast(top.select("customer_name")), "customer_name", "left_semi")  # n rows
-    out = kept.groupBy("customer_name").agg(
+    out = rows.groupBy("customer_name").agg(
         F.sum("outstanding_amount").alias("outstanding_amount"),
         F.sum("total_billed").alias("total_billed"),
         F.sum("overdue_count").alias("overdue_count"),
-        ratio(F.sum("collection_efficiency_pct"), F.count("collection_efficiency_pct"), 4).alias("avg_efficiency"),
+        ratio(F.sum("collection_efficiency_pct"), F.count("collection_efficiency_pct"), 4).alias(
+            "avg_efficiency"
+        ),
     )
+    out = top_rows(out, "outstanding_amount", n, "customer_name")
     value = F.col("avg_efficiency")
     return out.withColumns(
         {"risk_level": ladder(value, *PAYMENT_RISK), "alert": ladder(value, *PAYMENT_ALERT)}
