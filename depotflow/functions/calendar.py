@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-MONTHS = (
-    "January February March April May June July August September October November December"
-).split()
-DAYS = "Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split()
+MONTHS = "January February March April May June July August September October November December"
+DAYS = "Monday Tuesday Wednesday Thursday Friday Saturday Sunday"
 
 
-def _pick(names: list[str], position: Column) -> Column:
-    """Name by 1-based position: a constant array lookup, far cheaper per row than
-    formatting the date."""
-    return F.element_at(F.array(*[F.lit(n) for n in names]), position)
+def _pick(names: str, position: Column) -> Column:
+    """Name by 1-based position.  The split of a literal is folded to a constant array,
+    so a row pays for a lookup only, far less than formatting the date."""
+    return F.element_at(F.split(F.lit(names), " "), position)
 
 
 def to_moment(df: DataFrame, name: str, formats: tuple[str, ...] = ()) -> Column:

@@ -4,27 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from depotflow.contracts import TableContract
-from depotflow.functions.calendar import to_moment
-from depotflow.functions.numeric import percent, to_number
+from depotflow.functions.numeric import NUMBER, percent
 from depotflow.operators.rollup import rollup
 
 
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def _line(
-    check: str, column: str, severity: Column, bad: Column, passed: Column,
-    low: Column | None = None, high: Column | None = None,
-) -> Column:
-    nothing = F.lit(None).cast("string")
-    return F.struct(
-        F.lit(check).alias("check_name"),
-        F.lit(column).alias("column_name"),
-        severity.alias("severity"),
-        bad.cast("bigint").alias("bad_count"),
-        (low if low is not None else nothing).alias("min_value"),
-        (high if high is not None else nothing).alias("max_value"),
-        passed.alias("passed"),
+    check: str, column: str, level: str, bad: str, passed: str,
+    low: str = "cast(null as string)", high: str = "cast(null as string)",
+) -> str:
+    """SQL text of one report line; ``level`` applies when anything bad was counted."""
+    shown = column.replace("\\", "\\\\").replace("'", "\\'")
+    return (
+        f"named_struct('check_name', '{check}', 'column_name', '{shown}', "
+        f"'severity', if({bad} > 0, '{level}', 'INFO'), 'bad_count', cast({bad} as bigint), "
+        f"'min_value', {low}, 'max_value', {high}, 'passed', {passed})"
     )
 
 
@@ -35,83 +35,56 @@ def quality_report(df: DataFrame, contract: TableContract) -> DataFrame:
     Every check except duplicates is part of a single aggregate over one scan, whose
     tasks emit one row each.  Duplicates count rows per id, combined on the map side.
     """
-    found = [c for c in contract.columns if c in df.columns]
-    dates = [c for c in contract.of_kind("date") if c in df.columns]
-    numbers = [c for c in contract.of_kind("number") if c in df.columns]
-
-    def col(name: str) -> Column:
-        return F.col(f"`{name}`")
-
-    stats = [F.count(F.lit(1)).alias("n")]
-    for c in df.columns:
-        stats.append(F.count_if(col(c).isNull()).alias(f"null:{c}"))
-    for c in dates:
-        moment = to_moment(df, c)
-        stats += [
-            F.count_if(col(c).isNotNull() & moment.isNull()).alias(f"bad:{c}"),
-            F.min(moment.cast("date")).cast("string").alias(f"min:{c}"),
-            F.max(moment.cast("date")).cast("string").alias(f"max:{c}"),
-        ]
-    for c in numbers:
-        value = to_number(col(c))
-        stats += [
-            F.count_if(col(c).isNotNull() & value.isNull()).alias(f"bad:{c}"),
-            F.count_if(value < 0).alias(f"neg:{c}"),
-            F.min(value).cast("string").alias(f"min:{c}"),
-            F.max(value).cast("string").alias(f"max:{c}"),
-        ]
-    one = df.agg(*stats)
-
-    none, info = F.lit(0), F.lit("INFO")
-    absent = [c for c in contract.columns if c not in df.columns]
-    lines = [
-        _line("required_column", c, F.lit("ERROR"), F.lit(1), F.lit(False)) for c in absent
-    ]
+    columns = df.columns
+    absent = [c for c in contract.columns if c not in columns]
+    dates = [c for c in contract.of_kind("date") if c in columns]
+    numbers = [c for c in contract.of_kind("number") if c in columns]
+
+    stats = ["count(1) AS n"]
+    stats += [f"count_if({_name(c)} IS NULL) AS {_name('null:' + c)}" for c in columns]
+    for kind, cols in (("timestamp_ntz", dates), (NUMBER, numbers)):
+        for c in cols:
+            value = f"try_cast({_name(c)} AS {kind})"
+            shown = f"cast({value} AS date)" if kind == "timestamp_ntz" else value
+            stats += [
+                f"count_if({_name(c)} IS NOT NULL AND {value} IS NULL) AS {_name('bad:' + c)}",
+                f"cast(min({shown}) AS string) AS {_name('min:' + c)}",
+                f"cast(max({shown}) AS string) AS {_name('max:' + c)}",
+            ]
+    stats += [f"count_if(try_cast({_name(c)} AS {NUMBER}) < 0) AS {_name('neg:' + c)}" for c in numbers]
+    one = df.agg(*[F.expr(s) for s in stats])
+
+    lines = [_line("required_column", c, "ERROR", "1", "false") for c in absent]
     lines.append(
-        _line("required_columns", "*", _level(len(absent) > 0, "ERROR"), F.lit(len(absent)), F.lit(not absent))
+        _line("required_columns", "*", "ERROR", str(len(absent)), str(not absent).lower())
     )
-    few = col("n") < contract.min_rows
+    lacking = f"greatest({contract.min_rows} - n, 0)"
     lines.append(
-        _line("row_count", "*", F.when(few, "WARNING").otherwise(info),
-              F.when(few, contract.min_rows - col("n")).otherwise(none), ~few,
-              low=col("n").cast("string"))
+        _line("row_count", "*", "WARNING", lacking, f"{lacking} = 0", low="cast(n AS string)")
     )
-    for c in df.columns:
-        nulls = col(f"null:{c}")
-        level = "ERROR" if c in contract.required_values else "INFO"
-        hit = nulls > 0
-        ok = ~hit if level == "ERROR" else F.lit(True)
-        lines.append(_line("nulls", c, F.when(hit, level).otherwise(info), nulls, ok))
-    for c in dates:
-        bad = col(f"bad:{c}")
+    for c in columns:
+        nulls, needed = _name("null:" + c), c in contract.required_values
         lines.append(
-            _line("dates", c, F.when(bad > 0, "WARNING").otherwise(info), bad, bad == 0,
-                  col(f"min:{c}"), col(f"max:{c}"))
+            _line("nulls", c, "ERROR" if needed else "INFO", nulls, f"{nulls} = 0" if needed else "true")
         )
-    for c in numbers:
-        bad, neg = col(f"bad:{c}"), col(f"neg:{c}")
-        for check, count in (("numbers", bad), ("negatives", neg)):
+    checks = [("dates", "bad:", dates), ("numbers", "bad:", numbers), ("negatives", "neg:", numbers)]
+    for check, prefix, cols in checks:
+        for c in cols:
+            bad = _name(prefix + c)
             lines.append(
-                _line(check, c, F.when(count > 0, "WARNING").otherwise(info), count, count == 0,
-                      col(f"min:{c}"), col(f"max:{c}"))
+                _line(check, c, "WARNING", bad, f"{bad} = 0", _name("min:" + c), _name("max:" + c))
             )
-    if contract.id_column in found:
-        ids = df.groupBy(col(contract.id_column).alias("id")).agg(F.count(F.lit(1)).alias("n"))
-        extra = F.coalesce(ids.agg(F.sum(F.col("n") - 1)).scalar(), F.lit(0))
-        lines.append(
-            _line("duplicates", contract.id_column, F.when(extra > 0, "WARNING").otherwise(info),
-                  extra, extra == 0)
-        )
-    report = one.select(F.col("n").alias("row_total"), F.explode(F.array(*lines)).alias("line"))
-    return report.select(
-        F.lit(contract.name).alias("table_name"),
-        "line.*",
-        F.coalesce(percent(F.col("line.bad_count"), F.col("row_total")), F.lit(0)).alias("bad_pct"),
+    key = contract.id_column
+    if key in columns:
+        ids = df.groupBy(F.col(_name(key)).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+        extra = ids.agg(F.sum(F.col("n") - 1)).scalar()
+        one = one.withColumn("duplicates", F.coalesce(extra, F.lit(0)))
+        lines.append(_line("duplicates", key, "WARNING", "duplicates", "duplicates = 0"))
+    report = one.selectExpr(
+        f"'{contract.name}' AS table_name", "n AS _n", f"inline(array({', '.join(lines)}))"
     )
-
-
-def _level(hit: bool, level: str) -> Column:
-    return F.lit(level if hit else "INFO")
+    share = F.coalesce(percent(F.col("bad_count"), F.col("_n")), F.lit(0))
+    return report.withColumn("bad_pct", share).drop("_n")
 
 
 def quality_summary(reports: Mapping[str, DataFrame]) -> DataFrame:
