@@ -104,8 +104,13 @@ def clean_accounts(
 
 
 def _days_between(end: Column, start: Column) -> Column:
-    seconds = F.timestamp_diff("SECOND", start, end)
-    return F.floor(seconds / F.lit(86400)).cast("int")
+    """Whole elapsed days between zone-free moments (no session time zone involved)."""
+
+    def time_of_day(moment: Column) -> Column:
+        return moment - moment.cast("date").cast("timestamp_ntz")
+
+    begun = F.when(time_of_day(end) < time_of_day(start), 1).otherwise(0)
+    return F.date_diff(end.cast("date"), start.cast("date")) - begun
 
 
 def accounts_rule_counts(

@@ -290,3 +290,21 @@ def test_aging_buckets(spark):
         "1-30 Days", "1-30 Days", "1-30 Days", "31-60 Days", "31-60 Days", "61-90 Days",
         "61-90 Days", "90+ Days", "90+ Days",
     ]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_day_counts_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = accounts(
+            spark,
+            ("2025-03-01", None, "100", "0", "100"),
+            ("2025-03-01 10:00", None, "100", "0", "100"),
+            ("2024-05-20", "2024-12-01 23:00", "100", "100", "0"),
+        )
+        got = clean_accounts(df, ["transaction_id"]).orderBy("transaction_id").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.days_overdue for r in got] == [30, 29, 0]
+    assert got[2].days_to_payment == 205
