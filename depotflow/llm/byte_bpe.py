@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 #: Fixed value: the published splitting pattern of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -163,7 +164,7 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """
     kept = [c for c in docs.columns if c not in ("ids", "decoded")]
     source = docs.select(*kept)
-    schema = source.schema.add("ids", "binary").add("decoded", "string")
+    schema = StructType([*source.schema.fields, StructField("ids", BinaryType()), StructField("decoded", StringType())])
     at = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
