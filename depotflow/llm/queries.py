@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -31,6 +32,20 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op6_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from depotflow.llm.quality import fit, in_fold, labelled_sample, score
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit(labelled_sample(docs, labels, "quality", ~in_fold("doc_id", 4, 2)), "quality")
+    return score(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        in_fold("doc_id", 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 @query("op10_byte_bpe")
 def byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.byte_bpe import digests
