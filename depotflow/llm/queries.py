@@ -32,6 +32,17 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op3_decontamination")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from depotflow.llm.decontamination import contamination
+
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(ids.cast("binary"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 @query("op6_quality")
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.quality import fit, in_fold, labelled_sample, score
@@ -46,6 +57,22 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from depotflow.llm.quality import in_fold, labelled_sample
+    from depotflow.llm.toxicity import fit, score
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    index = fit(docs, labelled_sample(docs, labels, "toxic", ~in_fold("doc_id", 5, 0)), "toxic")
+    return score(docs.select("doc_id", "text"), index).select(
+        "doc_id",
+        in_fold("doc_id", 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.transform("evidence", lambda e: e["doc_id"]).alias("evidence"),
+    )
+
+
 @query("op10_byte_bpe")
 def byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.byte_bpe import digests
