@@ -57,6 +57,13 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from depotflow.llm.ngram_jaccard import near_copies
+
+    return near_copies(table(spark, sf_dir, "documents"))
+
+
 @query("op9_toxicity")
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.quality import in_fold, labelled_sample
