@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotflow.llm.components import components
-from depotflow.llm.tables import row_key, stored
+from depotflow.llm.tables import Scratch, row_key
 from depotflow.llm.wordhash import NOT_SPACE, Slice, grams, mix, signed, slices, words
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
@@ -42,6 +42,9 @@ FREQUENT, SMALLEST_LARGE = 500_000, 24
 #: Bytes of text whose shingles are counted in one group.
 GROUP_BYTES = 4 << 20
 
+#: Shingles that a task packs into blocks at a time.
+BLOCK_SHINGLES = 1 << 20
+
 #: Rounds with hubs at most, and pairs for each list entry that are few enough to compare at once.
 HUB_ROUNDS, FEW = 12, 2
 
@@ -104,33 +107,37 @@ def _counted(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return hashes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def count_shingles(docs: DataFrame, groups: int) -> tuple[DataFrame, dict[int, int], float]:
+def count_shingles(docs: DataFrame, groups: int, scratch: Scratch) -> tuple[DataFrame, dict[int, int], float]:
     """Shingles in more than one document (print, n), sets by size, and the mean length of a list.
 
-    A task packs the shingles of a batch with their counts into one block for each group, so the shuffle
+    A task packs its shingles with their counts, many at a time, into one block for each group, so the shuffle
     moves eight bytes a shingle.  Group -1 has the sizes.
     """
 
+    def blocks(prints: np.ndarray) -> pa.RecordBatch:
+        prints, counts = np.unique(prints, return_counts=True)
+        packed = prints << _COUNT_BITS | np.minimum(counts, (1 << 20) - 1).astype(np.uint64)
+        of = (prints % np.uint64(groups)).astype(np.int64)
+        order = np.argsort(of, kind="stable")
+        of, packed = of[order], packed[order]
+        first = np.flatnonzero(np.diff(of, prepend=-1))
+        data = [packed[i:j].tobytes() for i, j in zip(first, [*first[1:], len(of)])]
+        return pa.RecordBatch.from_arrays([pa.array(of[first], pa.int32()), pa.array(data, pa.binary())], ["at", "block"])
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.zeros(SMALLEST_LARGE * 2 + 1, dtype=np.int64)
+        parts, held = [], 0
         for batch in batches:
-            parts = []
             for part in slices(batch.column(0)):
                 _, hashes, n = shingles(part)
                 sizes += np.bincount(np.minimum(n, len(sizes) - 1), minlength=len(sizes))
-                parts.append(np.sort(hashes >> _COUNT_BITS))
-            if not parts:
-                continue
-            prints, counts = np.unique(np.concatenate(parts), return_counts=True)
-            packed = prints << _COUNT_BITS | np.minimum(counts, (1 << 20) - 1).astype(np.uint64)
-            of = (prints % np.uint64(groups)).astype(np.int64)
-            order = np.argsort(of, kind="stable")
-            of, packed = of[order], packed[order]
-            first = np.flatnonzero(np.diff(of, prepend=-1))
-            blocks = [packed[i:j].tobytes() for i, j in zip(first, [*first[1:], len(of)])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(of[first], pa.int32()), pa.array(blocks, pa.binary())], ["at", "block"]
-            )
+                parts.append(hashes >> _COUNT_BITS)
+                held += len(hashes)
+                if held >= BLOCK_SHINGLES:
+                    yield blocks(np.concatenate(parts))
+                    parts, held = [], 0
+        if held:
+            yield blocks(np.concatenate(parts))
         yield pa.RecordBatch.from_arrays(
             [pa.array([-1], pa.int32()), pa.array([sizes.tobytes()], pa.binary())], ["at", "block"]
         )
@@ -152,7 +159,7 @@ def count_shingles(docs: DataFrame, groups: int) -> tuple[DataFrame, dict[int, i
         return pa.table({"at": pa.array(np.full(len(prints), at), pa.int32()), "print": pa.array(prints, pa.int64()), "n": pa.array(counts, pa.int64())})
 
     packed = docs.select("text").mapInArrow(pack, "at int, block binary")
-    counts = stored(packed.groupBy("at").applyInArrow(merge, "at int, print long, n long"), "shingle-counts")
+    counts = scratch.put(packed.groupBy("at").applyInArrow(merge, "at int, print long, n long"), "counts")
     sizes = {r["print"]: r["n"] for r in counts.where("at = -1 and n > 0 and print > 0").collect()}
     totals = {r["print"]: r["n"] for r in counts.where("at >= 0 and print < 0").groupBy("print").agg(F.sum("n").alias("n")).collect()}
     scan = totals.get(-2, 0) / max(totals.get(-1, 0), 1)
@@ -253,6 +260,24 @@ def full_sets(texts: DataFrame) -> DataFrame:
     return texts.select("class", "text").mapInArrow(run, "class long, set array<long>")
 
 
+def shared_entries(listed: DataFrame) -> DataFrame:
+    """Inverted lists (key, class, n, place) with two or more classes.
+
+    Lists of rare keys are short, so a window counts their members.  A frequent key may be in a third of all
+    sets: its members are counted on the map side first and the count is joined.
+    """
+    entry = F.posexplode(F.arrays_zip("index.keys", "index.places")).alias("at", "entry")
+    entries = listed.select("class", F.col("n").cast("int"), "index.n_rare", entry).select(
+        F.col("entry.keys").alias("key"), "class", "n", F.col("entry.places").alias("place"),
+        (F.col("at") < F.col("n_rare")).alias("rare"),
+    )
+    rare = entries.where("rare").withColumn("members", F.expr("count(*) over (partition by key)"))
+    frequent = entries.where("not rare")
+    several = frequent.groupBy("key").count().where("count > 1").select("key")
+    columns = ("key", "class", "n", "place")
+    return rare.where("members > 1").select(*columns).unionByName(frequent.join(several, "key").select(*columns))
+
+
 def _may_link(n, m, i, j):
     """Sizes, and places of the first common shingle, do not rule out a link.  Places of -1 rule out nothing."""
     need = F.ceil(PERCENT * (n + m) / F.lit(100.0 + PERCENT) - 1e-9)
@@ -269,7 +294,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(100 * both >= PERCENT * (F.size("one") + F.size("other") - both)).select("a", "b")
 
 
-def linked_classes(entries: DataFrame, sets: DataFrame) -> DataFrame | None:
+def linked_classes(entries: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame | None:
     """Components (node, component) of the classes that have links; None without any.
 
     ``entries`` (key, class, n, place) are the inverted lists with two or more members.
@@ -282,7 +307,7 @@ def linked_classes(entries: DataFrame, sets: DataFrame) -> DataFrame | None:
         if found is not None:
             known = found.select(F.col("node").alias("class"), F.col("component").alias("joined"))
             placed = entries.join(known, "class", "left").withColumn("component", F.coalesce("joined", "class")).drop("joined")
-        placed = stored(placed, "placed")
+        placed = scratch.put(placed, f"placed-{seed}")
         shares = placed.groupBy("key", "component").agg(F.count("*").cast("double").alias("n"))
         across = shares.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
         left = across.agg(F.sum("pairs")).first()[0] or 0.0
@@ -303,13 +328,15 @@ def linked_classes(entries: DataFrame, sets: DataFrame) -> DataFrame | None:
             pairs = one.join(hubs, "key").where(F.col("component_a") != F.col("component_b"))
         pairs = pairs.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b")))
         pairs = pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
-        new = stored(verified(stored(pairs, "pairs"), sets), "links")
+        new = scratch.put(verified(scratch.put(pairs, f"pairs-{seed}"), sets), f"links-{seed}")
+        scratch.drop(f"pairs-{seed}")
+        scratch.drop(f"placed-{seed}")
         seed += 1
         if new.isEmpty():
             seed = HUB_ROUNDS  # hubs have stopped helping
         else:
             links = new if links is None else links.unionByName(new)
-            found = stored(components(links), "components")
+            found = components(links, scratch, f"{seed}-{waiting}")
     return found
 
 
@@ -323,34 +350,38 @@ def near_copies(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(setting, None)
+    scratch = Scratch(spark)
     # Every step below ends in a stored table, so its shuffle files can go at once.
     spark.conf.set(setting, "true")
     try:
         text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        counts, sizes, scan = count_shingles(docs, max(64, text_bytes // GROUP_BYTES))
-        sets = stored(index_sets(docs, most_frequent(counts), boundary(sizes, scan)), "sets")
-        filled = sets.where("n_shingles > 0")
-        classes = filled.groupBy("set_a", "set_b").agg(
-            F.min("doc_id").alias("first_id"),
-            F.min(F.struct("key_a", "key_b")).alias("row"),
-            F.first("n_shingles").alias("n"),
-            F.first(F.struct("keys", "places", "n_rare")).alias("index"),
+        counts, sizes, scan = count_shingles(docs, max(64, text_bytes // GROUP_BYTES), scratch)
+        indexed = scratch.put(index_sets(docs, most_frequent(counts), boundary(sizes, scan)), "indexed")
+        scratch.drop("counts")
+        sets = scratch.put(indexed.select("doc_id", "n_shingles", "set_a", "set_b"), "sets")
+        classes = (
+            indexed.where("n_shingles > 0")
+            .groupBy("set_a", "set_b")
+            .agg(
+                F.min("doc_id").alias("first_id"),
+                F.min(F.struct("key_a", "key_b")).alias("row"),
+                F.first("n_shingles").alias("n"),
+                F.first(F.struct("keys", "places", "n_rare")).alias("index"),
+            )
         )
-        classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
-        entry = F.posexplode(F.arrays_zip("index.keys", "index.places")).alias("at", "entry")
-        entries = classes.select("class", F.col("n").cast("int"), "index.n_rare", entry).select(
-            F.col("entry.keys").alias("key"), "class", "n", F.col("entry.places").alias("place"),
-            (F.col("at") < F.col("n_rare")).alias("rare"),
-        )
-        # Lists of rare shingles are short, so a window can tell the single ones; the others have members.
-        rare = entries.where("rare").withColumn("members", F.expr("count(*) over (partition by key)"))
-        entries = rare.where("members > 1").drop("members").unionByName(entries.where("not rare")).drop("rare")
-        entries = stored(entries, "entries")
+        # The ids are fixed once the table is written.
+        listed = scratch.put(classes.withColumn("class", F.monotonically_increasing_id()), "listed")
+        scratch.drop("indexed")
+        entries = scratch.put(shared_entries(listed), "entries")
+        classes = scratch.put(listed.drop("index"), "classes")
+        scratch.drop("listed")
         rows = classes.join(entries.select("class").distinct(), "class", "left_semi")
         rows = rows.select("class", F.col("row.key_a").alias("key_a"), F.col("row.key_b").alias("key_b"))
-        texts = docs.select(*row_key("doc_id", "text"), "text").join(rows, ["key_a", "key_b"])
-        full = stored(full_sets(texts).dropDuplicates(["class"]), "full-sets")
-        found = linked_classes(entries, full)
+        keyed = docs.select(*row_key("doc_id", "text"), "text")
+        # The join has brought equal keys together, so dropping repeated rows moves nothing.
+        texts = keyed.join(rows, ["key_a", "key_b"]).dropDuplicates(["key_a", "key_b"])
+        full = scratch.put(full_sets(texts), "full")
+        found = linked_classes(entries, full, scratch)
         own = classes.select("class", "set_a", "set_b", "first_id")
         if found is None:
             named = own.select("set_a", "set_b", F.col("first_id").alias("component_id"), F.lit(False).alias("linked"))
@@ -362,7 +393,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
             named = joined.join(smallest, "component", "left").select(
                 "set_a", "set_b", F.coalesce("least", "first_id").alias("component_id"), F.col("component").isNotNull().alias("linked")
             )
-        named = stored(named, "named")
+        named = scratch.put(named, "named")
+        scratch.drop("full")
+        scratch.drop("entries")
     finally:
         if before is None:
             spark.conf.unset(setting)

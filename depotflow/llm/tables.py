@@ -31,6 +31,24 @@ def stored(df: DataFrame, what: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one run in the shared folder, each removed when the run needs it no more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+
+    def put(self, df: DataFrame, what: str) -> DataFrame:
+        """Write ``df`` as table ``what`` and read it from there."""
+        df.write.parquet(f"{self.folder}/{what}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{what}")
+
+    def drop(self, what: str) -> None:
+        """Remove table ``what``; what was read from it must not be used again."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{what}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def row_key(*columns: str) -> list[Column]:
     """Two 64-bit hashes ``key_a`` and ``key_b`` of the columns' values, nulls apart from all values."""
     values = [F.struct(F.col(c).isNull(), F.col(c)) for c in columns]
