@@ -32,6 +32,135 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Url rules, in the order given.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+URL_SQL = r"""
+WITH parts AS (
+  SELECT page_id,
+         translate(CASE WHEN url IS NULL OR position('://' IN url) = 0 THEN ''
+                        ELSE regexp_extract(url[position('://' IN url) + 3:], '^[^/?#]*') END,
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         CASE WHEN url IS NULL OR position('://' IN url) = 0 THEN ''
+              ELSE regexp_extract(url[position('://' IN url) + 3:], '^[^/?#]*([^?#]*)', 1) END AS path
+  FROM pages),
+marks AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+seen AS (
+  SELECT p.host, count(m.good)::BIGINT AS n, coalesce(sum(m.good), 0)::BIGINT AS good
+  FROM parts p LEFT JOIN marks m ON m.doc_id = try_cast(nullif(regexp_extract(p.path, '([0-9]+)', 1), '') AS BIGINT)
+  GROUP BY p.host),
+hosts AS (
+  SELECT host, n, good, list_aggregate(string_split(host, '.')[-2:], 'string_agg', '.') AS two,
+         list_aggregate(string_split(host, '.')[-3:], 'string_agg', '.') AS three, string_split(host, '.')[-1] AS one
+  FROM seen),
+named AS (
+  SELECT host, n, good,
+         CASE WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.in') THEN three ELSE two END AS domain,
+         CASE WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.in') THEN two ELSE one END AS suffix
+  FROM hosts),
+domains AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(good)::BIGINT AS good FROM named GROUP BY domain, suffix),
+suffixes AS (SELECT suffix, sum(n)::BIGINT AS n, sum(good)::BIGINT AS good FROM domains GROUP BY suffix),
+levels AS (
+  SELECT 1 AS level, n, good FROM suffixes UNION ALL SELECT 2, n, good FROM domains UNION ALL SELECT 3, n, good FROM named),
+moments AS (
+  SELECT level, count(*) AS k, sum(n)::DOUBLE AS n, sum(good)::DOUBLE AS good, sum(good::DOUBLE * good / n) AS squares
+  FROM levels WHERE n > 0 GROUP BY level),
+excesses AS (
+  SELECT level, k, (good / n) * (1 - good / n) AS binomial,
+         squares / n - (good / n) * (good / n) - (good / n) * (1 - good / n) * (k - 1) / n AS excess
+  FROM moments),
+strengths AS (
+  SELECT l.level, CASE WHEN e.k IS NULL OR e.k < 2 OR e.excess <= 0 THEN 1000.0::DOUBLE
+                       ELSE least(greatest(e.binomial / e.excess - 1, 1.0), 1000.0) END AS s
+  FROM (VALUES (1), (2), (3)) AS l(level) LEFT JOIN excesses e ON e.level = l.level),
+strength AS (SELECT max(s) FILTER (level = 1) AS s1, max(s) FILTER (level = 2) AS s2, max(s) FILTER (level = 3) AS s3 FROM strengths),
+rate AS (SELECT (coalesce(sum(good), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1.0::DOUBLE) AS r FROM suffixes),
+suffix_rates AS (SELECT suffix, (good + r * s1) / (n + s1) AS r1 FROM suffixes, rate, strength),
+domain_rates AS (SELECT d.domain, (d.good + r1 * s2) / (d.n + s2) AS r2 FROM domains d JOIN suffix_rates USING (suffix), strength),
+host_rates AS (SELECT h.host, h.n, s3, (h.good + r2 * s3) / (h.n + s3) AS r3 FROM named h JOIN domain_rates USING (domain), strength),
+bounds AS (SELECT host, r3 - 1.645 * sqrt(r3 * (1 - r3) / (n + s3 + 1)) AS bound FROM host_rates),
+rules(rule, verdict, host, path) AS (
+  VALUES ('com/', 'allow', 'com', '/'), ('example.com/en/', 'block', 'example.com', '/en/'),
+         ('www.example.com/en/', 'allow', 'www.example.com', '/en/'), ('net/es/', 'block', 'net', '/es/'),
+         ('net/fr/', 'block', 'net', '/fr/')),
+pairs AS (SELECT DISTINCT host, path FROM parts),
+fitting AS (
+  SELECT p.host, p.path, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict, length(r.rule)) AS verdict
+  FROM pairs p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY p.host, p.path)
+SELECT p.page_id, p.host, p.path, f.rule,
+       coalesce(f.verdict, CASE WHEN b.bound >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict
+FROM parts p JOIN bounds b ON b.host = p.host LEFT JOIN fitting f ON f.host = p.host AND f.path = p.path
+"""
+
+
+@query("op1_url_reputation", URL_SQL)
+def url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page shows the document whose id is the number in its path; that document's quality is its outcome."""
+    from depotflow.llm.url_reputation import judge, path_of
+
+    pages = table(spark, sf_dir, "pages")
+    marks = table(spark, sf_dir, "labels").where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("good"))
+    shown = F.regexp_extract(path_of(F.col("url")), "([0-9]+)", 1)
+    shows = pages.select("url", shown.try_cast("bigint").alias("doc_id"))
+    return judge(pages, shows.join(marks, "doc_id"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+LICENSE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row_id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+  FROM documents),
+w AS (SELECT doc_id, row_id, body, regexp_extract_all(body, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM d),
+p(label, phrase) AS (
+  VALUES ('mit', ['mit', 'license']), ('apache', ['apache', 'license']), ('gpl', ['general', 'public', 'license'])),
+places AS (
+  SELECT row_id, label, unnest(list_filter(range(len(words) - len(phrase) + 1), lambda i: words[i + 1:i + len(phrase)] = phrase)) AS start
+  FROM w, p),
+base AS (
+  SELECT row_id, count(*)::BIGINT AS n_base, min(start)::BIGINT AS first_word, max(start)::BIGINT AS last_word,
+         list(DISTINCT label) AS names
+  FROM places GROUP BY row_id),
+t(label, need) AS (
+  VALUES ('notice-mit', ['released', 'under', 'the', 'mit', 'license']),
+         ('notice-apache', ['licensed', 'under', 'the', 'apache', 'license', 'version', '2', '0']),
+         ('notice-gpl', ['this', 'work', 'is', 'licensed', 'under', 'the', 'gnu', 'general', 'public', 'license', 'version', '3']),
+         ('notice-cc', ['licensed', 'under', 'cc', 'by', 'nc', '4', '0']),
+         ('text-mit', ['permission', 'is', 'hereby', 'granted', 'free', 'of', 'charge', 'to', 'any', 'person', 'obtaining', 'a',
+                       'copy', 'this', 'software']),
+         ('text-bsd', ['redistribution', 'and', 'use', 'in', 'source', 'binary', 'forms', 'with', 'or', 'without',
+                       'modification', 'are', 'permitted']),
+         ('text-gpl', ['this', 'program', 'is', 'free', 'software', 'you', 'can', 'redistribute', 'it', 'and', 'or', 'modify',
+                       'under', 'the', 'terms', 'of']),
+         ('reserved', ['all', 'rights', 'reserved'])),
+lines AS (
+  SELECT DISTINCT row_id, line FROM (SELECT row_id, unnest(string_split(body, chr(10))) AS line FROM d)),
+sets AS (SELECT row_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS have FROM lines),
+shares AS (
+  SELECT row_id, label, len(list_intersect(have, need))::DOUBLE / len(need) AS share FROM sets, t
+  WHERE len(list_intersect(have, need)) >= ceil(0.8 * len(need))),
+hits AS (SELECT row_id, list(DISTINCT label) AS names, max(share) AS best FROM shares GROUP BY row_id)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(base.n_base, 0)::BIGINT AS n_base, base.first_word, base.last_word,
+       coalesce(array_to_string(list_sort(base.names), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_concat(base.names, hits.names)), ','), '') AS labels,
+       CASE WHEN base.n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(hits.best, 0.0::DOUBLE) END AS score
+FROM w LEFT JOIN base ON base.row_id = w.row_id LEFT JOIN hits ON hits.row_id = w.row_id
+"""
+
+
+@query("op2_license_scan", LICENSE_SQL)
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from depotflow.llm.license_scan import scan
+
+    return scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
 @query("op3_decontamination")
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.decontamination import contamination
