@@ -172,6 +172,14 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_html_text")
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from depotflow.llm.html_text import extract
+
+    texts = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query("op6_quality")
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.quality import fit, in_fold, labelled_sample, score
