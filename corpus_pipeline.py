@@ -1,23 +1,66 @@
 """Corpus pipeline: quality, toxicity, near duplicates, benchmark decontamination, token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again
-as the next one's documents.  All but the last return the columns of documents.
+as the next one's documents.  All but the last return the columns of documents, and a stage drops what its
+operator rejects and nothing else.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from depotflow.llm.byte_bpe import digests
+from depotflow.llm import byte_bpe, decontamination, ngram_jaccard, quality, toxicity
 from depotflow.llm.queries import table, vocabulary
+from depotflow.llm.tables import stored
+
+#: Probability of good quality from which a document stays, and of toxicity from which it goes.
+GOOD, TOXIC = 0.7, 0.5
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    labels = table(spark, sf_dir, "labels")
+    known = quality.labelled_sample(docs, labels, "quality", ~quality.in_fold("doc_id", 4, 2))
+    scored = quality.score(docs, quality.fit(known, "quality"), out="quality_score")
+    return scored.where(F.col("quality_score") >= GOOD).select(*docs.columns)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier accepts."""
+    labels = table(spark, sf_dir, "labels")
+    known = quality.labelled_sample(docs, labels, "toxic", ~quality.in_fold("doc_id", 5, 0))
+    scored = toxicity.score(docs, toxicity.fit(docs, known, "toxic"))
+    return scored.where(F.col("score") < TOXIC).select(*docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies, and one of repeated rows.
+
+    Documents with a null id stay.
+    """
+    found = ngram_jaccard.near_copies(docs)
+    copies = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth are benchmark passages."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    spoiled = found.where("contaminated").select("doc_id").distinct()
+    return docs.join(spoiled, "doc_id", "left_anti").select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-pair ids of every remaining document."""
-    return digests(docs, vocabulary())
+    """Byte-pair ids of every remaining document, as counts and digests."""
+    return byte_bpe.digests(docs, vocabulary())
 
 
 STAGES = [
+    ("quality classifier", good_quality),
+    ("toxicity", not_toxic),
+    ("n-gram Jaccard join", one_of_each),
+    ("benchmark decontamination", uncontaminated),
     ("BPE encoding and decoding", token_ids),
 ]
 
@@ -26,8 +69,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents, each result written once to the shared folder."""
+    """Apply the stages to documents; each result but the last is written once to the shared folder."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = stage(spark, docs, sf_dir).checkpoint(eager=True)
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -172,6 +172,25 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents go to flat files of ids first; the counts come from scanning the files alone."""
+    import uuid
+
+    import public_tokenizers
+
+    from depotflow.llm.tables import shared_folder, stored
+    from depotflow.llm.token_files import count_tokens, tiktoken_encoder, token_files, write_token_files
+
+    end = 50256  # free in the vocabulary of ranks
+    folder = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
+    encode = tiktoken_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    written = stored(write_token_files(table(spark, sf_dir, "documents"), folder, encode, end), "token-plan")
+    counted = count_tokens(token_files(spark, folder), end)
+    counted = counted.withColumn("file", F.substring_index("path", "/", -1))
+    return counted.join(written, ["file", "ordinal"]).select("doc_id", "n_tokens")
+
+
 @query("op5_html_text")
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.html_text import extract
@@ -201,6 +220,15 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
 
 
+@query("op8_hamming_search")
+def hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from depotflow.llm.hamming_search import nearest, sign_codes
+
+    codes = sign_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", 64)
+    codes = codes.select(F.col("vec_id").alias("id"), "code")
+    return nearest(codes, codes.where(F.col("id") % 100 == 0), 64, 10)
+
+
 @query("op9_toxicity")
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.quality import in_fold, labelled_sample
