@@ -12,10 +12,13 @@ entries, counted from the sizes of all documents.
 The order needs the frequent shingles only.  All shingles of all documents are counted; the most frequent
 ones, ``FREQUENT`` at most, go to every task, and the others come first by hash.
 
-A group of near copies would make as many pairs as its square.  Components need fewer: each list compares its
-members with one of them (the hub), joins what links, and in the next round only compares members of
-different components with another hub.  When the pairs left across components are few against the list
-entries, or hubs have stopped helping, all of them are compared, so no component is left apart.
+A group of near copies would make as many pairs as its square.  Components need fewer: in a round every class
+takes one of its lists, is compared with one member of that list (the hub) and joins the hub's component if
+they link; the next round takes other lists and hubs.  When the pairs left across components are few against
+the list entries, or hubs have stopped helping, all of them are compared, so no component is left apart.
+
+A pair is compared by parity sketches first: a bitmap has the parity of the shingles that hash to each bit, so
+two bitmaps differ in no more bits than the sets do in shingles.  What passes is verified on the full sets.
 """
 
 from __future__ import annotations
@@ -46,7 +49,7 @@ GROUP_BYTES = 4 << 20
 BLOCK_SHINGLES = 1 << 20
 
 #: Rounds with hubs at most, and pairs for each list entry that are few enough to compare at once.
-HUB_ROUNDS, FEW = 12, 2
+HUB_ROUNDS, FEW = 8, 0.25
 
 _COUNT_BITS = np.uint64(20)
 
@@ -191,8 +194,15 @@ def subset_keys(hashes: np.ndarray, largest: int) -> list[int]:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Words of a bitmap with a bit for each shingle or two: parities of the hashes by their last bits."""
+    width = max(64, 1 << int(len(hashes) - 1).bit_length())
+    bits = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def index_sets(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], largest_small: int) -> DataFrame:
-    """Per document: n_shingles, the set's signature, and its index entries (key, place).
+    """Per document: n_shingles, the set's signature and parity sketch, and its index entries (key, place).
 
     The entries of rare shingles (and subsets) come first, ``n_rare`` of them; lists of those are short.
     Subset keys have the place -1.
@@ -212,7 +222,7 @@ def index_sets(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], largest
                 order = np.lexsort((hashes, counts, rows))
                 first = np.concatenate([[0], np.cumsum(n)])
                 length = np.where(100 * n >= PERCENT * (largest_small + 1), first_shingles(n), 0)
-                keys, places, rare = [], [], []
+                keys, places, rare, sketches = [], [], [], []
                 for i in range(len(part)):
                     own = order[first[i] : first[i] + length[i]]
                     k, p = hashes[own], np.arange(length[i])
@@ -224,6 +234,7 @@ def index_sets(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], largest
                     keys.append(k)
                     places.append(p)
                     rare.append(r)
+                    sketches.append(parity(hashes[first[i] : first[i + 1]]))
                 ends = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
                 sign = lambda x: signed(np.add.reduceat(np.append(x, np.uint64(0)), first[:-1]) * (n > 0).astype(np.uint64))
                 yield pa.RecordBatch.from_arrays(
@@ -235,11 +246,12 @@ def index_sets(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], largest
                         pa.ListArray.from_arrays(ends, pa.array(signed(np.concatenate(keys)), pa.int64())),
                         pa.ListArray.from_arrays(ends, pa.array(np.concatenate(places), pa.int32())),
                         pa.array(rare, pa.int32()),
+                        pa.array(sketches, pa.list_(pa.int64())),
                     ],
-                    [*kept, "n_shingles", "set_a", "set_b", "keys", "places", "n_rare"],
+                    [*kept, "n_shingles", "set_a", "set_b", "keys", "places", "n_rare", "sketch"],
                 )
 
-    schema = "n_shingles long, set_a long, set_b long, keys array<long>, places array<int>, n_rare int"
+    schema = "n_shingles long, set_a long, set_b long, keys array<long>, places array<int>, n_rare int, sketch array<long>"
     source = docs.select(F.col("doc_id").cast("long"), *row_key("doc_id", "text"), "text")
     return source.mapInArrow(run, f"doc_id long, key_a long, key_b long, {schema}")
 
@@ -285,59 +297,102 @@ def _may_link(n, m, i, j):
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (rest >= need)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose sets link."""
+def _may_differ_so(one, other, n, m):
+    """The sketches do not rule out a link.  Widths differ by a factor of two at most; the wider is folded."""
+    xor = lambda x, y: x.bitwiseXOR(y)
+    least = F.least(F.size(one), F.size(other))
+
+    def folded(sketch):
+        halves = F.zip_with(F.slice(sketch, 1, least), F.slice(sketch, least + 1, least), xor)
+        return F.when(F.size(sketch) > least, halves).otherwise(sketch)
+
+    bits = F.aggregate(F.zip_with(folded(one), folded(other), lambda x, y: F.bit_count(xor(x, y))), F.lit(0), lambda s, x: s + x)
+    need = F.ceil(PERCENT * (n + m) / F.lit(100.0 + PERCENT) - 1e-9)
+    return bits <= n + m - 2 * need
+
+
+def verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Those of the pairs (a, b) whose sets link.  ``texts`` has key_a, key_b and text of all documents."""
+
+    def side(end: str):
+        return members.select(F.col("class").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in ("n", "sketch", "row_a", "row_b")))
+
+    near = pairs.join(side("a"), "a").join(side("b"), "b")
+    near = near.where(_may_differ_so(F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b")))
+    near = scratch.put(near.select("a", "b", "row_a_a", "row_b_a", "row_a_b", "row_b_b"), f"near-{name}")
+    ends = [near.select(F.col(e).alias("class"), F.col(f"row_a_{e}").alias("key_a"), F.col(f"row_b_{e}").alias("key_b")) for e in "ab"]
+    rows = ends[0].unionByName(ends[1]).distinct()
+    # Repeated rows of a document give equal sets, one is enough.
+    sets = texts.join(rows, ["key_a", "key_b"]).dropDuplicates(["key_a", "key_b"])
+    sets = scratch.put(full_sets(sets), f"full-{name}")
     one = sets.select(F.col("class").alias("a"), F.col("set").alias("one"))
     other = sets.select(F.col("class").alias("b"), F.col("set").alias("other"))
     both = F.size(F.array_intersect("one", "other"))
-    joined = pairs.join(one, "a").join(other, "b")
-    return joined.where(100 * both >= PERCENT * (F.size("one") + F.size("other") - both)).select("a", "b")
+    joined = near.select("a", "b").join(one, "a").join(other, "b")
+    joined = joined.where(100 * both >= PERCENT * (F.size("one") + F.size("other") - both))
+    links = scratch.put(joined.select("a", "b"), f"links-{name}")
+    scratch.drop(f"near-{name}")
+    scratch.drop(f"full-{name}")
+    return links
 
 
-def linked_classes(entries: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame | None:
+def linked_classes(members: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame | None:
     """Components (node, component) of the classes that have links; None without any.
 
-    ``entries`` (key, class, n, place) are the inverted lists with two or more members.
+    ``members`` has the classes that share lists: class, n, sketch, row_a, row_b, and lists (key, place).
     """
-    links = found = None
-    n_entries = entries.count()
-    seed, waiting = 0, n_entries > 0
-    while waiting:
-        placed = entries.withColumn("component", F.col("class"))
-        if found is not None:
-            known = found.select(F.col("node").alias("class"), F.col("component").alias("joined"))
-            placed = entries.join(known, "class", "left").withColumn("component", F.coalesce("joined", "class")).drop("joined")
-        placed = scratch.put(placed, f"placed-{seed}")
-        shares = placed.groupBy("key", "component").agg(F.count("*").cast("double").alias("n"))
+    links, labels, turn, helping = None, None, 0, True
+    n_entries = members.agg(F.sum(F.size("lists"))).first()[0] or 0
+    while n_entries:
+        named = members.select("class", "n", "lists", F.col("class").alias("component"))
+        if labels is not None:
+            named = members.select("class", "n", "lists").join(labels, "class")
+        # Pairs across components, from counts alone.
+        entries = named.select("class", "n", "component", F.explode("lists").alias("at"))
+        shares = entries.groupBy("at.key", "component").agg(F.count("*").cast("double").alias("n"))
         across = shares.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
+        across = scratch.put(across.where("pairs > 0"), f"across-{turn}")
         left = across.agg(F.sum("pairs")).first()[0] or 0.0
         if not left:
             break
-        if left <= FEW * n_entries or seed >= HUB_ROUNDS:
-            # Every pair across components.
-            one = placed.select("key", *(F.col(c).alias(f"{c}_a") for c in ("class", "n", "place", "component")))
-            other = placed.select("key", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "place", "component")))
+        last = left <= FEW * n_entries or turn >= HUB_ROUNDS or not helping
+        kept = ("class", "n", "place", "component")
+        if last:
+            listed = entries.select("at.key", "at.place", "class", "n", "component").join(across.select("key"), "key", "left_semi")
+            one = listed.select("key", *(F.col(c).alias(f"{c}_a") for c in kept))
+            other = listed.select("key", *(F.col(c).alias(f"{c}_b") for c in kept))
             pairs = one.join(other, "key").where(F.col("component_a") < F.col("component_b"))
-            waiting = False
         else:
-            # Each member with its list's hub.
-            hub = F.min(F.struct(F.xxhash64("class", F.lit(seed)), "class", "n", "place", "component")).alias("hub")
-            mixed = placed.groupBy("key").agg(hub, F.min("component").alias("low"), F.max("component").alias("high"))
-            hubs = mixed.where("low < high").select("key", *(F.col(f"hub.{c}").alias(f"{c}_b") for c in ("class", "n", "place", "component")))
-            one = placed.select("key", *(F.col(c).alias(f"{c}_a") for c in ("class", "n", "place", "component")))
+            # One list of each class, by a hash that changes with the round; and one member of each list.
+            order = F.array_sort(F.transform("lists", lambda x: F.struct(F.xxhash64(x["key"], F.lit(turn)), x["key"], x["place"])))
+            taken = named.select("class", "n", "component", F.get(order, F.lit(0)).alias("at"))
+            taken = taken.select("class", "n", "component", "at.key", "at.place")
+            hub = F.min(F.struct(F.xxhash64("class", F.lit(turn)).alias("order"), *kept)).alias("hub")
+            hubs = taken.groupBy("key").agg(hub).select("key", *(F.col(f"hub.{c}").alias(f"{c}_b") for c in kept))
+            one = taken.select("key", *(F.col(c).alias(f"{c}_a") for c in kept))
             pairs = one.join(hubs, "key").where(F.col("component_a") != F.col("component_b"))
         pairs = pairs.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b")))
-        pairs = pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
-        new = scratch.put(verified(scratch.put(pairs, f"pairs-{seed}"), sets), f"links-{seed}")
-        scratch.drop(f"pairs-{seed}")
-        scratch.drop(f"placed-{seed}")
-        seed += 1
-        if new.isEmpty():
-            seed = HUB_ROUNDS  # hubs have stopped helping
-        else:
-            links = new if links is None else links.unionByName(new)
-            found = components(links, scratch, f"{seed}-{waiting}")
-    return found
+        pairs = scratch.put(pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), f"pairs-{turn}")
+        new = verified(pairs, members, texts, scratch, str(turn))
+        scratch.drop(f"pairs-{turn}")
+        links = new if links is None else links.unionByName(new)
+        if last:
+            break
+        helping = not new.isEmpty()
+        # Hook every class's component to the smallest component it has just linked with.  Labels stay
+        # sound (equal ones are connected); the exact components follow from all links at the end.
+        known = named.select("class", "component")
+        ends = new.join(known.select(F.col("class").alias("a"), F.col("component").alias("one")), "a").join(
+            known.select(F.col("class").alias("b"), F.col("component").alias("two")), "b"
+        )
+        hook = ends.select(F.greatest("one", "two").alias("component"), F.least("one", "two").alias("lower"))
+        hook = hook.where("lower < component").groupBy("component").agg(F.min("lower").alias("lower"))
+        labels = known.join(hook, "component", "left").select("class", F.coalesce("lower", "component").alias("component"))
+        labels = scratch.put(labels, f"labels-{turn}")
+        turn += 1
+    if links is None or links.isEmpty():
+        return None
+    return components(links, scratch, "classes")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -366,22 +421,24 @@ def near_copies(docs: DataFrame) -> DataFrame:
                 F.min("doc_id").alias("first_id"),
                 F.min(F.struct("key_a", "key_b")).alias("row"),
                 F.first("n_shingles").alias("n"),
+                F.first("sketch").alias("sketch"),
                 F.first(F.struct("keys", "places", "n_rare")).alias("index"),
             )
         )
         # The ids are fixed once the table is written.
         listed = scratch.put(classes.withColumn("class", F.monotonically_increasing_id()), "listed")
         scratch.drop("indexed")
-        entries = scratch.put(shared_entries(listed), "entries")
-        classes = scratch.put(listed.drop("index"), "classes")
+        lists = shared_entries(listed).groupBy("class").agg(F.collect_list(F.struct("key", "place")).alias("lists"))
+        members = lists.join(
+            listed.select(
+                "class", "n", "sketch", F.col("row.key_a").alias("row_a"), F.col("row.key_b").alias("row_b")
+            ),
+            "class",
+        )
+        members = scratch.put(members.withColumn("n", F.col("n").cast("int")), "members")
+        classes = scratch.put(listed.select("class", "set_a", "set_b", "first_id"), "classes")
         scratch.drop("listed")
-        rows = classes.join(entries.select("class").distinct(), "class", "left_semi")
-        rows = rows.select("class", F.col("row.key_a").alias("key_a"), F.col("row.key_b").alias("key_b"))
-        keyed = docs.select(*row_key("doc_id", "text"), "text")
-        # The join has brought equal keys together, so dropping repeated rows moves nothing.
-        texts = keyed.join(rows, ["key_a", "key_b"]).dropDuplicates(["key_a", "key_b"])
-        full = scratch.put(full_sets(texts), "full")
-        found = linked_classes(entries, full, scratch)
+        found = linked_classes(members, docs.select(*row_key("doc_id", "text"), "text"), scratch)
         own = classes.select("class", "set_a", "set_b", "first_id")
         if found is None:
             named = own.select("set_a", "set_b", F.col("first_id").alias("component_id"), F.lit(False).alias("linked"))
@@ -394,8 +451,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
                 "set_a", "set_b", F.coalesce("least", "first_id").alias("component_id"), F.col("component").isNotNull().alias("linked")
             )
         named = scratch.put(named, "named")
-        scratch.drop("full")
-        scratch.drop("entries")
+        scratch.drop("members")
     finally:
         if before is None:
             spark.conf.unset(setting)
