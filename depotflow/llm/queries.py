@@ -188,7 +188,8 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = stored(write_token_files(table(spark, sf_dir, "documents"), folder, encode, end), "token-plan")
     counted = count_tokens(token_files(spark, folder), end)
     counted = counted.withColumn("file", F.substring_index("path", "/", -1))
-    return counted.join(written, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    # Both sides grow with the documents, and few blocks unfold into many of them: never broadcast.
+    return counted.join(written.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")
 
 
 @query("op5_html_text")

@@ -144,19 +144,19 @@ def count_tokens(files: DataFrame, end: int, dtype: str = "uint16", block_bytes:
     ).join(runs, ["path", "run"])
     begin = F.coalesce("block_begin", "run_begin")
     ends = F.transform("found", lambda i: i + F.col("first"))
-    # Each document with its begin; the tokens behind the last separator come along with the last block.
-    begins = F.concat(F.array(begin), F.transform(ends, lambda e: e + 1))
-    closed = F.transform(ends, lambda e, i: F.struct(F.get(begins, i).alias("first_token"), (e - F.get(begins, i)).alias("n_tokens"), i.cast("long").alias("at")))
-    rest = F.element_at(begins, -1)
-    open_end = F.when(
-        (F.col("stop") == F.col("file_stop")) & (F.col("stop") > rest),
-        F.array(F.struct(rest.alias("first_token"), (F.col("stop") - rest).alias("n_tokens"), F.col("n").alias("at"))),
-    )
-    documents = F.when(open_end.isNull(), closed).otherwise(F.concat(closed, open_end))
-    one = block.select("path", (F.col("run_ordinal") + F.col("block_ordinal")).alias("before"), F.explode(documents).alias("d"))
+    # A document reaches from behind one separator to the next; the last begin of a block has no end in it.
+    begins = F.concat(F.array(begin), F.transform("found", lambda i: i + F.col("first") + 1))
+    reach = F.zip_with(begins, ends, lambda b, e: F.struct(b.alias("first_token"), e.alias("end")))
+    one = block.select(
+        "path", (F.col("run_ordinal") + F.col("block_ordinal")).alias("before"), "stop", "file_stop",
+        F.posexplode(reach).alias("at", "d"),
+    ).select("path", (F.col("before") + F.col("at")).alias("ordinal"), "d.first_token", "d.end", "stop", "file_stop")
+    # Tokens behind the last separator of a file come along with its last block.
+    open_end = (F.col("stop") == F.col("file_stop")) & (F.col("stop") > F.col("first_token"))
+    one = one.where(F.col("end").isNotNull() | open_end)
     return one.select(
-        "path", (F.col("before") + F.col("d.at")).alias("ordinal"), F.col("d.first_token").alias("first_token"), F.col("d.n_tokens").alias("n_tokens")
-    )
+        "path", "ordinal", "first_token", (F.coalesce("end", "stop") - F.col("first_token")).alias("n_tokens")
+    )
 
 
 def tiktoken_encoder(path: str):
