@@ -13,7 +13,6 @@ values outnumber the values that exist, the query's segment is compared with the
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 from math import comb, log2
 
 import numpy as np
@@ -23,8 +22,8 @@ from pyspark.sql import functions as F
 
 from depotflow.llm.tables import Scratch
 
-#: Bits of a word of a code.
-WORD = 64
+#: Bits of a word of a code, most masks that a round enumerates, and most bits of a segment.
+WORD, MASKS, WIDEST = 64, 100_000, 24
 
 
 def sign_codes(vectors: DataFrame, vector: str, bits: int) -> DataFrame:
@@ -53,7 +52,7 @@ def sign_codes(vectors: DataFrame, vector: str, bits: int) -> DataFrame:
 
 def segment_bits(codes: int, bits: int) -> int:
     """Bits of a segment: about as many as tell the codes apart."""
-    return max(1, min(bits, WORD // 2, round(log2(max(codes, 2)))))
+    return max(1, min(bits, WIDEST, round(log2(max(codes, 2)))))
 
 
 def _segments(bits: int, width: int) -> list[tuple[int, int]]:
@@ -76,10 +75,6 @@ def _distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-def _masks(width: int, radius: int) -> list[int]:
-    return [sum(1 << i for i in c) for c in combinations(range(width), radius)]
-
-
 def nearest(index: DataFrame, queries: DataFrame, bits: int, k: int) -> DataFrame:
     """Per query: query_id, rank (from 1), neighbour_id, distance.  Both inputs have id and code.
 
@@ -112,15 +107,15 @@ def nearest(index: DataFrame, queries: DataFrame, bits: int, k: int) -> DataFram
     found, left, done = None, searches, []
     for radius in range(widest + 1):
         probes = left.select("query", F.explode(parts).alias("p")).select("query", "p.segment", "p.value")
-        if comb(widest, radius) <= n:
-            masks = F.transform(
-                F.element_at(
-                    F.array(*(F.array(*(F.lit(m).cast("long") for m in _masks(w, radius))).cast("array<long>") for _, w in segments)),
-                    F.col("segment") + 1,
-                ),
-                lambda mask: mask,
-            )
-            probes = probes.select("query", "segment", F.explode(masks).alias("mask"), "value")
+        if comb(widest, radius) <= min(n, MASKS):
+            # All numbers of the segments' widths with as many bits; at most MASKS, so they are broadcast.
+            masks = None
+            for width in sorted({w for _, w in segments}):
+                some = spark.range(1 << width).where(F.bit_count("id") == radius)
+                some = some.select(F.lit(width).alias("width"), F.col("id").alias("mask"))
+                masks = some if masks is None else masks.unionByName(some)
+            width_of = F.element_at(F.array(*(F.lit(w) for _, w in segments)), F.col("segment") + 1)
+            probes = probes.withColumn("width", width_of).join(F.broadcast(masks), "width")
             probes = probes.select("query", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
         else:
             seen = values.select("segment", F.col("value").alias("present"))
