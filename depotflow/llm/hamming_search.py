@@ -121,8 +121,10 @@ def nearest(index: DataFrame, queries: DataFrame, bits: int, k: int) -> DataFram
             seen = values.select("segment", F.col("value").alias("present"))
             near = F.bit_count(F.col("value").bitwiseXOR(F.col("present"))) == radius
             probes = probes.join(seen, "segment").where(near).select("query", "segment", F.col("present").alias("value"))
-        pairs = probes.join(posted, ["segment", "value"]).select("query", "entry").distinct()
-        pairs = pairs.join(left.select("query", F.col("code").alias("asked")), "query").join(codes.select("entry", "code", "ids"), "entry")
+        pairs = probes.join(posted.hint("merge"), ["segment", "value"]).select("query", "entry").distinct()
+        # Pairs grow with the codes: sorted merges, since a size seen before they unfold tells too little.
+        pairs = pairs.join(left.select("query", F.col("code").alias("asked")).hint("merge"), "query")
+        pairs = pairs.join(codes.select("entry", "code", "ids").hint("merge"), "entry")
         hits = pairs.select("query", "entry", _distance(F.col("asked"), F.col("code")).alias("distance"), "ids")
         if found is not None:
             hits = hits.unionByName(found).dropDuplicates(["query", "entry"])
