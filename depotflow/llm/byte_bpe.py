@@ -28,7 +28,7 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Pieces and words that a worker keeps at most.
-KEPT_PIECES, KEPT_WORDS = 250_000, 800_000
+KEPT_PIECES, KEPT_WORDS = 100_000, 250_000
 
 #: Rows of a batch that goes back to Spark.
 ROWS_OUT = 128

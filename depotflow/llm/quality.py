@@ -14,10 +14,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from depotflow.llm.wordhash import NOT_SPACE, Slice, slices, words
 
@@ -52,7 +52,7 @@ _HEAD[128:192] = False
 
 
 def _sums(flags: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(flags) + 1, dtype=np.int64)
+    out = np.zeros(len(flags) + 1, dtype=np.int32)
     np.cumsum(flags, out=out[1:])
     return out
 
@@ -228,17 +228,23 @@ def score(docs: DataFrame, model: Discriminant, text: str = "text", out: str = "
     All columns and repeated rows are kept (a column named ``out`` is replaced); an empty table stays empty.
     """
 
-    @F.pandas_udf("double")
-    def probability(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in parts:
-            texts = pa.array(series, pa.string(), from_pandas=True)
-            found = np.zeros(len(series))
-            for part in slices(texts):
-                ratio = model.log_ratio(statistics(part))
-                found[part.first : part.first + len(part)] = 1 / (1 + np.exp(-np.clip(ratio, -500, 500)))
-            yield pd.Series(found)
-
-    return docs.withColumn(out, probability(F.col(text)))
+    kept = [c for c in docs.columns if c != out]
+    source = docs.select(*kept)
+    column = kept.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.column(column)):
+                ratio = np.clip(model.log_ratio(statistics(part)), -500, 500)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(c.slice(part.first, len(part)) for c in batch.columns),
+                        pa.array(1 / (1 + np.exp(-ratio)), pa.float64()),
+                    ],
+                    [*kept, out],
+                )
+
+    return source.mapInArrow(run, StructType([*source.schema.fields, StructField(out, DoubleType())]))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, kept, most: int = SAMPLE) -> DataFrame:
