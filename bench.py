@@ -59,10 +59,6 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions=cpus,
         spark__sql__session__timeZone="UTC",
-        # The input files hold one row group each, so a scan is a single task.  A
-        # broadcast join would leave everything up to the next exchange in that task;
-        # below this size a shuffle join spreads the work over all threads.
-        spark__sql__autoBroadcastJoinThreshold="1m",
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry.queries()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -32,6 +35,20 @@ def financial_year(date: Column) -> Column:
     return F.concat(F.lit("FY"), start.cast("string"), F.lit("-"), tail)
 
 
+def financial_year_days(label: str) -> tuple[dt.date, dt.date]:
+    """First and last day of 'FY2023-24'."""
+    start = int(label[2:6])
+    return dt.date(start, 4, 1), dt.date(start + 1, 3, 31)
+
+
+def in_financial_years(date: Column, labels: Sequence[str]) -> Column:
+    """Days of the given financial years, as ranges of the date that a scan can use."""
+    out = F.lit(False)
+    for first, last in sorted(financial_year_days(x) for x in set(labels)):
+        out = out | date.between(F.lit(first), F.lit(last))
+    return out
+
+
 def quarter_label(date: Column) -> Column:
     """Calendar quarter (April is Q2), although the financial year starts in April."""
     return F.concat(F.lit("Q"), F.quarter(date).cast("string"))

@@ -6,18 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-NUMBER = "decimal(18,4)"  # parsed raw measure
-MONEY = "decimal(12,2)"  # small enough for its products to stay in 64-bit arithmetic
+NUMBER = "decimal(38,10)"  # measure parsed from text
+MONEY = "decimal(18,2)"
 
 
 def to_number(col: Column) -> Column:
-    """Coerce to a decimal; text that is not a number (also NaN) becomes null."""
-    return col.try_cast(NUMBER)
+    """Coerce text to a decimal; text that is not a number (also NaN) becomes null.
+
+    A number too large for the decimal is an error: it must not count as missing.
+    """
+    number, wide = col.try_cast(NUMBER), col.try_cast("double")
+    too_large = number.isNull() & wide.isNotNull() & ~F.isnan(wide) & (F.abs(wide) < float("inf"))
+    message = F.concat(F.lit("number out of range: "), col.cast("string"))
+    return F.when(too_large, F.raise_error(message).cast(NUMBER)).otherwise(number)
 
 
 def floor_at_zero(col: Column) -> Column:
     """Raise negatives to zero, keep nulls (``greatest`` would replace them)."""
-    return F.when(col < 0, F.lit(0).cast(NUMBER)).otherwise(col)
+    return F.when(col < 0, F.lit(0)).otherwise(col)
 
 
 def cap_at(col: Column, limit: Column) -> Column:
@@ -26,12 +32,15 @@ def cap_at(col: Column, limit: Column) -> Column:
 
 
 def or_zero(col: Column) -> Column:
-    return F.coalesce(col, F.lit(0).cast(NUMBER))
+    return F.coalesce(col, F.lit(0))
 
 
 def half_up(col: Column, scale: int) -> Column:
-    """Round a double half away from zero on its decimal digits, not its binary ones."""
-    return F.round(col.cast("decimal(38,8)"), scale)
+    """Round a number half away from zero on its decimal digits, not its binary ones.
+
+    Spark rounds a double by its shortest decimal form, and once; the cast only fixes the scale.
+    """
+    return F.round(col, scale).cast(f"decimal(38,{scale})")
 
 
 def ratio(num: Column, den: Column, scale: int | None = None) -> Column:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from depotflow.functions.numeric import ratio
+
 
 def with_dimension(
     fact: DataFrame, dim: DataFrame, key: str | Sequence[str], columns: Sequence[str]
@@ -29,9 +31,7 @@ def mean_per_group(df: DataFrame, key: str, value: str, name: str, scale: int) -
     on the map side, while a window would bring all rows of a hot key to one task.
     """
     mean = df.groupBy(key).agg(
-        F.round((F.sum(value) / F.count(value)).cast("decimal(38,8)"), scale)
-        .cast("decimal(18,4)")
-        .alias(name)
+        ratio(F.sum(value), F.count(value), scale).alias(name)
     )
     return df.join(mean, key, "left")
 

@@ -34,16 +34,17 @@ def dense_rank_small(df: DataFrame, value: str, name: str) -> DataFrame:
     return df.withColumn(name, F.dense_rank().over(W.orderBy(F.col(value).desc_nulls_last())))
 
 
-def dense_rank_all(df: DataFrame, value: str, name: str, slices: int = 64) -> DataFrame:
+def dense_rank_all(df: DataFrame, value: str, name: str, slices: int | None = None) -> DataFrame:
     """Dense rank (1,1,2) by descending ``value`` over any number of rows.
 
     Equal values share a rank, so only distinct values are ranked: they are cut into
-    ``slices`` value ranges, numbered inside each slice in parallel, and shifted by the
+    ``slices`` value ranges (as many as shuffle partitions unless given), numbered inside each slice in parallel, and shifted by the
     number of distinct values in the slices above.  The input is stored once because
     the cut points, the slice sizes and the final join must see the same rows.
     """
     rows = stored(df)
     values = rows.select(value).filter(F.col(value).isNotNull()).distinct()
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = [i / slices for i in range(1, slices)]
     doubles = values.select(F.col(value).cast("double").alias("v"))
     cuts = sorted(set(doubles.approxQuantile("v", steps, 0.005)))

@@ -36,8 +36,12 @@ def to_date_totals(daily: DataFrame, value: str, mtd: str, ytd: str) -> DataFram
 
 
 def monthly_totals(df: DataFrame, value: str, name: str, date: str = "date") -> DataFrame:
+    """Dense monthly totals from the first to the last month; months without rows carry null."""
     start = F.trunc(F.col(date).cast("date"), "month").alias("month_start")
-    return df.groupBy(start).agg(F.sum(value).alias(name))
+    totals = df.groupBy(start).agg(F.sum(value).alias(name))
+    bounds = totals.agg(F.min("month_start").alias("lo"), F.max("month_start").alias("hi"))
+    spine = bounds.select(F.explode(F.expr("sequence(lo, hi, interval 1 month)")).alias("month_start"))
+    return spine.join(totals, "month_start", "left")
 
 
 def shifted(monthly: DataFrame, value: str, months: int, name: str) -> DataFrame:

@@ -34,21 +34,26 @@ def usable_accounts(raw: DataFrame, rules: AccountsRules) -> DataFrame:
     return rows.dropna(subset=["invoice_amount"])
 
 
-def reconciled(rows: DataFrame, scope: str) -> DataFrame:
-    """Enforce outstanding = invoiced - paid (never below zero) and paid <= invoiced."""
+def reconciled(rows: DataFrame, scope: str, triggers: DataFrame | None = None) -> DataFrame:
+    """Enforce outstanding = invoiced - paid (never below zero) and paid <= invoiced.
+
+    ``triggers`` holds the amounts of the same invoices where a cheaper source than
+    ``rows`` has them (no joins).
+    """
     invoiced, paid, open_ = (F.col(c) for c in MEASURES[:3])
     gap = F.round(invoiced - paid, 2)
     off = any_row(
-        rows, {"balance": F.abs(open_ - gap) > 1, "overpaid": paid > invoiced}, scope
+        rows if triggers is None else triggers,
+        {"balance": F.abs(open_ - gap) > 1, "overpaid": paid > invoiced},
+        scope,
     )
     capped = cap_at(paid, invoiced)
     return rows.withColumns(
         {
             "outstanding_balance": F.when(off["overpaid"], floor_at_zero(invoiced - capped))
             .when(off["balance"], floor_at_zero(gap))
-            .otherwise(open_)
-            .cast("decimal(18,4)"),
-            "amount_paid": F.when(off["overpaid"], capped).otherwise(paid).cast("decimal(18,4)"),
+            .otherwise(open_),
+            "amount_paid": F.when(off["overpaid"], capped).otherwise(paid),
         }
     )
 
@@ -73,10 +78,18 @@ def aging_bucket(status: Column, days: Column) -> Column:
 
 
 def clean_accounts(
-    raw: DataFrame, order: Sequence, rules: AccountsRules = AccountsRules()
+    raw: DataFrame,
+    order: Sequence,
+    rules: AccountsRules = AccountsRules(),
+    amounts: DataFrame | None = None,
 ) -> DataFrame:
-    """Cleaned invoices with status, age, collection efficiency and days to payment."""
-    rows = reconciled(usable_accounts(raw, rules), rules.correction_scope)
+    """Cleaned invoices with status, age, collection efficiency and days to payment.
+
+    ``amounts``: the same raw invoices without joined attributes, for the dataset-wide
+    triggers; ``raw`` itself where omitted.
+    """
+    triggers = None if amounts is None else usable_accounts(amounts, rules)
+    rows = reconciled(usable_accounts(raw, rules), rules.correction_scope, triggers)
     rows = keep_first(rows, ["transaction_id"], order)
     rows = rows.withColumn(
         "payment_status",

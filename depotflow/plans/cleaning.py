@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from depotflow.functions.calendar import to_moment
 from depotflow.functions.numeric import to_number
@@ -45,7 +45,15 @@ def parsed(
     df = df.withColumns({d: to_moment(df, d, formats) for d in dates})
     low, high = (F.lit(str(d)).cast("timestamp_ntz") for d in (start, end))
     df = df.filter(F.col(window_on).between(low, high))
-    return df.withColumns({n: to_number(F.col(f"`{n}`")) for n in numbers})
+    return df.withColumns({n: _measure(df, n) for n in numbers})
+
+
+def _measure(df: DataFrame, name: str) -> Column:
+    """Text and doubles are parsed; decimals, and whole numbers as such, are exact already."""
+    col, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, T.DecimalType):
+        return col
+    return col.cast("decimal(20,0)") if isinstance(kind, T.IntegralType) else to_number(col)
 
 
 def any_row(df: DataFrame, rules: Mapping[str, Column], scope: str) -> dict[str, Column]:

@@ -33,18 +33,17 @@ PRODUCTS = (
     ("P12", "Cream 200ml", "Cream", "Piece", "75.00", "62.00", 10),
 )
 
-# Delivery areas in route order (R01, R02, ...).
-ROUTE_AREAS = (
-    "Sector-7",
-    "Civil Lines",
-    "Model Town",
-    "Sadar Bazar",
-    "Railway Colony",
-    "Industrial Area",
-    "Old City",
-    "Bypass Road",
+# The delivery routes.
+ROUTES = (
+    ("R01", "Sector-7 Route", "Sector-7", "Rohtak", "Haryana", True),
+    ("R02", "Civil Lines Route", "Civil Lines", "Rohtak", "Haryana", True),
+    ("R03", "Model Town Route", "Model Town", "Rohtak", "Haryana", True),
+    ("R04", "Sadar Bazar Route", "Sadar Bazar", "Rohtak", "Haryana", True),
+    ("R05", "Railway Colony Route", "Railway Colony", "Rohtak", "Haryana", True),
+    ("R06", "Industrial Area Route", "Industrial Area", "Rohtak", "Haryana", True),
+    ("R07", "Old City Route", "Old City", "Rohtak", "Haryana", True),
+    ("R08", "Bypass Road Route", "Bypass Road", "Rohtak", "Haryana", True),
 )
-ROUTE_CITY, ROUTE_STATE = "Rohtak", "Haryana"
 
 CUSTOMER_SCHEMA = (
     "customer_id string, customer_name string, customer_type string, route_id string, "
@@ -71,13 +70,9 @@ def dim_product(spark: SparkSession) -> DataFrame:
 
 
 def dim_route(spark: SparkSession) -> DataFrame:
-    rows = [
-        (f"R{i:02d}", f"{area} Route", area, ROUTE_CITY, ROUTE_STATE, True)
-        for i, area in enumerate(ROUTE_AREAS, start=1)
-    ]
     return literal_table(
         spark,
-        rows,
+        ROUTES,
         "route_id string, route_name string, area string, city string, state string, "
         "is_active boolean",
     )

@@ -50,11 +50,8 @@ def balanced(rows: DataFrame, scope: str) -> DataFrame:
         {
             "closing_stock": F.when(off["over_dispatch"], floor_at_zero(available - capped))
             .when(off["balance"], floor_at_zero(available - dispatched))
-            .otherwise(closing)
-            .cast("decimal(18,4)"),
-            "dispatched_qty": F.when(off["over_dispatch"], capped)
-            .otherwise(dispatched)
-            .cast("decimal(18,4)"),
+            .otherwise(closing),
+            "dispatched_qty": F.when(off["over_dispatch"], capped).otherwise(dispatched),
         }
     )
 
@@ -94,7 +91,7 @@ def clean_inventory(
     mean = F.col("_mean_dispatch")
     cover = half_up(closing.cast("double") / mean.cast("double"), 1)
     rows = rows.withColumn(
-        "days_of_stock", F.when(mean > 0, cover).otherwise(closing).cast("decimal(18,4)")
+        "days_of_stock", F.when(mean > 0, cover).otherwise(closing)
     )
     at_risk = F.coalesce(F.col("days_of_stock") > F.col("shelf_life_days"), F.lit(False))
     return rows.withColumn("shelf_life_risk", F.when(at_risk, "At Risk").otherwise("Safe")).drop(

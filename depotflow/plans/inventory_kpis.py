@@ -53,9 +53,9 @@ def monthly_turnover(stock: DataFrame) -> DataFrame:
     """Dispatched quantity over average stock, per product and month.
 
     ``turnover_ratio`` halves each row's stock as a whole number, the way integer
-    columns divide; ``turnover_ratio_exact`` does not lose the half.
+    columns divide; nothing else cuts a fraction.
     """
-    both = (F.col("opening_stock") + F.col("closing_stock")).cast("bigint")
+    both = F.col("opening_stock") + F.col("closing_stock")
     rows = stock.withColumns({"_both": both, "_half": F.expr("(cast(opening_stock + closing_stock as bigint)) div 2")})
     out = rows.groupBy("year", "month", "month_name", *PRODUCT).agg(
         F.sum("_both").alias("_sum_both"),
@@ -65,7 +65,7 @@ def monthly_turnover(stock: DataFrame) -> DataFrame:
     )
     rows_n = F.col("_rows").cast("double")
     mean_half = F.col("_sum_half").cast("double") / rows_n
-    mean_both = F.col("_sum_both").cast("double") / rows_n / F.lit(2.0)
+    mean_both = F.col("_sum_both").cast("double") / (rows_n * 2)
     out = out.withColumns(
         {
             "avg_inventory": half_up(mean_both, 2),

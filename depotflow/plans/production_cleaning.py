@@ -68,7 +68,7 @@ def clean_production(
             "date": day,
             "category": title_case(F.col("category")),
             "shift": title_case(F.col("shift")),
-            "wastage_qty": F.when(wasted > actual, F.lit(0).cast("decimal(18,4)")).otherwise(wasted),
+            "wastage_qty": F.when(wasted > actual, F.lit(0)).otherwise(wasted),
         }
     )
     rows = rows.withColumns(

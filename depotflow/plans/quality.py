@@ -40,18 +40,32 @@ def quality_report(df: DataFrame, contract: TableContract) -> DataFrame:
     dates = [c for c in contract.of_kind("date") if c in columns]
     numbers = [c for c in contract.of_kind("number") if c in columns]
 
+    def moment(c: str) -> str:
+        tries = [f"try_cast({_name(c)} AS timestamp_ntz)"]
+        tries += [
+            f"cast(try_to_timestamp({_name(c)}, '{f}') AS timestamp_ntz)" for f in contract.date_formats
+        ]
+        return f"coalesce({', '.join(tries)})"
+
+    def number(c: str) -> str:
+        return f"try_cast({_name(c)} AS {NUMBER})"
+
+    def no_number(c: str) -> str:
+        """Neither this decimal nor any other number: too large a number is not a bad one."""
+        wide = f"try_cast({_name(c)} AS double)"
+        return f"{number(c)} IS NULL AND ({wide} IS NULL OR isnan({wide}))"
+
     stats = ["count(1) AS n"]
     stats += [f"count_if({_name(c)} IS NULL) AS {_name('null:' + c)}" for c in columns]
-    for kind, cols in (("timestamp_ntz", dates), (NUMBER, numbers)):
-        for c in cols:
-            value = f"try_cast({_name(c)} AS {kind})"
-            shown = f"cast({value} AS date)" if kind == "timestamp_ntz" else value
-            stats += [
-                f"count_if({_name(c)} IS NOT NULL AND {value} IS NULL) AS {_name('bad:' + c)}",
-                f"cast(min({shown}) AS string) AS {_name('min:' + c)}",
-                f"cast(max({shown}) AS string) AS {_name('max:' + c)}",
-            ]
-    stats += [f"count_if(try_cast({_name(c)} AS {NUMBER}) < 0) AS {_name('neg:' + c)}" for c in numbers]
+    parsed = [(c, f"cast({moment(c)} AS date)", f"{moment(c)} IS NULL") for c in dates]
+    parsed += [(c, number(c), no_number(c)) for c in numbers]
+    for c, shown, bad in parsed:
+        stats += [
+            f"count_if({_name(c)} IS NOT NULL AND {bad}) AS {_name('bad:' + c)}",
+            f"cast(min({shown}) AS string) AS {_name('min:' + c)}",
+            f"cast(max({shown}) AS string) AS {_name('max:' + c)}",
+        ]
+    stats += [f"count_if({number(c)} < 0) AS {_name('neg:' + c)}" for c in numbers]
     one = df.agg(*[F.expr(s) for s in stats])
 
     lines = [_line("required_column", c, "ERROR", "1", "false") for c in absent]
@@ -87,19 +101,28 @@ def quality_report(df: DataFrame, contract: TableContract) -> DataFrame:
     return report.withColumn("bad_pct", share).drop("_n")
 
 
-def quality_summary(reports: Mapping[str, DataFrame]) -> DataFrame:
+def quality_summary(reports: Mapping[str, DataFrame | None]) -> DataFrame:
     """One row per table: checks, failed checks and whether the table was read.
 
-    A failed check never fails the run (``ingested`` stays true); it is counted.
+    A failed check never fails the run; it is counted.  A table that is absent (None) has
+    no checks and is not ingested.  At least one table must be there.
     """
-    union = None
-    for report in reports.values():
-        union = report if union is None else union.unionByName(report)
-    return rollup(
+    present = [report for report in reports.values() if report is not None]
+    union = present[0]
+    for report in present[1:]:
+        union = union.unionByName(report)
+    out = rollup(
         union.withColumn("_failed", F.when(F.col("passed"), 0).otherwise(1)),
         ["table_name"],
         {"checks": ("rows",), "failed_checks": ("sum", "_failed")},
     ).withColumn("ingested", F.lit(True))
+    absent = [(name,) for name, report in reports.items() if report is None]
+    if not absent:
+        return out
+    rows = union.sparkSession.createDataFrame(absent, "table_name string")
+    return out.unionByName(
+        rows.withColumns({"checks": F.lit(0), "failed_checks": F.lit(0), "ingested": F.lit(False)})
+    )
 
 
 def sales_cleaning_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:

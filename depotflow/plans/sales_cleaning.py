@@ -12,6 +12,7 @@ from depotflow.functions.calendar import day_name, financial_year, is_weekend
 from depotflow.functions.numeric import percent, right_closed_bin
 from depotflow.functions.text import is_member, title_case
 from depotflow.operators.dedup import keep_first
+from depotflow.plans.dimensions import ROUTES
 from depotflow.plans.cleaning import CATEGORIES, END, START, parsed
 
 MEASURES = ("quantity", "unit_price", "gross_amount", "discount", "net_amount")
@@ -29,18 +30,7 @@ class SalesRules:
     customer_types: frozenset[str] = frozenset(
         {"Retailer", "Wholesaler", "Hotel/Restaurant", "Institutional", "Direct Consumer"}
     )
-    routes: frozenset[str] = frozenset(
-        {
-            "Bypass Road Route",
-            "Civil Lines Route",
-            "Industrial Area Route",
-            "Model Town Route",
-            "Old City Route",
-            "Railway Colony Route",
-            "Sadar Bazar Route",
-            "Sector-7 Route",
-        }
-    )
+    routes: frozenset[str] = frozenset(name for _, name, *_ in ROUTES)
     start: dt.date = START
     end: dt.date = END
     date_formats: tuple[str, ...] = ()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from depotflow.functions.calendar import in_financial_years
 from depotflow.functions.numeric import half_up, ladder, percent, ratio
 from depotflow.functions.text import with_percent_sign
 from depotflow.operators.joins import with_dimension
@@ -173,7 +174,7 @@ def year_over_year(
     year drop out.  One conditional aggregate instead of a self-join."""
     net, fy = F.col("net_amount"), F.col("financial_year")
     monthly = (
-        sales.filter(fy.isin(base, current))
+        sales.filter(in_financial_years(F.col("date"), [base, current]))
         .groupBy("month", "month_name")
         .agg(
             money(F.sum(F.when(fy == base, net))).alias("revenue_base"),

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from depotflow.session import tune
+from depotflow.session import stored, tune
 from depotflow.sources.order_tables import OrderTables
 
 
@@ -48,9 +49,18 @@ def tidy(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+class QueryTables(OrderTables):
+    """Tables of one query run: a ledger that is read at all is read several times, so
+    the run stores it at its first use."""
+
+    @cached_property
+    def stock_ledger(self) -> DataFrame:
+        return stored(super().stock_ledger)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runner(entry: Entry):
-        return lambda spark, folder: tidy(entry.build(OrderTables(tune(spark), folder)))
+        return lambda spark, folder: tidy(entry.build(QueryTables(tune(spark), folder)))
 
     return {name: runner(entry) for name, entry in ENTRIES.items()}
 

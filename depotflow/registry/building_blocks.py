@@ -19,6 +19,10 @@ from depotflow.plans.sales_cleaning import BAND_EDGES, BAND_LABELS
 from depotflow.registry.base import query
 from depotflow.registry.cleaning import _INVOICES, _INVOICES_SQL, _STOCK, _STOCK_SQL
 from depotflow.registry.sqltext import (
+    SALES_CATEGORIES,
+    SALES_MODES,
+    SALES_ROUTES,
+    SALES_TYPES,
     RAW_ACCOUNTS,
     RAW_INVENTORY,
     RAW_RUNS,
@@ -123,8 +127,8 @@ def _(t):
     with_(
         RAW_SALES,
         f"""SELECT {title(stripped('category'))} AS category, {title(stripped('customer_type'))} AS customer_type,
-          {title(stripped('category'))} IN {members(SALES_RULES.categories)} AS category_valid,
-          {title(stripped('customer_type'))} IN {members(SALES_RULES.customer_types)} AS type_valid,
+          {title(stripped('category'))} IN {members(SALES_CATEGORIES)} AS category_valid,
+          {title(stripped('customer_type'))} IN {members(SALES_TYPES)} AS type_valid,
           count(*) AS lines, count(DISTINCT category) AS spellings
         FROM raw_sales GROUP BY ALL""",
     ),
@@ -150,7 +154,7 @@ def _(t):
     with_(
         RAW_SALES,
         f"""SELECT CASE WHEN d IS NULL THEN 'unparseable'
-            WHEN d BETWEEN TIMESTAMP '{SALES_RULES.start}' AND TIMESTAMP '{SALES_RULES.end}' THEN 'kept'
+            WHEN d BETWEEN TIMESTAMP '1996-04-01' AND TIMESTAMP '2000-03-31' THEN 'kept'
             ELSE 'out of range' END AS outcome, count(*) AS lines, {iso('min(d)')} AS first_day, {iso('max(d)')} AS last_day
         FROM (SELECT {moment('date')} AS d FROM raw_sales) GROUP BY 1""",
     ),

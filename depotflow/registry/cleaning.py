@@ -15,6 +15,10 @@ from depotflow.plans.quality import (
 from depotflow.plans.sales_cleaning import clean_sales, sales_rule_counts
 from depotflow.registry.base import query
 from depotflow.registry.sqltext import (
+    SALES_CATEGORIES,
+    SALES_MODES,
+    SALES_ROUTES,
+    SALES_TYPES,
     CLEAN_ACCOUNTS,
     CLEAN_INVENTORY,
     CLEAN_PRODUCTION,
@@ -128,10 +132,10 @@ def _not_in(col, values):
     "sales_rule_counts",
     with_(
         USABLE_SALES,
-        f"""SELECT {_not_in('category', SALES_RULES.categories)} AS invalid_category,
-          {_not_in('payment_mode', SALES_RULES.payment_modes)} AS invalid_payment_mode,
-          {_not_in('customer_type', SALES_RULES.customer_types)} AS invalid_customer_type,
-          {_not_in('route_name', SALES_RULES.routes)} AS invalid_route,
+        f"""SELECT {_not_in('category', SALES_CATEGORIES)} AS invalid_category,
+          {_not_in('payment_mode', SALES_MODES)} AS invalid_payment_mode,
+          {_not_in('customer_type', SALES_TYPES)} AS invalid_customer_type,
+          {_not_in('route_name', SALES_ROUTES)} AS invalid_route,
           count(*) FILTER (WHERE abs({dbl('gross_amount')} - {dbl('round(quantity * unit_price, 2)')})
             / abs(NULLIF({dbl('round(quantity * unit_price, 2)')}, 0)) > 0.01
             AND quantity * unit_price > 0) AS gross_not_quantity_times_price,

@@ -38,6 +38,20 @@ from depotflow.registry.sqltext import (
     with_,
 )
 
+# Fixed values, stated again for the twins.
+_CARD_BILLED = (((90, 'ON TARGET'),), 'BELOW TARGET')
+_CARD_COLLECTION = (((90, 'On Target'),), 'Below Target')
+_CARD_COLLECTION_FINE = (((90, 'ON TARGET'), (85, 'NEAR TARGET')), 'BELOW TARGET')
+_CARD_DSO = (((15, 'GOOD'), (30, 'MODERATE')), 'HIGH')
+_CARD_EFFICIENCY = (((95, 'On Target'), (90, 'Near Target')), 'Below Target')
+_CARD_EFFICIENCY_ONE = (((93.5, 'On Target'),), 'Below Target')
+_CARD_OUTSTANDING = (((5, 'HEALTHY'), (15, 'WATCH')), 'HIGH RISK')
+_CARD_STOCKOUT = (((0, 'Perfect'), (1, 'Acceptable')), 'High Risk')
+_CARD_TURNOVER = (((5, 'Healthy'), (1, 'Watch')), 'Dead Stock Risk')
+_PAYMENT_ALERT = (((90, 'OK'), (75, 'WATCH')), 'HIGH RISK')
+_PAYMENT_RISK = (((90, 'LOW RISK'), (75, 'MEDIUM RISK')), 'HIGH RISK')
+_SHELF_STATUS = (((7, 'No Risk'), (10, 'Moderate Risk')), 'High Risk')
+_TYPE_RISK = (((90, 'Reliable (≥90%)'), (85, 'Watch (85-90%)')), 'High Risk (<85%)')
 
 def _dec(x: str, scale: int = 2) -> str:
     return f"CAST({x} AS DECIMAL(38,{scale}))"
@@ -106,8 +120,8 @@ def _(t):
     "card_production_efficiency",
     with_(
         PRODUCTION,
-        f"""SELECT *, {steps('efficiency_pct', *ws.CARD_EFFICIENCY)} AS status,
-          {steps('efficiency_pct', *ws.CARD_EFFICIENCY_ONE)} AS bar_status
+        f"""SELECT *, {steps('efficiency_pct', *_CARD_EFFICIENCY)} AS status,
+          {steps('efficiency_pct', *_CARD_EFFICIENCY_ONE)} AS bar_status
         FROM (SELECT {pct('SUM(actual_qty)', 'SUM(planned_qty)', 4)} AS efficiency_pct FROM production)""",
     ),
 )
@@ -121,7 +135,7 @@ def _(t):
         PRODUCTION,
         PRODUCTION_MONTHLY,
         f"""SELECT *, (SELECT {_mean('efficiency_pct')} FROM production_mart) AS average_line,
-          {big('95')} AS target_line, {steps('efficiency_pct', *ws.CARD_EFFICIENCY_ONE)} AS status
+          {big('95')} AS target_line, {steps('efficiency_pct', *_CARD_EFFICIENCY_ONE)} AS status
         FROM (SELECT financial_year, {pct('SUM(total_actual)', 'SUM(total_planned)', 4)} AS efficiency_pct,
             {_mean('efficiency_pct')} AS avg_month_efficiency, {rnd('median(efficiency_pct)', 4)} AS median_month_efficiency,
             min(efficiency_pct) AS min_month_efficiency, max(efficiency_pct) AS max_month_efficiency,
@@ -159,9 +173,9 @@ def _(t):
     "card_collection_efficiency",
     with_(
         ACCOUNTS,
-        f"""SELECT *, {steps('collection_pct', *ws.CARD_COLLECTION)} AS status,
-          {steps('collection_pct', *ws.CARD_COLLECTION_FINE)} AS fine_status,
-          {steps('collection_pct', *ws.CARD_BILLED)} AS billed_status
+        f"""SELECT *, {steps('collection_pct', *_CARD_COLLECTION)} AS status,
+          {steps('collection_pct', *_CARD_COLLECTION_FINE)} AS fine_status,
+          {steps('collection_pct', *_CARD_BILLED)} AS billed_status
         FROM (SELECT {div('SUM(amount_paid)', 'SUM(invoice_amount)', 6)} AS collection_ratio,
           {pct('SUM(amount_paid)', 'SUM(invoice_amount)', 4)} AS collection_pct FROM accounts)""",
     ),
@@ -240,8 +254,8 @@ def _debtors_sql(where: str) -> str:
         f"""
 ctx AS (SELECT * FROM payment_mart WHERE {where}),
 top5 AS (SELECT customer_name FROM ctx GROUP BY 1 ORDER BY SUM({_dec('outstanding_amount')}) DESC, 1 LIMIT 5)""",
-        f"""SELECT *, {steps('avg_efficiency', *ws.PAYMENT_RISK)} AS risk_level,
-          {steps('avg_efficiency', *ws.PAYMENT_ALERT)} AS alert
+        f"""SELECT *, {steps('avg_efficiency', *_PAYMENT_RISK)} AS risk_level,
+          {steps('avg_efficiency', *_PAYMENT_ALERT)} AS alert
         FROM (SELECT customer_name, {dbl(f"SUM({_dec('outstanding_amount')})")} AS outstanding_amount,
           {dbl(f"SUM({_dec('total_billed')})")} AS total_billed, {big('SUM(overdue_count)')} AS overdue_count,
           {_mean('collection_efficiency_pct')} AS avg_efficiency
@@ -266,7 +280,7 @@ def _(t):
         TYPES,
         f"""SELECT customer_type, collection_efficiency_pct, avg_days_to_pay, total_billed,
           {pct(_dec('total_billed'), f"SUM({_dec('total_billed')}) OVER ()", 4)} AS billed_share_pct,
-          {steps('collection_efficiency_pct', *ws.TYPE_RISK)} AS risk FROM type_mart""",
+          {steps('collection_efficiency_pct', *_TYPE_RISK)} AS risk FROM type_mart""",
     ),
 )
 def _(t):
@@ -291,8 +305,8 @@ def _(t):
     with_(
         ACCOUNTS,
         DSO,
-        f"""SELECT *, {steps('avg_dso', *ws.CARD_DSO, op='<=')} AS dso_status,
-          {steps('outstanding_pct', *ws.CARD_OUTSTANDING, op='<=')} AS outstanding_alert
+        f"""SELECT *, {steps('avg_dso', *_CARD_DSO, op='<=')} AS dso_status,
+          {steps('outstanding_pct', *_CARD_OUTSTANDING, op='<=')} AS outstanding_alert
         FROM (SELECT {dbl('SUM(invoice_amount)')} AS total_billed, {dbl('SUM(amount_paid)')} AS total_collected,
           {dbl('SUM(outstanding_balance)')} AS total_outstanding,
           {pct('SUM(outstanding_balance)', 'SUM(invoice_amount)', 4)} AS outstanding_pct,
@@ -334,7 +348,7 @@ def _(t):
     with_(
         STOCK,
         SUPPLY,
-        f"""SELECT *, {steps('shelf_life_line', *ws.SHELF_STATUS, op='<=')} AS shelf_life_status
+        f"""SELECT *, {steps('shelf_life_line', *_SHELF_STATUS, op='<=')} AS shelf_life_status
         FROM (SELECT product_name, {_mean('days_of_stock_remaining')} AS days_remaining,
           {_mean('shelf_life_days')} AS shelf_life_line FROM supply_mart GROUP BY 1)""",
     ),
@@ -360,8 +374,8 @@ def _(t):
     with_(
         STOCK,
         TURNOVER,
-        f"""SELECT *, {steps('stockout_rate_pct', *ws.CARD_STOCKOUT, op='<=')} AS stockout_status,
-          {steps('avg_turnover', *ws.CARD_TURNOVER)} AS turnover_status
+        f"""SELECT *, {steps('stockout_rate_pct', *_CARD_STOCKOUT, op='<=')} AS stockout_status,
+          {steps('avg_turnover', *_CARD_TURNOVER)} AS turnover_status
         FROM (SELECT {pct("count(*) FILTER (WHERE stock_status = 'Stockout')", 'COUNT(*)', 4)} AS stockout_rate_pct,
           {dbl(f'SUM(closing_stock) FILTER (WHERE {_NOW})')} AS total_stock,
           (SELECT {_mean('turnover_ratio')} FROM turnover_mart) AS avg_turnover FROM stock)""",

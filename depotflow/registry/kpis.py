@@ -24,6 +24,10 @@ from depotflow.registry.sqltext import (
     with_,
 )
 
+# Fixed values, stated again for the twins.
+_TIERS = ((900000, 'Platinum (>=9L)'), (850000, 'Gold (8.5L-9L)'), (750000, 'Silver (7.5L-8.5L)'), (650000, 'Bronze (6.5L-7.5L)'))
+_TIER_REST = 'Standard (<6L)'
+
 FY_BASE, FY_CURRENT = "FY1996-97", "FY1997-98"
 YEARS = (1996, 1997, 1998, 1999, 2000)
 _MONTH = "year, month, month_name, quarter, financial_year"
@@ -153,7 +157,7 @@ def _(t):
 
 SEGMENTS = f"""
 segment_mart AS (
-  SELECT *, {steps('total_revenue', sales_kpis.TIERS, sales_kpis.TIER_REST)} AS customer_segment,
+  SELECT *, {steps('total_revenue', _TIERS, _TIER_REST)} AS customer_segment,
     CASE WHEN total_revenue >= 900000 THEN 1 WHEN total_revenue >= 850000 THEN 2
          WHEN total_revenue >= 750000 THEN 3 WHEN total_revenue >= 650000 THEN 4 ELSE 5 END AS segment_rank
   FROM (SELECT {_WHO}, route_name, count(DISTINCT invoice_number) AS total_invoices,
@@ -181,7 +185,7 @@ def _(t):
         f"""
 spend AS (SELECT {_WHO}, SUM(net_amount) AS revenue FROM sales GROUP BY {_WHO})""",
         f"""SELECT *, {percent_text('revenue_share')} AS revenue_share_pct FROM (
-          SELECT {steps('revenue', sales_kpis.TIERS, sales_kpis.TIER_REST)} AS customer_segment,
+          SELECT {steps('revenue', _TIERS, _TIER_REST)} AS customer_segment,
             count(*) AS customer_count, {dbl('SUM(revenue)')} AS segment_revenue,
             {div('SUM(revenue)', 'COUNT(*)')} AS avg_customer_revenue,
             {pct('SUM(revenue)', 'SUM(SUM(revenue)) OVER ()')} AS revenue_share

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from depotflow.operators.ranking import top_rank
+from depotflow.operators.slicers import slice_rows
 from depotflow.plans import measures
 from depotflow.registry.base import query
 from depotflow.registry.sqltext import (
@@ -24,6 +25,11 @@ from depotflow.registry.sqltext import (
     with_,
 )
 
+# Fixed values, stated again for the twins.
+_COLLECTION_STATUS = (((90, '✅ Healthy'), (80, '⚠️ Watch')), '❌ At Risk')
+_DSO_STATUS = (((15, '✅ Good'), (30, '⚠️ Moderate')), '❌ High')
+_EFFICIENCY_STATUS = (((95, '✅ On Target'), (90, '⚠️ Below Target')), '❌ Critical')
+
 # Sales ------------------------------------------------------------------------
 
 
@@ -87,6 +93,31 @@ def _(t):
     return measures.monthly_time_intelligence(t.fact_sales())
 
 
+@query(
+    "measures_time_intelligence_with_gaps",
+    with_(
+        SALES,
+        """
+few AS (SELECT CAST(date_trunc('month', date) AS DATE) AS s, SUM(net_amount) AS r FROM sales
+  WHERE category = 'PROMO' AND payment_mode = '5-LOW' AND route_name = 'NATION_3' GROUP BY 1),
+m AS (SELECT CAST(g.s AS DATE) AS s, few.r FROM (
+    SELECT unnest(generate_series((SELECT min(s) FROM few), (SELECT max(s) FROM few), INTERVAL 1 MONTH)) AS s) g
+  LEFT JOIN few ON few.s = CAST(g.s AS DATE))""",
+        f"""SELECT {iso('m.s')} AS month_start, {dbl('m.r')} AS revenue, {dbl('y.r')} AS revenue_smly,
+          {dbl('p.r')} AS revenue_previous_month, {pct('m.r - p.r', 'p.r')} AS revenue_mom_pct,
+          {pct('m.r - y.r', 'y.r')} AS revenue_yoy_pct,
+          (SELECT {rnd(raw_div('SUM(w.r)', 'COUNT(w.r)'), 4)} FROM m w
+             WHERE w.s > m.s - INTERVAL 3 MONTH AND w.s <= m.s) AS revenue_3m_rolling_avg
+        FROM m LEFT JOIN m y ON y.s + INTERVAL 12 MONTH = m.s LEFT JOIN m p ON p.s + INTERVAL 1 MONTH = m.s""",
+    ),
+)
+def _(t):
+    """Three slicers at once: few sales, so months without any."""
+    sales = t.fact_sales(customer=True, route=True, product=True)
+    some = slice_rows(sales, category="PROMO", payment_mode="5-LOW", route_name="NATION_3")
+    return measures.monthly_time_intelligence(some)
+
+
 def _rank_sql(key: str) -> str:
     return with_(
         SALES,
@@ -150,7 +181,7 @@ def _production_sql(keys: str) -> str:
     return with_(
         PRODUCTION,
         f"""SELECT * REPLACE (CAST(efficiency_vs_target AS DOUBLE) AS efficiency_vs_target),
-          {steps('production_efficiency_pct', *measures.EFFICIENCY_STATUS)} AS efficiency_status
+          {steps('production_efficiency_pct', *_EFFICIENCY_STATUS)} AS efficiency_status
         FROM (SELECT {keys}, {dbl('SUM(planned_qty)')} AS total_planned_qty, {dbl('SUM(actual_qty)')} AS total_actual_qty,
           {dbl('SUM(wastage_qty)')} AS total_wastage_qty, {dbl('SUM(raw_milk_used_l)')} AS total_raw_milk_used_l,
           {eff} AS production_efficiency_pct, {pct('SUM(wastage_qty)', 'SUM(actual_qty)', 4)} AS wastage_rate_pct,
@@ -227,8 +258,8 @@ def _accounts_sql(keys: str) -> str:
     overdue = "lower(payment_status) = 'overdue'"
     return with_(
         ACCOUNTS,
-        f"""SELECT *, {steps('collection_efficiency_pct', *measures.COLLECTION_STATUS)} AS collection_status,
-          {steps('dso', *measures.DSO_STATUS, op='<=')} AS dso_status
+        f"""SELECT *, {steps('collection_efficiency_pct', *_COLLECTION_STATUS)} AS collection_status,
+          {steps('dso', *_DSO_STATUS, op='<=')} AS dso_status
         FROM (SELECT {keys}, {dbl('SUM(invoice_amount)')} AS total_billed, {dbl('SUM(amount_paid)')} AS total_collected,
           {dbl('SUM(outstanding_balance)')} AS total_outstanding,
           {dbl(f'SUM(outstanding_balance) FILTER (WHERE {overdue})')} AS overdue_amount,

@@ -3,18 +3,19 @@ written for DuckDB and independent of the DataFrame code."""
 
 from __future__ import annotations
 
-from depotflow.sources.order_tables import (
-    ANALYSIS_DATE,
-    CREDIT_DAYS,
-    END,
-    PART_TYPES,
-    SALES_RULES,
-    SHELF_LIFE,
-    START,
-)
+# The twins state every constant themselves, so a change in the library turns them red.
+START, END, ANALYSIS_DATE = "1995-01-01", "2001-12-31", "2001-08-31"
+PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+SHELF_LIFE = {"ECONOMY": 2, "LARGE": 3, "MEDIUM": 7, "PROMO": 5, "SMALL": 180}
+CREDIT_DAYS = {"AUTOMOBILE": 0, "BUILDING": 15, "FURNITURE": 15, "HOUSEHOLD": 30, "MACHINERY": 45}
+SALES_START, SALES_END = "1996-04-01", "2000-03-31"
+SALES_CATEGORIES = ("Economy", "Large", "Medium", "Promo", "Small", "Standard")
+SALES_MODES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")
+SALES_TYPES = ("Automobile", "Building", "Furniture", "Household", "Machine/Tools")
+SALES_ROUTES = tuple(f"Nation_{i}" for i in range(24))
 
 WS = r"E' \t\n'"
-NUM = "DECIMAL(18,4)"
+NUM = "DECIMAL(38,10)"
 
 
 # Scalars ----------------------------------------------------------------------
@@ -33,7 +34,8 @@ def txt(x: str) -> str:
 
 
 def rnd(x: str, scale: int = 2) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(38,8)), {scale}) AS DOUBLE)"
+    """Round a double once, on its shortest decimal form."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {scale}) AS DOUBLE)"
 
 
 def pct(num: str, den: str, scale: int = 2) -> str:
@@ -114,7 +116,7 @@ sales AS (
     CAST(c_nationkey AS BIGINT) AS route_id, n_name AS route_name,
     l_partkey AS product_id, p_name AS product_name, p_type AS category,
     CAST(l_quantity AS BIGINT) AS quantity,
-    CAST(round(CAST(CAST(gross AS DOUBLE) / l_quantity AS DECIMAL(38,8)), 2) AS DECIMAL(18,2)) AS unit_price,
+    CAST({rnd('CAST(gross AS DOUBLE) / l_quantity')} AS DECIMAL(18,2)) AS unit_price,
     gross AS gross_amount, off AS discount, CAST(gross - off AS DECIMAL(18,2)) AS net_amount,
     o_orderpriority AS payment_mode, l_orderkey AS invoice_number,
     l_linenumber, l_returnflag, CAST(p_retailprice AS DECIMAL(18,2)) AS list_price
@@ -165,7 +167,7 @@ usable AS (
       {', '.join(f'{number(c)} AS {c}' for c in _SALES_NUMBERS)},
       {stripped('payment_mode')} AS payment_mode, invoice_number
     FROM raw_sales)
-  WHERE date BETWEEN TIMESTAMP '{SALES_RULES.start}' AND TIMESTAMP '{SALES_RULES.end}'
+  WHERE date BETWEEN TIMESTAMP '{SALES_START}' AND TIMESTAMP '{SALES_END}'
     AND quantity IS NOT NULL AND unit_price IS NOT NULL AND net_amount IS NOT NULL
 )"""
 CLEAN_SALES = f"""{USABLE_SALES},
@@ -174,7 +176,7 @@ cleaned AS (
     CASE WHEN net_amount <= 0 THEN 'ZERO_OR_NEGATIVE_NET' WHEN net_amount < 0 THEN 'NEGATIVE_NET_AMOUNT'
          WHEN discount < 0 THEN 'NEGATIVE_DISCOUNT' WHEN gross_amount < 0 THEN 'NEGATIVE_GROSS_AMOUNT'
          WHEN unit_price < 0 THEN 'NEGATIVE_UNIT_PRICE' WHEN quantity < 0 THEN 'NEGATIVE_QUANTITY'
-         WHEN category NOT IN {members(SALES_RULES.categories)} THEN 'INVALID_CATEGORY' ELSE 'OK' END AS data_quality_flag,
+         WHEN category NOT IN {members(SALES_CATEGORIES)} THEN 'INVALID_CATEGORY' ELSE 'OK' END AS data_quality_flag,
     dayname(date) AS day_of_week, isodow(date) >= 6 AS is_weekend, {fy('date')} AS financial_year,
     CASE WHEN net_amount > 10000 THEN '10K+' WHEN net_amount > 5000 THEN '5K-10K'
          WHEN net_amount > 2000 THEN '2K-5K' WHEN net_amount > 500 THEN '500-2K'
@@ -193,7 +195,7 @@ runs AS (
     CAST(SUM(q * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS {NUM}) AS actual_qty,
     CAST(SUM(q * CAST(l_tax AS DECIMAL(4,2))) AS {NUM}) AS wastage_qty,
     CAST(SUM(q * p_size) AS {NUM}) AS raw_milk_used_l
-  FROM (SELECT *, CAST(l_quantity AS DECIMAL(10,0)) AS q FROM lineitem)
+  FROM (SELECT *, CAST(l_quantity AS DECIMAL(20,4)) AS q FROM lineitem)
   JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
   GROUP BY ALL
 )"""
@@ -303,7 +305,7 @@ def clean_stock(source: str, out: str, scope: str = "dataset") -> str:
   FROM {out}_usable CROSS JOIN {out}_flags
 ),
 {out}_pace AS (
-  SELECT product_id, CAST(round(CAST({raw_div('SUM(dispatched_qty)', 'COUNT(*)')} AS DECIMAL(38,8)), 1) AS {NUM}) AS pace
+  SELECT product_id, CAST({rnd(raw_div('SUM(dispatched_qty)', 'COUNT(*)'), 1)} AS {NUM}) AS pace
   FROM {out}_balanced WHERE nth = 1 GROUP BY 1
 ),
 {out} AS (
@@ -314,7 +316,7 @@ def clean_stock(source: str, out: str, scope: str = "dataset") -> str:
       CASE WHEN closing_stock = 0 THEN 'Stockout' WHEN closing_stock * 2 <= reorder_level THEN 'Critical'
            WHEN closing_stock < reorder_level THEN 'Low' ELSE 'OK' END AS stock_status,
       {_SHELF} AS shelf_life_days,
-      CAST(CASE WHEN pace > 0 THEN round(CAST({dbl('closing_stock')} / {dbl('pace')} AS DECIMAL(38,8)), 1)
+      CAST(CASE WHEN pace > 0 THEN {rnd(raw_div('closing_stock', 'pace'), 1)}
                 ELSE closing_stock END AS {NUM}) AS days_of_stock
     FROM {out}_balanced LEFT JOIN {out}_pace USING (product_id) WHERE nth = 1)
 )"""

@@ -7,7 +7,7 @@ import uuid
 from depotflow.operators.rollup import row_counts
 from depotflow.plans.dimensions import dim_date
 from depotflow.plans.sales_cleaning import clean_sales
-from depotflow.plans.warehouse import export_list, marts, store_star
+from depotflow.plans.warehouse import export_list, marts, register_views, store_star
 from depotflow.registry.base import query
 from depotflow.registry.cleaning import _SALES, _SALES_SQL
 from depotflow.registry.kpis import FY_BASE, FY_CURRENT, YEARS
@@ -24,7 +24,7 @@ from depotflow.registry.sqltext import (
 )
 from depotflow.session import shared_dir
 from depotflow.operators.timeline import day_spine
-from depotflow.sources.files import export_all, read_raw, restore_dates, write_csv
+from depotflow.sources.files import export_all, read_raw, read_typed, restore_dates, write_csv
 from depotflow.sources.order_tables import SALES_RULES, OrderTables
 
 
@@ -33,9 +33,9 @@ def _folder(t: OrderTables) -> str:
 
 
 def star_tables(t: OrderTables) -> dict:
-    """All four facts and four dimensions."""
+    """All four cleaned facts and four dimensions."""
     return {
-        "fact_sales": t.fact_sales(customer=True, route=True, product=True),
+        "fact_sales": clean_sales(t.raw_sales(), t.RAW_SALES_ORDER, SALES_RULES),
         "fact_production": t.fact_production(),
         "fact_inventory": t.fact_inventory(),
         "fact_accounts": t.fact_accounts(),
@@ -47,7 +47,7 @@ def star_tables(t: OrderTables) -> dict:
 
 
 _COUNTS = {
-    "fact_sales": "(SELECT count(*) FROM sales)",
+    "fact_sales": "(SELECT count(*) FROM cleaned)",
     "fact_production": "(SELECT count(*) FROM production)",
     "fact_inventory": "(SELECT count(*) FROM stock)",
     "fact_accounts": "(SELECT count(*) FROM accounts)",
@@ -56,7 +56,7 @@ _COUNTS = {
     "dim_route": "(SELECT count(*) FROM nation)",
     "dim_customer": "(SELECT count(*) FROM customer)",
 }
-_STAR = (SALES, PRODUCTION, STOCK, ACCOUNTS)
+_STAR = (CLEAN_SALES, PRODUCTION, STOCK, ACCOUNTS)
 
 
 @query(
@@ -86,10 +86,10 @@ def _(t):
 
 _MONTHS = "(SELECT count(DISTINCT (year, month)) FROM {0})"
 _VIEW_COUNTS = {
-    "vw_sales_monthly": _MONTHS.format("sales"),
-    "vw_yoy_revenue": f"""(SELECT count(*) FROM (SELECT month FROM sales WHERE financial_year IN ('{FY_BASE}', '{FY_CURRENT}')
+    "vw_sales_monthly": _MONTHS.format("cleaned"),
+    "vw_yoy_revenue": f"""(SELECT count(*) FROM (SELECT month FROM cleaned WHERE financial_year IN ('{FY_BASE}', '{FY_CURRENT}')
         GROUP BY 1 HAVING count(DISTINCT financial_year) = 2))""",
-    "vw_customer_segments": "(SELECT count(DISTINCT customer_id) FROM sales)",
+    "vw_customer_segments": "(SELECT count(DISTINCT (customer_id, route_name)) FROM cleaned)",
     "vw_production_monthly": _MONTHS.format("production"),
     "vw_category_efficiency": "(SELECT count(DISTINCT (year, category)) FROM production)",
     "vw_production_yoy_yield": "(SELECT count(DISTINCT category) FROM production)",
@@ -118,7 +118,59 @@ def _(t):
     return row_counts({name: build() for name, build in views.items()}, "view_name")
 
 
-@query("export_manifest")
+# Everything that is exported, with its number of columns.
+_EXPORTS = (
+    ("fact_sales", 27), ("fact_production", 20), ("fact_inventory", 20), ("fact_accounts", 23), ("dim_date", 12),
+    ("dim_product", 6), ("dim_route", 3), ("dim_customer", 6), ("vw_sales_monthly", 15), ("vw_yoy_revenue", 6),
+    ("vw_customer_segments", 10), ("vw_production_monthly", 13), ("vw_category_efficiency", 9),
+    ("vw_production_yoy_yield", 6), ("vw_shift_performance", 6), ("vw_stockout_frequency", 8),
+    ("vw_monthly_turnover", 11), ("vw_stock_supply_risk", 10), ("vw_billing_collections", 10),
+    ("vw_receivables_aging", 6), ("vw_customer_payment", 12), ("vw_dso_monthly", 4), ("vw_custtype_efficiency", 8),
+)
+
+
+@query(
+    "sql_views",
+    with_(
+        SALES,
+        f"""SELECT year, month, count(DISTINCT invoice_number) AS invoices, {dbl('SUM(net_amount)')} AS revenue
+        FROM sales GROUP BY 1, 2""",
+    ),
+)
+def _(t):
+    """The named views from SQL."""
+    facts = {
+        "fact_sales": t.fact_sales(customer=True, route=True, product=True),
+        "fact_production": t.fact_production(),
+        "fact_inventory": t.fact_inventory(),
+        "fact_accounts": t.fact_accounts(),
+    }
+    register_views(marts(facts, FY_BASE, FY_CURRENT, YEARS))
+    return t.spark.sql(
+        "SELECT year, month, total_invoices AS invoices, net_revenue AS revenue FROM vw_sales_monthly"
+    )
+
+
+@query(
+    "customers_from_typed_csv",
+    f"""SELECT c_custkey AS customer_id, c_name AS customer_name, {big('c_nationkey')} AS route_id,
+      {dbl('CAST(c_acctbal AS DECIMAL(18,2))')} AS credit_limit FROM customer""",
+)
+def _(t):
+    """Customer master data written as CSV and read with declared types."""
+    path = f"{_folder(t)}/customers"
+    columns = ("customer_id", "customer_name", "route_id", "credit_limit")
+    write_csv(t.dim_customer.select(*columns), path)
+    schema = "customer_id bigint, customer_name string, route_id bigint, credit_limit decimal(18,2)"
+    return read_typed(t.spark, path, schema)
+
+
+@query(
+    "export_manifest",
+    "SELECT name, 'exported' AS status, CAST(columns AS BIGINT) AS columns, CAST(NULL AS VARCHAR) AS message FROM (VALUES "
+    + ", ".join(f"('{name}', {n})" for name, n in _EXPORTS)
+    + ") AS e(name, columns)",
+)
 def _(t):
     folder = _folder(t)
     star, _report = store_star(t.spark, star_tables(t), f"{folder}/star")

@@ -16,6 +16,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Set when the session is built: checkpoints go once nothing refers to them.
+START_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def build_session(app_name: str = "depotflow", **settings: object) -> SparkSession:
     """Create a session with the library's settings; ``settings`` override them.
@@ -23,7 +26,7 @@ def build_session(app_name: str = "depotflow", **settings: object) -> SparkSessi
     Keyword names use ``__`` for dots, e.g. ``spark__sql__shuffle__partitions=8``.
     """
     builder = SparkSession.builder.appName(app_name)
-    for key, value in SQL_SETTINGS.items():
+    for key, value in (SQL_SETTINGS | START_SETTINGS).items():
         builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), str(value))
@@ -46,10 +49,13 @@ def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder, or a fresh local one where none is set."""
+    """The cluster's shared checkpoint folder.  Where none is set, a fresh local folder in
+    local mode; on a cluster that is an error, for executors would each fill their own disk."""
     sc = spark.sparkContext
     folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="depotflow-checkpoint-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)

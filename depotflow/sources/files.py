@@ -116,7 +116,7 @@ def export_all(
             write_csv(df, f"{folder}/{name}")
             manifest.append((name, "exported", len(df.columns), None))
         except Exception as error:  # noqa: BLE001 - any failure is reported, not raised
-            manifest.append((name, "skipped", None, str(error).splitlines()[0][:200]))
+            manifest.append((name, "skipped", None, str(error)))
     return spark.createDataFrame(
         manifest, "name string, status string, columns int, message string"
     )

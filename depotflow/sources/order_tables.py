@@ -214,8 +214,7 @@ class OrderTables:
         parts = self.table("part").select("p_partkey", F.col("p_type").alias("category"), "p_size")
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_returnflag",
-            F.col("l_quantity").cast("bigint").alias("pieces"),
-            F.col("l_quantity").cast("decimal(10,0)").alias("qty"),
+            F.col("l_quantity").cast("decimal(20,4)").alias("qty"),
             F.col("l_discount").cast("decimal(4,2)").alias("shortfall"),
             F.col("l_tax").cast("decimal(4,2)").alias("waste"),
         )
@@ -227,10 +226,10 @@ class OrderTables:
             "date", "category",
             F.when(F.col("l_returnflag") == "A", "Morning").otherwise("Evening").alias("shift"),
         ).agg(
-            F.sum("pieces").cast("decimal(18,4)").alias("planned_qty"),
-            F.sum(qty * (F.lit(1) - F.col("shortfall"))).cast("decimal(18,4)").alias("actual_qty"),
-            F.sum(qty * F.col("waste")).cast("decimal(18,4)").alias("wastage_qty"),
-            F.sum(F.col("pieces") * F.col("p_size")).cast("decimal(18,4)").alias("raw_milk_used_L"),
+            F.sum("qty").cast("decimal(38,4)").alias("planned_qty"),
+            F.sum(qty * (F.lit(1) - F.col("shortfall"))).cast("decimal(38,4)").alias("actual_qty"),
+            F.sum(qty * F.col("waste")).cast("decimal(38,4)").alias("wastage_qty"),
+            F.sum(qty * F.col("p_size")).cast("decimal(38,4)").alias("raw_milk_used_L"),
         )
 
     def _production_export(self, run_id: Column) -> DataFrame:
@@ -240,9 +239,9 @@ class OrderTables:
                 "production_id": run_id,
                 "year": F.year(day), "month": F.month(day),
                 "month_name": month_name(day), "quarter": quarter_label(day),
-                "net_produced_qty": F.lit(None).cast("decimal(18,4)"),
-                "production_efficiency_%": F.lit(None).cast("decimal(18,4)"),
-                "wastage_rate_%": F.lit(None).cast("decimal(18,4)"),
+                "net_produced_qty": F.lit(None).cast("decimal(38,4)"),
+                "production_efficiency_%": F.lit(None).cast("decimal(38,4)"),
+                "wastage_rate_%": F.lit(None).cast("decimal(38,4)"),
                 "batch_number": F.concat_ws("/", F.col("date").cast("string"), F.col("shift")),
             }
         )
@@ -268,7 +267,7 @@ class OrderTables:
                 "planned_qty": F.when(morning_promo & (planned > 40), (-planned).cast("string"))
                 .otherwise(planned.cast("string")),
                 "actual_qty": F.when(planned == 50, "n/a").otherwise(actual.cast("string")),
-                "wastage_qty": F.when(planned < 5, (actual * 2).cast("decimal(18,4)").cast("string"))
+                "wastage_qty": F.when(planned < 5, (actual * 2).cast("decimal(38,4)").cast("string"))
                 .otherwise(wasted.cast("string")),
                 "raw_milk_used_L": F.col("raw_milk_used_L").cast("string"),
             }
@@ -283,14 +282,14 @@ class OrderTables:
         """Daily movements per brand with a running opening stock.
 
         The window sees one row per brand and day, so a brand's partition is bounded by
-        the number of days however many order lines it has.  The ledger is stored once:
-        cleaning and reporting read it several times (triggers, averages, last date),
-        and each reading would otherwise repeat the pass over all order lines.
+        the number of days however many order lines it has.  Cleaning and reporting read it
+        several times (triggers, averages, last date); ``store_ledger`` saves the repeated
+        passes over all order lines.
         """
         parts = self.table("part").select("p_partkey", "p_brand")
         lines = self.table("lineitem").select(
             "l_partkey", F.col("l_shipdate").cast("date").alias("date"),
-            F.col("l_quantity").cast("bigint").alias("qty"),
+            F.col("l_quantity").cast("decimal(20,4)").alias("qty"),
             F.col("l_linestatus").alias("status"),
         )
         moves = lines.join(parts, lines.l_partkey == parts.p_partkey).groupBy(
@@ -317,7 +316,11 @@ class OrderTables:
             (F.col("opening_stock") + F.col("received_qty") - F.col("dispatched_qty")).alias("closing_stock"),
             (number * 20).alias("reorder_level"),
         )
-        return stored(out)
+        return out
+
+    def store_ledger(self) -> None:
+        """Write the ledger once to the shared checkpoint folder; later reads use that."""
+        self.stock_ledger = stored(self.stock_ledger)
 
     def fact_inventory(self) -> DataFrame:
         return clean_inventory(self.stock_ledger, ["date"], INVENTORY_RULES)
@@ -340,27 +343,37 @@ class OrderTables:
 
     # Receivables --------------------------------------------------------------
 
-    def invoices(self) -> DataFrame:
-        """One invoice per order with due date, payment and open balance."""
+    def order_amounts(self) -> DataFrame:
+        """What orders alone tell of an invoice: days, amount, payment and open balance."""
         orders = self.table("orders").select(
             "o_orderkey", "o_orderstatus", "o_orderpriority",
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").cast("date").alias("invoice_date"),
             _money("o_totalprice").alias("invoice_amount"),
         )
-        rows = orders.join(
-            self.dim_customer.select("customer_id", "customer_name", "customer_type", "credit_days"),
-            "customer_id",
-            "left",
-        )
-        status, amount, day = F.col("o_orderstatus"), F.col("invoice_amount"), F.col("invoice_date")
+        status, amount = F.col("o_orderstatus"), F.col("invoice_amount")
         paid = (
             F.when(status == "F", amount)
             .when(status == "P", F.round(amount * F.lit("0.60").cast("decimal(3,2)"), 2))
             .otherwise(F.lit(0))
             .cast(MONEY)
         )
-        return rows.withColumn("amount_paid", paid).select(
+        return orders.withColumn("amount_paid", paid).select(
+            "o_orderkey", "o_orderpriority", "customer_id", "invoice_date", "invoice_amount", "amount_paid",
+            (amount - F.col("amount_paid")).cast(MONEY).alias("outstanding_balance"),
+            F.when(status == "F", F.date_add("invoice_date", (F.col("o_orderkey") % 40).cast("int")))
+            .alias("payment_date"),
+        )
+
+    def invoices(self) -> DataFrame:
+        """One invoice per order with due date, payment and open balance."""
+        rows = self.order_amounts().join(
+            self.dim_customer.select("customer_id", "customer_name", "customer_type", "credit_days"),
+            "customer_id",
+            "left",
+        )
+        day = F.col("invoice_date")
+        return rows.select(
             F.col("o_orderkey").cast("string").alias("transaction_id"),
             "invoice_date",
             F.year(day).alias("year"), F.month(day).alias("month"),
@@ -368,16 +381,18 @@ class OrderTables:
             "customer_id", "customer_name", "customer_type",
             F.col("o_orderkey").alias("invoice_number"),
             F.date_add("invoice_date", F.col("credit_days")).alias("due_date"),
-            "invoice_amount", "amount_paid",
-            (amount - F.col("amount_paid")).cast(MONEY).alias("outstanding_balance"),
-            F.when(status == "F", F.date_add("invoice_date", (F.col("o_orderkey") % 40).cast("int")))
-            .alias("payment_date"),
+            "invoice_amount", "amount_paid", "outstanding_balance", "payment_date",
             "credit_days",
             F.col("o_orderpriority").alias("priority"),
         )
 
     def fact_accounts(self) -> DataFrame:
-        return clean_accounts(self.invoices(), ["invoice_number"], ACCOUNTS_RULES)
+        # The triggers need amounts and days only, so they are taken before the join.
+        amounts = self.order_amounts().select(
+            "invoice_date", "invoice_amount", "amount_paid", "outstanding_balance", "payment_date",
+            F.col("invoice_date").alias("due_date"), F.lit(0).alias("credit_days"),
+        )
+        return clean_accounts(self.invoices(), ["invoice_number"], ACCOUNTS_RULES, amounts)
 
     def raw_accounts(self) -> DataFrame:
         """The invoices as an untidy export: one id per customer and month (so copies
