@@ -15,7 +15,7 @@ ones, ``FREQUENT`` at most, go to every task, and the others come first by hash.
 A group of near copies would make as many pairs as its square.  Components need fewer: in a round every class
 takes one of its lists, is compared with one member of that list (the hub) and joins the hub's component if
 they link; the next round takes other lists and hubs.  When the pairs left across components are few against
-the list entries, or hubs have stopped helping, all of them are compared, so no component is left apart.
+the list entries, or a round has settled few of them, all of them are compared, so no component is left apart.
 
 A pair is compared by parity sketches first: a bitmap has the parity of the shingles that hash to each bit, so
 two bitmaps differ in no more bits than the sets do in shingles.  What passes is verified on the full sets.
@@ -48,8 +48,15 @@ GROUP_BYTES = 4 << 20
 #: Shingles that a task packs into blocks at a time.
 BLOCK_SHINGLES = 1 << 20
 
-#: Rounds with hubs at most, and pairs for each list entry that are few enough to compare at once.
-HUB_ROUNDS, FEW = 8, 0.25
+#: Rounds with hubs at most, pairs for each list entry that are few enough to compare at once, and the share
+#: of the pairs that a round must settle for another one to follow.
+HUB_ROUNDS, FEW, HELP = 12, 0.5, 0.2
+
+#: Settings of the runs inside: shuffle files go with the action that made them, small batches go to Python.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 _COUNT_BITS = np.uint64(20)
 
@@ -341,7 +348,7 @@ def linked_classes(members: DataFrame, texts: DataFrame, scratch: Scratch) -> Da
 
     ``members`` has the classes that share lists: class, n, sketch, row_a, row_b, and lists (key, place).
     """
-    links, labels, turn, helping = None, None, 0, True
+    links, labels, turn, before = None, None, 0, float("inf")
     n_entries = members.agg(F.sum(F.size("lists"))).first()[0] or 0
     while n_entries:
         named = members.select("class", "n", "lists", F.col("class").alias("component"))
@@ -355,7 +362,8 @@ def linked_classes(members: DataFrame, texts: DataFrame, scratch: Scratch) -> Da
         left = across.agg(F.sum("pairs")).first()[0] or 0.0
         if not left:
             break
-        last = left <= FEW * n_entries or turn >= HUB_ROUNDS or not helping
+        last = left <= FEW * n_entries or turn >= HUB_ROUNDS or left > (1 - HELP) * before
+        before = left
         kept = ("class", "n", "place", "component")
         if last:
             listed = entries.select("at.key", "at.place", "class", "n", "component").join(across.select("key"), "key", "left_semi")
@@ -378,7 +386,6 @@ def linked_classes(members: DataFrame, texts: DataFrame, scratch: Scratch) -> Da
         links = new if links is None else links.unionByName(new)
         if last:
             break
-        helping = not new.isEmpty()
         # Hook every class's component to the smallest component it has just linked with.  Labels stay
         # sound (equal ones are connected); the exact components follow from all links at the end.
         known = named.select("class", "component")
@@ -403,11 +410,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
     rows give a row each.  A null doc_id takes part; a component of such rows alone has a null id.
     """
     spark = docs.sparkSession
-    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(setting, None)
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
     scratch = Scratch(spark)
-    # Every step below ends in a stored table, so its shuffle files can go at once.
-    spark.conf.set(setting, "true")
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         counts, sizes, scan = count_shingles(docs, max(64, text_bytes // GROUP_BYTES), scratch)
@@ -453,10 +459,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
         named = scratch.put(named, "named")
         scratch.drop("members")
     finally:
-        if before is None:
-            spark.conf.unset(setting)
-        else:
-            spark.conf.set(setting, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     whole = sets.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
     return whole.select(
         "doc_id",
