@@ -75,7 +75,7 @@ def test_against_brute_force_with_any_boundary(spark, monkeypatch, largest):
 
 def test_few_frequent_shingles_and_hub_rounds(spark, monkeypatch):
     monkeypatch.setattr(ngram_jaccard, "FREQUENT", 50)
-    monkeypatch.setattr(ngram_jaccard, "FEW", 0.1)
+    monkeypatch.setattr(ngram_jaccard, "FEW", 0.01)
     base = data.prose(8, 80, 10**4)
     docs = [(1000 - i, edited(base, i, 1 + i % 4)) for i in range(60)] + cases()[:40]
     docs = [(i, t) for i, (_, t) in enumerate(docs)]
