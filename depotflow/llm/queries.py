@@ -67,17 +67,20 @@ named AS (
 domains AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(good)::BIGINT AS good FROM named GROUP BY domain, suffix),
 suffixes AS (SELECT suffix, sum(n)::BIGINT AS n, sum(good)::BIGINT AS good FROM domains GROUP BY suffix),
 levels AS (
-  SELECT 1 AS level, n, good FROM suffixes UNION ALL SELECT 2, n, good FROM domains UNION ALL SELECT 3, n, good FROM named),
+  SELECT 0 AS level, sum(n)::BIGINT AS n, sum(good)::BIGINT AS good FROM suffixes UNION ALL
+  SELECT 1, n, good FROM suffixes UNION ALL SELECT 2, n, good FROM domains UNION ALL SELECT 3, n, good FROM named),
 moments AS (
-  SELECT level, count(*) AS k, sum(n)::DOUBLE AS n, sum(good)::DOUBLE AS good, sum(good::DOUBLE * good / n) AS squares
+  SELECT level, count(*) AS k, sum(n)::DOUBLE AS n, sum(good::DOUBLE / n * good) AS squares,
+         sum(good * (1 - good::DOUBLE / n)) AS binomial
   FROM levels WHERE n > 0 GROUP BY level),
 excesses AS (
-  SELECT level, k, (good / n) * (1 - good / n) AS binomial,
-         squares / n - (good / n) * (good / n) - (good / n) * (1 - good / n) * (k - 1) / n AS excess
-  FROM moments),
+  SELECT o.level, o.k > a.k AS several, a.binomial / a.n AS binomial,
+         (o.squares - a.squares) / a.n - a.binomial / a.n * (o.k - a.k) / a.n AS excess
+  FROM moments o JOIN moments a ON a.level = o.level - 1),
 strengths AS (
-  SELECT l.level, CASE WHEN e.k IS NULL OR e.k < 2 OR e.excess <= 0 THEN 1000.0::DOUBLE
-                       ELSE least(greatest(e.binomial / e.excess - 1, 1.0), 1000.0) END AS s
+  SELECT l.level, CASE WHEN e.several AND e.excess > 0
+                       THEN least(greatest(e.binomial / e.excess - 1, 1.0::DOUBLE), 1000.0::DOUBLE)
+                       ELSE 1000.0::DOUBLE END AS s
   FROM (VALUES (1), (2), (3)) AS l(level) LEFT JOIN excesses e ON e.level = l.level),
 strength AS (SELECT max(s) FILTER (level = 1) AS s1, max(s) FILTER (level = 2) AS s2, max(s) FILTER (level = 3) AS s3 FROM strengths),
 rate AS (SELECT (coalesce(sum(good), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1.0::DOUBLE) AS r FROM suffixes),

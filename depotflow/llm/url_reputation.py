@@ -3,7 +3,7 @@
 Labelled page outcomes (1 good, 0 bad) are counted per host, registered domain and suffix.  A level's rate is
 shrunk to that of the level above: (good + strength * rate above) / (n + strength).  The strength of each
 level, a beta prior's sum of parameters, is fitted by moments from how much the groups of that level differ
-beyond chance.  A host is blocked when the lower bound of its posterior, so many standard deviations below
+from the level above beyond chance.  A host is blocked when the lower bound of its posterior, so many standard deviations below
 the mean, is under a threshold.  Hosts without labels take the posterior of their domain, or of what lies
 above it.  Rules given by name come first: the longest that fits decides.
 """
@@ -60,21 +60,28 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     return found
 
 
-def _strength(groups: DataFrame) -> float:
-    """Strength of the beta prior over groups (n, good), by moments, within bounds.
+def _moments(groups: DataFrame):
+    """Labelled groups, pages, sums of n r squared and of n r (1 - r), r being a group's rate."""
+    good, n = F.col("good"), F.col("n")
+    return groups.where(n > 0).agg(
+        F.count("*").alias("k"),
+        F.sum("n").cast("double").alias("n"),
+        F.sum(good / n * good).alias("squares"),
+        F.sum(good * (1 - good / n)).alias("binomial"),
+    ).first()
 
-    With no two groups to compare, or no more variance than chance gives, the groups count as alike.
+
+def _strength(groups, above) -> float:
+    """Strength of the beta prior that spreads a level's rates around those of the level above, from the
+    moments of both, within bounds.
+
+    With no two groups under one, or no more variance than chance gives, the groups count as alike.
     """
-    n, good = F.col("n"), F.col("good")
-    got = groups.agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.sum("good").alias("good"),
-                     F.sum((good / n) * good).alias("squares")).first()
-    if not got["n"] or got["k"] < 2:
+    if not groups["n"] or groups["k"] <= above["k"]:
         return STRONGEST
-    rate = (got["good"] or 0) / got["n"]
-    binomial = rate * (1 - rate)
-    # Variance of the groups' rates around the common one, weighted by n; chance gives binomial * k / n.
-    between = got["squares"] / got["n"] - rate * rate
-    excess = between - binomial * (got["k"] - 1) / got["n"]
+    binomial = above["binomial"] / above["n"]
+    between = (groups["squares"] - above["squares"]) / above["n"]
+    excess = between - binomial * (groups["k"] - above["k"]) / above["n"]
     if excess <= 0:
         return STRONGEST
     return float(min(max(binomial / excess - 1, WEAKEST), STRONGEST))
@@ -90,8 +97,9 @@ def reputation(counts: DataFrame) -> DataFrame:
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     every = suffixes.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
     rate = ((every["good"] or 0) + 0.5) / ((every["n"] or 0) + 1.0)
-    labelled = F.col("n") > 0
-    of_suffix, of_domain, of_host = (_strength(level.where(labelled)) for level in (suffixes, domains, hosts))
+    whole = suffixes.agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    moments = [_moments(level) for level in (whole, suffixes, domains, hosts)]
+    of_suffix, of_domain, of_host = (_strength(own, above) for above, own in zip(moments, moments[1:]))
 
     def shrunk(above, strength: float) -> Column:
         return (F.col("good") + above * strength) / (F.col("n") + strength)

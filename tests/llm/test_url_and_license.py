@@ -40,8 +40,9 @@ def test_hosts_paths_and_rules(spark):
 
 
 def test_reputation_shrinks_towards_the_domain(spark):
-    good = [("u://a.fine.org/", 1)] * 40 + [("u://b.fine.org/", 1)] * 40 + [("u://c.fine.org/", 0)]
-    bad = [("u://a.poor.org/", 0)] * 40 + [("u://b.poor.org/", 0)] * 40 + [("u://c.poor.org/", 1), ("u://x.org/", 5), (None, 1)]
+    good = [(f"u://h{i}.fine.org/", int(j > 0)) for i in range(20) for j in range(10)] + [("u://c.fine.org/", 0)]
+    bad = [(f"u://h{i}.poor.org/", int(j == 0)) for i in range(20) for j in range(10)] + [("u://c.poor.org/", 1)]
+    bad += [("u://x.org/", 5), (None, 1)]
     outcomes = spark.createDataFrame(good + bad, "url string, good int")
     pages = urls(spark, [(i, f"u://{h}/", None) for i, h in enumerate(["c.fine.org", "c.poor.org", "new.fine.org", "new.poor.org"])])
     verdicts = {r["host"]: (r["verdict"], r["bound"]) for r in judge(pages, outcomes, []).collect()}
