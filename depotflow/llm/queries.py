@@ -164,7 +164,38 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).drop("matches")
 
 
-@query("op3_decontamination")
+CONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+sized AS (SELECT item_id, w, least(len(w), 13) AS n FROM b WHERE len(w) > 0),
+item_starts AS (SELECT item_id, w, n, unnest(range(len(w) - n + 1)) AS s FROM sized),
+item_windows AS (SELECT DISTINCT item_id, n, array_to_string(w[s + 1:s + n], ' ') AS win FROM item_starts),
+doc_starts AS (
+  SELECT row_id, w, n, unnest(range(len(w) - n + 1)) AS s FROM d, (SELECT DISTINCT n FROM sized) WHERE len(w) >= n),
+doc_windows AS (SELECT row_id, n, s, array_to_string(w[s + 1:s + n], ' ') AS win FROM doc_starts),
+hits AS (SELECT DISTINCT o.row_id, o.n, o.s, i.item_id FROM doc_windows o JOIN item_windows i ON i.n = o.n AND i.win = o.win),
+words AS (
+  SELECT row_id, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT row_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY row_id),
+items AS (
+  SELECT row_id, count(DISTINCT item_id)::BIGINT AS n_items,
+         array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids
+  FROM hits GROUP BY row_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(words.n_hit, 0)::BIGINT AS n_hit, coalesce(items.n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items.ids, '')) AS items_sha256,
+       coalesce(words.n_hit, 0) > 0 AND 20 * coalesce(words.n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN words ON words.row_id = d.row_id LEFT JOIN items ON items.row_id = d.row_id
+"""
+
+
+@query("op3_decontamination", CONTAMINATION_SQL)
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.decontamination import contamination
 
@@ -224,13 +255,26 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
 
 
-@query("op8_hamming_search")
+HAMMING_SQL = """
+WITH codes AS (SELECT vec_id, list_transform(embedding[1:64], lambda x: x > 0) AS bits FROM embeddings),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS neighbour_id,
+         len(list_filter(list_zip(q.bits, c.bits), lambda z: z[1] <> z[2]))::BIGINT AS distance
+  FROM codes q, codes c WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank, neighbour_id, distance
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank FROM pairs)
+WHERE rank <= 10
+"""
+
+
+@query("op8_hamming_search", HAMMING_SQL)
 def hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.hamming_search import nearest, sign_codes
 
     codes = sign_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", 64)
     codes = codes.select(F.col("vec_id").alias("id"), "code")
-    return nearest(codes, codes.where(F.col("id") % 100 == 0), 64, 10)
+    found = nearest(codes, codes.where(F.col("id") % 100 == 0), 64, 10)
+    return found.withColumns({c: F.col(c).cast("long") for c in ("rank", "distance")})
 
 
 @query("op9_toxicity")
