@@ -48,12 +48,16 @@ GROUP_BYTES = 4 << 20
 #: Shingles that a task packs into blocks at a time.
 BLOCK_SHINGLES = 1 << 20
 
-#: Rounds with hubs at most, pairs for each list entry that are few enough to compare at once, and the share
-#: of the pairs that a round must settle for another one to follow.
-HUB_ROUNDS, FEW, HELP = 12, 0.5, 0.2
+#: Rounds with hubs at most, pairs for each list entry that are few enough to compare at once, and the links
+#: that a round must find, as a share of the classes, for another one to follow.
+HUB_ROUNDS, FEW, HELP = 12, 2, 0.01
 
-#: Settings of the runs inside: shuffle files go with the action that made them, small batches go to Python.
+#: Settings of the runs inside: shuffle files go with the action that made them, small batches go to Python,
+#: and texts meet a Bloom filter of the wanted rows (8 MB at most) before they are shuffled.
 SETTINGS = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "100MB",
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
@@ -328,7 +332,8 @@ def verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, scratch: Sc
     near = near.where(_may_differ_so(F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b")))
     near = scratch.put(near.select("a", "b", "row_a_a", "row_b_a", "row_a_b", "row_b_b"), f"near-{name}")
     ends = [near.select(F.col(e).alias("class"), F.col(f"row_a_{e}").alias("key_a"), F.col(f"row_b_{e}").alias("key_b")) for e in "ab"]
-    rows = ends[0].unionByName(ends[1]).distinct()
+    # Stored, and filtered on the face of it, so that Spark sees a small side to build its Bloom filter from.
+    rows = scratch.put(ends[0].unionByName(ends[1]).distinct(), f"rows-{name}").where("class >= 0")
     # Repeated rows of a document give equal sets, one is enough.
     sets = texts.join(rows, ["key_a", "key_b"]).dropDuplicates(["key_a", "key_b"])
     sets = scratch.put(full_sets(sets), f"full-{name}")
@@ -338,8 +343,8 @@ def verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, scratch: Sc
     joined = near.select("a", "b").join(one, "a").join(other, "b")
     joined = joined.where(100 * both >= PERCENT * (F.size("one") + F.size("other") - both))
     links = scratch.put(joined.select("a", "b"), f"links-{name}")
-    scratch.drop(f"near-{name}")
-    scratch.drop(f"full-{name}")
+    for what in ("near", "rows", "full"):
+        scratch.drop(f"{what}-{name}")
     return links
 
 
@@ -348,8 +353,8 @@ def linked_classes(members: DataFrame, texts: DataFrame, scratch: Scratch) -> Da
 
     ``members`` has the classes that share lists: class, n, sketch, row_a, row_b, and lists (key, place).
     """
-    links, labels, turn, before = None, None, 0, float("inf")
-    n_entries = members.agg(F.sum(F.size("lists"))).first()[0] or 0
+    links, labels, turn, helping = None, None, 0, True
+    n_classes, n_entries = members.agg(F.count("*"), F.coalesce(F.sum(F.size("lists")), F.lit(0))).first()
     while n_entries:
         named = members.select("class", "n", "lists", F.col("class").alias("component"))
         if labels is not None:
@@ -362,8 +367,7 @@ def linked_classes(members: DataFrame, texts: DataFrame, scratch: Scratch) -> Da
         left = across.agg(F.sum("pairs")).first()[0] or 0.0
         if not left:
             break
-        last = left <= FEW * n_entries or turn >= HUB_ROUNDS or left > (1 - HELP) * before
-        before = left
+        last = left <= FEW * n_entries or turn >= HUB_ROUNDS or not helping
         kept = ("class", "n", "place", "component")
         if last:
             listed = entries.select("at.key", "at.place", "class", "n", "component").join(across.select("key"), "key", "left_semi")
@@ -386,6 +390,7 @@ def linked_classes(members: DataFrame, texts: DataFrame, scratch: Scratch) -> Da
         links = new if links is None else links.unionByName(new)
         if last:
             break
+        helping = new.count() >= HELP * n_classes
         # Hook every class's component to the smallest component it has just linked with.  Labels stay
         # sound (equal ones are connected); the exact components follow from all links at the end.
         known = named.select("class", "component")
