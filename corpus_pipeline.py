@@ -30,7 +30,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier accepts."""
     labels = table(spark, sf_dir, "labels")
     known = quality.labelled_sample(docs, labels, "toxic", ~quality.in_fold("doc_id", 5, 0))
-    scored = toxicity.score(docs, toxicity.fit(docs, known, "toxic"))
+    scored = toxicity.score(docs, toxicity.fit_words(docs, known, "toxic"))
     return scored.where(F.col("score") < TOXIC).select(*docs.columns)
 
 

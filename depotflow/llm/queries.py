@@ -280,10 +280,10 @@ def hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_toxicity")
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.quality import in_fold, labelled_sample
-    from depotflow.llm.toxicity import fit, score
+    from depotflow.llm.toxicity import fit_words, score
 
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    index = fit(docs, labelled_sample(docs, labels, "toxic", ~in_fold("doc_id", 5, 0)), "toxic")
+    index = fit_words(docs, labelled_sample(docs, labels, "toxic", ~in_fold("doc_id", 5, 0)), "toxic")
     return score(docs.select("doc_id", "text"), index).select(
         "doc_id",
         in_fold("doc_id", 5, 0).alias("held_out"),

@@ -103,3 +103,44 @@ def test_matches_counts_terms():
     terms = np.sort(words(next(slices(pa.array(["bad worse"]))), ALNUM).hashes)
     row, at, counts = toxicity.matches(next(slices(pa.array(["Bad bad, worse", None, "fine", "WORSE"]))), terms)
     assert sorted(zip(row.tolist(), counts.tolist())) == [(0, 1), (0, 2), (3, 1)]
+
+
+def test_every_word_and_every_example_takes_part(spark):
+    plain = [" ".join(data.prose(i, 40, 300)) for i in range(60)]
+    docs = spark.createDataFrame([*enumerate(plain), (60, "quite unmarked here"), (61, ""), (62, "unseen")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i in range(60)] + [(60, 1), (61, 0)], "doc_id long, toxic int")
+    index = toxicity.fit_words(docs, quality.labelled_sample(docs, labels, "toxic", F.lit(True)), "toxic")
+    own = {i: data.words(t) for i, t in [*enumerate(plain), (60, "quite unmarked here")]}
+    assert sorted(index.ids) == list(range(62)) and len(index.terms) == len({w for t in own.values() for w in t})
+    found = {r["doc_id"]: r["evidence"] for r in toxicity.score(docs, index).collect()}
+    assert not found[61] and not found[62]
+    # Plain version of the rule; one toxic document of 62 makes no word sure.
+    df = {w: sum(w in set(t) for t in own.values()) for t in own.values() for w in t}
+    vectors = {}
+    for i, t in own.items():
+        v = {w: (1 + np.log(t.count(w))) * (np.log(64 / (df[w] + 1)) + 1) for w in set(t)}
+        length = np.sqrt(sum(x * x for x in v.values()))
+        vectors[i] = {w: x / length for w, x in v.items()}
+    for i, v in vectors.items():
+        cosines = {j: sum(x * o.get(w, 0) for w, x in v.items()) for j, o in vectors.items()}
+        best = sorted((round(-c, 6), j) for j, c in cosines.items() if c > 0)[: toxicity.NEIGHBOURS]
+        assert np.allclose([-c for c, _ in best], [e["cosine"] for e in found[i]], atol=1e-5) and found[i][0]["doc_id"] == i
+
+
+def test_neighbours_by_postings_are_exact(monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    dense = rng.integers(1, 4, (500, 60)) * (rng.random((500, 60)) < 0.08)
+    dense[5:60] = dense[4]  # ties
+    dense[7] = 0
+    ids, idf = rng.permutation(500), rng.random(60) * 9 + 0.1
+    index = toxicity.word_index(np.arange(60), idf, [(np.flatnonzero(x), x[x > 0]) for x in dense], ids, ids % 2, 0.1)
+    assert len(index.ids) == 500 and (np.diff(index.edges) <= 16).all()
+    unit = np.where(dense > 0, (1 + np.log(np.maximum(dense, 1))) * idf, 0)
+    unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-9)
+    for i in [*range(0, 500, 5), 4]:
+        at = np.flatnonzero(unit[i])
+        places, cosines = index.nearest(at, unit[i][at])
+        every = np.round(unit @ unit[i], 9)
+        best = [p for p in np.lexsort((ids, -every)) if every[p] > 0][: toxicity.NEIGHBOURS]
+        assert index.ids[places].tolist() == ids[best].tolist() and np.allclose(cosines, every[best])
