@@ -16,6 +16,7 @@ A group of near copies would make as many pairs as its square.  Components need
 takes one of its lists, is compared with one member of that list (the hub) and joins the hub's component if
 they link; the next round takes other lists and hubs.  When the pairs left across components are few against
 the list entries, or a round has settled few of them, all of them are compared, so no component is left apart.
+That finds every component, not every link; where the links are to be counted, all pairs are compared at once.
 
 A pair is compared by parity sketches first: a bitmap has the parity of the shingles that hash to each bit, so
 two bitmaps differ in no more bits than the sets do in shingles.  What passes is verified on the full sets.
@@ -61,23 +62,23 @@ SETTINGS = {
 _COUNT_BITS = np.uint64(20)
 
 
-def least_overlap(n: int, m: int) -> int:
+def least_overlap(n: int, m: int, percent: int = PERCENT) -> int:
     """Shingles that sets of n and m must share to link."""
-    return -(-PERCENT * (n + m) // (100 + PERCENT))
+    return -(-percent * (n + m) // (100 + percent))
 
 
-def first_shingles(n):
+def first_shingles(n, percent: int = PERCENT):
     """Shingles of the prefix that a set of n must index."""
-    return n + (-PERCENT * n // 100) + 1
+    return n + (-percent * n // 100) + 1
 
 
-def subset_sizes(n: int, largest: int) -> list[int]:
+def subset_sizes(n: int, largest: int, percent: int = PERCENT) -> list[int]:
     """Sizes of the subsets that a set of n shares with any linked set of ``largest`` or fewer."""
-    partners = range(-(-PERCENT * n // 100), min(100 * n // PERCENT, largest) + 1)
-    return sorted({least_overlap(n, m) for m in partners})
+    partners = range(-(-percent * n // 100), min(100 * n // percent, largest) + 1)
+    return sorted({least_overlap(n, m, percent) for m in partners})
 
 
-def boundary(sizes: dict[int, int], scan: float) -> int:
+def boundary(sizes: dict[int, int], scan: float, percent: int = PERCENT) -> int:
     """Largest size that counts as small, by cost.
 
     ``sizes`` has the sets by size as far as twice ``SMALLEST_LARGE`` (larger ones are large whatever the
@@ -85,19 +86,19 @@ def boundary(sizes: dict[int, int], scan: float) -> int:
     """
 
     def cost(x: int) -> float:
-        light = sum(k * sum(comb(n, c) for c in subset_sizes(n, x)) for n, k in sizes.items() if n <= x)
-        heavy = sum(k * first_shingles(n) * scan for n, k in sizes.items() if 100 * n >= PERCENT * (x + 1))
+        light = sum(k * sum(comb(n, c) for c in subset_sizes(n, x, percent)) for n, k in sizes.items() if n <= x)
+        heavy = sum(k * first_shingles(n, percent) * scan for n, k in sizes.items() if 100 * n >= percent * (x + 1))
         return light + heavy
 
     return min(range(SMALLEST_LARGE + 1), key=lambda x: (cost(x), x))
 
 
-def shingles(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingles(part: Slice, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row and hash of the distinct shingles of a slice, by row and hash, and how many each row has."""
     found = words(part, NOT_SPACE)
-    hashes, bounds = grams(found.hashes, found.bounds, GRAM)
+    hashes, bounds = grams(found.hashes, found.bounds, gram)
     rows = np.repeat(np.arange(len(part)), np.diff(bounds))
-    for n in range(1, GRAM):  # fewer words: the whole sequence
+    for n in range(1, gram):  # fewer words: the whole sequence
         short = np.flatnonzero(found.counts == n)
         if len(short):
             whole, starts = grams(found.hashes, found.bounds, n)
@@ -117,7 +118,7 @@ def _counted(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return hashes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def count_shingles(docs: DataFrame, groups: int, scratch: Scratch) -> tuple[DataFrame, dict[int, int], float]:
+def count_shingles(docs: DataFrame, groups: int, scratch: Scratch, gram: int = GRAM) -> tuple[DataFrame, dict[int, int], float]:
     """Shingles in more than one document (print, n), sets by size, and the mean length of a list.
 
     A task packs its shingles with their counts, many at a time, into one block for each group, so the shuffle
@@ -139,7 +140,7 @@ def count_shingles(docs: DataFrame, groups: int, scratch: Scratch) -> tuple[Data
         parts, held = [], 0
         for batch in batches:
             for part in slices(batch.column(0)):
-                _, hashes, n = shingles(part)
+                _, hashes, n = shingles(part, gram)
                 sizes += np.bincount(np.minimum(n, len(sizes) - 1), minlength=len(sizes))
                 parts.append(hashes >> _COUNT_BITS)
                 held += len(hashes)
@@ -190,12 +191,12 @@ def most_frequent(counts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray,
     return rows["print"].to_numpy(np.int64).astype(np.uint64), rows["n"].to_numpy(np.int64)
 
 
-def subset_keys(hashes: np.ndarray, largest: int) -> list[int]:
+def subset_keys(hashes: np.ndarray, largest: int, percent: int = PERCENT) -> list[int]:
     """A key for every subset that a small set can share with a linked small one."""
     mixed = mix(hashes)
     total = mixed.sum(dtype=np.uint64)
     out = []
-    for c in subset_sizes(len(hashes), largest):
+    for c in subset_sizes(len(hashes), largest, percent):
         left_out = [mixed[list(x)].sum(dtype=np.uint64) for x in combinations(range(len(hashes)), len(hashes) - c)]
         out.append(mix(total - np.array(left_out, dtype=np.uint64) + np.uint64(c * 0xA24BAED4963EE407 % (1 << 64))))
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
@@ -208,7 +209,9 @@ def parity(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def index_sets(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], largest_small: int) -> DataFrame:
+def index_sets(
+    docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], largest_small: int, gram: int = GRAM, percent: int = PERCENT
+) -> DataFrame:
     """Per document: n_shingles, the set's signature and parity sketch, and its index entries (key, place).
 
     The entries of rare shingles (and subsets) come first, ``n_rare`` of them; lists of those are short.
@@ -220,7 +223,7 @@ def index_sets(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], largest
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(3)):
-                rows, hashes, n = shingles(part)
+                rows, hashes, n = shingles(part, gram)
                 short = hashes >> _COUNT_BITS
                 counts = np.zeros(len(hashes), dtype=np.int64)
                 if len(prints):
@@ -228,14 +231,14 @@ def index_sets(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], largest
                     counts = np.where(prints[at] == short, frequency[at], 0)
                 order = np.lexsort((hashes, counts, rows))
                 first = np.concatenate([[0], np.cumsum(n)])
-                length = np.where(100 * n >= PERCENT * (largest_small + 1), first_shingles(n), 0)
+                length = np.where(100 * n >= percent * (largest_small + 1), first_shingles(n, percent), 0)
                 keys, places, rare, sketches = [], [], [], []
                 for i in range(len(part)):
                     own = order[first[i] : first[i] + length[i]]
                     k, p = hashes[own], np.arange(length[i])
                     r = int((counts[own] == 0).sum())
                     if 0 < n[i] <= largest_small:
-                        subsets = subset_keys(hashes[first[i] : first[i + 1]], largest_small)
+                        subsets = subset_keys(hashes[first[i] : first[i + 1]], largest_small, percent)
                         k, p = np.concatenate([subsets, k]), np.concatenate([np.full(len(subsets), -1), p])
                         r += len(subsets)
                     keys.append(k)
@@ -263,13 +266,13 @@ def index_sets(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], largest
     return source.mapInArrow(run, f"doc_id long, key_a long, key_b long, {schema}")
 
 
-def full_sets(texts: DataFrame) -> DataFrame:
+def full_sets(texts: DataFrame, gram: int = GRAM) -> DataFrame:
     """(class, text) to (class, set as array of hashes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(1)):
-                _, hashes, n = shingles(part)
+                _, hashes, n = shingles(part, gram)
                 ends = pa.array(np.cumsum([0, *n]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.first, len(part)), pa.ListArray.from_arrays(ends, pa.array(signed(hashes), pa.int64()))],
@@ -297,14 +300,14 @@ def shared_entries(listed: DataFrame) -> DataFrame:
     return rare.where("members > 1").select(*columns).unionByName(frequent.join(several, "key").select(*columns))
 
 
-def _may_link(n, m, i, j):
+def _may_link(n, m, i, j, percent: int = PERCENT):
     """Sizes, and places of the first common shingle, do not rule out a link.  Places of -1 rule out nothing."""
-    need = F.ceil(PERCENT * (n + m) / F.lit(100.0 + PERCENT) - 1e-9)
+    need = F.ceil(percent * (n + m) / F.lit(100.0 + percent) - 1e-9)
     rest = F.when((i >= 0) & (j >= 0), F.least(n - i, m - j)).otherwise(F.least(n, m))
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (rest >= need)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (rest >= need)
 
 
-def _may_differ_so(one, other, n, m):
+def _may_differ_so(one, other, n, m, percent: int = PERCENT):
     """The sketches do not rule out a link.  Widths differ by a factor of two at most; the wider is folded."""
     xor = lambda x, y: x.bitwiseXOR(y)
     least = F.least(F.size(one), F.size(other))
@@ -314,37 +317,41 @@ def _may_differ_so(one, other, n, m):
         return F.when(F.size(sketch) > least, halves).otherwise(sketch)
 
     bits = F.aggregate(F.zip_with(folded(one), folded(other), lambda x, y: F.bit_count(xor(x, y))), F.lit(0), lambda s, x: s + x)
-    need = F.ceil(PERCENT * (n + m) / F.lit(100.0 + PERCENT) - 1e-9)
+    need = F.ceil(percent * (n + m) / F.lit(100.0 + percent) - 1e-9)
     return bits <= n + m - 2 * need
 
 
-def verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def verified(
+    pairs: DataFrame, members: DataFrame, texts: DataFrame, scratch: Scratch, name: str, gram: int = GRAM, percent: int = PERCENT
+) -> DataFrame:
     """Those of the pairs (a, b) whose sets link.  ``texts`` has key_a, key_b and text of all documents."""
 
     def side(end: str):
         return members.select(F.col("class").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in ("n", "sketch", "row_a", "row_b")))
 
     near = pairs.join(side("a"), "a").join(side("b"), "b")
-    near = near.where(_may_differ_so(F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b")))
+    near = near.where(_may_differ_so(F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b"), percent))
     near = scratch.put(near.select("a", "b", "row_a_a", "row_b_a", "row_a_b", "row_b_b"), f"near-{name}")
     ends = [near.select(F.col(e).alias("class"), F.col(f"row_a_{e}").alias("key_a"), F.col(f"row_b_{e}").alias("key_b")) for e in "ab"]
     rows = ends[0].unionByName(ends[1]).distinct()
     # Repeated rows of a document give equal sets, one is enough.
     sets = texts.join(rows, ["key_a", "key_b"]).dropDuplicates(["key_a", "key_b"])
-    sets = scratch.put(full_sets(sets), f"full-{name}")
+    sets = scratch.put(full_sets(sets, gram), f"full-{name}")
     one = sets.select(F.col("class").alias("a"), F.col("set").alias("one"))
     other = sets.select(F.col("class").alias("b"), F.col("set").alias("other"))
     both = F.size(F.array_intersect("one", "other"))
     joined = near.select("a", "b").join(one, "a").join(other, "b")
-    joined = joined.where(100 * both >= PERCENT * (F.size("one") + F.size("other") - both))
+    joined = joined.where(100 * both >= percent * (F.size("one") + F.size("other") - both))
     links = scratch.put(joined.select("a", "b"), f"links-{name}")
     scratch.drop(f"near-{name}")
     scratch.drop(f"full-{name}")
     return links
 
 
-def linked_classes(members: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame | None:
-    """Components (node, component) of the classes that have links; None without any.
+def links_of(
+    members: DataFrame, texts: DataFrame, scratch: Scratch, every: bool = False, gram: int = GRAM, percent: int = PERCENT
+) -> DataFrame | None:
+    """Links (a, b) of classes, enough for their components, or ``every`` one, once each; None without any.
 
     ``members`` has the classes that share lists: class, n, sketch, row_a, row_b, and lists (key, place).
     """
@@ -362,7 +369,7 @@ def linked_classes(members: DataFrame, texts: DataFrame, scratch: Scratch) -> Da
         left = across.agg(F.sum("pairs")).first()[0] or 0.0
         if not left:
             break
-        last = left <= FEW * n_entries or turn >= HUB_ROUNDS or left > (1 - HELP) * before
+        last = every or left <= FEW * n_entries or turn >= HUB_ROUNDS or left > (1 - HELP) * before
         before = left
         kept = ("class", "n", "place", "component")
         if last:
@@ -379,9 +386,9 @@ def linked_classes(members: DataFrame, texts: DataFrame, scratch: Scratch) -> Da
             hubs = taken.groupBy("key").agg(hub).select("key", *(F.col(f"hub.{c}").alias(f"{c}_b") for c in kept))
             one = taken.select("key", *(F.col(c).alias(f"{c}_a") for c in kept))
             pairs = one.join(hubs, "key").where(F.col("component_a") != F.col("component_b"))
-        pairs = pairs.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b")))
+        pairs = pairs.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b"), percent))
         pairs = scratch.put(pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), f"pairs-{turn}")
-        new = verified(pairs, members, texts, scratch, str(turn))
+        new = verified(pairs, members, texts, scratch, str(turn), gram, percent)
         scratch.drop(f"pairs-{turn}")
         links = new if links is None else links.unionByName(new)
         if last:
@@ -399,16 +406,22 @@ def linked_classes(members: DataFrame, texts: DataFrame, scratch: Scratch) -> Da
         turn += 1
     if links is None or links.isEmpty():
         return None
-    return components(links, scratch, "classes")
+    return links
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
+def near_copies(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, count_links: bool = False) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, linked (its set links with a different one).
 
+    With ``count_links`` every pair of different sets that may link is verified, and ``n_links`` is appended: the
+    number of different sets that the document's set links with.  Without, only as many links are looked for as
+    the components need.  ``percent`` is 50 at least (sketches of linked sets differ by one width).
+
     ``docs`` has doc_id and text; other columns are ignored.  Null texts and texts without words have no
     shingles and link with nothing, not even with each other: their component is their own doc_id.  Repeated
     rows give a row each.  A null doc_id takes part; a component of such rows alone has a null id.
     """
+    if gram < 1 or not 50 <= percent <= 100:
+        raise ValueError("gram must be 1 or more, percent from 50 to 100")
     spark = docs.sparkSession
     before = {key: spark.conf.get(key, None) for key in SETTINGS}
     scratch = Scratch(spark)
@@ -416,8 +429,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
         spark.conf.set(key, value)
     try:
         text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        counts, sizes, scan = count_shingles(docs, max(64, text_bytes // GROUP_BYTES), scratch)
-        indexed = scratch.put(index_sets(docs, most_frequent(counts), boundary(sizes, scan)), "indexed")
+        counts, sizes, scan = count_shingles(docs, max(64, text_bytes // GROUP_BYTES), scratch, gram)
+        small = boundary(sizes, scan) if percent == PERCENT else boundary(sizes, scan, percent)
+        indexed = scratch.put(index_sets(docs, most_frequent(counts), small, gram, percent), "indexed")
         scratch.drop("counts")
         sets = scratch.put(indexed.select("doc_id", "n_shingles", "set_a", "set_b"), "sets")
         classes = (
@@ -444,18 +458,23 @@ def near_copies(docs: DataFrame) -> DataFrame:
         members = scratch.put(members.withColumn("n", F.col("n").cast("int")), "members")
         classes = scratch.put(listed.select("class", "set_a", "set_b", "first_id"), "classes")
         scratch.drop("listed")
-        found = linked_classes(members, docs.select(*row_key("doc_id", "text"), "text"), scratch)
+        texts = docs.select(*row_key("doc_id", "text"), "text")
+        links = links_of(members, texts, scratch, count_links, gram, percent)
+        found = None if links is None else components(links, scratch, "classes")
         own = classes.select("class", "set_a", "set_b", "first_id")
         if found is None:
-            named = own.select("set_a", "set_b", F.col("first_id").alias("component_id"), F.lit(False).alias("linked"))
+            named = own.select("set_a", "set_b", F.col("first_id").alias("component_id"), F.lit(False).alias("linked"), F.lit(0).cast("long").alias("n_links"))
         else:
             joined = own.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn(
                 "group", F.coalesce("component", "class")
             )
             smallest = joined.where("component is not null").groupBy("component").agg(F.min("first_id").alias("least"))
+            ends = links.select(F.col("a").alias("class")).unionByName(links.select(F.col("b").alias("class")))
+            joined = joined.join(ends.groupBy("class").agg(F.count("*").alias("n_links")), "class", "left")
             named = joined.join(smallest, "component", "left").select(
-                "set_a", "set_b", F.coalesce("least", "first_id").alias("component_id"), F.col("component").isNotNull().alias("linked")
-            )
+                "set_a", "set_b", F.coalesce("least", "first_id").alias("component_id"), F.col("component").isNotNull().alias("linked"),
+                F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+            )
         named = scratch.put(named, "named")
         scratch.drop("members")
     finally:
@@ -470,4 +489,5 @@ def near_copies(docs: DataFrame) -> DataFrame:
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("linked", F.lit(False)).alias("linked"),
+        *([F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")] if count_links else []),
     )

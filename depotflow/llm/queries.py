@@ -252,7 +252,7 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.ngram_jaccard import near_copies
 
-    return near_copies(table(spark, sf_dir, "documents"))
+    return near_copies(table(spark, sf_dir, "documents"), count_links=True)
 
 
 HAMMING_SQL = """

@@ -119,3 +119,20 @@ def test_components_of_chains_and_stars(spark):
     found = components(spark.createDataFrame(links, "a long, b long"), Scratch(spark), "test").collect()
     real = {x for a, b in links if a != b for x in (a, b)}
     assert {(r["node"], r["component"]) for r in found} == {(x, top(x)) for x in real} and len(found) == len(real)
+
+
+@pytest.mark.parametrize("gram, percent", [(4, 85), (5, 80)])
+def test_every_link_is_counted(spark, gram, percent):
+    def own(text):
+        w = data.words(text, data.NOT_SPACE)
+        return frozenset(tuple(w[i : i + gram]) for i in range(len(w) - gram + 1)) or frozenset([tuple(w)] if w else [])
+
+    base = data.prose(8, 80, 10**4)
+    docs = [(1000 + i, edited(base, i, 1 + i % 2)) for i in range(40)] + [(2000, edited(base, 0, 1))] + cases()[:30]
+    sets = {i: own(t) for i, t in docs}
+    links = lambda a, b: a != b and bool(a) and 100 * len(a & b) >= percent * len(a | b)
+    want = sorted((i, len(s), sum(links(s, o) for o in set(sets.values()))) for i, s in sets.items())
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = near_copies(df, gram, percent, count_links=True).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["n_links"]) for r in got) == want
+    assert all(r["linked"] == (r["n_links"] > 0) for r in got) and max(n for _, _, n in want) > 5
