@@ -3,10 +3,13 @@
 Markup is stripped into lines, one for each block of text.  Elements that never hold main text (menus, page
 headers and footers, sidebars, notices, adverts, forms, scripts, comments) leave empty lines in their place.
 The lengths of the lines, links outside articles not counted, are summed over sliding windows.  Text surges where a window's
-sum rises from zero and dives where it falls to zero again; the lines between form a stretch.  The stretch
-with most text is the main one, and every stretch of the same article (or, on a page without articles, every
-one with a comparable peak in the same part of the page) belongs to it, so an advert inside an article does
-not cut it.
+sum rises from zero and dives where it falls to zero again; the lines between form a stretch.
+
+On a page with articles the elements decide: the article with most text belongs to an outermost <article> or
+<main>, and that one's text and that of its siblings is kept whole.  On other pages the stretches decide: those
+with a peak comparable to the largest are main ones, and so is every stretch between two of them or in the same
+container as one of them.  An element that looks like a menu or form but holds nearly all of the page's text is
+a wrapper, and is read.
 """
 
 from __future__ import annotations
@@ -23,6 +26,9 @@ from pyspark.sql import functions as F
 #: Lines of a window, and the peak that a stretch outside articles needs, as a share of the largest.
 WINDOW, PEAK = 3, 0.3
 
+#: A marked element outside articles with so many times the text outside it is a wrapper.
+WRAPS = 4
+
 #: Share of link characters from which a line counts as a menu.
 LINKED = 0.6
 
@@ -55,6 +61,12 @@ _MARKUP = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _NAMES = re.compile(r"[a-z]+")
+
+#: Elements that hold blocks side by side; first words of class names that only state something; and
+#: elements that wrap a whole page at times although they never hold main text.
+_CONTAINERS = frozenset("article main section div body html td th form fieldset details blockquote center".split())
+_STATES = frozenset("has no not is with without".split())
+_WRAPPERS = frozenset("form fieldset".split())
 _CLOSES = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _RAW}
 _HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 
@@ -66,8 +78,13 @@ def _marked(name: str, rest: str, in_article: bool) -> bool:
     if not rest or name in ("html", "body"):
         return False
     for _, a, b, c in _ATTRIBUTE.findall(rest):
-        for word in _NAMES.findall((a or b or c).lower()):
-            if word in _MARKS or (word in _HEADER_MARKS and not in_article and name not in _MAIN):
+        for token in (a or b or c).lower().split():
+            found = _NAMES.findall(token)
+            if found and found[0] in _STATES:  # has-sidebar
+                continue
+            if any(w in _STATES for w in found[1:-1]):  # layout-with-sidebar
+                continue
+            if any(w in _MARKS or (w in _HEADER_MARKS and not in_article and name not in _MAIN) for w in found):
                 return True
     return bool(_HIDDEN.search(rest))
 
@@ -79,10 +96,13 @@ class _Lines:
         self.texts: list[str] = []
         self.lengths: list[int] = []
         self.parts: list[int] = []
+        self.containers: list[int] = []
+        self.roots: dict[int, tuple[int, int]] = {}  # article: outermost one that holds it, and its container
+        self.skipped: dict[int, int] = {}  # characters in marked elements that may be wrappers, by place
         self.chunks: list[str] = []
         self.linked = 0
 
-    def flush(self, part: int) -> None:
+    def flush(self, part: int, container: int) -> None:
         if self.chunks:
             text = " ".join("".join(self.chunks).split())
             if text:
@@ -90,6 +110,7 @@ class _Lines:
                 self.texts.append(text)
                 self.lengths.append(0 if linked else len(text) if part else max(len(text) - self.linked, 1))
                 self.parts.append(part)
+                self.containers.append(container)
             self.chunks, self.linked = [], 0
 
     def gap(self) -> None:
@@ -97,12 +118,17 @@ class _Lines:
             self.texts += [""] * WINDOW
             self.lengths += [0] * WINDOW
             self.parts += [-1] * WINDOW
+            self.containers += [-1] * WINDOW
+
 
+def lines_of(html: str, wrappers: frozenset[int] = frozenset()) -> tuple[_Lines, int]:
+    """Lines of a page in order, and how many articles it has.  Parts 1 to that number are articles.
 
-def lines_of(html: str) -> tuple[_Lines, int]:
-    """Lines of a page in order, and how many articles it has.  Parts 1 to that number are articles."""
+    Elements that begin at the places ``wrappers`` are read whatever their marks.
+    """
     lines = _Lines()
-    open_elements: list[tuple[str, int, bool]] = []  # name, article, marked
+    open_elements: list[tuple[str, int, bool, int]] = []  # name, article, marked, container
+    container, wrapper = 0, -1
     articles = skipped = article = links = 0
     at, n = 0, len(html)
     while at < n:
@@ -114,6 +140,8 @@ def lines_of(html: str) -> tuple[_Lines, int]:
             lines.chunks.append(text)
             if links:
                 lines.linked += len(text.strip())
+        elif wrapper >= 0 and found.start() > at:
+            lines.skipped[wrapper] = lines.skipped.get(wrapper, 0) + len(html[at : found.start()].strip())
         at = found.end()
         name = found["name"]
         if name is None:
@@ -125,16 +153,17 @@ def lines_of(html: str) -> tuple[_Lines, int]:
             continue
         if found["end"]:
             if name in _BLOCK and not skipped:
-                lines.flush(article)
+                lines.flush(article, container)
             place = next((i for i in range(len(open_elements) - 1, -1, -1) if open_elements[i][0] == name), None)
             if place is None:
                 continue
-            for _, _, marked in open_elements[place:]:
+            for _, _, marked, _ in open_elements[place:]:
                 skipped -= marked
-            if any(marked for _, _, marked in open_elements[place:]) and not skipped:
+            if any(marked for _, _, marked, _ in open_elements[place:]) and not skipped:
                 lines.gap()
             del open_elements[place:]
             article = open_elements[-1][1] if open_elements else 0
+            container = open_elements[-1][3] if open_elements else 0
             links = sum(e[0] == "a" for e in open_elements) if links else 0
             continue
         rest = found["rest"] or ""
@@ -146,28 +175,34 @@ def lines_of(html: str) -> tuple[_Lines, int]:
             # Markup that is left open ends where the article begins.
             open_elements = [e for e in open_elements if not e[2]]
             skipped = 0
+            container = open_elements[-1][3] if open_elements else 0
             lines.gap()
         if name in _BLOCK and not skipped:
-            lines.flush(article)
+            lines.flush(article, container)
         if name in _VOID or rest.endswith("/"):
             continue
-        marked = _marked(name, rest, article > 0)
+        marked = found.start() not in wrappers and _marked(name, rest, article > 0)
         if marked and not skipped:
-            lines.flush(article)
+            wrapper = -1 if article or (name in _ASIDE and name not in _WRAPPERS) or _HIDDEN.search(rest) else found.start()
+            lines.flush(article, container)
             lines.gap()
         skipped += marked
         inner = article
         if name in _MAIN and not skipped and (not article or name == "article"):
             articles += 1
+            lines.roots[articles] = lines.roots.get(article, (articles, container))
             inner = article = articles
         if name == "a":
             links += 1
         if name in ("p", "li", "td", "th", "dt", "dd", "option") and open_elements and open_elements[-1][0] == name:
             skipped -= open_elements.pop()[2]
-        open_elements.append((name, inner, marked))
+            container = open_elements[-1][3] if open_elements else 0
+        if name in _CONTAINERS:
+            container = found.end()
+        open_elements.append((name, inner, marked, container))
     if at < n and not skipped:
         lines.chunks.append(unescape(html[at:]))
-    lines.flush(article)
+    lines.flush(article, container)
     return lines, articles
 
 
@@ -189,24 +224,34 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     lines, articles = lines_of(html)
+    wrappers: frozenset[int] = frozenset()
+    while not articles and lines.skipped:
+        outside = sum(lines.lengths)
+        place, inside = max(lines.skipped.items(), key=lambda x: (x[1], -x[0]))
+        others = sum(lines.skipped.values()) - inside
+        if inside < WRAPS * max(outside + others, 1):
+            break
+        wrappers |= {place}
+        lines, articles = lines_of(html, wrappers)
     found = stretches(lines.lengths)
     if not found:
         return ""
     weights: dict[int, int] = {}
     for part, length in zip(lines.parts, lines.lengths):
-        if articles == 0 or part > 0:
+        if part > 0:
             weights[part] = weights.get(part, 0) + length
-    best = max((p for p in weights if p >= 0), key=lambda p: (weights[p], -p), default=None)
-    if articles and best is None:
-        articles, best = 0, 0
+    if weights:
+        _, container = lines.roots[max(weights, key=lambda p: (weights[p], -p))]
+        return "\n\n".join(t for t, p in zip(lines.texts, lines.parts) if p > 0 and container == lines.roots[p][1])
     peak = max(p for _, _, p in found)
+    main = [top >= PEAK * peak for _, _, top in found]
+    first, last = main.index(True), len(main) - main[::-1].index(True)
+    inside = lambda k: {lines.containers[i] for i in range(*found[k][:2]) if lines.lengths[i]}
+    own = set().union(*(inside(k) for k in range(len(found)) if main[k]))
     kept = []
-    for surge, dive, top in found:
-        for i in range(surge, dive):
-            if articles and lines.parts[i] == best:
-                kept.append(lines.texts[i])
-            elif not articles and top >= PEAK * peak and lines.lengths[i]:
-                kept.append(lines.texts[i])
+    for k, (surge, dive, _) in enumerate(found):
+        between = first <= k < last
+        kept += [lines.texts[i] for i in range(surge, dive) if lines.lengths[i] and (between or lines.containers[i] in own)]
     return "\n\n".join(t for t in kept if t)
 
 

@@ -44,3 +44,22 @@ def test_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a</p>", "x"), (1, "u", "<p>a</p>", "x"), (2, None, None, None)], "page_id long, url string, html string, text string")
     got = sorted(tuple(r) for r in extract(pages).select("page_id", "text").collect())
     assert got == [(1, "a"), (1, "a"), (2, "")] and extract(pages.limit(0)).count() == 0
+
+
+LONG = "A sentence of the main text, some fifty characters. " * 20
+
+WHOLE = {
+    f"<div><p>{LONG}</p><div class=ad>buy</div><p>The last and short paragraph.</p></div>": f"{LONG.strip()}\n\nThe last and short paragraph.",
+    "<div><article><p>First story.</p></article><article><p>Second and longer story.</p></article></div>": "First story.\n\nSecond and longer story.",
+    "<main><p>Lead text.</p><article><p>The heavier article text.</p></article></main>": "Lead text.\n\nThe heavier article text.",
+    "<div class='layout has-sidebar'><p>Body one.</p><div class=sidebar>side</div><p>Body two.</p></div>": "Body one.\n\nBody two.",
+    "<div class='main-content no-sidebar'><p>Body.</p></div>": "Body.",
+    f"<form id=page><p>{LONG}</p><nav>menu</nav></form><footer>f</footer>": LONG.strip(),
+    f"<div class='widget-page'><p>{LONG}</p><div class=cookie>We use cookies</div></div><p>Imprint</p>": LONG.strip(),
+    f"<div><p>{LONG}</p></div><div class=comments><p>A comment.</p></div><div><p>Short.</p></div>": LONG.strip(),
+}
+
+
+@pytest.mark.parametrize("html", list(WHOLE), ids=range(len(WHOLE)))
+def test_main_text_is_whole(html):
+    assert main_text(html) == WHOLE[html]
