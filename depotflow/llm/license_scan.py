@@ -7,8 +7,8 @@ joins a template's word at place i only if the block has o words, and min(|T| -
 there on can reach o.  Candidates are then verified.
 
 Only words of templates can be shared, so a block's list holds those alone.  Whole documents are joined
-first; a block is a line, and a document's lines are searched for the templates that the document itself
-contains.  Phrases are templates that must be contained in full; their places follow from the words.
+first; a block is a line (or also a window of words across line ends), and a document's blocks are searched for
+the templates that the document itself contains.  Phrases are templates that must be contained in full; their places follow from the words.
 
 The templates are a parameter, so their index is small whatever the number of documents, and is broadcast.
 """
@@ -84,11 +84,19 @@ def _best_line(lines: Column, words: list[str]) -> Column:
     return F.array_max(F.transform(lines, lambda line: F.size(F.array_intersect(_strings(words), line)))) / len(words)
 
 
+def _best_window(text: Column, words: list[str], length: int) -> Column:
+    """Largest share of the words that ``length`` consecutive words of the text have."""
+    own = _strings(words)
+    starts = F.filter(F.transform(text, lambda w, i: F.when(F.array_contains(own, w), i + 1)), lambda i: i.isNotNull())
+    return F.array_max(F.transform(starts, lambda i: F.size(F.array_intersect(own, F.slice(text, i, length))))) / len(words)
+
+
 def scan(
     docs: DataFrame,
     phrases: dict[str, str] | None = None,
     templates: dict[str, str] | None = None,
     contained: float = CONTAINED,
+    across_lines: bool = False,
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, matches, score.
 
@@ -97,6 +105,9 @@ def scan(
     those of phrases and templates, distinct, sorted, joined by commas; ``matches`` lists templates with their
     best containment.  ``score`` is the best containment of a template, and 1 with a phrase.  Null and empty
     texts match nothing.  Repeated rows give a row each; an empty table stays empty.
+
+    With ``across_lines`` windows of the text's words count as blocks too, so wrapped notices are found.  A window
+    has as many words as the template and a quarter more (1 / ``contained`` times as many).
     """
     spark = docs.sparkSession
     phrases = PHRASES if phrases is None else phrases
@@ -152,6 +163,9 @@ def scan(
             places.append(F.struct(F.lit(label).alias("label"), F.coalesce(starts, F.array().cast("array<int>")).alias("starts")))
         else:
             most = _best_line(F.col("lines"), sorted(set(words)))
+            if across_lines:
+                window = _best_window(F.col("words"), sorted(set(words)), ceil(len(words) / contained - 1e-9))
+                most = F.greatest(most, window)
             hits.append(F.struct(F.lit(label).alias("label"), F.when(candidate, most).alias("contained")))
     none = "array<struct<label:string,contained:double>>"
     bases = F.array(*places) if places else F.array().cast("array<struct<label:string,starts:array<int>>>")

@@ -101,3 +101,22 @@ def test_no_python_on_the_main_path(spark):
     for name in ("op1_url_reputation", "op2_license_scan"):
         plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_wrapped_notices_across_lines(spark):
+    bsd = " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that"
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License"
+    apart = "alpha beta\n" + "x " * 9 + "\ngamma delta epsilon"
+    texts = [bsd, gpl, "alpha beta gamma\ndelta epsilon", apart, "alpha beta", apart.replace("\n", " "), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in scan(docs, across_lines=True).collect()}
+    assert found[0]["labels"] == "text-bsd" and found[0]["score"] == 1.0 and found[1]["labels"] == "gpl,text-gpl"
+    five = {"five": "alpha beta gamma delta epsilon"}
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in scan(docs, PHRASES, five, across_lines=True).collect()}
+
+    def best(text):
+        own, w = set(five["five"].split()), data.words(text)
+        blocks = [set(data.words(line)) for line in (text or "").split("\n")] + [set(w[i : i + 7]) for i in range(len(w))]
+        return max(len(own & b) for b in blocks) / 5
+
+    assert got == {i: ("five", best(t)) if best(t) >= 0.8 else ("", 0.0) for i, t in enumerate(texts)} and got[2] == ("five", 1.0)
