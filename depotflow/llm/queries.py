@@ -298,3 +298,97 @@ def byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.byte_bpe import digests
 
     return digests(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op11_va_centroids")
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from depotflow.llm.centroid_clustering import cluster
+
+    found = cluster(table(spark, sf_dir, "embeddings"), "embedding", "vec_id", k=16, rounds=3, dims=64, factor=64.0)
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",").cast("binary"), 256)
+    return found.withColumn("centroid_sha256", digest).drop("centroid")
+
+
+LINES_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row_id, source, coalesce(text, '') AS body FROM documents),
+w AS (SELECT doc_id, row_id, body, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words FROM d),
+starts AS (SELECT row_id, words, unnest(range(len(words) - 2)) AS i FROM w),
+windows AS (SELECT row_id, i, array_to_string(words[i + 1:i + 3], ' ') AS win FROM starts),
+again AS (SELECT row_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY row_id, win) > 1),
+repeats AS (SELECT row_id, count(DISTINCT p)::BIGINT AS n FROM (SELECT row_id, unnest(range(i, i + 3)) AS p FROM again) GROUP BY row_id),
+lines AS (SELECT row_id, source, unnest(string_split(body, chr(10))) AS line FROM d),
+solid AS (
+  SELECT row_id, source, line, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+         trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dups AS (SELECT row_id, (count(*) - count(DISTINCT line))::BIGINT AS n FROM solid GROUP BY row_id),
+frequent AS (SELECT source, norm FROM solid GROUP BY source, norm HAVING count(DISTINCT row_id) > 10),
+gone AS (
+  SELECT s.row_id, count(*)::BIGINT AS n, sum(s.chars)::BIGINT AS chars
+  FROM solid s JOIN frequent f ON f.norm = s.norm AND f.source IS NOT DISTINCT FROM s.source GROUP BY s.row_id),
+counted AS (
+  SELECT w.doc_id, len(w.words)::BIGINT AS n_words,
+         length(regexp_replace(w.body, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(w.body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(dups.n, 0)::BIGINT AS n_dup_lines, coalesce(repeats.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(gone.n, 0)::BIGINT AS n_removed_lines, coalesce(gone.chars, 0)::BIGINT AS removed
+  FROM w LEFT JOIN dups ON dups.row_id = w.row_id LEFT JOIN repeats ON repeats.row_id = w.row_id
+  LEFT JOIN gone ON gone.row_id = w.row_id),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * (word_chars - removed) >= 50 * word_chars AS kept, n_removed_lines, word_chars - removed AS left_chars
+FROM judged
+"""
+
+
+@query("op12_line_frequency", LINES_SQL)
+def line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from depotflow.llm.line_frequency import line_rules
+
+    judged = line_rules(table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        (~failed & ~F.col("depleted")).alias("kept"), "n_removed_lines", "left_chars",
+    )
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where every tenth document by the crc32 of its id goes on periodically from some word."""
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    g, n = F.expr("h div 10"), F.size("words")
+    placed = chosen.select("doc_id", "text", "words", n.alias("n"), g.alias("g"), F.when(n > 0, F.pmod(g, n)).cast("int").alias("a"))
+    placed = placed.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    cycle = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.expr("cast((n - a + p - 1) div p as int)")
+    tail = F.slice(F.flatten(F.array_repeat(cycle, times)), F.lit(1), F.col("n") - F.col("a"))
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from depotflow.llm.periodic_runs import periodic_runs as find
+
+    found = find(with_periods(table(spark, sf_dir, "documents")), "text", least=6)
+
+    def better(best, run):
+        more = best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+        return F.when(more, run).otherwise(best)
+
+    top = F.aggregate("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), better)
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("top"), F.array_join(lines, "").alias("listed"), "collapsed")
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
