@@ -11,7 +11,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from depotflow.functions.calendar import financial_year
 from depotflow.functions.numeric import cap_at, floor_at_zero, ladder_up, percent
 from depotflow.operators.dedup import keep_first
-from depotflow.plans.cleaning import END, START, any_row, parsed
+from depotflow.plans.cleaning import (
+    END,
+    START,
+    Finding,
+    any_row,
+    finding_counts,
+    finding_rows,
+    flagged,
+    parsed,
+)
 
 MEASURES = ("invoice_amount", "amount_paid", "outstanding_balance", "credit_days")
 DATES = ("invoice_date", "due_date", "payment_date")
@@ -26,6 +35,13 @@ class AccountsRules:
     date_formats: tuple[str, ...] = ()
 
 
+def flagged_accounts(raw: DataFrame, rules: AccountsRules) -> DataFrame:
+    """Every raw invoice, parsed, with the reason that drops it."""
+    return flagged(
+        raw, MEASURES, DATES, "invoice_date", rules.start, rules.end, ["invoice_amount"], rules.date_formats
+    )
+
+
 def usable_accounts(raw: DataFrame, rules: AccountsRules) -> DataFrame:
     """Parsed invoices with an amount; a missing payment date is valid (unpaid)."""
     rows = parsed(
@@ -34,19 +50,25 @@ def usable_accounts(raw: DataFrame, rules: AccountsRules) -> DataFrame:
     return rows.dropna(subset=["invoice_amount"])
 
 
-def reconciled(rows: DataFrame, scope: str, triggers: DataFrame | None = None) -> DataFrame:
+def accounts_triggers() -> dict[str, Column]:
+    """What switches a correction on."""
+    invoiced, paid, open_ = (F.col(c) for c in MEASURES[:3])
+    gap = F.round(invoiced - paid, 2)
+    return {"balance": F.abs(open_ - gap) > 1, "overpaid": paid > invoiced}
+
+
+def reconciled(
+    rows: DataFrame, scope: str, triggers: DataFrame | None = None, off: dict[str, Column] | None = None
+) -> DataFrame:
     """Enforce outstanding = invoiced - paid (never below zero) and paid <= invoiced.
 
     ``triggers`` holds the amounts of the same invoices where a cheaper source than
-    ``rows`` has them (no joins).
+    ``rows`` has them (no joins); ``off`` has the triggers themselves where they are known.
     """
     invoiced, paid, open_ = (F.col(c) for c in MEASURES[:3])
     gap = F.round(invoiced - paid, 2)
-    off = any_row(
-        rows if triggers is None else triggers,
-        {"balance": F.abs(open_ - gap) > 1, "overpaid": paid > invoiced},
-        scope,
-    )
+    if off is None:
+        off = any_row(rows if triggers is None else triggers, accounts_triggers(), scope)
     capped = cap_at(paid, invoiced)
     return rows.withColumns(
         {
@@ -90,7 +112,11 @@ def clean_accounts(
     """
     triggers = None if amounts is None else usable_accounts(amounts, rules)
     rows = reconciled(usable_accounts(raw, rules), rules.correction_scope, triggers)
-    rows = keep_first(rows, ["transaction_id"], order)
+    return accounts_derived(keep_first(rows, ["transaction_id"], order), rules)
+
+
+def accounts_derived(rows: DataFrame, rules: AccountsRules) -> DataFrame:
+    """Status, age, efficiency and days to payment of reconciled invoices, one of each id."""
     rows = rows.withColumn(
         "payment_status",
         payment_status(F.col("outstanding_balance"), F.col("payment_date"), F.col("due_date")),
@@ -126,14 +152,25 @@ def _days_between(end: Column, start: Column) -> Column:
     return F.date_diff(end.cast("date"), start.cast("date")) - begun
 
 
+def accounts_findings() -> dict[str, Finding]:
+    """The business rules of usable invoices."""
+    invoiced, paid, open_ = (F.col(c) for c in MEASURES[:3])
+    gap = F.round(invoiced - paid, 2)
+    return {
+        "balance_not_reconciled": Finding(F.abs(open_ - gap) > 1, value=open_, expected=gap),
+        "overpaid": Finding(paid > invoiced, value=paid, expected=invoiced),
+        "no_payment_date": Finding(F.col("payment_date").isNull()),
+    }
+
+
 def accounts_rule_counts(
     raw: DataFrame, rules: AccountsRules = AccountsRules()
 ) -> DataFrame:
-    rows = usable_accounts(raw, rules)
-    invoiced, paid, open_ = (F.col(c) for c in MEASURES[:3])
-    gap = F.round(invoiced - paid, 2)
-    return rows.agg(
-        F.count_if(F.abs(open_ - gap) > 1).alias("balance_not_reconciled"),
-        F.count_if(paid > invoiced).alias("overpaid"),
-        F.count_if(F.col("payment_date").isNull()).alias("no_payment_date"),
-    )
+    return finding_counts(usable_accounts(raw, rules), accounts_findings())
+
+
+def accounts_rule_violations(
+    raw: DataFrame, rules: AccountsRules = AccountsRules()
+) -> DataFrame:
+    """The usable invoices behind the counts, one row for each rule broken."""
+    return finding_rows(usable_accounts(raw, rules), "transaction_id", accounts_findings())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -48,6 +49,68 @@ def parsed(
     return df.withColumns({n: _measure(df, n) for n in numbers})
 
 
+#: Why a raw row is not among the cleaned ones, in the order in which the rules apply.
+DROPPED = ("bad_date", "outside_dates", "missing_value", "duplicate")
+
+
+def flagged(
+    df: DataFrame,
+    numbers: Sequence[str],
+    dates: Sequence[str],
+    window_on: str,
+    start: dt.date,
+    end: dt.date,
+    needed: Sequence[str],
+    formats: tuple[str, ...] = (),
+) -> DataFrame:
+    """As ``parsed``, but every row stays and ``dropped_because`` says why the job drops it (null: usable).
+
+    Copies of an id are not marked here: which one is the first is known only per id.
+    """
+    df = strip_all(df)
+    df = df.withColumns({d: to_moment(df, d, formats) for d in dates})
+    low, high = (F.lit(str(d)).cast("timestamp_ntz") for d in (start, end))
+    inside = F.coalesce(F.col(window_on).between(low, high), F.lit(False))
+    # Numbers of rows outside the window are not parsed, as they are not in ``parsed``.
+    df = df.withColumns({n: F.when(inside, _measure(df, n)) for n in numbers})
+    missing = F.lit(False)
+    for name in needed:
+        missing = missing | F.col(f"`{name}`").isNull()
+    why = F.when(F.col(window_on).isNull(), "bad_date").when(~inside, "outside_dates").when(missing, "missing_value")
+    return df.withColumn("dropped_because", why)
+
+
+def first_of_each(
+    rows: DataFrame,
+    key: str,
+    order: Sequence[str],
+    columns: Sequence[str],
+    triggers: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Fold ``flagged`` rows to one row per id, from one run of them.
+
+    Kept are ``columns`` of the first usable copy under ``order`` (nulls first), ``kept`` (0 or 1), the
+    rows dropped by reason as ``dropped_<reason>``, and whether any usable copy meets each of ``triggers``.
+    The fold combines on the map side, so an id with a third of all rows sends one row per task.
+    """
+    usable = F.col("dropped_because").isNull()
+    rank = F.when(usable, F.struct(*[F.col(c) for c in order]))
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
+    reasons = {r: F.count_if(F.col("dropped_because") == r).alias(f"dropped_{r}") for r in DROPPED[:-1]}
+    met = {n: F.coalesce(F.bool_or(usable & c), F.lit(False)).alias(n) for n, c in (triggers or {}).items()}
+    folded = rows.groupBy(F.col(key).alias("_id")).agg(
+        F.min_by(whole, rank).alias("_first"), F.count_if(usable).alias("_usable"), *reasons.values(), *met.values()
+    )
+    return folded.select(
+        *([F.col("_id").alias(key)] if key not in columns else []),
+        "_first.*",
+        F.least("_usable", F.lit(1)).alias("kept"),
+        *[f"dropped_{r}" for r in reasons],
+        F.greatest(F.col("_usable") - 1, F.lit(0)).alias("dropped_duplicate"),
+        *met,
+    )
+
+
 def _measure(df: DataFrame, name: str) -> Column:
     """Text and doubles are parsed; decimals, and whole numbers as such, are exact already."""
     col, kind = F.col(f"`{name}`"), df.schema[name].dataType
@@ -56,6 +119,47 @@ def _measure(df: DataFrame, name: str) -> Column:
     return col.cast("decimal(20,0)") if isinstance(kind, T.IntegralType) else to_number(col)
 
 
+@dataclass(frozen=True)
+class Finding:
+    """A business rule: when a row breaks it, what was found, and the value or limit expected."""
+
+    broken: Column
+    text: Column | None = None
+    value: Column | None = None
+    expected: Column | None = None
+
+
+def finding_counts(rows: DataFrame, findings: Mapping[str, Finding]) -> DataFrame:
+    """One row: how many rows break each rule."""
+    return rows.agg(*[F.count_if(f.broken).alias(name) for name, f in findings.items()])
+
+
+def finding_rows(rows: DataFrame, row_id: str, findings: Mapping[str, Finding]) -> DataFrame:
+    """One row for every rule that a row breaks: id, rule, found_text, found_value, expected_value.
+
+    Every rule is evaluated once per row into an array that is unfolded in place: one scan, no exchange.
+    Values are shown as doubles.
+    """
+
+    def shown(col: Column | None, kind: str) -> Column:
+        return (F.lit(None) if col is None else col).cast(kind)
+
+    checked = [
+        F.when(
+            f.broken,
+            F.struct(
+                F.lit(name).alias("rule"),
+                shown(f.text, "string").alias("found_text"),
+                shown(f.value, "double").alias("found_value"),
+                shown(f.expected, "double").alias("expected_value"),
+            ),
+        )
+        for name, f in findings.items()
+    ]
+    broken = F.filter(F.array(*checked), lambda f: f.isNotNull())
+    return rows.select(F.col(row_id), F.inline(broken))
+
+
 def any_row(df: DataFrame, rules: Mapping[str, Column], scope: str) -> dict[str, Column]:
     """Whether a correction applies, per rule.
 

@@ -12,7 +12,17 @@ from depotflow.functions.calendar import day_name, financial_year
 from depotflow.functions.numeric import cap_at, floor_at_zero, half_up, or_zero
 from depotflow.operators.dedup import keep_first
 from depotflow.operators.joins import mean_per_group
-from depotflow.plans.cleaning import END, SHELF_LIFE_DAYS, START, any_row, parsed
+from depotflow.plans.cleaning import (
+    END,
+    SHELF_LIFE_DAYS,
+    START,
+    Finding,
+    any_row,
+    finding_counts,
+    finding_rows,
+    flagged,
+    parsed,
+)
 
 MEASURES = ("opening_stock", "received_qty", "dispatched_qty", "closing_stock", "reorder_level")
 
@@ -29,22 +39,36 @@ class InventoryRules:
 def usable_inventory(raw: DataFrame, rules: InventoryRules) -> DataFrame:
     """Parsed stock rows; missing or negative quantities count as zero."""
     rows = parsed(raw, MEASURES, ["date"], "date", rules.start, rules.end, rules.date_formats)
+    return _floored(rows)
+
+
+def _floored(rows: DataFrame) -> DataFrame:
     return rows.withColumns({m: floor_at_zero(or_zero(F.col(m))) for m in MEASURES})
 
 
-def balanced(rows: DataFrame, scope: str) -> DataFrame:
+def flagged_inventory(raw: DataFrame, rules: InventoryRules) -> DataFrame:
+    """Every raw stock row, parsed, with the reason that drops it."""
+    rows = flagged(raw, MEASURES, ["date"], "date", rules.start, rules.end, [], rules.date_formats)
+    return _floored(rows)
+
+
+def inventory_triggers() -> dict[str, Column]:
+    """What switches a correction on."""
+    available = F.col("opening_stock") + F.col("received_qty")
+    dispatched, closing = F.col("dispatched_qty"), F.col("closing_stock")
+    return {
+        "balance": F.abs(closing - (available - dispatched)) > 1,
+        "over_dispatch": dispatched > available,
+    }
+
+
+def balanced(rows: DataFrame, scope: str, off: Mapping[str, Column] | None = None) -> DataFrame:
     """Enforce closing = opening + received - dispatched, never below zero, and never
-    more dispatched than was available."""
+    more dispatched than was available; ``off`` has the triggers where they are known."""
     available = F.col("opening_stock") + F.col("received_qty")
     dispatched, closing = F.col("dispatched_qty"), F.col("closing_stock")
-    off = any_row(
-        rows,
-        {
-            "balance": F.abs(closing - (available - dispatched)) > 1,
-            "over_dispatch": dispatched > available,
-        },
-        scope,
-    )
+    if off is None:
+        off = any_row(rows, inventory_triggers(), scope)
     capped = cap_at(dispatched, available)
     return rows.withColumns(
         {
@@ -76,7 +100,11 @@ def clean_inventory(
 ) -> DataFrame:
     """Cleaned stock rows with status, days of stock and shelf-life risk."""
     rows = balanced(usable_inventory(raw, rules), rules.correction_scope)
-    rows = keep_first(rows, ["inventory_id"], order)
+    return inventory_derived(keep_first(rows, ["inventory_id"], order), rules)
+
+
+def inventory_derived(rows: DataFrame, rules: InventoryRules) -> DataFrame:
+    """Status, days of stock and shelf-life risk of balanced rows, one of each id."""
     day, closing = F.col("date").cast("date"), F.col("closing_stock")
     rows = rows.withColumns(
         {
@@ -99,13 +127,25 @@ def clean_inventory(
     )
 
 
+def inventory_findings() -> dict[str, Finding]:
+    """The business rules of usable stock rows."""
+    available = F.col("opening_stock") + F.col("received_qty")
+    dispatched, closing = F.col("dispatched_qty"), F.col("closing_stock")
+    left = available - dispatched
+    return {
+        "closing_not_balanced": Finding(F.abs(closing - left) > 1, value=closing, expected=left),
+        "over_dispatched": Finding(dispatched > available, value=dispatched, expected=available),
+    }
+
+
 def inventory_rule_counts(
     raw: DataFrame, rules: InventoryRules = InventoryRules()
 ) -> DataFrame:
-    rows = usable_inventory(raw, rules)
-    available = F.col("opening_stock") + F.col("received_qty")
-    gap = F.abs(F.col("closing_stock") - (available - F.col("dispatched_qty")))
-    return rows.agg(
-        F.count_if(gap > 1).alias("closing_not_balanced"),
-        F.count_if(F.col("dispatched_qty") > available).alias("over_dispatched"),
-    )
+    return finding_counts(usable_inventory(raw, rules), inventory_findings())
+
+
+def inventory_rule_violations(
+    raw: DataFrame, rules: InventoryRules = InventoryRules()
+) -> DataFrame:
+    """The usable stock rows behind the counts, one row for each rule broken."""
+    return finding_rows(usable_inventory(raw, rules), "inventory_id", inventory_findings())

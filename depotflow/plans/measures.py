@@ -12,6 +12,7 @@ from depotflow.operators.rollup import rollup
 from depotflow.operators.slicers import same_text
 from depotflow.operators.timeline import (
     daily_totals,
+    dense,
     growth,
     monthly_totals,
     rolling_mean,
@@ -64,18 +65,45 @@ def sales_measures(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def revenue_to_date(sales: DataFrame) -> DataFrame:
-    """Daily revenue with month-to-date and financial-year-to-date totals."""
-    daily = daily_totals(sales, "net_amount", "revenue")
-    return to_date_totals(daily, "revenue", "revenue_mtd", "revenue_ytd")
+def _revenue_by(
+    sales: DataFrame, keys: Sequence[str], period: str, at: Column, dimension: tuple[DataFrame, str] | None
+) -> DataFrame:
+    """Revenue per key and period; attributes of ``dimension`` are joined after folding by its key."""
+    dated = sales.withColumn(period, at)
+    return rollup(dated, [*keys, period], {"revenue": ("sum", "net_amount")}, dimension)
+
 
+def revenue_to_date(
+    sales: DataFrame, keys: Sequence[str] = (), dimension: tuple[DataFrame, str] | None = None
+) -> DataFrame:
+    """Daily revenue with month-to-date and financial-year-to-date totals, per ``keys`` where given.
+
+    A key has a row for every day from its first to its last one.
+    """
+    if keys:
+        totals = _revenue_by(sales, keys, "date_key", F.col("date").cast("date"), dimension)
+        daily = dense(totals, keys, "date_key", "revenue", "day")
+    else:
+        daily = daily_totals(sales, "net_amount", "revenue")
+    return to_date_totals(daily, "revenue", "revenue_mtd", "revenue_ytd", keys)
 
-def monthly_time_intelligence(sales: DataFrame) -> DataFrame:
-    """Monthly revenue: same month last year, MoM %, YoY %, rolling 3-month average."""
-    monthly = monthly_totals(sales, "net_amount", "revenue")
-    monthly = shifted(monthly, "revenue", 12, "revenue_smly")
-    monthly = shifted(monthly, "revenue", 1, "revenue_previous_month")
-    monthly = rolling_mean(monthly, "revenue", 3, "_rolling")
+
+def monthly_time_intelligence(
+    sales: DataFrame, keys: Sequence[str] = (), dimension: tuple[DataFrame, str] | None = None
+) -> DataFrame:
+    """Monthly revenue: same month last year, MoM %, YoY %, rolling 3-month average, per ``keys`` where given.
+
+    A key has a row for every month from its first to its last one.
+    """
+    if keys:
+        month = F.trunc(F.col("date").cast("date"), "month")
+        totals = _revenue_by(sales, keys, "month_start", month, dimension)
+        monthly = dense(totals, keys, "month_start", "revenue", "month")
+    else:
+        monthly = monthly_totals(sales, "net_amount", "revenue")
+    monthly = shifted(monthly, "revenue", 12, "revenue_smly", keys)
+    monthly = shifted(monthly, "revenue", 1, "revenue_previous_month", keys)
+    monthly = rolling_mean(monthly, "revenue", 3, "_rolling", keys)
     revenue = F.col("revenue")
     return monthly.withColumns(
         {

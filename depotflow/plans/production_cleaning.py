@@ -12,7 +12,16 @@ from depotflow.functions.calendar import day_name, financial_year
 from depotflow.functions.numeric import floor_at_zero, percent, right_closed_bin
 from depotflow.functions.text import is_member, title_case
 from depotflow.operators.dedup import keep_first
-from depotflow.plans.cleaning import CATEGORIES, END, START, parsed
+from depotflow.plans.cleaning import (
+    CATEGORIES,
+    END,
+    START,
+    Finding,
+    finding_counts,
+    finding_rows,
+    flagged,
+    parsed,
+)
 
 QUANTITIES = ("planned_qty", "actual_qty", "wastage_qty", "net_produced_qty")
 MEASURES = (*QUANTITIES, "raw_milk_used_L", "production_efficiency_%", "wastage_rate_%")
@@ -51,6 +60,13 @@ def usable_production(raw: DataFrame, rules: ProductionRules) -> DataFrame:
     return rows.withColumns({q: floor_at_zero(F.col(q)) for q in QUANTITIES})
 
 
+def flagged_production(raw: DataFrame, rules: ProductionRules) -> DataFrame:
+    """Every raw run, parsed, with the reason that drops it."""
+    needed = ["planned_qty", "actual_qty"]
+    rows = flagged(raw, MEASURES, ["date"], "date", rules.start, rules.end, needed, rules.date_formats)
+    return rows.withColumns({q: floor_at_zero(F.col(q)) for q in QUANTITIES})
+
+
 def clean_production(
     raw: DataFrame, order: Sequence, rules: ProductionRules = ProductionRules()
 ) -> DataFrame:
@@ -59,7 +75,11 @@ def clean_production(
     An unknown category or shift leaves no mark in the flag: it is reported by
     ``production_rule_counts`` only.
     """
-    rows = keep_first(usable_production(raw, rules), ["production_id"], order)
+    return production_derived(keep_first(usable_production(raw, rules), ["production_id"], order))
+
+
+def production_derived(rows: DataFrame) -> DataFrame:
+    """Star names and derived columns of usable runs, one of each id."""
     rows = rows.withColumnsRenamed(STAR_NAMES)
     day = F.col("date").cast("date")
     planned, actual, wasted = (F.col(q) for q in QUANTITIES[:3])
@@ -91,18 +111,28 @@ def clean_production(
     )
 
 
+def production_findings(rules: ProductionRules) -> dict[str, Finding]:
+    """The business rules of usable runs."""
+    category, shift = title_case(F.col("category")), title_case(F.col("shift"))
+    actual, wasted = F.col("actual_qty"), F.col("wastage_qty")
+    most = F.col("planned_qty") * F.lit("1.10").cast("decimal(3,2)")
+    return {
+        "invalid_category": Finding(~is_member(category, rules.categories), text=category),
+        "invalid_shift": Finding(~is_member(shift, rules.shifts), text=shift),
+        "over_production": Finding(actual > most, value=actual, expected=most),
+        "wastage_above_actual": Finding(wasted > actual, value=wasted, expected=actual),
+    }
+
+
 def production_rule_counts(
     raw: DataFrame, rules: ProductionRules = ProductionRules()
 ) -> DataFrame:
     """One row: how many usable runs break each rule (copies included)."""
-    rows = usable_production(raw, rules)
-    category, shift = title_case(F.col("category")), title_case(F.col("shift"))
-    actual = F.col("actual_qty")
-    return rows.agg(
-        F.count_if(~is_member(category, rules.categories)).alias("invalid_category"),
-        F.count_if(~is_member(shift, rules.shifts)).alias("invalid_shift"),
-        F.count_if(actual > F.col("planned_qty") * F.lit("1.10").cast("decimal(3,2)")).alias(
-            "over_production"
-        ),
-        F.count_if(F.col("wastage_qty") > actual).alias("wastage_above_actual"),
-    )
+    return finding_counts(usable_production(raw, rules), production_findings(rules))
+
+
+def production_rule_violations(
+    raw: DataFrame, rules: ProductionRules = ProductionRules()
+) -> DataFrame:
+    """The usable runs (copies included) behind the counts, one row for each rule broken."""
+    return finding_rows(usable_production(raw, rules), "production_id", production_findings(rules))

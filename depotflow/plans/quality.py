@@ -2,13 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from depotflow.contracts import TableContract
 from depotflow.functions.numeric import NUMBER, percent
 from depotflow.operators.rollup import rollup
+from depotflow.plans.accounts_cleaning import (
+    DATES,
+    MEASURES as ACCOUNT_MEASURES,
+    AccountsRules,
+    accounts_derived,
+    accounts_triggers,
+    flagged_accounts,
+    reconciled,
+)
+from depotflow.plans.cleaning import DROPPED, any_row, first_of_each
+from depotflow.plans.inventory_cleaning import (
+    MEASURES as STOCK_MEASURES,
+    InventoryRules,
+    balanced,
+    flagged_inventory,
+    inventory_derived,
+    inventory_triggers,
+)
+from depotflow.plans.production_cleaning import (
+    QUANTITIES,
+    ProductionRules,
+    flagged_production,
+    production_derived,
+)
+from depotflow.plans.sales_cleaning import SalesRules, flagged_sales
+from depotflow.session import stored
 
 
 def _name(column: str) -> str:
@@ -28,12 +54,18 @@ def _line(
     )
 
 
-def quality_report(df: DataFrame, contract: TableContract) -> DataFrame:
+def quality_report(df: DataFrame, contract: TableContract, one_pass: bool = False) -> DataFrame:
     """All checks of one table: required columns, row count, nulls, duplicate ids, dates
     and numbers.
 
     Every check except duplicates is part of a single aggregate over one scan, whose
-    tasks emit one row each.  Duplicates count rows per id, combined on the map side.
+    tasks emit one row each.  Duplicates count rows per id, combined on the map side, in a
+    second run of ``df`` that reads the id alone.
+
+    ``one_pass`` runs ``df`` once: the same states (nulls, bad values, least and greatest) are
+    kept per id together with the distinct count, and merged.  That shuffles a state as wide
+    as the report for every id, so it pays where ``df`` is dear to run or ids repeat often; over
+    Parquet files with unique ids the second, narrow run is cheaper.
     """
     columns = df.columns
     absent = [c for c in contract.columns if c not in columns]
@@ -66,6 +98,10 @@ def quality_report(df: DataFrame, contract: TableContract) -> DataFrame:
             f"cast(max({shown}) AS string) AS {_name('max:' + c)}",
         ]
     stats += [f"count_if({number(c)} < 0) AS {_name('neg:' + c)}" for c in numbers]
+    key = contract.id_column
+    if one_pass and key in columns:
+        # Rows without an id are copies of each other.
+        stats.append(f"count(1) - count(DISTINCT {_name(key)}) - if(count_if({_name(key)} IS NULL) > 0, 1, 0) AS duplicates")
     one = df.agg(*[F.expr(s) for s in stats])
 
     lines = [_line("required_column", c, "ERROR", "1", "false") for c in absent]
@@ -88,11 +124,11 @@ def quality_report(df: DataFrame, contract: TableContract) -> DataFrame:
             lines.append(
                 _line(check, c, "WARNING", bad, f"{bad} = 0", _name("min:" + c), _name("max:" + c))
             )
-    key = contract.id_column
     if key in columns:
-        ids = df.groupBy(F.col(_name(key)).alias("id")).agg(F.count(F.lit(1)).alias("n"))
-        extra = ids.agg(F.sum(F.col("n") - 1)).scalar()
-        one = one.withColumn("duplicates", F.coalesce(extra, F.lit(0)))
+        if not one_pass:
+            ids = df.groupBy(F.col(_name(key)).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+            extra = ids.agg(F.sum(F.col("n") - 1)).scalar()
+            one = one.withColumn("duplicates", F.coalesce(extra, F.lit(0)))
         lines.append(_line("duplicates", key, "WARNING", "duplicates", "duplicates = 0"))
     report = one.selectExpr(
         f"'{contract.name}' AS table_name", "n AS _n", f"inline(array({', '.join(lines)}))"
@@ -125,23 +161,50 @@ def quality_summary(reports: Mapping[str, DataFrame | None]) -> DataFrame:
     )
 
 
-def sales_cleaning_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
+def _tallies(folded: DataFrame) -> dict[str, Column]:
+    """Rows in, out and dropped, by reason, of a fold by id."""
+    dropped = {f"dropped_{r}": F.sum(f"dropped_{r}") for r in DROPPED}
+    gone = sum(dropped.values(), F.lit(0))
+    kept = F.sum("kept")
+    return {"output_rows": kept, "input_rows": kept + gone, "dropped_rows": gone, **dropped}
+
+
+def _one_row(out: DataFrame) -> DataFrame:
+    """Counts of an empty table are zero."""
+    counted = ["output_rows", "input_rows", "dropped_rows", *(f"dropped_{r}" for r in DROPPED)]
+    return out.fillna(0, counted)
+
+
+def sales_cleaning_summary(
+    raw: DataFrame, order: Sequence[str], rules: SalesRules = SalesRules()
+) -> DataFrame:
+    """Rows in, out and dropped by reason, and totals of the cleaned rows, from one run of ``raw``."""
+    columns = ["date", "net_amount", "customer_id", "product_id"]
+    folded = first_of_each(flagged_sales(raw, rules), "sale_id", order, columns)
+    sums = {"output_rows": "kept"} | {f"dropped_{r}": f"dropped_{r}" for r in DROPPED}
     out = rollup(
-        cleaned.withColumn("_all", F.lit(1)),
+        folded.withColumn("_all", F.lit(1)),
         ["_all"],
         {
-            "output_rows": ("rows",),
+            **{name: ("sum", column) for name, column in sums.items()},
             "first_date": ("min", "date"),
             "last_date": ("max", "date"),
             "total_net_revenue": ("sum", "net_amount"),
             "unique_customers": ("distinct", "customer_id"),
             "unique_products": ("distinct", "product_id"),
         },
-    )
-    return _with_input(raw, out.drop("_all"))
+    ).drop("_all")
+    gone = sum((F.col(f"dropped_{r}") for r in DROPPED), F.lit(0))
+    out = out.withColumns({c: F.col(c).cast("date") for c in ("first_date", "last_date")})
+    return out.withColumns({"dropped_rows": gone, "input_rows": gone + F.col("output_rows")})
 
 
-def production_cleaning_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
+def production_cleaning_summary(
+    raw: DataFrame, order: Sequence[str], rules: ProductionRules = ProductionRules()
+) -> DataFrame:
+    columns = ["date", "category", "shift", *QUANTITIES, "raw_milk_used_L"]
+    folded = first_of_each(flagged_production(raw, rules), "production_id", order, columns)
+    cleaned = production_derived(folded)
     mean = {
         n: F.round((F.sum(c) / F.count(c)).cast("decimal(38,8)"), 2)
         for n, c in (
@@ -149,30 +212,50 @@ def production_cleaning_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame
             ("avg_wastage_pct", "wastage_rate_pct"),
         )
     }
-    out = cleaned.agg(
-        F.count(F.lit(1)).alias("output_rows"),
-        *[c.alias(n) for n, c in mean.items()],
-        F.sum("raw_milk_used_l").alias("total_raw_milk_l"),
-    )
-    return _with_input(raw, out)
+    tallies = _tallies(folded) | mean | {"total_raw_milk_l": F.sum("raw_milk_used_l")}
+    return _one_row(cleaned.agg(*[c.alias(n) for n, c in tallies.items()]))
+
+
+def _any_of(folded: DataFrame, triggers: Mapping[str, Column], scope: str) -> Mapping[str, Column] | None:
+    """Triggers of the whole table from those of its ids; by row they are evaluated anew."""
+    return any_row(folded, {n: F.col(n) for n in triggers}, scope) if scope == "dataset" else None
 
 
-def inventory_cleaning_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
+def inventory_cleaning_summary(
+    raw: DataFrame, order: Sequence[str], rules: InventoryRules = InventoryRules()
+) -> DataFrame:
+    """As for sales.  The fold carries the dataset-wide triggers, and is stored: triggers, means and totals
+    read it, not ``raw`` again."""
+    triggers = inventory_triggers()
+    columns = ["date", "product_id", "category", *STOCK_MEASURES]
+    rows = flagged_inventory(raw, rules)
+    folded = stored(first_of_each(rows, "inventory_id", order, columns, triggers))
+    kept = folded.where("kept = 1").drop("kept", *(f"dropped_{r}" for r in DROPPED))
+    scope = rules.correction_scope
+    cleaned = inventory_derived(balanced(kept, scope, _any_of(folded, triggers, scope)), rules)
     out = cleaned.agg(
-        F.count(F.lit(1)).alias("output_rows"),
         *[
             F.count_if(F.col("stock_status") == s).alias(f"{s.lower()}_rows")
             for s in ("Stockout", "Critical", "Low", "OK")
         ],
         F.count_if(F.col("shelf_life_risk") == "At Risk").alias("shelf_life_at_risk"),
     )
-    return _with_input(raw, out)
+    return _with_tallies(folded, out)
 
 
-def accounts_cleaning_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
+def accounts_cleaning_summary(
+    raw: DataFrame, order: Sequence[str], rules: AccountsRules = AccountsRules()
+) -> DataFrame:
+    """As for stock: one run of ``raw``, whose fold is stored."""
+    triggers = accounts_triggers()
+    columns = [*DATES, *ACCOUNT_MEASURES]
+    rows = flagged_accounts(raw, rules)
+    folded = stored(first_of_each(rows, "transaction_id", order, columns, triggers))
+    kept = folded.where("kept = 1").drop("kept", *(f"dropped_{r}" for r in DROPPED))
+    scope = rules.correction_scope
+    cleaned = accounts_derived(reconciled(kept, scope, off=_any_of(folded, triggers, scope)), rules)
     status = F.col("payment_status")
     out = cleaned.agg(
-        F.count(F.lit(1)).alias("output_rows"),
         F.sum("invoice_amount").alias("total_billed"),
         F.sum("amount_paid").alias("total_collected"),
         F.sum("outstanding_balance").alias("total_outstanding"),
@@ -182,9 +265,12 @@ def accounts_cleaning_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
         F.count_if(status == "OverDue").alias("overdue_invoices"),
         F.count_if(F.col("aging_bucket") == "90+ Days").alias("overdue_90_plus"),
     )
-    return _with_input(raw, out)
+    return _with_tallies(folded, out)
 
 
-def _with_input(raw: DataFrame, out: DataFrame) -> DataFrame:
-    n = raw.agg(F.count(F.lit(1))).scalar()
-    return out.withColumns({"input_rows": n, "dropped_rows": n - F.col("output_rows")})
+def _with_tallies(folded: DataFrame, out: DataFrame) -> DataFrame:
+    """Attach the counts of a stored fold to a one-row result."""
+    names = list(_tallies(folded))
+    counts = folded.agg(F.struct(*[F.coalesce(c, F.lit(0)).alias(n) for n, c in _tallies(folded).items()]).alias("t"))
+    counts = counts.scalar()
+    return out.withColumns({n: counts.getField(n) for n in names})

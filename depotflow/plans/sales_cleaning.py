@@ -13,7 +13,16 @@ from depotflow.functions.numeric import percent, right_closed_bin
 from depotflow.functions.text import is_member, title_case
 from depotflow.operators.dedup import keep_first
 from depotflow.plans.dimensions import ROUTES
-from depotflow.plans.cleaning import CATEGORIES, END, START, parsed
+from depotflow.plans.cleaning import (
+    CATEGORIES,
+    END,
+    START,
+    Finding,
+    finding_counts,
+    finding_rows,
+    flagged,
+    parsed,
+)
 
 MEASURES = ("quantity", "unit_price", "gross_amount", "discount", "net_amount")
 
@@ -42,6 +51,12 @@ def usable_sales(raw: DataFrame, rules: SalesRules) -> DataFrame:
     return rows.dropna(subset=["quantity", "unit_price", "net_amount"])
 
 
+def flagged_sales(raw: DataFrame, rules: SalesRules) -> DataFrame:
+    """Every raw row, parsed, with the reason that drops it."""
+    needed = ["quantity", "unit_price", "net_amount"]
+    return flagged(raw, MEASURES, ["date"], "date", rules.start, rules.end, needed, rules.date_formats)
+
+
 def _standardised(rows: DataFrame) -> DataFrame:
     return rows.withColumns(
         {c: title_case(F.col(c)) for c in ("category", "customer_type", "route_name")}
@@ -81,23 +96,39 @@ def clean_sales(
     )
 
 
-def sales_rule_counts(raw: DataFrame, rules: SalesRules = SalesRules()) -> DataFrame:
-    """One row: how many usable rows break each business rule (copies included)."""
-    rows = _standardised(usable_sales(raw, rules))
+def sales_findings(rules: SalesRules) -> dict[str, Finding]:
+    """The business rules of usable sales rows."""
     gross, net, discount = F.col("gross_amount"), F.col("net_amount"), F.col("discount")
     expected = F.round(F.col("quantity") * F.col("unit_price"), 2)
     off_by = F.abs(gross - expected).cast("double") / F.nullif(
         expected.cast("double"), F.lit(0.0)
     )
-    findings = {
-        "invalid_category": ~is_member(F.col("category"), rules.categories),
-        "invalid_payment_mode": ~is_member(F.col("payment_mode"), rules.payment_modes),
-        "invalid_customer_type": ~is_member(F.col("customer_type"), rules.customer_types),
-        "invalid_route": ~is_member(F.col("route_name"), rules.routes),
-        "gross_not_quantity_times_price": off_by > 0.01,
-        "net_not_gross_less_discount": F.abs(net - F.round(gross - discount, 2)) > 1,
-        "discount_above_20_percent": percent(discount, gross) > 20,
-        "net_not_positive": net <= 0,
-        **{f"negative_{m}": F.col(m) < 0 for m in MEASURES},
+    share, rest = percent(discount, gross), F.round(gross - discount, 2)
+
+    def member(name: str, allowed) -> Finding:
+        return Finding(~is_member(F.col(name), allowed), text=F.col(name))
+
+    return {
+        "invalid_category": member("category", rules.categories),
+        "invalid_payment_mode": member("payment_mode", rules.payment_modes),
+        "invalid_customer_type": member("customer_type", rules.customer_types),
+        "invalid_route": member("route_name", rules.routes),
+        "gross_not_quantity_times_price": Finding(off_by > 0.01, value=gross, expected=expected),
+        "net_not_gross_less_discount": Finding(F.abs(net - rest) > 1, value=net, expected=rest),
+        "discount_above_20_percent": Finding(share > 20, value=share, expected=F.lit(20)),
+        "net_not_positive": Finding(net <= 0, value=net, expected=F.lit(0)),
+        **{
+            f"negative_{m}": Finding(F.col(m) < 0, value=F.col(m), expected=F.lit(0))
+            for m in MEASURES
+        },
     }
-    return rows.agg(*[F.count_if(cond).alias(name) for name, cond in findings.items()])
+
+
+def sales_rule_counts(raw: DataFrame, rules: SalesRules = SalesRules()) -> DataFrame:
+    """One row: how many usable rows break each business rule (copies included)."""
+    return finding_counts(_standardised(usable_sales(raw, rules)), sales_findings(rules))
+
+
+def sales_rule_violations(raw: DataFrame, rules: SalesRules = SalesRules()) -> DataFrame:
+    """The usable rows (copies included) behind the counts, one row for each rule broken."""
+    return finding_rows(_standardised(usable_sales(raw, rules)), "sale_id", sales_findings(rules))

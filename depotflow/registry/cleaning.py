@@ -3,22 +3,30 @@
 from __future__ import annotations
 
 
-from depotflow.plans.accounts_cleaning import accounts_rule_counts, clean_accounts
-from depotflow.plans.inventory_cleaning import clean_inventory, inventory_rule_counts
-from depotflow.plans.production_cleaning import clean_production, production_rule_counts
+from depotflow.plans.accounts_cleaning import accounts_rule_counts, accounts_rule_violations, clean_accounts
+from depotflow.plans.inventory_cleaning import clean_inventory, inventory_rule_counts, inventory_rule_violations
+from depotflow.plans.production_cleaning import (
+    clean_production,
+    production_rule_counts,
+    production_rule_violations,
+)
 from depotflow.plans.quality import (
     accounts_cleaning_summary,
     inventory_cleaning_summary,
     production_cleaning_summary,
     sales_cleaning_summary,
 )
-from depotflow.plans.sales_cleaning import clean_sales, sales_rule_counts
+from depotflow.plans.sales_cleaning import clean_sales, sales_rule_counts, sales_rule_violations
 from depotflow.registry.base import query
 from depotflow.registry.sqltext import (
+    END,
     SALES_CATEGORIES,
+    SALES_END,
     SALES_MODES,
     SALES_ROUTES,
+    SALES_START,
     SALES_TYPES,
+    START,
     CLEAN_ACCOUNTS,
     CLEAN_INVENTORY,
     CLEAN_PRODUCTION,
@@ -28,6 +36,7 @@ from depotflow.registry.sqltext import (
     dbl,
     iso,
     members,
+    moment,
     pct,
     rnd,
     raw_div,
@@ -194,22 +203,115 @@ def _(t):
     return accounts_rule_counts(t.raw_accounts(), ACCOUNTS_RULES)
 
 
+def _violations(row_id: str, table: str, rules: dict[str, tuple]) -> str:
+    """One SELECT per rule over the usable rows: condition, and text, value and expected value shown."""
+
+    def rows(name, broken, text="NULL", value="NULL", expected="NULL"):
+        return f"""SELECT {row_id}, '{name}' AS rule, CAST({text} AS VARCHAR) AS found_text,
+          {dbl(value)} AS found_value, {dbl(expected)} AS expected_value FROM {table} WHERE {broken}"""
+
+    return "\nUNION ALL ".join(rows(name, *spec) for name, spec in rules.items())
+
+
+def _stranger(col: str, values) -> tuple:
+    return f"({col} IS NULL OR {col} NOT IN {members(values)})", col
+
+
+_TIMES = "round(quantity * unit_price, 2)"
+_SALES_VIOLATIONS = {
+    "invalid_category": _stranger("category", SALES_CATEGORIES),
+    "invalid_payment_mode": _stranger("payment_mode", SALES_MODES),
+    "invalid_customer_type": _stranger("customer_type", SALES_TYPES),
+    "invalid_route": _stranger("route_name", SALES_ROUTES),
+    "gross_not_quantity_times_price": (
+        f"{_TIMES} > 0 AND abs({dbl('gross_amount')} - {dbl(_TIMES)}) / {dbl(_TIMES)} > 0.01", "NULL", "gross_amount", _TIMES
+    ),
+    "net_not_gross_less_discount": (
+        "abs(net_amount - round(gross_amount - discount, 2)) > 1", "NULL", "net_amount", "round(gross_amount - discount, 2)"
+    ),
+    "discount_above_20_percent": (f"{pct('discount', 'gross_amount')} > 20", "NULL", pct("discount", "gross_amount"), "20"),
+    "net_not_positive": ("net_amount <= 0", "NULL", "net_amount", "0"),
+    **{f"negative_{m}": (f"{m} < 0", "NULL", m, "0") for m in _MEASURES},
+}
+_MOST = "planned_qty * CAST('1.10' AS DECIMAL(3,2))"
+_PRODUCTION_VIOLATIONS = {
+    "invalid_category": _stranger("category", PRODUCTION_RULES.categories),
+    "invalid_shift": _stranger("shift", PRODUCTION_RULES.shifts),
+    "over_production": (f"actual_qty > {_MOST}", "NULL", "actual_qty", _MOST),
+    "wastage_above_actual": ("wastage_qty > actual_qty", "NULL", "wastage_qty", "actual_qty"),
+}
+_INVENTORY_VIOLATIONS = {
+    "closing_not_balanced": (
+        "abs(closing_stock - (opening_stock + received_qty - dispatched_qty)) > 1", "NULL", "closing_stock",
+        "opening_stock + received_qty - dispatched_qty",
+    ),
+    "over_dispatched": ("dispatched_qty > opening_stock + received_qty", "NULL", "dispatched_qty", "opening_stock + received_qty"),
+}
+_ACCOUNTS_VIOLATIONS = {
+    "balance_not_reconciled": (
+        "abs(outstanding_balance - round(invoice_amount - amount_paid, 2)) > 1", "NULL", "outstanding_balance",
+        "round(invoice_amount - amount_paid, 2)",
+    ),
+    "overpaid": ("amount_paid > invoice_amount", "NULL", "amount_paid", "invoice_amount"),
+    "no_payment_date": ("payment_date IS NULL",),
+}
+
+
+@query("sales_rule_violations", with_(USABLE_SALES, _violations("sale_id", "usable", _SALES_VIOLATIONS)))
+def _(t):
+    return sales_rule_violations(t.raw_sales(), SALES_RULES)
+
+
+@query(
+    "production_rule_violations",
+    with_(CLEAN_PRODUCTION, _violations("production_id", "cleaned_usable", _PRODUCTION_VIOLATIONS)),
+)
+def _(t):
+    return production_rule_violations(t.raw_production(), PRODUCTION_RULES)
+
+
+@query(
+    "inventory_rule_violations",
+    with_(CLEAN_INVENTORY, _violations("inventory_id", "cleaned_usable", _INVENTORY_VIOLATIONS)),
+)
+def _(t):
+    return inventory_rule_violations(t.raw_inventory(), INVENTORY_RULES)
+
+
+@query(
+    "accounts_rule_violations",
+    with_(CLEAN_ACCOUNTS, _violations("transaction_id", "cleaned_usable", _ACCOUNTS_VIOLATIONS)),
+)
+def _(t):
+    return accounts_rule_violations(t.raw_accounts(), ACCOUNTS_RULES)
+
+
 def _rows_in(table: str) -> str:
     return f"(SELECT count(*) FROM {table})"
 
 
+def _dropped(raw: str, usable: str, date: str, start: str, end: str) -> str:
+    """Input rows and rows dropped by reason, each counted on its own."""
+    when = moment(date)
+    inside = f"{when} BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}'"
+    rows = lambda cond: f"(SELECT count(*) FROM {raw} WHERE {cond})"
+    return f"""{_rows_in(raw)} AS input_rows, {_rows_in(raw)} - count(*) AS dropped_rows,
+          {rows(f'{when} IS NULL')} AS dropped_bad_date, {rows(f'{when} IS NOT NULL AND NOT ({inside})')} AS dropped_outside_dates,
+          {rows(inside)} - {_rows_in(usable)} AS dropped_missing_value, {_rows_in(usable)} - count(*) AS dropped_duplicate"""
+
+
 @query(
     "clean_sales_summary",
     with_(
         CLEAN_SALES,
         f"""SELECT count(*) AS output_rows, {iso('min(date)')} AS first_date, {iso('max(date)')} AS last_date,
           {dbl('SUM(net_amount)')} AS total_net_revenue, count(DISTINCT customer_id) AS unique_customers,
-          count(DISTINCT product_id) AS unique_products, {_rows_in('raw_sales')} AS input_rows,
-          {_rows_in('raw_sales')} - count(*) AS dropped_rows FROM cleaned""",
+          count(DISTINCT product_id) AS unique_products,
+          {_dropped('raw_sales', 'usable', 'date', SALES_START, SALES_END)} FROM cleaned""",
     ),
 )
 def _(t):
-    return sales_cleaning_summary(t.raw_sales(), cleaned_sales(t))
+    return sales_cleaning_summary(t.raw_sales(), t.RAW_SALES_ORDER, SALES_RULES)
 
 
 @query(
@@ -219,12 +321,12 @@ def _(t):
         f"""SELECT count(*) AS output_rows,
           {rnd(raw_div('SUM(CAST(production_efficiency_pct AS DECIMAL(18,2)))', 'COUNT(production_efficiency_pct)'))} AS avg_efficiency_pct,
           {rnd(raw_div('SUM(CAST(wastage_rate_pct AS DECIMAL(18,2)))', 'COUNT(wastage_rate_pct)'))} AS avg_wastage_pct,
-          {dbl('SUM(raw_milk_used_l)')} AS total_raw_milk_l, {_rows_in('raw_production')} AS input_rows,
-          {_rows_in('raw_production')} - count(*) AS dropped_rows FROM cleaned""",
+          {dbl('SUM(raw_milk_used_l)')} AS total_raw_milk_l,
+          {_dropped('raw_production', 'cleaned_usable', 'date', START, END)} FROM cleaned""",
     ),
 )
 def _(t):
-    return production_cleaning_summary(t.raw_production(), cleaned_production(t))
+    return production_cleaning_summary(t.raw_production(), t.RAW_PRODUCTION_ORDER, PRODUCTION_RULES)
 
 
 @query(
@@ -234,11 +336,11 @@ def _(t):
         f"""SELECT count(*) AS output_rows,
           {', '.join(f"count(*) FILTER (WHERE stock_status = '{s}') AS {s.lower()}_rows" for s in ('Stockout', 'Critical', 'Low', 'OK'))},
           count(*) FILTER (WHERE shelf_life_risk = 'At Risk') AS shelf_life_at_risk,
-          {_rows_in('raw_inventory')} AS input_rows, {_rows_in('raw_inventory')} - count(*) AS dropped_rows FROM cleaned""",
+          {_dropped('raw_inventory', 'cleaned_usable', 'date', START, END)} FROM cleaned""",
     ),
 )
 def _(t):
-    return inventory_cleaning_summary(t.raw_inventory(), cleaned_inventory(t))
+    return inventory_cleaning_summary(t.raw_inventory(), t.RAW_INVENTORY_ORDER, INVENTORY_RULES)
 
 
 @query(
@@ -252,8 +354,8 @@ def _(t):
           count(*) FILTER (WHERE payment_status = 'Paid Late') AS paid_late_invoices,
           count(*) FILTER (WHERE payment_status = 'OverDue') AS overdue_invoices,
           count(*) FILTER (WHERE aging_bucket = '90+ Days') AS overdue_90_plus,
-          {_rows_in('raw_accounts')} AS input_rows, {_rows_in('raw_accounts')} - count(*) AS dropped_rows FROM cleaned""",
+          {_dropped('raw_accounts', 'cleaned_usable', 'invoice_date', START, END)} FROM cleaned""",
     ),
 )
 def _(t):
-    return accounts_cleaning_summary(t.raw_accounts(), cleaned_accounts(t))
+    return accounts_cleaning_summary(t.raw_accounts(), t.RAW_ACCOUNTS_ORDER, ACCOUNTS_RULES)

@@ -118,6 +118,69 @@ def _(t):
     return measures.monthly_time_intelligence(some)
 
 
+def _dense_sql(keys: str, period: str) -> str:
+    """Revenue per key and period; every period between the first and the last one of a key."""
+    return f"""
+totals AS (SELECT {keys}, CAST(date_trunc('{period}', date) AS DATE) AS s, SUM(net_amount) AS r FROM sales GROUP BY ALL),
+ends AS (SELECT {keys}, min(s)::TIMESTAMP AS lo, max(s)::TIMESTAMP AS hi FROM totals GROUP BY ALL),
+spine AS (SELECT {keys}, CAST(unnest(generate_series(lo, hi, INTERVAL 1 {period})) AS DATE) AS s FROM ends),
+m AS (SELECT {keys}, s, r FROM spine LEFT JOIN totals USING ({keys}, s))"""
+
+
+def _monthly_sql(keys: str) -> str:
+    match = lambda other: " AND ".join(f"{other}.{k.strip()} = m.{k.strip()}" for k in keys.split(","))
+    trailing = f"OVER (PARTITION BY {', '.join(f'm.{k.strip()}' for k in keys.split(','))} ORDER BY m.s RANGE BETWEEN INTERVAL 2 MONTH PRECEDING AND CURRENT ROW)"
+    own = ", ".join(f"m.{k.strip()}" for k in keys.split(","))
+    return with_(
+        SALES,
+        _dense_sql(keys, "month"),
+        f"""SELECT {own}, {iso('m.s')} AS month_start, {dbl('m.r')} AS revenue, {dbl('y.r')} AS revenue_smly,
+          {dbl('p.r')} AS revenue_previous_month, {pct('m.r - p.r', 'p.r')} AS revenue_mom_pct,
+          {pct('m.r - y.r', 'y.r')} AS revenue_yoy_pct,
+          {rnd(raw_div(f'(SUM(m.r) {trailing})', f'(COUNT(m.r) {trailing})'), 4)} AS revenue_3m_rolling_avg
+        FROM m LEFT JOIN m y ON y.s + INTERVAL 12 MONTH = m.s AND {match('y')}
+        LEFT JOIN m p ON p.s + INTERVAL 1 MONTH = m.s AND {match('p')}""",
+    )
+
+
+def _to_date_sql(keys: str) -> str:
+    running = "ORDER BY s ROWS UNBOUNDED PRECEDING"
+    return with_(
+        SALES,
+        _dense_sql(keys, "day"),
+        f"""SELECT {keys}, {iso('s')} AS date_key, {dbl('r')} AS revenue,
+          {dbl(f"SUM(r) OVER (PARTITION BY {keys}, date_trunc('month', s) {running})")} AS revenue_mtd,
+          {dbl(f"SUM(r) OVER (PARTITION BY {keys}, {fy('s')} {running})")} AS revenue_ytd FROM m""",
+    )
+
+
+@query("measures_monthly_by_route_and_category", _monthly_sql("route_name, category"))
+def _(t):
+    sales = t.fact_sales(route=True, product=True)
+    return measures.monthly_time_intelligence(sales, ["route_name", "category"])
+
+
+@query("measures_monthly_by_customer", _monthly_sql("customer_id"))
+def _(t):
+    """Most customers have months without a sale."""
+    return measures.monthly_time_intelligence(t.fact_sales(), ["customer_id"])
+
+
+@query("measures_monthly_by_customer_type", _monthly_sql("customer_type"))
+def _(t):
+    return measures.monthly_time_intelligence(t.fact_sales(), ["customer_type"], t.customers)
+
+
+@query("measures_revenue_to_date_by_route", _to_date_sql("route_name"))
+def _(t):
+    return measures.revenue_to_date(t.fact_sales(), ["route_name"], t.customers)
+
+
+@query("measures_revenue_to_date_by_category_and_mode", _to_date_sql("category, payment_mode"))
+def _(t):
+    return measures.revenue_to_date(t.fact_sales(product=True), ["category", "payment_mode"])
+
+
 def _rank_sql(key: str) -> str:
     return with_(
         SALES,

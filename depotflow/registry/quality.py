@@ -74,6 +74,17 @@ def _(t):
     return quality_report(t.raw_sales(), contracts.SALES)
 
 
+@query("quality_sales_one_pass", with_(RAW_SALES, _SALES))
+def _(t):
+    return quality_report(t.raw_sales(), contracts.SALES, one_pass=True)
+
+
+@query("quality_accounts_one_pass", with_(RAW_ACCOUNTS, _INVOICES))
+def _(t):
+    """Ids repeat, and one column is missing."""
+    return quality_report(t.raw_accounts(), contracts.ACCOUNTS, one_pass=True)
+
+
 @query("quality_production", with_(RAW_RUNS, _RUNS))
 def _(t):
     return quality_report(t.raw_production(), contracts.PRODUCTION)
