@@ -20,6 +20,10 @@ That finds every component, not every link; where the links are to be counted, a
 
 A pair is compared by parity sketches first: a bitmap has the parity of the shingles that hash to each bit, so
 two bitmaps differ in no more bits than the sets do in shingles.  What passes is verified on the full sets.
+
+Where all pairs of a list are compared, the join itself leaves out those that a short sketch rules out (the bitmap
+folded to ``SHORT`` words), and a pair comes forth once for each stretch of common keys: not where the keys before
+are the same too, for there it came forth already.
 """
 
 from __future__ import annotations
@@ -59,6 +63,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
+#: Words of a sketch that index entries carry into a join.
+SHORT = 16
+
 _COUNT_BITS = np.uint64(20)
 
 
@@ -300,6 +307,17 @@ def shared_entries(listed: DataFrame) -> DataFrame:
     return rare.where("members > 1").select(*columns).unionByName(frequent.join(several, "key").select(*columns))
 
 
+def _short(sketch):
+    """The sketch folded to ``SHORT`` words; narrower ones stay."""
+    parts = F.transform(
+        F.sequence(F.lit(0), F.lit(SHORT - 1)),
+        lambda i: F.aggregate(
+            F.filter(sketch, lambda _, at: at % SHORT == i), F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y)
+        ),
+    )
+    return F.when(F.size(sketch) > SHORT, parts).otherwise(sketch)
+
+
 def _may_link(n, m, i, j, percent: int = PERCENT):
     """Sizes, and places of the first common shingle, do not rule out a link.  Places of -1 rule out nothing."""
     need = F.ceil(percent * (n + m) / F.lit(100.0 + percent) - 1e-9)
@@ -373,10 +391,23 @@ def links_of(
         before = left
         kept = ("class", "n", "place", "component")
         if last:
-            listed = entries.select("at.key", "at.place", "class", "n", "component").join(across.select("key"), "key", "left_semi")
+            # Every entry with the key before it in its set's order, and the set's short sketch.
+            placed = F.array_sort(F.transform("lists", lambda x: F.struct(x["place"].alias("place"), x["key"].alias("key"))))
+            before_it = F.transform(
+                F.arrays_zip(F.col("placed").alias("own"), F.concat(F.array(F.lit(None).cast("long")), F.slice("placed.key", 1, F.size("placed") - 1)).alias("last")),
+                lambda x: F.struct(x["own"]["key"].alias("key"), x["own"]["place"].alias("place"), x["last"].alias("last")),
+            )
+            short = members.select("class", _short(F.col("sketch")).alias("short"))
+            entries = named.withColumn("placed", placed).join(short, "class")
+            entries = entries.select("class", "n", "component", "short", F.explode(before_it).alias("at"))
+            kept = (*kept, "last", "short")
+            listed = entries.select("at.key", "at.place", "at.last", "class", "n", "component", "short")
+            listed = listed.join(across.select("key"), "key", "left_semi")
             one = listed.select("key", *(F.col(c).alias(f"{c}_a") for c in kept))
             other = listed.select("key", *(F.col(c).alias(f"{c}_b") for c in kept))
             pairs = one.join(other, "key").where(F.col("component_a") < F.col("component_b"))
+            pairs = pairs.where(F.coalesce(F.col("last_a") != F.col("last_b"), F.lit(True)))
+            near = _may_differ_so(F.col("short_a"), F.col("short_b"), F.col("n_a"), F.col("n_b"), percent)
         else:
             # One list of each class, by a hash that changes with the round; and one member of each list.
             order = F.array_sort(F.transform("lists", lambda x: F.struct(F.xxhash64(x["key"], F.lit(turn)), x["key"], x["place"])))
@@ -387,6 +418,8 @@ def links_of(
             one = taken.select("key", *(F.col(c).alias(f"{c}_a") for c in kept))
             pairs = one.join(hubs, "key").where(F.col("component_a") != F.col("component_b"))
         pairs = pairs.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b"), percent))
+        if last:
+            pairs = pairs.where(near)
         pairs = scratch.put(pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), f"pairs-{turn}")
         new = verified(pairs, members, texts, scratch, str(turn), gram, percent)
         scratch.drop(f"pairs-{turn}")
