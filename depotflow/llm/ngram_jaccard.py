@@ -373,7 +373,7 @@ def links_of(
 
     ``members`` has the classes that share lists: class, n, sketch, row_a, row_b, and lists (key, place).
     """
-    links, labels, turn, before = None, None, 0, float("inf")
+    links, labels, turn, before, met = None, None, 0, float("inf"), False
     n_entries = members.agg(F.sum(F.size("lists"))).first()[0] or 0
     while n_entries:
         named = members.select("class", "n", "lists", F.col("class").alias("component"))
@@ -390,7 +390,11 @@ def links_of(
         last = every or left <= FEW * n_entries or turn >= HUB_ROUNDS or left > (1 - HELP) * before
         before = left
         kept = ("class", "n", "place", "component")
-        if last:
+        # Before all pairs, one member of every component in a list meets those of the others: components of
+        # many members that link are joined by few pairs.
+        meeting = last and not every and turn > 0 and not met
+        met, last = met or meeting, last and not meeting
+        if last or meeting:
             # Every entry with the key before it in its set's order, and the set's short sketch.
             placed = F.array_sort(F.transform("lists", lambda x: F.struct(x["place"].alias("place"), x["key"].alias("key"))))
             before_it = F.transform(
@@ -403,10 +407,15 @@ def links_of(
             kept = (*kept, "last", "short")
             listed = entries.select("at.key", "at.place", "at.last", "class", "n", "component", "short")
             listed = listed.join(across.select("key"), "key", "left_semi")
+            if meeting:
+                member = F.struct("class", "n", "place", "last", "short")
+                listed = listed.groupBy("key", "component").agg(F.min_by(member, F.xxhash64("class", F.lit(turn))).alias("own"))
+                listed = listed.select("key", "component", "own.*")
             one = listed.select("key", *(F.col(c).alias(f"{c}_a") for c in kept))
             other = listed.select("key", *(F.col(c).alias(f"{c}_b") for c in kept))
             pairs = one.join(other, "key").where(F.col("component_a") < F.col("component_b"))
-            pairs = pairs.where(F.coalesce(F.col("last_a") != F.col("last_b"), F.lit(True)))
+            if last:
+                pairs = pairs.where(F.coalesce(F.col("last_a") != F.col("last_b"), F.lit(True)))
             near = _may_differ_so(F.col("short_a"), F.col("short_b"), F.col("n_a"), F.col("n_b"), percent)
         else:
             # One list of each class, by a hash that changes with the round; and one member of each list.
@@ -418,7 +427,7 @@ def links_of(
             one = taken.select("key", *(F.col(c).alias(f"{c}_a") for c in kept))
             pairs = one.join(hubs, "key").where(F.col("component_a") != F.col("component_b"))
         pairs = pairs.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b"), percent))
-        if last:
+        if last or meeting:
             pairs = pairs.where(near)
         pairs = scratch.put(pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), f"pairs-{turn}")
         new = verified(pairs, members, texts, scratch, str(turn), gram, percent)
