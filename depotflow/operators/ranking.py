@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from depotflow.session import stored
 
@@ -37,23 +37,27 @@ def dense_rank_small(df: DataFrame, value: str, name: str) -> DataFrame:
 def dense_rank_all(df: DataFrame, value: str, name: str, slices: int | None = None) -> DataFrame:
     """Dense rank (1,1,2) by descending ``value`` over any number of rows.
 
-    Equal values share a rank, so only distinct values are ranked: they are cut into
-    ``slices`` value ranges (as many as shuffle partitions unless given), numbered inside each slice in parallel, and shifted by the
-    number of distinct values in the slices above.  The input is stored once because
-    the cut points, the slice sizes and the final join must see the same rows.
+    Equal values share a rank, so only distinct values are ranked: Spark cuts them into ranges
+    (``slices`` of them; as many as the session shuffles to unless given), every task numbers its
+    own sorted range, and a range is shifted by the number of values in the ranges above it.
+    The cut points stay with the range exchange, so the plan does not grow with the slices.  The rows
+    and the numbered ranges are stored once, because counts and ranks must see the same ones.
     """
     rows = stored(df)
     values = rows.select(value).filter(F.col(value).isNotNull()).distinct()
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    steps = [i / slices for i in range(1, slices)]
-    doubles = values.select(F.col(value).cast("double").alias("v"))
-    cuts = sorted(set(doubles.approxQuantile("v", steps, 0.005)))
-    sliced = values.withColumn("_slice", _slice_of(F.col(value).cast("double"), cuts))
-    within = W.partitionBy("_slice").orderBy(F.col(value).desc())
-    numbered = sliced.withColumn("_nth", F.row_number().over(within))
-    above = W.orderBy(F.col("_slice").desc()).rowsBetween(W.unboundedPreceding, -1)
+    largest_first = F.col(value).desc()
+    ranges = values.repartitionByRange(slices, largest_first) if slices else values.repartitionByRange(largest_first)
+    # The id is the partition's number above 33 bits of the position inside it.
+    placed = ranges.sortWithinPartitions(largest_first).withColumn("_id", F.monotonically_increasing_id())
+    placed = stored(placed)
+    numbered = placed.select(
+        value,
+        F.shiftright("_id", 33).alias("_slice"),
+        (F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("_nth"),
+    )
+    above = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy("_slice")
+        numbered.groupBy("_slice")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_slice", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
     )
@@ -61,10 +65,3 @@ def dense_rank_all(df: DataFrame, value: str, name: str, slices: int | None = No
         value, (F.col("_above") + F.col("_nth")).alias(name)
     )
     return rows.join(ranks, value, "left")
-
-
-def _slice_of(value: Column, cuts: list[float]) -> Column:
-    """Index of the value range; a fixed function of the value, so ties never split."""
-    if not cuts:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= value))

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from depotflow.plans import accounts_kpis, inventory_kpis, production_kpis, sales_kpis
-from depotflow.sources.files import load_report, write_table
+from depotflow.sources.files import load_report, read_table, write_table
 
 
 def store_star(
@@ -21,7 +21,7 @@ def store_star(
     paths = {name: f"{folder}/{name}" for name in tables}
     written = {name: (write_table(df, paths[name]), paths[name]) for name, df in tables.items()}
     report = load_report(spark, written)
-    return {name: spark.read.parquet(path) for name, path in paths.items()}, report
+    return {name: read_table(spark, path) for name, path in paths.items()}, report
 
 
 def marts(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Column, functions as F
+
 from depotflow.operators.rollup import row_counts
 from depotflow.plans.dimensions import dim_date
 from depotflow.plans.sales_cleaning import clean_sales
@@ -165,6 +167,33 @@ def _(t):
     return read_typed(t.spark, path, schema)
 
 
+def _lakhs(amount: Column) -> Column:
+    """1,23,45,678.90: the last three digits of the whole part, then pairs."""
+    text = amount.cast("decimal(18,2)").cast("string")
+    whole = F.regexp_replace(F.substring_index(text, ".", 1), r"(\d)(?=(\d\d)+\d$)", "$1,")
+    return F.concat(whole, F.lit("."), F.substring_index(text, ".", -1))
+
+
+@query(
+    "customers_from_indian_csv",
+    f"""SELECT c_custkey AS customer_id, {dbl('CAST(c_acctbal AS DECIMAL(18,2)) * 1000')} AS credit_limit,
+      {dbl('CAST(c_acctbal AS DECIMAL(18,2)) * 1000')} AS credit_limit_real,
+      strftime(DATE '2024-01-31' + CAST(c_custkey % 300 AS INTEGER), '%Y-%m-%d') AS since FROM customer""",
+)
+def _(t):
+    """Amounts with lakh grouping and dates with month names, declared as en-IN."""
+    path = f"{_folder(t)}/customers_in"
+    limit = F.col("credit_limit") * 1000
+    since = F.date_add(F.lit("2024-01-31").cast("date"), (F.col("customer_id") % 300).cast("int"))
+    out = t.dim_customer.select(
+        "customer_id", _lakhs(limit).alias("credit_limit"), _lakhs(limit).alias("credit_limit_real"),
+        F.date_format(since, "dd-MM-yyyy").alias("since"),
+    )
+    write_csv(out, path)
+    schema = "customer_id bigint, credit_limit decimal(18,2), credit_limit_real double, since date"
+    return read_typed(t.spark, path, schema, locale="en-IN", date_format="dd-MM-yyyy")
+
+
 @query(
     "export_manifest",
     "SELECT name, 'exported' AS status, CAST(columns AS BIGINT) AS columns, CAST(NULL AS VARCHAR) AS message FROM (VALUES "

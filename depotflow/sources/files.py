@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from depotflow.functions.calendar import to_moment
@@ -29,9 +32,35 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
     )
 
 
-def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and declared column types."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+def read_typed(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    locale: str = "en-US",
+    date_format: str | None = None,
+) -> DataFrame:
+    """CSV with a header and declared column types.
+
+    ``locale`` is the language tag that numbers and month names are written in, e.g. en-IN for
+    1,00,000.50 or de-DE for 100.000,50; ``date_format`` the pattern of date columns where it is not
+    ISO.  Spark's reader applies a locale to decimals and dates alone, so columns declared as float or
+    double are read as decimals first; integers are read as written.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    real = [f.name for f in schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    if locale == "en-US" or not real:
+        declared = schema
+    else:
+        wide = T.DecimalType(38, 10)
+        declared = T.StructType([T.StructField(f.name, wide if f.name in real else f.dataType) for f in schema.fields])
+    reader = spark.read.option("header", True).option("locale", locale)
+    if date_format is not None:
+        reader = reader.option("dateFormat", date_format)
+    df = reader.schema(declared).csv(path)
+    if declared is schema:
+        return df
+    return df.withColumns({n: F.col(f"`{n}`").cast(schema[n].dataType) for n in real})
 
 
 def with_scan_order(df: DataFrame) -> DataFrame:
@@ -59,22 +88,83 @@ def restore_dates(df: DataFrame, dates: Sequence[str]) -> DataFrame:
     return df.withColumns({d: to_moment(df, d).cast("date") for d in present})
 
 
+#: File of a table folder that names the version to read.
+POINTER = "CURRENT"
+
+
+def _paths(spark: SparkSession, path: str):
+    """Hadoop's path class, the file context of ``path``, and the options of a rename that replaces."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    context = fs.FileContext.getFileContext(
+        fs.Path(path).toUri() if "://" in path else fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).getUri(),
+        spark._jsc.hadoopConfiguration(),
+    )
+    options = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    options[0] = fs.Options.Rename.OVERWRITE
+    return fs.Path, context, options
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the committed version of a table; None before the first commit."""
+    Path, context, _ = _paths(spark, path)
+    if not context.util().exists(Path(f"{path}/{POINTER}")):
+        return None
+    return f"{path}/{spark.read.text(f'{path}/{POINTER}').first()[0]}"
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The committed version of a table that ``write_table`` wrote."""
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no committed table in {path}")
+    return spark.read.parquet(version)
+
+
 def write_table(df: DataFrame, path: str, partition_by: str | None = "financial_year") -> int:
     """Full replace of one table, partitioned so that year filters prune files.
 
+    The new version is written beside the old one and counted while it is written; once the stored rows
+    (from the Parquet footers) equal that count, a small pointer file is replaced by a rename, and
+    readers of ``read_table`` follow it.  A write that fails, or a driver lost in between, leaves the old
+    version in place.  The version before stays for readers that have opened it; older ones go.
+
     The rebalance hint lets AQE split a large year over several tasks and pack small
-    ones together, instead of every task writing a sliver of every year.  The rows are
-    counted while they are written; returns that count.
+    ones together, instead of every task writing a sliver of every year.  Returns the row count.
     """
+    spark = df.sparkSession
     counter = Observation()
     partitioned = partition_by is not None and partition_by in df.columns
     if partitioned:
         df = df.hint("rebalance", partition_by)
-    writer = df.observe(counter, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    name = f"v-{uuid.uuid4().hex}"
+    writer = df.observe(counter, F.count(F.lit(1)).alias("rows")).write
     if partitioned:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return counter.get["rows"]
+    writer.parquet(f"{path}/{name}")
+    rows = counter.get["rows"]
+    _commit(spark, path, name, rows, df.schema)
+    return rows
+
+
+def _commit(spark: SparkSession, path: str, name: str, rows: int, schema: T.StructType) -> None:
+    """Make a written version the current one, if it holds the rows that were counted."""
+    there = spark.read.schema(schema).parquet(f"{path}/{name}").count()
+    if there != rows:
+        raise OSError(f"{path}: {rows} rows were written, {there} are stored; the table was not replaced")
+    Path, context, overwrite = _paths(spark, path)
+    before = current_version(spark, path)
+    draft = f"{path}/.{name}.pointer"
+    spark.range(1).select(F.lit(name)).coalesce(1).write.text(draft)
+    part = next(
+        f.getPath() for f in context.util().listStatus(Path(draft)) if f.getPath().getName().startswith("part-")
+    )
+    context.rename(part, Path(f"{path}/{POINTER}"), overwrite)
+    context.delete(Path(draft), True)
+    kept = {name, before.rsplit("/", 1)[-1] if before else name}
+    for entry in context.util().listStatus(Path(path)):
+        folder = entry.getPath().getName()
+        if folder.startswith("v-") and folder not in kept:
+            context.delete(entry.getPath(), True)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -90,7 +180,7 @@ def load_report(spark: SparkSession, written: Mapping[str, tuple[int, str]]) ->
     """
     parts = []
     for name, (expected, path) in written.items():
-        stored = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("loaded_rows"))
+        stored = read_table(spark, path).agg(F.count(F.lit(1)).alias("loaded_rows"))
         parts.append(
             stored.select(
                 F.lit(name).alias("table_name"), F.lit(expected).alias("expected_rows"), "loaded_rows"
@@ -103,20 +193,27 @@ def load_report(spark: SparkSession, written: Mapping[str, tuple[int, str]]) ->
 
 
 def export_all(
-    spark: SparkSession, exports: Mapping[str, Callable[[], DataFrame]], folder: str
+    spark: SparkSession, exports: Mapping[str, Callable[[], DataFrame]], folder: str, workers: int = 4
 ) -> DataFrame:
     """Write every named table or view as CSV; one failure skips only that item.
 
-    Returns the manifest: name, status, column count and message per export.
+    ``workers`` exports run side by side, each in a scheduler pool of its own: small marts fill the
+    cores that the tail of a large one leaves idle (with ``spark.scheduler.mode=FAIR`` they share
+    all of them).  Returns the manifest in the order given: name, status, column count and message.
     """
-    manifest = []
-    for name, build in exports.items():
+
+    def export(item: tuple[str, Callable[[], DataFrame]]) -> tuple:
+        name, build = item
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"export-{name}")
         try:
             df = build()
             write_csv(df, f"{folder}/{name}")
-            manifest.append((name, "exported", len(df.columns), None))
+            return name, "exported", len(df.columns), None
         except Exception as error:  # noqa: BLE001 - any failure is reported, not raised
-            manifest.append((name, "skipped", None, str(error)))
+            return name, "skipped", None, str(error)
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        manifest = list(pool.map(inheritable_thread_target(spark)(export), exports.items()))
     return spark.createDataFrame(
         manifest, "name string, status string, columns int, message string"
     )
