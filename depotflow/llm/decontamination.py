@@ -158,9 +158,12 @@ def extend(candidates: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key_a long, key_b long, n_hit long, item_ids array<long>")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, keyed: bool = False) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, item_ids, contaminated.
 
+    ``keyed`` appends the row's key_a and key_b (``row_key("doc_id", "text")``), for decisions on rows whose ids may
+    be null or shared.
+
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are ignored.  A document is
     contaminated if it has hit words and they are a twentieth of its words or more.  Null and empty texts
     have no words; items without words have no windows.  Repeated documents give a row each.  Words that
@@ -182,6 +185,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return prints.select(
             "doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
             F.array().cast("array<long>").alias("item_ids"), F.lit(False).alias("contaminated"),
+            *(["key_a", "key_b"] if keyed else []),
         )
     hits = (
         prints.select("key_a", "key_b", F.explode("prints").alias("print"))
@@ -199,4 +203,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"),
         ((none > 0) & (20 * none >= F.col("n_words"))).alias("contaminated"),
+        *(["key_a", "key_b"] if keyed else []),
     )

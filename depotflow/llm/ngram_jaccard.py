@@ -15,7 +15,8 @@ ones, ``FREQUENT`` at most, go to every task, and the others come first by hash.
 A group of near copies would make as many pairs as its square.  Components need fewer: in a round every class
 takes one of its lists, is compared with one member of that list (the hub) and joins the hub's component if
 they link; the next round takes other lists and hubs.  When the pairs left across components are few against
-the list entries, or a round has settled few of them, all of them are compared, so no component is left apart.
+the list entries, or a round has settled few of them, one member of each component in a list meets those of the
+others, and then all pairs still across components are compared, so no component is left apart.
 That finds every component, not every link; where the links are to be counted, all pairs are compared at once.
 
 A pair is compared by parity sketches first: a bitmap has the parity of the shingles that hash to each bit, so
@@ -451,9 +452,14 @@ def links_of(
     return links
 
 
-def near_copies(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, count_links: bool = False) -> DataFrame:
+def near_copies(
+    docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, count_links: bool = False, keyed: bool = False
+) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, linked (its set links with a different one).
 
+    ``keyed`` appends the row's key_a and key_b (``row_key("doc_id", "text")``), for decisions on rows whose ids may
+    be null or shared.
+
     With ``count_links`` every pair of different sets that may link is verified, and ``n_links`` is appended: the
     number of different sets that the document's set links with.  Without, only as many links are looked for as
     the components need.  ``percent`` is 50 at least (sketches of linked sets differ by one width).
@@ -475,7 +481,7 @@ def near_copies(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, count
         small = boundary(sizes, scan) if percent == PERCENT else boundary(sizes, scan, percent)
         indexed = scratch.put(index_sets(docs, most_frequent(counts), small, gram, percent), "indexed")
         scratch.drop("counts")
-        sets = scratch.put(indexed.select("doc_id", "n_shingles", "set_a", "set_b"), "sets")
+        sets = scratch.put(indexed.select("doc_id", "key_a", "key_b", "n_shingles", "set_a", "set_b"), "sets")
         classes = (
             indexed.where("n_shingles > 0")
             .groupBy("set_a", "set_b")
@@ -525,11 +531,12 @@ def near_copies(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, count
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
-    whole = sets.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
+    whole = sets.join(named, ["set_a", "set_b"], "left")
     return whole.select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("linked", F.lit(False)).alias("linked"),
         *([F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")] if count_links else []),
+        *(["key_a", "key_b"] if keyed else []),
     )

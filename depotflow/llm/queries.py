@@ -130,23 +130,30 @@ base AS (
   SELECT row_id, count(*)::BIGINT AS n_base, min(start)::BIGINT AS first_word, max(start)::BIGINT AS last_word,
          list(DISTINCT label) AS names
   FROM places GROUP BY row_id),
-t(label, need) AS (
-  VALUES ('notice-mit', ['released', 'under', 'the', 'mit', 'license']),
-         ('notice-apache', ['licensed', 'under', 'the', 'apache', 'license', 'version', '2', '0']),
-         ('notice-gpl', ['this', 'work', 'is', 'licensed', 'under', 'the', 'gnu', 'general', 'public', 'license', 'version', '3']),
-         ('notice-cc', ['licensed', 'under', 'cc', 'by', 'nc', '4', '0']),
-         ('text-mit', ['permission', 'is', 'hereby', 'granted', 'free', 'of', 'charge', 'to', 'any', 'person', 'obtaining', 'a',
+t(label, span, need) AS (
+  VALUES ('notice-mit', 7, ['released', 'under', 'the', 'mit', 'license']),
+         ('notice-apache', 10, ['licensed', 'under', 'the', 'apache', 'license', 'version', '2', '0']),
+         ('notice-gpl', 15, ['this', 'work', 'is', 'licensed', 'under', 'the', 'gnu', 'general', 'public', 'license', 'version', '3']),
+         ('notice-cc', 9, ['licensed', 'under', 'cc', 'by', 'nc', '4', '0']),
+         ('text-mit', 20, ['permission', 'is', 'hereby', 'granted', 'free', 'of', 'charge', 'to', 'any', 'person', 'obtaining', 'a',
                        'copy', 'this', 'software']),
-         ('text-bsd', ['redistribution', 'and', 'use', 'in', 'source', 'binary', 'forms', 'with', 'or', 'without',
+         ('text-bsd', 18, ['redistribution', 'and', 'use', 'in', 'source', 'binary', 'forms', 'with', 'or', 'without',
                        'modification', 'are', 'permitted']),
-         ('text-gpl', ['this', 'program', 'is', 'free', 'software', 'you', 'can', 'redistribute', 'it', 'and', 'or', 'modify',
+         ('text-gpl', 22, ['this', 'program', 'is', 'free', 'software', 'you', 'can', 'redistribute', 'it', 'and', 'or', 'modify',
                        'under', 'the', 'terms', 'of']),
-         ('reserved', ['all', 'rights', 'reserved'])),
+         ('reserved', 4, ['all', 'rights', 'reserved'])),
 lines AS (
   SELECT DISTINCT row_id, line FROM (SELECT row_id, unnest(string_split(body, chr(10))) AS line FROM d)),
 sets AS (SELECT row_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS have FROM lines),
+near AS (
+  SELECT w.row_id, w.words, t.* FROM w, t
+  WHERE len(list_intersect(list_distinct(w.words), need)) >= ceil(0.8 * len(need))),
+starts AS (SELECT row_id, words, label, need, span, unnest(range(len(words))) AS i FROM near),
+blocks AS (
+  SELECT row_id, label, need, have FROM sets, t UNION ALL
+  SELECT row_id, label, need, list_distinct(words[i + 1:i + span]) FROM starts),
 shares AS (
-  SELECT row_id, label, len(list_intersect(have, need))::DOUBLE / len(need) AS share FROM sets, t
+  SELECT row_id, label, len(list_intersect(have, need))::DOUBLE / len(need) AS share FROM blocks
   WHERE len(list_intersect(have, need)) >= ceil(0.8 * len(need))),
 hits AS (SELECT row_id, list(DISTINCT label) AS names, max(share) AS best FROM shares GROUP BY row_id)
 SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(base.n_base, 0)::BIGINT AS n_base, base.first_word, base.last_word,
@@ -161,7 +168,7 @@ FROM w LEFT JOIN base ON base.row_id = w.row_id LEFT JOIN hits ON hits.row_id =
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from depotflow.llm.license_scan import scan
 
-    return scan(table(spark, sf_dir, "documents")).drop("matches")
+    return scan(table(spark, sf_dir, "documents"), across_lines=True).drop("matches")
 
 
 CONTAMINATION_SQL = r"""

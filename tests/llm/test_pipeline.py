@@ -1,6 +1,9 @@
+from pathlib import Path
+
 import corpus_pipeline
 from depotflow.llm import quality
 from depotflow.llm.queries import QUERIES
+from depotflow.llm.tables import shared_folder
 from tests.llm.test_decontamination import brute as contaminated
 from tests.llm.test_ngram_jaccard import brute as grouped
 
@@ -38,7 +41,33 @@ def test_stage_inputs_may_be_empty_or_null(spark):
         stage(spark, spark.createDataFrame(rows, schema), FOLDER).collect()
 
 
+def test_rows_with_shared_and_null_ids_are_decided_alone(spark):
+    """A row goes by its own text: an id that another row shares, or a null one, does not decide."""
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()}
+    passage = next(t for t in items.values() if t and len(t.split()) > 15)
+    base = " ".join(f"word{i}" for i in range(60))
+    other = " ".join(f"else{i}" for i in range(60))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, base), (2, base), (2, other), (3, passage), (3, other + " three"), (None, passage), (None, "alone"), (None, "alone"), (4, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema)
+    kept = lambda stage: sorted(((r["doc_id"], r["text"]) for r in stage(spark, docs, FOLDER).collect()), key=str)
+    one = kept(corpus_pipeline.one_of_each)
+    # base of 2 is a copy of 1; the two texts around ``other`` are near copies, so the one of 3 goes; repeats of a row are one.
+    assert one == sorted([(1, base), (2, other), (3, passage), (None, passage), (None, "alone"), (4, None), (5, "")], key=str)
+    clean = kept(corpus_pipeline.uncontaminated)
+    assert clean == sorted([(i, t) for i, t in rows if t != passage], key=str)
+
+
+def test_a_run_leaves_its_last_input_only(spark):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.rglob("_SUCCESS"))
+    out = corpus_pipeline.run(spark, FOLDER)
+    names = {name.replace(" ", "-") for name, _ in corpus_pipeline.STAGES}
+    left = [p.parent.name for p in set(folder.rglob("_SUCCESS")) - before if p.parent.name in names]
+    assert left == ["benchmark-decontamination"] and out.count() > 0
+
+
 def test_queries_are_registered():
     numbers = {int(n[2:].split("_")[0]) for n in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5 and quality.SAMPLE == 20_000
