@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from depotflow.llm import byte_bpe, decontamination, ngram_jaccard, quality, toxicity
 from depotflow.llm.queries import table, vocabulary
-from depotflow.llm.tables import stored
+from depotflow.llm.tables import Scratch, row_key
 
 #: Probability of good quality from which a document stays, and of toxicity from which it goes.
 GOOD, TOXIC = 0.7, 0.5
@@ -37,18 +37,27 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies, and one of repeated rows.
 
-    Documents with a null id stay.
+    A row is decided by its own text, whatever other rows share its id.  Rows with a null id stay, one of
+    repeated ones; they do not speak for their group, so the smallest id of it stays too.
     """
-    found = ngram_jaccard.near_copies(docs)
-    copies = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    found = ngram_jaccard.near_copies(docs, keyed=True)
+    copies = found.where(F.col("doc_id") != F.col("component_id")).select("key_a", "key_b").distinct()
+    keyed = docs.select("*", *row_key("doc_id", "text"))
+    # Joining and removing repeats need one exchange of the texts, by row key.
+    kept = keyed.join(copies, ["key_a", "key_b"], "left_anti").dropDuplicates(["key_a", "key_b"])
+    return kept.select(*docs.columns)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth are benchmark passages."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    spoiled = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(spoiled, "doc_id", "left_anti").select(*docs.columns)
+    """Documents of which less than a twentieth are benchmark passages.
+
+    A row is decided by its own text: a contaminated one goes also with a null id, and one that shares its id
+    with a contaminated one stays.
+    """
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), keyed=True)
+    spoiled = found.where("contaminated").select("key_a", "key_b").distinct()
+    keyed = docs.select("*", *row_key("doc_id", "text"))
+    return keyed.join(spoiled, ["key_a", "key_b"], "left_anti").select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,8 +78,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each result but the last is written once to the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to documents.
+
+    Each result but the last is written once to the shared folder; the one before goes when the next is there.
+    """
+    docs, scratch, last = table(spark, sf_dir, "documents"), Scratch(spark), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        what = name.replace(" ", "-")
+        docs = scratch.put(stage(spark, docs, sf_dir), what)
+        if last:
+            scratch.drop(last)
+        last = what
     return STAGES[-1][1](spark, docs, sf_dir)
