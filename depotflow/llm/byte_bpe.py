@@ -27,7 +27,7 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 #: Fixed value: the published splitting pattern of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Pieces and words that a worker keeps at most.
+#: Pieces and words that a task keeps at most.
 KEPT_PIECES, KEPT_WORDS = 100_000, 250_000
 
 #: Rows of a batch that goes back to Spark.
@@ -145,6 +145,11 @@ class ByteBpe:
             out.append(self._plain(part) if i is None else pack("<I", i))
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Drop the pieces and words of the texts seen so far; the vocabulary stays."""
+        for kept in (self.words, self.first, self.later):
+            kept.clear()
+
     def decode(self, ids: bytes) -> str:
         strings = self.strings
         return b"".join([strings[i] for i in np.frombuffer(ids, dtype="<u4").tolist()]).decode("utf-8", "replace")
@@ -169,14 +174,17 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS_OUT):
-                part = batch.slice(start, ROWS_OUT)
-                ids = [bpe.encode(t or "") for t in part.column(at).to_pylist()]
-                decoded = pa.array([bpe.decode(i) for i in ids], pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(ids, pa.binary()), decoded], [*kept, "ids", "decoded"]
-                )
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, ROWS_OUT):
+                    part = batch.slice(start, ROWS_OUT)
+                    ids = [bpe.encode(t or "") for t in part.column(at).to_pylist()]
+                    decoded = pa.array([bpe.decode(i) for i in ids], pa.string())
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, pa.array(ids, pa.binary()), decoded], [*kept, "ids", "decoded"]
+                    )
+        finally:
+            bpe.forget()  # Spark keeps the worker for the tasks of other operators
 
     return source.mapInArrow(run, schema)
 
