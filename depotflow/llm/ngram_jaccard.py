@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotflow.llm.components import components
-from depotflow.llm.tables import Scratch, row_key
+from depotflow.llm.tables import Scratch, release, row_key
 from depotflow.llm.wordhash import NOT_SPACE, Slice, grams, mix, signed, slices, words
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
@@ -195,8 +195,10 @@ def most_frequent(counts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray,
         if total > most:
             break
         least = r["n"]
-    rows = counts.where(F.col("n") >= least).toPandas().sort_values("print")
-    return rows["print"].to_numpy(np.int64).astype(np.uint64), rows["n"].to_numpy(np.int64)
+    rows = counts.where(F.col("n") >= least).toArrow()
+    prints, n = (rows.column(c).to_numpy().astype(np.int64) for c in ("print", "n"))
+    order = np.argsort(prints)
+    return prints[order].astype(np.uint64), n[order]
 
 
 def subset_keys(hashes: np.ndarray, largest: int, percent: int = PERCENT) -> list[int]:
@@ -446,6 +448,7 @@ def links_of(
         hook = hook.where("lower < component").groupBy("component").agg(F.min("lower").alias("lower"))
         labels = known.join(hook, "component", "left").select("class", F.coalesce("lower", "component").alias("component"))
         labels = scratch.put(labels, f"labels-{turn}")
+        release(labels.sparkSession)
         turn += 1
     if links is None or links.isEmpty():
         return None
@@ -475,12 +478,14 @@ def near_copies(
     scratch = Scratch(spark)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    release(spark)
     try:
         text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         counts, sizes, scan = count_shingles(docs, max(64, text_bytes // GROUP_BYTES), scratch, gram)
         small = boundary(sizes, scan) if percent == PERCENT else boundary(sizes, scan, percent)
         indexed = scratch.put(index_sets(docs, most_frequent(counts), small, gram, percent), "indexed")
         scratch.drop("counts")
+        release(spark)
         sets = scratch.put(indexed.select("doc_id", "key_a", "key_b", "n_shingles", "set_a", "set_b"), "sets")
         classes = (
             indexed.where("n_shingles > 0")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -21,6 +22,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver drop what finished jobs left: Spark removes their broadcasts and shuffle files only when
+    the collector of the driver's JVM has found the plans that held them."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def stored(df: DataFrame, what: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and read it from there.
 
