@@ -10,15 +10,21 @@ NUMBER = "decimal(38,10)"  # measure parsed from text
 MONEY = "decimal(18,2)"
 
 
+def too_large(col: Column) -> Column:
+    """A finite number that the decimal cannot hold (never null)."""
+    wide = col.try_cast("double")
+    finite = wide.isNotNull() & ~F.isnan(wide) & (F.abs(wide) < float("inf"))
+    return col.try_cast(NUMBER).isNull() & F.coalesce(finite, F.lit(False))
+
+
 def to_number(col: Column) -> Column:
     """Coerce text to a decimal; text that is not a number (also NaN) becomes null.
 
-    A number too large for the decimal is an error: it must not count as missing.
+    A number too large for the decimal is an error: it must not count as missing.  Jobs that go on
+    instead cast with ``try_cast(NUMBER)`` and keep what is ``too_large`` aside.
     """
-    number, wide = col.try_cast(NUMBER), col.try_cast("double")
-    too_large = number.isNull() & wide.isNotNull() & ~F.isnan(wide) & (F.abs(wide) < float("inf"))
     message = F.concat(F.lit("number out of range: "), col.cast("string"))
-    return F.when(too_large, F.raise_error(message).cast(NUMBER)).otherwise(number)
+    return F.when(too_large(col), F.raise_error(message).cast(NUMBER)).otherwise(col.try_cast(NUMBER))
 
 
 def floor_at_zero(col: Column) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from depotflow.operators.bitmaps import bitmap_counts
 from depotflow.operators.joins import with_dimension
 
 Measure = tuple  # (kind, column name) with kind in sum / rows / min / max / avg / distinct
@@ -16,6 +17,7 @@ def rollup(
     keys: Sequence[str],
     measures: Mapping[str, Measure],
     dimension: tuple[DataFrame, str] | None = None,
+    bitmaps: DataFrame | None = None,
 ) -> DataFrame:
     """Aggregate ``df`` by ``keys``.
 
@@ -28,7 +30,17 @@ def rollup(
     ``dimension`` (table, key) supplies keys that the fact does not carry.  They are
     joined after folding, never to the fact rows: to the finished result when the
     dimension's key is itself among ``keys``, otherwise to the folded rows.
+
+    ``bitmaps`` is a stored mart (``operators.bitmaps``) of the same rows over ``keys`` or more: distinct
+    counts come from it and ``df`` is folded for the other measures alone.
     """
+    if bitmaps is not None:
+        names = {name: spec[1] for name, spec in measures.items() if spec[0] == "distinct"}
+        others = {name: spec for name, spec in measures.items() if name not in names}
+        counts = bitmap_counts(bitmaps, keys, names)
+        counts = counts.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+        return rollup(df, keys, others, dimension).join(counts, same).select(*keys, *measures)
     counted = [spec[1] for spec in measures.values() if spec[0] == "distinct"]
     if dimension is not None:
         table, key = dimension

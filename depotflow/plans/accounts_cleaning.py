@@ -16,10 +16,13 @@ from depotflow.plans.cleaning import (
     START,
     Finding,
     any_row,
+    any_set_aside,
+    delivered,
     finding_counts,
     finding_rows,
     flagged,
     parsed,
+    without_missing,
 )
 
 MEASURES = ("invoice_amount", "amount_paid", "outstanding_balance", "credit_days")
@@ -47,7 +50,7 @@ def usable_accounts(raw: DataFrame, rules: AccountsRules) -> DataFrame:
     rows = parsed(
         raw, MEASURES, DATES, "invoice_date", rules.start, rules.end, rules.date_formats
     )
-    return rows.dropna(subset=["invoice_amount"])
+    return without_missing(rows, ["invoice_amount"])
 
 
 def accounts_triggers() -> dict[str, Column]:
@@ -104,23 +107,24 @@ def clean_accounts(
     order: Sequence,
     rules: AccountsRules = AccountsRules(),
     amounts: DataFrame | None = None,
+    keep_set_aside: bool = False,
 ) -> DataFrame:
     """Cleaned invoices with status, age, collection efficiency and days to payment.
 
     ``amounts``: the same raw invoices without joined attributes, for the dataset-wide
-    triggers; ``raw`` itself where omitted.
+    triggers; ``raw`` itself where omitted.  Status and age are null where a number set aside leaves the
+    open balance unknown.
     """
     triggers = None if amounts is None else usable_accounts(amounts, rules)
     rows = reconciled(usable_accounts(raw, rules), rules.correction_scope, triggers)
-    return accounts_derived(keep_first(rows, ["transaction_id"], order), rules)
+    return delivered(accounts_derived(keep_first(rows, ["transaction_id"], order), rules), keep_set_aside)
 
 
 def accounts_derived(rows: DataFrame, rules: AccountsRules) -> DataFrame:
     """Status, age, efficiency and days to payment of reconciled invoices, one of each id."""
-    rows = rows.withColumn(
-        "payment_status",
-        payment_status(F.col("outstanding_balance"), F.col("payment_date"), F.col("due_date")),
-    )
+    open_, unknown = F.col("outstanding_balance"), any_set_aside() & F.col("outstanding_balance").isNull()
+    status = payment_status(open_, F.col("payment_date"), F.col("due_date"))
+    rows = rows.withColumn("payment_status", F.when(unknown, F.lit(None)).otherwise(status))
     # Whole elapsed days: both ends are moments, so a part of a day does not count.
     late = _days_between(F.lit(str(rules.analysis_date)).cast("timestamp_ntz"), F.col("due_date"))
     efficiency = percent(F.col("amount_paid"), F.col("invoice_amount"))
@@ -129,7 +133,9 @@ def accounts_derived(rows: DataFrame, rules: AccountsRules) -> DataFrame:
             "financial_year": financial_year(F.col("invoice_date")),
             "days_overdue": F.when(
                 F.col("payment_status") == "OverDue", F.when(late < 0, 0).otherwise(late)
-            ).otherwise(0),
+            )
+            .when(unknown, F.lit(None))
+            .otherwise(0),
             "collection_efficiency_pct": F.when(efficiency < 0, 0)
             .when(efficiency > 100, 100)
             .otherwise(efficiency),
@@ -137,7 +143,8 @@ def accounts_derived(rows: DataFrame, rules: AccountsRules) -> DataFrame:
         }
     )
     rows = rows.withColumn(
-        "aging_bucket", aging_bucket(F.col("payment_status"), F.col("days_overdue"))
+        "aging_bucket",
+        F.when(unknown, F.lit(None)).otherwise(aging_bucket(F.col("payment_status"), F.col("days_overdue"))),
     )
     return rows.withColumns({d: F.col(d).cast("date") for d in DATES})
 

@@ -23,7 +23,8 @@ def _efficiency(collected: str = "total_collected") -> Column:
     return percent(F.col(collected), F.col("total_billed"))
 
 
-def billing_collections(accounts: DataFrame) -> DataFrame:
+def billing_collections(accounts: DataFrame, bitmaps: DataFrame | None = None) -> DataFrame:
+    """``bitmaps``: a stored mart of customers that has the month among its keys."""
     out = rollup(
         accounts,
         MONTH,
@@ -32,6 +33,7 @@ def billing_collections(accounts: DataFrame) -> DataFrame:
             **_AMOUNTS,
             "total_outstanding": ("sum", "outstanding_balance"),
         },
+        bitmaps=bitmaps,
     )
     return out.withColumns(
         {

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from depotflow.functions.calendar import to_moment
-from depotflow.functions.numeric import to_number
+from depotflow.functions.numeric import NUMBER, too_large
 from depotflow.functions.text import strip_all
 
 # Default analysis window (inclusive, at midnight).
@@ -29,6 +31,11 @@ SHELF_LIFE_DAYS = {
 CATEGORIES = frozenset(SHELF_LIFE_DAYS)
 
 
+#: Numbers of a row that the decimal cannot hold, as (column, text, reason); null where there are none.
+SET_ASIDE = "set_aside"
+_ASIDE = "array<struct<column: string, text: string, reason: string>>"
+
+
 def parsed(
     df: DataFrame,
     numbers: Sequence[str],
@@ -40,13 +47,14 @@ def parsed(
 ) -> DataFrame:
     """Strip text, coerce dates and numbers, keep rows whose date lies in the window.
 
-    The window compares moments, not days: the last day counts at midnight only.
+    The window compares moments, not days: the last day counts at midnight only.  A number too large
+    for the decimal becomes null and is kept in ``set_aside``: it is not missing.
     """
     df = strip_all(df)
     df = df.withColumns({d: to_moment(df, d, formats) for d in dates})
     low, high = (F.lit(str(d)).cast("timestamp_ntz") for d in (start, end))
     df = df.filter(F.col(window_on).between(low, high))
-    return df.withColumns({n: _measure(df, n) for n in numbers})
+    return df.withColumns({n: _measure(df, n) for n in numbers} | {SET_ASIDE: set_aside(df, numbers)})
 
 
 #: Why a raw row is not among the cleaned ones, in the order in which the rules apply.
@@ -72,10 +80,11 @@ def flagged(
     low, high = (F.lit(str(d)).cast("timestamp_ntz") for d in (start, end))
     inside = F.coalesce(F.col(window_on).between(low, high), F.lit(False))
     # Numbers of rows outside the window are not parsed, as they are not in ``parsed``.
-    df = df.withColumns({n: F.when(inside, _measure(df, n)) for n in numbers})
+    measures = {n: F.when(inside, _measure(df, n)) for n in numbers}
+    df = df.withColumns(measures | {SET_ASIDE: F.when(inside, set_aside(df, numbers))})
     missing = F.lit(False)
     for name in needed:
-        missing = missing | F.col(f"`{name}`").isNull()
+        missing = missing | is_missing(name)
     why = F.when(F.col(window_on).isNull(), "bad_date").when(~inside, "outside_dates").when(missing, "missing_value")
     return df.withColumn("dropped_because", why)
 
@@ -116,7 +125,53 @@ def _measure(df: DataFrame, name: str) -> Column:
     col, kind = F.col(f"`{name}`"), df.schema[name].dataType
     if isinstance(kind, T.DecimalType):
         return col
-    return col.cast("decimal(20,0)") if isinstance(kind, T.IntegralType) else to_number(col)
+    return col.cast("decimal(20,0)") if isinstance(kind, T.IntegralType) else col.try_cast(NUMBER)
+
+
+def set_aside(df: DataFrame, numbers: Sequence[str]) -> Column:
+    """The ``numbers`` of a row that are too large; columns that are exact already have none."""
+    exact = (T.DecimalType, T.IntegralType)
+    loose = [n for n in numbers if not isinstance(df.schema[n].dataType, exact)]
+    if not loose:
+        return F.lit(None).cast(_ASIDE)
+    large = {n: too_large(F.col(f"`{n}`")) for n in loose}
+    found = [
+        F.when(
+            cond,
+            F.struct(
+                F.lit(n).alias("column"),
+                F.col(f"`{n}`").cast("string").alias("text"),
+                F.lit("too large").alias("reason"),
+            ),
+        )
+        for n, cond in large.items()
+    ]
+    return F.when(reduce(or_, large.values()), F.array_compact(F.array(*found))).cast(_ASIDE)
+
+
+def is_missing(name: str) -> Column:
+    """A parsed number is absent, and was not set aside."""
+    kept = F.coalesce(F.array_contains(F.col(f"{SET_ASIDE}.column"), name), F.lit(False))
+    return F.col(f"`{name}`").isNull() & ~kept
+
+
+def without_missing(rows: DataFrame, needed: Sequence[str]) -> DataFrame:
+    return rows.filter(~reduce(or_, [is_missing(n) for n in needed]))
+
+
+def any_set_aside() -> Column:
+    return F.col(SET_ASIDE).isNotNull()
+
+
+def delivered(rows: DataFrame, keep_set_aside: bool) -> DataFrame:
+    """Cleaned rows with or without the numbers set aside."""
+    return rows if keep_set_aside else rows.drop(SET_ASIDE)
+
+
+def numbers_set_aside(raw: DataFrame, row_id: str, numbers: Sequence[str]) -> DataFrame:
+    """One row for every number that is too large: id, column, text, reason.  One scan, no exchange."""
+    rows = strip_all(raw.select(row_id, *[f"`{n}`" for n in numbers]))
+    return rows.select(row_id, F.inline(set_aside(rows, numbers)))
 
 
 @dataclass(frozen=True)

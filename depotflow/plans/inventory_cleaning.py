@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from depotflow.functions.calendar import day_name, financial_year
-from depotflow.functions.numeric import cap_at, floor_at_zero, half_up, or_zero
+from depotflow.functions.numeric import cap_at, floor_at_zero, half_up
 from depotflow.operators.dedup import keep_first
 from depotflow.operators.joins import mean_per_group
 from depotflow.plans.cleaning import (
@@ -18,9 +18,12 @@ from depotflow.plans.cleaning import (
     START,
     Finding,
     any_row,
+    any_set_aside,
+    delivered,
     finding_counts,
     finding_rows,
     flagged,
+    is_missing,
     parsed,
 )
 
@@ -43,7 +46,9 @@ def usable_inventory(raw: DataFrame, rules: InventoryRules) -> DataFrame:
 
 
 def _floored(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({m: floor_at_zero(or_zero(F.col(m))) for m in MEASURES})
+    # A number set aside stays unknown.
+    known = {m: F.when(is_missing(m), F.lit(0)).otherwise(F.col(m)) for m in MEASURES}
+    return rows.withColumns({m: floor_at_zero(c) for m, c in known.items()})
 
 
 def flagged_inventory(raw: DataFrame, rules: InventoryRules) -> DataFrame:
@@ -96,20 +101,24 @@ def shelf_life(category: Column, days: Mapping[str, int]) -> Column:
 
 
 def clean_inventory(
-    raw: DataFrame, order: Sequence, rules: InventoryRules = InventoryRules()
+    raw: DataFrame, order: Sequence, rules: InventoryRules = InventoryRules(), keep_set_aside: bool = False
 ) -> DataFrame:
-    """Cleaned stock rows with status, days of stock and shelf-life risk."""
+    """Cleaned stock rows with status, days of stock and shelf-life risk.
+
+    Status and risk of a row are null where a number set aside leaves its stock unknown.
+    """
     rows = balanced(usable_inventory(raw, rules), rules.correction_scope)
-    return inventory_derived(keep_first(rows, ["inventory_id"], order), rules)
+    return delivered(inventory_derived(keep_first(rows, ["inventory_id"], order), rules), keep_set_aside)
 
 
 def inventory_derived(rows: DataFrame, rules: InventoryRules) -> DataFrame:
     """Status, days of stock and shelf-life risk of balanced rows, one of each id."""
     day, closing = F.col("date").cast("date"), F.col("closing_stock")
+    unknown = any_set_aside() & (closing.isNull() | F.col("reorder_level").isNull())
     rows = rows.withColumns(
         {
             "date": day,
-            "stock_status": stock_status(closing, F.col("reorder_level")),
+            "stock_status": F.when(unknown, F.lit(None)).otherwise(stock_status(closing, F.col("reorder_level"))),
             "financial_year": financial_year(day),
             "day_of_week": day_name(day),
             "shelf_life_days": shelf_life(F.col("category"), rules.shelf_life_days),
@@ -122,9 +131,8 @@ def inventory_derived(rows: DataFrame, rules: InventoryRules) -> DataFrame:
         "days_of_stock", F.when(mean > 0, cover).otherwise(closing)
     )
     at_risk = F.coalesce(F.col("days_of_stock") > F.col("shelf_life_days"), F.lit(False))
-    return rows.withColumn("shelf_life_risk", F.when(at_risk, "At Risk").otherwise("Safe")).drop(
-        "_mean_dispatch"
-    )
+    risk = F.when(at_risk, "At Risk").when(any_set_aside() & closing.isNull(), F.lit(None)).otherwise("Safe")
+    return rows.withColumn("shelf_life_risk", risk).drop("_mean_dispatch")
 
 
 def inventory_findings() -> dict[str, Finding]:

@@ -17,10 +17,13 @@ from depotflow.plans.cleaning import (
     END,
     START,
     Finding,
+    any_set_aside,
+    delivered,
     finding_counts,
     finding_rows,
     flagged,
     parsed,
+    without_missing,
 )
 
 QUANTITIES = ("planned_qty", "actual_qty", "wastage_qty", "net_produced_qty")
@@ -56,7 +59,7 @@ class ProductionRules:
 def usable_production(raw: DataFrame, rules: ProductionRules) -> DataFrame:
     """Parsed runs with a plan and an actual quantity, negatives raised to zero."""
     rows = parsed(raw, MEASURES, ["date"], "date", rules.start, rules.end, rules.date_formats)
-    rows = rows.dropna(subset=["planned_qty", "actual_qty"])
+    rows = without_missing(rows, ["planned_qty", "actual_qty"])
     return rows.withColumns({q: floor_at_zero(F.col(q)) for q in QUANTITIES})
 
 
@@ -68,14 +71,15 @@ def flagged_production(raw: DataFrame, rules: ProductionRules) -> DataFrame:
 
 
 def clean_production(
-    raw: DataFrame, order: Sequence, rules: ProductionRules = ProductionRules()
+    raw: DataFrame, order: Sequence, rules: ProductionRules = ProductionRules(), keep_set_aside: bool = False
 ) -> DataFrame:
     """Cleaned production runs under their star-table column names.
 
     An unknown category or shift leaves no mark in the flag: it is reported by
     ``production_rule_counts`` only.
     """
-    return production_derived(keep_first(usable_production(raw, rules), ["production_id"], order))
+    rows = production_derived(keep_first(usable_production(raw, rules), ["production_id"], order))
+    return delivered(rows, keep_set_aside)
 
 
 def production_derived(rows: DataFrame) -> DataFrame:
@@ -104,7 +108,8 @@ def production_derived(rows: DataFrame) -> DataFrame:
             "day_of_week": day_name(day),
             "financial_year": financial_year(day),
             "efficiency_band": right_closed_bin(efficiency, BAND_EDGES, BAND_LABELS),
-            "data_quality_flag": F.when(waste > 10, "HIGH_WASTAGE")
+            "data_quality_flag": F.when(any_set_aside(), "NUMBER_SET_ASIDE")
+            .when(waste > 10, "HIGH_WASTAGE")
             .when(efficiency > 110, "OVER_PRODUCTION")
             .otherwise("OK"),
         }

@@ -18,7 +18,7 @@ from depotflow.plans.accounts_cleaning import (
     flagged_accounts,
     reconciled,
 )
-from depotflow.plans.cleaning import DROPPED, any_row, first_of_each
+from depotflow.plans.cleaning import DROPPED, SET_ASIDE, any_row, first_of_each
 from depotflow.plans.inventory_cleaning import (
     MEASURES as STOCK_MEASURES,
     InventoryRules,
@@ -58,6 +58,8 @@ def quality_report(df: DataFrame, contract: TableContract, one_pass: bool = Fals
     """All checks of one table: required columns, row count, nulls, duplicate ids, dates
     and numbers.
 
+    Numbers too large for the decimal have a line (``set_aside``) in columns that hold any.
+
     Every check except duplicates is part of a single aggregate over one scan, whose
     tasks emit one row each.  Duplicates count rows per id, combined on the map side, in a
     second run of ``df`` that reads the id alone.
@@ -87,6 +89,10 @@ def quality_report(df: DataFrame, contract: TableContract, one_pass: bool = Fals
         wide = f"try_cast({_name(c)} AS double)"
         return f"{number(c)} IS NULL AND ({wide} IS NULL OR isnan({wide}))"
 
+    def too_large(c: str) -> str:
+        wide = f"try_cast({_name(c)} AS double)"
+        return f"{number(c)} IS NULL AND abs({wide}) < double('Infinity')"
+
     stats = ["count(1) AS n"]
     stats += [f"count_if({_name(c)} IS NULL) AS {_name('null:' + c)}" for c in columns]
     parsed = [(c, f"cast({moment(c)} AS date)", f"{moment(c)} IS NULL") for c in dates]
@@ -98,6 +104,7 @@ def quality_report(df: DataFrame, contract: TableContract, one_pass: bool = Fals
             f"cast(max({shown}) AS string) AS {_name('max:' + c)}",
         ]
     stats += [f"count_if({number(c)} < 0) AS {_name('neg:' + c)}" for c in numbers]
+    stats += [f"count_if({too_large(c)}) AS {_name('aside:' + c)}" for c in numbers]
     key = contract.id_column
     if one_pass and key in columns:
         # Rows without an id are copies of each other.
@@ -118,6 +125,9 @@ def quality_report(df: DataFrame, contract: TableContract, one_pass: bool = Fals
             _line("nulls", c, "ERROR" if needed else "INFO", nulls, f"{nulls} = 0" if needed else "true")
         )
     checks = [("dates", "bad:", dates), ("numbers", "bad:", numbers), ("negatives", "neg:", numbers)]
+    for c in numbers:
+        aside = _name("aside:" + c)
+        lines.append(_line("set_aside", c, "WARNING", aside, f"{aside} = 0"))
     for check, prefix, cols in checks:
         for c in cols:
             bad = _name(prefix + c)
@@ -131,7 +141,8 @@ def quality_report(df: DataFrame, contract: TableContract, one_pass: bool = Fals
             one = one.withColumn("duplicates", F.coalesce(extra, F.lit(0)))
         lines.append(_line("duplicates", key, "WARNING", "duplicates", "duplicates = 0"))
     report = one.selectExpr(
-        f"'{contract.name}' AS table_name", "n AS _n", f"inline(array({', '.join(lines)}))"
+        f"'{contract.name}' AS table_name", "n AS _n",
+        f"inline(filter(array({', '.join(lines)}), x -> x.check_name != 'set_aside' OR x.bad_count > 0))",
     )
     share = F.coalesce(percent(F.col("bad_count"), F.col("_n")), F.lit(0))
     return report.withColumn("bad_pct", share).drop("_n")
@@ -202,7 +213,7 @@ def sales_cleaning_summary(
 def production_cleaning_summary(
     raw: DataFrame, order: Sequence[str], rules: ProductionRules = ProductionRules()
 ) -> DataFrame:
-    columns = ["date", "category", "shift", *QUANTITIES, "raw_milk_used_L"]
+    columns = ["date", "category", "shift", *QUANTITIES, "raw_milk_used_L", SET_ASIDE]
     folded = first_of_each(flagged_production(raw, rules), "production_id", order, columns)
     cleaned = production_derived(folded)
     mean = {
@@ -227,7 +238,7 @@ def inventory_cleaning_summary(
     """As for sales.  The fold carries the dataset-wide triggers, and is stored: triggers, means and totals
     read it, not ``raw`` again."""
     triggers = inventory_triggers()
-    columns = ["date", "product_id", "category", *STOCK_MEASURES]
+    columns = ["date", "product_id", "category", *STOCK_MEASURES, SET_ASIDE]
     rows = flagged_inventory(raw, rules)
     folded = stored(first_of_each(rows, "inventory_id", order, columns, triggers))
     kept = folded.where("kept = 1").drop("kept", *(f"dropped_{r}" for r in DROPPED))
@@ -248,7 +259,7 @@ def accounts_cleaning_summary(
 ) -> DataFrame:
     """As for stock: one run of ``raw``, whose fold is stored."""
     triggers = accounts_triggers()
-    columns = [*DATES, *ACCOUNT_MEASURES]
+    columns = [*DATES, *ACCOUNT_MEASURES, SET_ASIDE]
     rows = flagged_accounts(raw, rules)
     folded = stored(first_of_each(rows, "transaction_id", order, columns, triggers))
     kept = folded.where("kept = 1").drop("kept", *(f"dropped_{r}" for r in DROPPED))

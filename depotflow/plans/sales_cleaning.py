@@ -18,10 +18,13 @@ from depotflow.plans.cleaning import (
     END,
     START,
     Finding,
+    any_set_aside,
+    delivered,
     finding_counts,
     finding_rows,
     flagged,
     parsed,
+    without_missing,
 )
 
 MEASURES = ("quantity", "unit_price", "gross_amount", "discount", "net_amount")
@@ -48,7 +51,7 @@ class SalesRules:
 def usable_sales(raw: DataFrame, rules: SalesRules) -> DataFrame:
     """Parsed rows inside the date window that have quantity, price and net amount."""
     rows = parsed(raw, MEASURES, ["date"], "date", rules.start, rules.end, rules.date_formats)
-    return rows.dropna(subset=["quantity", "unit_price", "net_amount"])
+    return without_missing(rows, ["quantity", "unit_price", "net_amount"])
 
 
 def flagged_sales(raw: DataFrame, rules: SalesRules) -> DataFrame:
@@ -65,7 +68,8 @@ def _standardised(rows: DataFrame) -> DataFrame:
 
 def _quality_flag(rules: SalesRules):
     """The most severe finding wins; a later measure outranks an earlier one."""
-    flag = F.when(F.col("net_amount") <= 0, "ZERO_OR_NEGATIVE_NET")
+    flag = F.when(any_set_aside(), "NUMBER_SET_ASIDE")
+    flag = flag.when(F.col("net_amount") <= 0, "ZERO_OR_NEGATIVE_NET")
     for name in reversed(MEASURES):
         flag = flag.when(F.col(name) < 0, f"NEGATIVE_{name.upper()}")
     return flag.when(
@@ -74,17 +78,19 @@ def _quality_flag(rules: SalesRules):
 
 
 def clean_sales(
-    raw: DataFrame, order: Sequence, rules: SalesRules = SalesRules()
+    raw: DataFrame, order: Sequence, rules: SalesRules = SalesRules(), keep_set_aside: bool = False
 ) -> DataFrame:
     """Cleaned sales lines; ``order`` decides which copy of a sale id is the first.
 
+    A line with a number too large for the decimal stays, flagged; ``keep_set_aside`` delivers its text.
+
     Copies are removed before the text and derived columns are computed, so neither
     travels through the exchange.
     """
     rows = keep_first(usable_sales(raw, rules), ["sale_id"], order)
     rows = _standardised(rows)
     day = F.col("date").cast("date")
-    return rows.withColumns(
+    rows = rows.withColumns(
         {
             "date": day,
             "data_quality_flag": _quality_flag(rules),
@@ -94,6 +100,7 @@ def clean_sales(
             "revenue_band": right_closed_bin(F.col("net_amount"), BAND_EDGES, BAND_LABELS),
         }
     )
+    return delivered(rows, keep_set_aside)
 
 
 def sales_findings(rules: SalesRules) -> dict[str, Finding]:

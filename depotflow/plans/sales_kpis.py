@@ -34,8 +34,11 @@ def money(col: Column | str) -> Column:
     return F.round(F.col(col) if isinstance(col, str) else col, 2).cast("decimal(38,2)")
 
 
-def monthly_sales(sales: DataFrame) -> DataFrame:
-    """Monthly revenue trend with the change against the month before."""
+def monthly_sales(sales: DataFrame, bitmaps: DataFrame | None = None) -> DataFrame:
+    """Monthly revenue trend with the change against the month before.
+
+    ``bitmaps``: a stored mart of customers and invoices that has the month among its keys.
+    """
     monthly = rollup(
         sales,
         MONTH,
@@ -47,6 +50,7 @@ def monthly_sales(sales: DataFrame) -> DataFrame:
             "total_discount": ("sum", "discount"),
             "net_revenue": ("sum", "net_amount"),
         },
+        bitmaps=bitmaps,
     )
     monthly = monthly.withColumns(
         {
@@ -86,8 +90,13 @@ def category_revenue(sales: DataFrame, products: Dimension | None = None) -> Dat
     ).orderBy(F.col("net_revenue").desc(), "category")
 
 
-def route_performance(sales: DataFrame, customers: Dimension | None = None) -> DataFrame:
-    """Customers, invoices and revenue per delivery route; the average is per line."""
+def route_performance(
+    sales: DataFrame, customers: Dimension | None = None, bitmaps: DataFrame | None = None
+) -> DataFrame:
+    """Customers, invoices and revenue per delivery route; the average is per line.
+
+    ``bitmaps``: a stored mart of customers and invoices that has the route among its keys.
+    """
     out = rollup(
         sales,
         ["route_id", "route_name"],
@@ -98,6 +107,7 @@ def route_performance(sales: DataFrame, customers: Dimension | None = None) -> D
             "avg_invoice_value": ("avg", "net_amount"),
         },
         customers,
+        bitmaps,
     )
     return out.withColumns(
         {

@@ -13,6 +13,7 @@ from depotflow.operators.dedup import keep_first
 from depotflow.operators.share import share_of_all
 from depotflow.operators.timeline import day_spine
 from depotflow.plans.accounts_cleaning import clean_accounts
+from depotflow.plans.cleaning import numbers_set_aside
 from depotflow.plans.dimensions import dim_date, star_read
 from depotflow.plans.inventory_cleaning import clean_inventory
 from depotflow.plans.sales_cleaning import BAND_EDGES, BAND_LABELS
@@ -200,6 +201,24 @@ def _(t):
     )
 
 
+# Quantities with an exponent, so that some are beyond 28 digits before the point.
+_EXPONENTS = "l_quantity::INT::VARCHAR || 'e' || (l_partkey % 30)::VARCHAR"
+
+
+@query(
+    "numbers_set_aside",
+    f"""SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS sale_id, 'quantity' AS "column",
+      {_EXPONENTS} AS text, 'too large' AS reason
+    FROM lineitem WHERE l_quantity >= 1 AND length(l_quantity::INT::VARCHAR) + l_partkey % 30 > 28""",
+)
+def _(t):
+    lines = t.table("lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("sale_id"),
+        F.concat(F.col("l_quantity").cast("int"), F.lit("e"), F.col("l_partkey") % 30).alias("quantity"),
+    )
+    return numbers_set_aside(lines, "sale_id", ["quantity"])
+
+
 @query(
     "negatives_floored",
     with_(

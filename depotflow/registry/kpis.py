@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
+
 from depotflow.functions.text import with_percent_sign
+from depotflow.operators.bitmaps import bitmap_counts, bitmap_mart
 from depotflow.plans import accounts_kpis, inventory_kpis, production_kpis, sales_kpis
 from depotflow.registry.base import query
 from depotflow.registry.sqltext import (
@@ -23,6 +28,7 @@ from depotflow.registry.sqltext import (
     txt,
     with_,
 )
+from depotflow.session import stored
 
 # Fixed values, stated again for the twins.
 _TIERS = ((900000, 'Platinum (>=9L)'), (850000, 'Gold (8.5L-9L)'), (750000, 'Silver (7.5L-8.5L)'), (650000, 'Bronze (6.5L-7.5L)'))
@@ -86,20 +92,76 @@ def _(t):
     return category_revenue(t)
 
 
+_ROUTES_SQL = with_(
+    SALES,
+    f"""SELECT route_id, route_name, count(DISTINCT customer_id) AS customers_served,
+      count(DISTINCT invoice_number) AS total_invoices, {dbl('SUM(net_amount)')} AS net_revenue,
+      {div('SUM(net_amount)', 'count(DISTINCT customer_id)')} AS revenue_per_customer,
+      {div('SUM(net_amount)', 'COUNT(*)')} AS avg_invoice_value,
+      {pct('SUM(net_amount)', 'SUM(SUM(net_amount)) OVER ()')} AS revenue_share_pct
+    FROM sales GROUP BY ALL""",
+)
+
+
+@query("sales_route_performance", _ROUTES_SQL)
+def _(t):
+    return sales_kpis.route_performance(t.fact_sales(), t.customers)
+
+
+# The same marts, distinct counts from one stored mart of bitmaps per month and route.
+_ROUTE = ["route_id", "route_name"]
+
+
+def _sales_bitmaps(t):
+    return stored(bitmap_mart(t.fact_sales(route=True), [*sales_kpis.MONTH, *_ROUTE], ["customer_id", "invoice_number"]))
+
+
 @query(
-    "sales_route_performance",
+    "sales_monthly_from_bitmaps",
+    with_(SALES, SALES_MONTHLY, f"SELECT * REPLACE ({_MONEY_MONTH}) FROM sales_mart"),
+)
+def _(t):
+    return sales_kpis.monthly_sales(t.fact_sales(), _sales_bitmaps(t))
+
+
+@query("sales_routes_from_bitmaps", _ROUTES_SQL)
+def _(t):
+    return sales_kpis.route_performance(t.fact_sales(), t.customers, _sales_bitmaps(t))
+
+
+# Months, quarters, years, routes and all time, each merged upwards from the same stored bitmaps.
+_GRAINS = {
+    "month": ["financial_year", "month_name"],
+    "quarter": ["financial_year", "quarter"],
+    "year": ["financial_year"],
+    "route_year": ["financial_year", "route_name"],
+    "all": [],
+}
+
+
+@query(
+    "sales_distincts_by_grain",
     with_(
         SALES,
-        f"""SELECT route_id, route_name, count(DISTINCT customer_id) AS customers_served,
-          count(DISTINCT invoice_number) AS total_invoices, {dbl('SUM(net_amount)')} AS net_revenue,
-          {div('SUM(net_amount)', 'count(DISTINCT customer_id)')} AS revenue_per_customer,
-          {div('SUM(net_amount)', 'COUNT(*)')} AS avg_invoice_value,
-          {pct('SUM(net_amount)', 'SUM(SUM(net_amount)) OVER ()')} AS revenue_share_pct
-        FROM sales GROUP BY ALL""",
+        "\nUNION ALL ".join(
+            f"""SELECT '{grain}' AS grain, {'financial_year' if keys else 'CAST(NULL AS VARCHAR)'} AS financial_year,
+          {keys[1] if len(keys) > 1 else 'CAST(NULL AS VARCHAR)'} AS member,
+          count(DISTINCT customer_id) AS customers, count(DISTINCT invoice_number) AS invoices
+        FROM sales {'GROUP BY ' + ', '.join(keys) if keys else ''}"""
+            for grain, keys in _GRAINS.items()
+        ),
     ),
 )
 def _(t):
-    return sales_kpis.route_performance(t.fact_sales(), t.customers)
+    mart = _sales_bitmaps(t)
+    names = {"customers": "customer_id", "invoices": "invoice_number"}
+
+    def level(grain, keys):
+        shown = [F.col(k) for k in keys] + [F.lit(None).cast("string")] * (2 - len(keys))
+        counts = bitmap_counts(mart, keys, names)
+        return counts.select(F.lit(grain).alias("grain"), shown[0].alias("financial_year"), shown[1].alias("member"), *names)
+
+    return reduce(DataFrame.unionByName, [level(*g) for g in _GRAINS.items()])
 
 
 @query(
@@ -428,6 +490,13 @@ def _(t):
     return billing_collections(t)
 
 
+@query("accounts_billing_from_bitmaps", with_(ACCOUNTS, BILLING, "SELECT * FROM billing_mart"))
+def _(t):
+    accounts = t.fact_accounts()
+    mart = stored(bitmap_mart(accounts, accounts_kpis.MONTH, ["customer_id"]))
+    return accounts_kpis.billing_collections(accounts, mart)
+
+
 @query(
     "accounts_billing_percent_text",
     with_(
