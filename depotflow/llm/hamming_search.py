@@ -7,7 +7,9 @@ verified distance is no more than that bound.
 
 Equal codes are one entry of the index, with their k smallest ids: others cannot be among the k nearest.
 Queries with equal codes search once.  A round probes the segment values at exactly its radius; when those
-values outnumber the values that exist, the query's segment is compared with the existing values instead.
+values outnumber the values that exist, the existing values near the queries' are looked up instead.  For that a
+segment is cut once more: values at distance r agree up to r // 2 bits in the lower half, or up to (r - 1) // 2
+in the upper one, so they meet at a half's value, which at most 2 ** (``WIDEST`` / 2) values of a segment have.
 """
 
 from __future__ import annotations
@@ -75,6 +77,33 @@ def _distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
+def _near_values(asked: DataFrame, existing: DataFrame, segments: list[tuple[int, int]], radius: int) -> DataFrame:
+    """Existing values at exactly ``radius`` from those asked for: segment, value, present; each pair once.
+
+    Both inputs have distinct rows (segment, value).
+    """
+    spark = asked.sparkSession
+    limits = (radius // 2, (radius - 1) // 2)
+    masks = None
+    for width in sorted({w for _, w in segments}):
+        for half, bits in enumerate((width // 2, width - width // 2)):
+            # A half has WIDEST / 2 bits at most, so there are few masks whatever the data.
+            some = spark.range(1 << bits).where(F.bit_count("id") <= limits[half])
+            some = some.select(F.lit(width).alias("width"), F.lit(half).alias("half"), F.col("id").alias("mask"))
+            masks = some if masks is None else masks.unionByName(some)
+    width_of = F.element_at(F.array(*(F.lit(w) for _, w in segments)), F.col("segment") + 1)
+    lower = "(shiftleft(1L, cast(width div 2 as int)) - 1)"
+    halves = f"struct(0 as half, value & {lower} as part), struct(1 as half, shiftright(value, cast(width div 2 as int)) as part)"
+    cut = lambda values: values.withColumn("width", width_of).selectExpr("segment", "value", "width", f"inline(array({halves}))")
+    probes = cut(asked).join(F.broadcast(masks), ["width", "half"])
+    probes = probes.select("segment", "value", "width", "half", F.col("part").bitwiseXOR(F.col("mask")).alias("part"))
+    have = cut(existing).select("segment", "half", "part", F.col("value").alias("present"))
+    met = probes.join(have.hint("merge"), ["segment", "half", "part"]).where(F.bit_count(F.expr("value ^ present")) == radius)
+    # What meets in both halves counts in the lower one.
+    once = (F.col("half") == 0) | (F.bit_count(F.expr(f"(value ^ present) & {lower}")) > limits[0])
+    return met.where(once).select("segment", "value", "present")
+
+
 def nearest(index: DataFrame, queries: DataFrame, bits: int, k: int) -> DataFrame:
     """Per query: query_id, rank (from 1), neighbour_id, distance.  Both inputs have id and code.
 
@@ -118,9 +147,8 @@ def nearest(index: DataFrame, queries: DataFrame, bits: int, k: int) -> DataFram
             probes = probes.withColumn("width", width_of).join(F.broadcast(masks), "width")
             probes = probes.select("query", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
         else:
-            seen = values.select("segment", F.col("value").alias("present"))
-            near = F.bit_count(F.col("value").bitwiseXOR(F.col("present"))) == radius
-            probes = probes.join(seen, "segment").where(near).select("query", "segment", F.col("present").alias("value"))
+            near = _near_values(probes.select("segment", "value").distinct(), values, segments, radius)
+            probes = probes.join(near, ["segment", "value"]).select("query", "segment", F.col("present").alias("value"))
         pairs = probes.join(posted.hint("merge"), ["segment", "value"]).select("query", "entry").distinct()
         # Pairs grow with the codes: sorted merges, since a size seen before they unfold tells too little.
         pairs = pairs.join(left.select("query", F.col("code").alias("asked")).hint("merge"), "query")

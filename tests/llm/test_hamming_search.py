@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from depotflow.llm.hamming_search import nearest, sign_codes
+from depotflow.llm import hamming_search
+from depotflow.llm.hamming_search import _near_values, nearest, sign_codes
 
 
 def run(spark, vectors, ids, asked, bits, k):
@@ -36,3 +37,22 @@ def test_nulls_few_rows_and_empty(spark):
     assert run(spark, vectors, ids, [1, 2], 3, 5) == [(1, 1, 1, 0), (1, 2, 3, 1)]
     assert run(spark, [], [], [1], 3, 5) == []
     assert run(spark, vectors[:1], [1], [9], 3, 5) == []
+
+
+@pytest.mark.parametrize("bits, n", [(16, 150), (5, 40), (70, 80)])
+def test_values_that_exist_instead_of_masks(spark, monkeypatch, bits, n):
+    monkeypatch.setattr(hamming_search, "MASKS", 1)
+    rng = np.random.default_rng(n)
+    vectors, ids = list(rng.normal(size=(n, bits))), list(range(n))
+    asked = {i for i in ids if i % 10 == 0}
+    assert run(spark, vectors, ids, asked, bits, 6) == brute(vectors, ids, asked, 6)
+
+
+@pytest.mark.parametrize("radius", [1, 2, 3, 6])
+def test_near_values_are_found_once(spark, radius):
+    segments = [(0, 7), (7, 6)]
+    rng = np.random.default_rng(radius)
+    asked, existing = ({(s, int(v)) for s, w in enumerate((7, 6)) for v in rng.integers(0, 1 << w, 40)} for _ in range(2))
+    frames = (spark.createDataFrame(sorted(x), "segment int, value long") for x in (asked, existing))
+    got = sorted(tuple(r) for r in _near_values(*frames, segments, radius).collect())
+    assert got == sorted((s, v, p) for s, v in asked for t, p in existing if s == t and (v ^ p).bit_count() == radius)
