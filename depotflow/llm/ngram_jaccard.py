@@ -186,16 +186,35 @@ def count_shingles(docs: DataFrame, groups: int, scratch: Scratch, gram: int = G
 
 
 def most_frequent(counts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """Prints and counts of the most frequent shingles, sorted by print: all above the lowest count for
-    which no more than ``most`` are left."""
-    by_count = counts.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("prints")).collect()
-    least, total = 1 << 62, 0
-    for r in sorted(by_count, key=lambda r: -r["n"]):
-        total += r["prints"]
-        if total > most:
+    """Prints and counts of the most frequent shingles, ``most`` at most, sorted by print.
+
+    Counts are told apart exactly up to 2 ** 16 and to a 64th of a power of two above.  Of those at the lowest
+    count that not all fit, the ones with the smallest prints are taken, as many leading prints as fit whole.
+    """
+    top = F.lit(float(1 << 16))
+    level = F.when(F.col("n") < top, F.col("n").cast("double")).otherwise(top + F.floor(64 * F.log2(F.col("n") / top)))
+    counts = counts.withColumn("level", level.cast("long"))
+    levels = counts.groupBy("level").agg(F.count("*").alias("prints")).collect()
+    least, room, cut = 1 << 62, most, None
+    for r in sorted(levels, key=lambda r: -r["level"]):
+        if r["prints"] > room:
+            cut = r["level"]
             break
-        least = r["n"]
-    rows = counts.where(F.col("n") >= least).toArrow()
+        room -= r["prints"]
+        least = r["level"]
+    taken = F.col("level") >= least
+    if cut is not None and room:
+        # Prints are hashes: their first 16 bits make blocks of about one size.
+        block = F.shiftright("print", 64 - int(_COUNT_BITS) - 16)
+        blocks = counts.where(F.col("level") == cut).groupBy(block.alias("block")).agg(F.count("*").alias("prints")).collect()
+        until = 0
+        for r in sorted(blocks, key=lambda r: r["block"]):
+            room -= r["prints"]
+            if room < 0:
+                break
+            until = r["block"] + 1
+        taken |= (F.col("level") == cut) & (block < until)
+    rows = counts.where(taken).select("print", "n").toArrow()
     prints, n = (rows.column(c).to_numpy().astype(np.int64) for c in ("print", "n"))
     order = np.argsort(prints)
     return prints[order].astype(np.uint64), n[order]

@@ -4,7 +4,7 @@ import pytest
 
 from depotflow.llm import ngram_jaccard
 from depotflow.llm.components import components
-from depotflow.llm.ngram_jaccard import boundary, first_shingles, least_overlap, near_copies
+from depotflow.llm.ngram_jaccard import boundary, first_shingles, least_overlap, most_frequent, near_copies
 from depotflow.llm.tables import Scratch
 from tests.llm import data
 
@@ -136,3 +136,18 @@ def test_every_link_is_counted(spark, gram, percent):
     got = near_copies(df, gram, percent, count_links=True).collect()
     assert sorted((r["doc_id"], r["n_shingles"], r["n_links"]) for r in got) == want
     assert all(r["linked"] == (r["n_links"] > 0) for r in got) and max(n for _, _, n in want) > 5
+
+
+@pytest.mark.parametrize("most", [0, 1, 7, 40, 1000])
+def test_most_frequent_fill_their_room(spark, most):
+    rng = random.Random(most)
+    prints = rng.sample(range(1 << 44), 300)
+    counts = [1 << 20] * 100 + [70_000] * 50 + [rng.randint(2, 9) for _ in range(150)]
+    table = spark.createDataFrame(list(zip(prints, counts)), "print long, n long")
+    got = dict(zip(*(x.tolist() for x in most_frequent(table, most))))
+    known = dict(zip(prints, counts))
+    assert all(known[p] == n for p, n in got.items()) and list(got) == sorted(got)
+    # Blocks of prints hold one each or two here, so nearly all of the room is used.
+    assert min(most, 300) - 2 <= len(got) <= most
+    rest = [n for p, n in known.items() if p not in got]
+    assert not got or not rest or min(got.values()) >= max(rest)
