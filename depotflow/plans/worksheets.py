@@ -17,6 +17,7 @@ from depotflow.operators.reshape import attribute, measures_as_rows, trend_line
 from depotflow.operators.share import share_percent
 from depotflow.operators.timeline import last_value
 from depotflow.plans.inventory_kpis import stockout_risk
+from depotflow.plans.sales_kpis import MONTH, money
 
 # Status texts and their default thresholds per card.
 CARD_EFFICIENCY = ((95, "On Target"), (90, "Near Target")), "Below Target"
@@ -51,13 +52,25 @@ def number_text(col: Column, scale: int) -> Column:
 # Executive --------------------------------------------------------------------
 
 
-def revenue_card(monthly: DataFrame, invoices: DataFrame) -> DataFrame:
-    """Total revenue, the best month's customer count and distinct invoices."""
-    n = invoices.select("invoice_number").distinct().agg(F.count(F.lit(1))).scalar()
-    return monthly.agg(
-        F.sum("net_revenue").alias("total_revenue"),
-        F.max("unique_customers").alias("max_unique_customers"),
-    ).withColumn("total_invoices", n)
+def revenue_card(sales: DataFrame) -> DataFrame:
+    """Total revenue, the best month's customer count and distinct invoices, from one run of ``sales``.
+
+    Rows are folded to month, customer and invoice first; the counts of months and of all time expand the fold.
+    Without rows there are no invoices, and the other two are null.
+    """
+    month = F.struct(*MONTH).alias("month")
+    folded = sales.groupBy(month, "customer_id", "invoice_number").agg(F.sum("net_amount").alias("net"))
+    levels = folded.rollup("month").agg(
+        (F.grouping("month") == 1).alias("all_time"),
+        F.sum("net").alias("net"),
+        F.count_distinct("customer_id").alias("customers"),
+        F.count_distinct("invoice_number").alias("invoices"),
+    )
+    return levels.agg(
+        F.sum(F.when(~F.col("all_time"), money("net"))).alias("total_revenue"),
+        F.max(F.when(~F.col("all_time"), F.col("customers"))).alias("max_unique_customers"),
+        F.coalesce(F.max(F.when(F.col("all_time"), F.col("invoices"))), F.lit(0)).alias("total_invoices"),
+    )
 
 
 def growth_card(monthly: DataFrame) -> DataFrame:

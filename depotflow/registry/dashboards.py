@@ -81,7 +81,7 @@ _LABEL = "left(month_name, 3) || ' ' || year"
     ),
 )
 def _(t):
-    return ws.revenue_card(kpis.sales_monthly(t), t.fact_sales())
+    return ws.revenue_card(t.fact_sales())
 
 
 _LAST_MOM = "max_by(mom_growth_pct, year * 100 + month)"

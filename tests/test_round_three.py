@@ -15,6 +15,8 @@ from depotflow.plans.inventory_cleaning import InventoryRules, inventory_rule_vi
 from depotflow.plans.measures import monthly_time_intelligence, revenue_to_date
 from depotflow.plans.quality import inventory_cleaning_summary, quality_report, sales_cleaning_summary
 from depotflow.plans.sales_cleaning import SalesRules, sales_rule_counts, sales_rule_violations
+from depotflow.plans.sales_kpis import monthly_sales
+from depotflow.plans.worksheets import revenue_card
 from depotflow.registry import queries
 from pyspark.sql import functions as F
 
@@ -174,3 +176,22 @@ def test_one_pass_report_counts_copies_as_two_do(spark):
     two, one = (quality_report(df, contracts.SALES, one_pass=p).collect() for p in (False, True))
     assert sorted(map(str, two)) == sorted(map(str, one))
     assert next(r for r in one if r["check_name"] == "duplicates")["bad_count"] == 2
+
+
+def test_revenue_card_runs_its_input_once(spark):
+    card = queries()["card_total_revenue"](spark, SF)
+    assert scans(card, "lineitem") == 1 and scans(card, "orders") == 1
+
+
+def test_revenue_card_against_the_month_mart(spark):
+    schema = "year int, month int, month_name string, quarter string, financial_year string, customer_id long, " \
+        "invoice_number long, quantity int, gross_amount decimal(20,4), discount decimal(20,4), net_amount decimal(20,4)"
+    may, june = (2024, 5, "May", "Q1", "2024-25"), (2024, 6, "June", "Q1", "2024-25")
+    rows = [(*may, 1, 10, "1.005"), (*may, 1, 10, "2.001"), (*may, 2, 11, "0.001"), (*june, 1, 10, "3.339"), (*june, None, None, "4")]
+    rows = [(*r[:7], 1, Decimal(r[7]), Decimal(0), Decimal(r[7])) for r in rows]
+    sales = spark.createDataFrame(rows, schema)
+    monthly = monthly_sales(sales).toPandas()
+    assert revenue_card(sales).first().asDict() == {
+        "total_revenue": monthly["net_revenue"].sum(), "max_unique_customers": 2, "total_invoices": 2,
+    }
+    assert tuple(revenue_card(sales.limit(0)).first()) == (None, None, 0)
