@@ -174,8 +174,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keyed: bool = False) ->
         "item_id", F.col("body").alias("text"), F.least("n_words", F.lit(WINDOW)).cast("int").alias("length")
     )
     lengths = sorted(r["length"] for r in sized.select("length").distinct().collect() if r["length"])
-    keyed = docs.select(*row_key("doc_id", "text"), "doc_id", "text")
-    prints = stored(fingerprints(keyed, lengths or [WINDOW]), "fingerprints")
+    texts = docs.select(*row_key("doc_id", "text"), "doc_id", "text")
+    prints = stored(fingerprints(texts, lengths or [WINDOW]), "fingerprints")
     item_prints = None
     for n in lengths:  # at most WINDOW lengths
         some = sized.where(F.col("length") == n).select("item_id", F.col("text").alias("body"), "text")
@@ -193,7 +193,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keyed: bool = False) ->
         .groupBy("key_a", "key_b")
         .agg(F.collect_set(F.struct("item_id", "text")).alias("items"))
     )
-    rows = keyed.select("key_a", "key_b", "text").join(hits, ["key_a", "key_b"])
+    rows = texts.select("key_a", "key_b", "text").join(hits, ["key_a", "key_b"])
     found = extend(rows).dropDuplicates(["key_a", "key_b"])
     none = F.coalesce(F.col("n_hit"), F.lit(0).cast("long"))
     return prints.join(found, ["key_a", "key_b"], "left").select(

@@ -67,3 +67,12 @@ def test_shared_passage_in_every_item_and_document(spark):
 @pytest.mark.parametrize("docs, items", [([], [(1, "a b")]), ([(1, "a b"), (2, None)], []), ([(1, "a b")], [(1, None), (2, " ")])])
 def test_empty_tables(spark, docs, items):
     same(run(spark, docs, items), brute(docs, items))
+
+
+def test_row_keys_only_where_asked_for(spark):
+    d = spark.createDataFrame([(1, "a b", "x", 7)], DOCS)
+    for items in ([(1, "a b", None)], []):
+        b = spark.createDataFrame(items, ITEMS)
+        plain = ["doc_id", "n_words", "n_hit", "n_items", "item_ids", "contaminated"]
+        assert contamination(d, b).columns == plain
+        assert contamination(d, b, keyed=True).columns == [*plain, "key_a", "key_b"]
