@@ -8,8 +8,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from depotflow.session import stored, tune
-from depotflow.sources.order_tables import OrderTables
+from depotflow.session import size_for_tables, stored, tune
+from depotflow.sources.order_tables import SCHEMAS, OrderTables
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,11 @@ class QueryTables(OrderTables):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runner(entry: Entry):
-        return lambda spark, folder: tidy(entry.build(QueryTables(tune(spark), folder)))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            size_for_tables(tune(spark), [f"{folder}/{name}.parquet" for name in SCHEMAS])
+            return tidy(entry.build(QueryTables(spark, folder)))
+
+        return run
 
     return {name: runner(entry) for name, entry in ENTRIES.items()}
 
