@@ -62,17 +62,20 @@ def monthly_totals(df: DataFrame, value: str, name: str, date: str = "date") ->
     return spine.join(totals, "month_start", "left")
 
 
-def _month_number() -> Column:
+def month_number() -> Column:
     return F.year("month_start") * 12 + F.month("month_start")
 
 
 def shifted(
-    monthly: DataFrame, value: str, months: int, name: str, keys: Sequence[str] = ()
+    monthly: DataFrame, value: str, months: int, name: str, keys: Sequence[str] = (), month: str | None = None
 ) -> DataFrame:
     """The value ``months`` earlier, matched by date: a gap month gives null instead of
-    silently taking the row before the gap."""
+    silently taking the row before the gap.
+
+    ``month`` names a column that has ``month_number``: windows ordered by one column share one sort.
+    """
     if keys:
-        then = W.partitionBy(*keys).orderBy(_month_number()).rangeBetween(-months, -months)
+        then = W.partitionBy(*keys).orderBy(month or month_number()).rangeBetween(-months, -months)
         return monthly.withColumn(name, F.max(value).over(then))
     moved = monthly.select(
         F.add_months("month_start", months).alias("month_start"), F.col(value).alias(name)
@@ -86,10 +89,10 @@ def growth(current: Column, previous: Column) -> Column:
 
 
 def rolling_mean(
-    monthly: DataFrame, value: str, months: int, name: str, keys: Sequence[str] = ()
+    monthly: DataFrame, value: str, months: int, name: str, keys: Sequence[str] = (), month: str | None = None
 ) -> DataFrame:
-    """Mean over the calendar months of the trailing window that have a value."""
-    window = W.partitionBy(*keys).orderBy(_month_number()).rangeBetween(-(months - 1), W.currentRow)
+    """Mean over the calendar months of the trailing window that have a value; ``month`` as for ``shifted``."""
+    window = W.partitionBy(*keys).orderBy(month or month_number()).rangeBetween(-(months - 1), W.currentRow)
     mean = F.sum(value).over(window).cast("double") / F.count(value).over(window).cast("double")
     return monthly.withColumn(name, mean)
 

@@ -14,6 +14,7 @@ from depotflow.operators.timeline import (
     daily_totals,
     dense,
     growth,
+    month_number,
     monthly_totals,
     rolling_mean,
     shifted,
@@ -101,9 +102,11 @@ def monthly_time_intelligence(
         monthly = dense(totals, keys, "month_start", "revenue", "month")
     else:
         monthly = monthly_totals(sales, "net_amount", "revenue")
-    monthly = shifted(monthly, "revenue", 12, "revenue_smly", keys)
-    monthly = shifted(monthly, "revenue", 1, "revenue_previous_month", keys)
-    monthly = rolling_mean(monthly, "revenue", 3, "_rolling", keys)
+    # One column for all windows, so that they share one sort.
+    monthly = monthly.withColumn("_month", month_number())
+    monthly = shifted(monthly, "revenue", 12, "revenue_smly", keys, "_month")
+    monthly = shifted(monthly, "revenue", 1, "revenue_previous_month", keys, "_month")
+    monthly = rolling_mean(monthly, "revenue", 3, "_rolling", keys, "_month")
     revenue = F.col("revenue")
     return monthly.withColumns(
         {
@@ -111,7 +114,7 @@ def monthly_time_intelligence(
             "revenue_yoy_pct": growth(revenue, F.col("revenue_smly")),
             "revenue_3m_rolling_avg": half_up(F.col("_rolling"), SCALE),
         }
-    ).drop("_rolling")
+    ).drop("_rolling", "_month")
 
 
 def revenue_rank(

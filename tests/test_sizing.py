@@ -1,8 +1,16 @@
-"""Shuffles sized by the input."""
+"""Shuffles sized by the input, one sort for windows of one key."""
 
 from __future__ import annotations
 
+from depotflow.plans.measures import monthly_time_intelligence
 from depotflow.session import PARTITION_BYTES, size_for_tables, with_settings
+from depotflow.sources.order_tables import OrderTables
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_partitions_follow_the_stored_bytes_and_are_never_lowered(spark, tmp_path):
@@ -15,3 +23,11 @@ def test_partitions_follow_the_stored_bytes_and_are_never_lowered(spark, tmp_pat
         assert spark.conf.get("spark.sql.shuffle.partitions") == "12"
         assert size_for_tables(spark, paths[1:]) == 12
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_windows_by_month_share_one_sort(spark):
+    with with_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        sales = OrderTables(spark, FOLDER).fact_sales().select("customer_id", "date", "net_amount").localCheckpoint()
+        text = plan(monthly_time_intelligence(sales, ["customer_id"]))
+    # One for the gaps, one for the shifts and the mean.
+    assert text.count("Sort [") == 2
