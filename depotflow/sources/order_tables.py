@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from depotflow.functions.calendar import month_name, period_columns, quarter_label
 from depotflow.functions.numeric import MONEY, half_up
+from depotflow.operators.joins import with_dimension
 from depotflow.plans.accounts_cleaning import AccountsRules, clean_accounts
 from depotflow.plans.inventory_cleaning import InventoryRules, clean_inventory
 from depotflow.plans.production_cleaning import ProductionRules, clean_production
@@ -124,22 +125,37 @@ class OrderTables:
         """One row per order line with the requested dimension attributes.
 
         Period columns depend on the order alone, so they are derived once per order,
-        before the join multiplies it by its lines; unused ones are pruned.
+        before the join multiplies it by its lines; unused ones are pruned.  Customers are joined to the
+        orders for the same reason, parts to the bare lines, and amounts are derived after the last
+        join: where a dimension is too large to broadcast, no joined sales row is shuffled again.
         """
         day = F.col("date")
         orders = self.table("orders").select(
-            "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("date"),
-            F.col("o_orderpriority").alias("payment_mode"),
+            "o_orderkey", F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").cast("date").alias("date"), F.col("o_orderpriority").alias("payment_mode"),
         ).withColumns(period_columns(day))
-        lines = self.table("lineitem")
+        lines = self.table("lineitem").withColumnRenamed("l_partkey", "product_id")
+        order, borrowed = [], []
+        if customer or route:
+            borrowed += ["customer_name", "customer_type", "route_id"]
+            orders = with_dimension(orders, self.dim_customer, "customer_id", borrowed)
+            order.append("customer_id")
+        if route:
+            borrowed.append("route_name")
+            orders = with_dimension(orders, self.dim_route, "route_id", ["route_name"])
+            order.insert(0, "route_id")
+        if product:
+            named = ["product_name", "category", "standard_price"]
+            borrowed += named
+            lines = with_dimension(lines, self.dim_product, "product_id", named)
+            order.insert(0, "product_id")
         rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         gross = _money("l_extendedprice")
         discount = F.round(gross * F.col("l_discount").cast("decimal(4,2)"), 2).cast(MONEY)
         rows = rows.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("sale_id"),
             "date", "year", "month", "month_name", "quarter", "financial_year",
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_partkey").alias("product_id"),
+            "customer_id", "product_id",
             F.col("l_quantity").cast("bigint").alias("quantity"),
             half_up(gross.cast("double") / F.col("l_quantity"), 2).cast(MONEY).alias("unit_price"),
             gross.alias("gross_amount"),
@@ -149,22 +165,11 @@ class OrderTables:
             F.col("l_orderkey").alias("invoice_number"),
             F.col("l_linenumber").alias("line_number"),
             F.col("l_returnflag").alias("return_flag"),
+            *borrowed,
         )
-        if customer or route:
-            rows = rows.join(
-                self.dim_customer.select("customer_id", "customer_name", "customer_type", "route_id"),
-                "customer_id",
-                "left",
-            )
-        if route:
-            rows = rows.join(self.dim_route.select("route_id", "route_name"), "route_id", "left")
-        if product:
-            rows = rows.join(
-                self.dim_product.select("product_id", "product_name", "category", "standard_price"),
-                "product_id",
-                "left",
-            )
-        return rows
+        if not borrowed:
+            return rows
+        return rows.select(*order, *[c for c in rows.columns if c not in order])
 
     def raw_sales(self) -> DataFrame:
         """The sales lines as an untidy text export: padded and lower-case text,

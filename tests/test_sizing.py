@@ -1,4 +1,4 @@
-"""Shuffles sized by the input, one sort for windows of one key."""
+"""Shuffles sized by the input, joins in the order that shuffles least, one sort for windows of one key."""
 
 from __future__ import annotations
 
@@ -31,3 +31,13 @@ def test_windows_by_month_share_one_sort(spark):
         text = plan(monthly_time_intelligence(sales, ["customer_id"]))
     # One for the gaps, one for the shifts and the mean.
     assert text.count("Sort [") == 2
+
+
+def test_sales_lines_meet_their_orders_last(spark):
+    with with_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(OrderTables(spark, FOLDER).fact_sales(customer=True, route=True, product=True))
+    joins = [line for line in text.splitlines() if "SortMergeJoin" in line]
+    assert len(joins) == 5 and "l_orderkey" in joins[0]
+    # The lines are shuffled twice: by part as they are, and by order.
+    assert sum("Exchange hashpartitioning(l_orderkey" in line for line in text.splitlines()) == 1
+    assert "Exchange hashpartitioning(customer_id" in text.split("l_orderkey", 1)[1]
