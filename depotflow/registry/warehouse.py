@@ -204,14 +204,14 @@ def _(t):
     folder = _folder(t)
     star, _report = store_star(t.spark, star_tables(t), f"{folder}/star")
     views = marts(star, FY_BASE, FY_CURRENT, YEARS)
-    return export_all(t.spark, export_list(star, views), f"{folder}/export")
+    return export_all(t.spark, export_list(star, views), f"{folder}/export", compression="gzip")
 
 
 @query("clean_sales_from_csv", with_(CLEAN_SALES, f"SELECT {_SALES_SQL} FROM cleaned"))
 def _(t):
     """Raw export as CSV files, scanned as text, cleaned."""
     path = f"{_folder(t)}/raw_sales"
-    write_csv(t.raw_sales(), path)
+    write_csv(t.raw_sales(), path, "gzip")  # read with line breaks inside values, parts are not split anyway
     raw = read_raw(t.spark, path, multi_line=True)
     keys = ("customer_id", "route_id", "product_id", "invoice_number", "year", "month")
     typed = raw.withColumns({k: raw[k].cast("bigint") for k in keys})

@@ -11,6 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from depotflow.functions.calendar import to_moment
+from depotflow.session import with_settings
 
 # Position of a row in its file, captured at the scan.
 SCAN_ORDER = ("_file", "_block", "_row")
@@ -88,6 +89,9 @@ def restore_dates(df: DataFrame, dates: Sequence[str]) -> DataFrame:
     return df.withColumns({d: to_moment(df, d).cast("date") for d in present})
 
 
+#: Shuffle data of a task that writes a stored table.
+FILE_BYTES = "32m"
+
 #: File of a table folder that names the version to read.
 POINTER = "CURRENT"
 
@@ -120,7 +124,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(version)
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = "financial_year") -> int:
+def write_table(
+    df: DataFrame, path: str, partition_by: str | None = "financial_year", pack: bool = False
+) -> int:
     """Full replace of one table, partitioned so that year filters prune files.
 
     The new version is written beside the old one and counted while it is written; once the stored rows
@@ -128,19 +134,22 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = "financial_
     readers of ``read_table`` follow it.  A write that fails, or a driver lost in between, leaves the old
     version in place.  The version before stays for readers that have opened it; older ones go.
 
-    The rebalance hint lets AQE split a large year over several tasks and pack small
-    ones together, instead of every task writing a sliver of every year.  Returns the row count.
+    A task writes one file for each year among its rows.  Rows come from an exchange that AQE packs to
+    ``FILE_BYTES`` of shuffle data for a task, so files stay large without another exchange of the whole
+    table.  ``pack`` adds that exchange: large years are split over several tasks, small ones packed, as
+    pays where years are many.  Returns the row count.
     """
     spark = df.sparkSession
     counter = Observation()
     partitioned = partition_by is not None and partition_by in df.columns
-    if partitioned:
+    if partitioned and pack:
         df = df.hint("rebalance", partition_by)
     name = f"v-{uuid.uuid4().hex}"
     writer = df.observe(counter, F.count(F.lit(1)).alias("rows")).write
     if partitioned:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{path}/{name}")
+    with with_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": FILE_BYTES}):
+        writer.parquet(f"{path}/{name}")
     rows = counter.get["rows"]
     _commit(spark, path, name, rows, df.schema)
     return rows
@@ -167,10 +176,13 @@ def _commit(spark: SparkSession, path: str, name: str, rows: int, schema: T.Stru
             context.delete(entry.getPath(), True)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     """CSV copy with a header.  One part per task: the mart queries end in a handful of
-    partitions, and facts must never be squeezed through a single task."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    partitions, and facts must never be squeezed through a single task.
+
+    ``compression`` is a codec of Spark's writer (gzip: ``.csv.gz``); ``read_raw`` reads the parts all the same.
+    """
+    df.write.mode("overwrite").option("header", True).csv(path, compression=compression)
 
 
 def load_report(spark: SparkSession, written: Mapping[str, tuple[int, str]]) -> DataFrame:
@@ -193,13 +205,17 @@ def load_report(spark: SparkSession, written: Mapping[str, tuple[int, str]]) ->
 
 
 def export_all(
-    spark: SparkSession, exports: Mapping[str, Callable[[], DataFrame]], folder: str, workers: int = 4
+    spark: SparkSession,
+    exports: Mapping[str, Callable[[], DataFrame]],
+    folder: str,
+    workers: int = 4,
+    compression: str | None = None,
 ) -> DataFrame:
     """Write every named table or view as CSV; one failure skips only that item.
 
     ``workers`` exports run side by side, each in a scheduler pool of its own: small marts fill the
     cores that the tail of a large one leaves idle (with ``spark.scheduler.mode=FAIR`` they share
-    all of them).  Returns the manifest in the order given: name, status, column count and message.
+    all of them).  ``compression`` as for ``write_csv``.  Returns the manifest in the order given: name, status, column count and message.
     """
 
     def export(item: tuple[str, Callable[[], DataFrame]]) -> tuple:
@@ -207,7 +223,7 @@ def export_all(
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"export-{name}")
         try:
             df = build()
-            write_csv(df, f"{folder}/{name}")
+            write_csv(df, f"{folder}/{name}", compression)
             return name, "exported", len(df.columns), None
         except Exception as error:  # noqa: BLE001 - any failure is reported, not raised
             return name, "skipped", None, str(error)

@@ -94,3 +94,23 @@ def test_range_ranks_do_not_grow_the_plan(spark):
         got = out.collect()
         assert len(got) == 3000 and all(r.r == order.get(r.v) for r in got)
     assert dense_rank_all(df.where("v IS NULL"), "v", "r").where("r IS NOT NULL").count() == 0
+
+
+def test_compressed_copies_are_read_back(spark, tmp_path):
+    rows = spark.range(50).selectExpr("id", "concat('a\n', id) AS text")
+    files.write_csv(rows, str(tmp_path / "c"), "gzip")
+    parts = [p.name for p in (tmp_path / "c").iterdir() if p.name.startswith("part-")]
+    assert parts and all(p.endswith(".csv.gz") for p in parts)
+    back = files.read_raw(spark, str(tmp_path / "c"), multi_line=True)
+    assert sorted(int(r.id) for r in back.collect()) == list(range(50)) and {r.text[:2] for r in back.collect()} == {"a\n"}
+
+
+def test_a_stored_table_is_not_shuffled_for_its_years(spark, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    rows = years(spark, 90).repartition(4)
+    for pack, most in ((False, 12), (True, 3)):
+        path = str(tmp_path / str(pack))
+        assert files.write_table(rows, path, pack=pack) == 90
+        stored = list((tmp_path / str(pack)).glob("v-*/financial_year=*/part-*"))
+        assert 3 <= len(stored) <= most and files.read_table(spark, path).count() == 90
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
