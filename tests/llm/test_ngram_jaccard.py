@@ -151,3 +151,40 @@ def test_most_frequent_fill_their_room(spark, most):
     assert min(most, 300) - 2 <= len(got) <= most
     rest = [n for p, n in known.items() if p not in got]
     assert not got or not rest or min(got.values()) >= max(rest)
+
+
+def test_copies_of_one_text_make_few_pairs(spark, monkeypatch):
+    # Every copy links with the text, few with each other: pairs may not grow with the square of the group.
+    base = data.prose(8, 150, 10**4)
+    docs = [(0, " ".join(base)), *((i, edited(base, i, 1 + i % 5)) for i in range(1, 241))]
+    rows, put = {}, Scratch.put
+
+    def counted(self, df, what):
+        table = put(self, df, what)
+        if what.startswith("pairs"):
+            rows[what] = table.count()
+        return table
+
+    monkeypatch.setattr(Scratch, "put", counted)
+    assert run(spark, docs) == brute(docs)
+    assert 0 < sum(rows.values()) < 4 * len(docs)
+
+
+@pytest.mark.parametrize("n_rare", [0, 1])
+def test_entries_need_another_of_like_size(spark, n_rare):
+    sizes = {1: (100, 117, 118, 200, 240, 283), 2: (50,), 3: (85, 100), 4: (84, 100)}
+    rows = [(10 * key + i, n, ([key], [0], n_rare)) for key, ns in sizes.items() for i, n in enumerate(ns)]
+    listed = spark.createDataFrame(rows, "class long, n int, index struct<keys array<long>, places array<int>, n_rare int>")
+    got = {(r["key"], r["n"]) for r in ngram_jaccard.shared_entries(listed).collect()}
+    need = {(k, n) for k, ns in sizes.items() for n in ns if any(100 * min(n, m) >= 85 * max(n, m) for m in ns if m != n)}
+    assert need <= got <= {(k, n) for k, ns in sizes.items() for n in ns}
+    assert (2, 50) not in got and (got == need or not n_rare)
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_texts_of_marked_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(ngram_jaccard, "MOST_WORDS", most)
+    texts = spark.createDataFrame([(i * 7919, -i, f"t{i}") for i in [*range(200), 5, 5]], "key_a long, key_b long, text string")
+    rows = spark.createDataFrame([(i, i * 7919, -i) for i in range(0, 200, 5)], "class long, key_a long, key_b long")
+    got = sorted((r["class"], r["text"]) for r in ngram_jaccard.texts_of(rows, texts).collect())
+    assert got == [(i, f"t{i}") for i in range(0, 200, 5)]
