@@ -7,6 +7,9 @@ operator rejects and nothing else.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +20,29 @@ from depotflow.llm.tables import Scratch, row_key
 #: Probability of good quality from which a document stays, and of toxicity from which it goes.
 GOOD, TOXIC = 0.7, 0.5
 
+#: Most rows, and bytes, of a batch that goes to Python.
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
+
+
+def in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """Lower the session's Arrow batches, if they are larger, before the stage plans its work.
+
+    All stages run in the same Python workers, and these keep what the largest batch of any stage needed, beside
+    what the JVM holds to send it.  The setting stays, for a stage's result is written after it returns.
+    """
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+            spark.conf.set(rows, BATCH_ROWS)
+        spark.conf.set(size, BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
 
+@in_small_batches
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     labels = table(spark, sf_dir, "labels")
@@ -26,6 +51,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.where(F.col("quality_score") >= GOOD).select(*docs.columns)
 
 
+@in_small_batches
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier accepts."""
     labels = table(spark, sf_dir, "labels")
@@ -34,6 +60,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("score") < TOXIC).select(*docs.columns)
 
 
+@in_small_batches
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies, and one of repeated rows.
 
@@ -48,6 +75,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*docs.columns)
 
 
+@in_small_batches
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth are benchmark passages.
 
@@ -60,6 +88,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return keyed.join(spoiled, ["key_a", "key_b"], "left_anti").select(*docs.columns)
 
 
+@in_small_batches
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-pair ids of every remaining document, as counts and digests."""
     return byte_bpe.digests(docs, vocabulary())

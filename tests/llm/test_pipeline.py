@@ -1,5 +1,7 @@
 from pathlib import Path
 
+import pyarrow as pa
+
 import corpus_pipeline
 from depotflow.llm import quality
 from depotflow.llm.queries import QUERIES
@@ -71,3 +73,31 @@ def test_queries_are_registered():
     numbers = {int(n[2:].split("_")[0]) for n in QUERIES}
     assert numbers == set(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5 and quality.SAMPLE == 20_000
+
+
+def test_stages_send_small_batches_to_python(spark):
+    """Batches are bounded by rows and by bytes, also where the session allows larger ones."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(rows), spark.conf.get(size)
+
+    def measured(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "bytes": [sum(map(len, batch.column(0).to_pylist()))]})
+
+    many, long = spark.range(2000, numPartitions=1), spark.range(24, numPartitions=1)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(rows, 10000)
+            spark.conf.set(size, 1 << 30)
+            docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+            stage(spark, docs, FOLDER)
+            short = many.selectExpr("'a' as text").mapInArrow(measured, "n long, bytes long").collect()
+            assert sum(r["n"] for r in short) == 2000 and max(r["n"] for r in short) <= 500
+            wide = long.selectExpr("repeat('a', 1 << 20) as text").mapInArrow(measured, "n long, bytes long").collect()
+            assert sum(r["n"] for r in wide) == 24 and max(r["bytes"] for r in wide) <= 8 << 20
+        spark.conf.set(rows, 100)
+        corpus_pipeline.token_ids(spark, docs, FOLDER)
+        assert spark.conf.get(rows) == "100"  # smaller ones stay
+    finally:
+        spark.conf.set(rows, before[0])
+        spark.conf.set(size, before[1])
