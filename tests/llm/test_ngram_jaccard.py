@@ -188,3 +188,25 @@ def test_texts_of_marked_rows(spark, monkeypatch, most):
     rows = spark.createDataFrame([(i, i * 7919, -i) for i in range(0, 200, 5)], "class long, key_a long, key_b long")
     got = sorted((r["class"], r["text"]) for r in ngram_jaccard.texts_of(rows, texts).collect())
     assert got == [(i, f"t{i}") for i in range(0, 200, 5)]
+
+
+def test_a_hub_leaves_its_list(spark, monkeypatch):
+    # Two sets of each pair, and the first four, share many lists and do not link: once compared, they are done.
+    monkeypatch.setattr(ngram_jaccard, "FEW", 0)
+    base = data.prose(700, 200, 10**4)
+    docs = [(100 + i, " ".join(base[:170] + data.prose(6000 + i, 30, 10**4))) for i in range(4)]
+    docs += [(200 + i, edited(base, i, 1)) for i in range(4)]
+    for k in range(30):
+        base = data.prose(500 + k, 200, 10**4)
+        docs += [(2 * k, " ".join(base[:175] + data.prose(5000 + k, 25, 10**4))), (2 * k + 1, " ".join(base))]
+    lists, put = [], Scratch.put
+
+    def counted(self, df, what):
+        table = put(self, df, what)
+        if what.startswith("across"):
+            lists.append(table.count())
+        return table
+
+    monkeypatch.setattr(Scratch, "put", counted)
+    assert run(spark, docs) == brute(docs)
+    assert lists[0] > 150 and lists[1:] == [0]
