@@ -18,6 +18,7 @@ def rollup(
     measures: Mapping[str, Measure],
     dimension: tuple[DataFrame, str] | None = None,
     bitmaps: DataFrame | None = None,
+    apart: bool = False,
 ) -> DataFrame:
     """Aggregate ``df`` by ``keys``.
 
@@ -33,7 +34,13 @@ def rollup(
 
     ``bitmaps`` is a stored mart (``operators.bitmaps``) of the same rows over ``keys`` or more: distinct
     counts come from it and ``df`` is folded for the other measures alone.
+
+    ``apart`` is for a stored ``df`` and few groups: each counted column is folded with the keys alone and
+    joined by group, and the sums, which map tasks fold to a row per group, do not travel with the ids.  ``df``
+    is read once more for each counted column.
     """
+    if apart and keys and bitmaps is None and dimension is None:
+        return _apart(df, keys, measures)
     if bitmaps is not None:
         names = {name: spec[1] for name, spec in measures.items() if spec[0] == "distinct"}
         others = {name: spec for name, spec in measures.items() if name not in names}
@@ -61,6 +68,20 @@ def rollup(
     )
 
 
+def _apart(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
+    others = {name: spec for name, spec in measures.items() if spec[0] != "distinct"}
+    out = rollup(df, keys, others) if others else df.select(*keys).distinct()
+    for name, spec in measures.items():
+        if spec[0] != "distinct":
+            continue
+        ids = df.select(*dict.fromkeys([*keys, spec[1]])).distinct()
+        counts = ids.groupBy(*keys).agg(F.count(spec[1]).alias(name))
+        counts = counts.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+        out = out.join(counts, same).drop(*[f"_k_{k}" for k in keys])
+    return out.select(*keys, *measures)
+
+
 def _fold(df: DataFrame, grain: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
     return df.groupBy(*dict.fromkeys(grain)).agg(
         *[part for name, spec in measures.items() for part in _partials(name, spec)],

@@ -23,8 +23,11 @@ def _efficiency(collected: str = "total_collected") -> Column:
     return percent(F.col(collected), F.col("total_billed"))
 
 
-def billing_collections(accounts: DataFrame, bitmaps: DataFrame | None = None) -> DataFrame:
-    """``bitmaps``: a stored mart of customers that has the month among its keys."""
+def billing_collections(accounts: DataFrame, bitmaps: DataFrame | None = None, stored: bool = False) -> DataFrame:
+    """``bitmaps``: a stored mart of customers that has the month among its keys.
+
+    ``stored``, here and below: the invoices are a stored table, cheap to read several times.
+    """
     out = rollup(
         accounts,
         MONTH,
@@ -34,6 +37,7 @@ def billing_collections(accounts: DataFrame, bitmaps: DataFrame | None = None) -
             "total_outstanding": ("sum", "outstanding_balance"),
         },
         bitmaps=bitmaps,
+        apart=stored,
     )
     return out.withColumns(
         {
@@ -50,7 +54,7 @@ def aging_position(bucket: Column) -> Column:
     return out.otherwise(len(AGING_ORDER) + 1)
 
 
-def receivables_aging(accounts: DataFrame) -> DataFrame:
+def receivables_aging(accounts: DataFrame, stored: bool = False) -> DataFrame:
     """Overdue invoices by age bucket."""
     out = rollup(
         accounts.filter(F.col("payment_status") == "OverDue"),
@@ -60,6 +64,7 @@ def receivables_aging(accounts: DataFrame) -> DataFrame:
             "customers": ("distinct", "customer_id"),
             "outstanding_amount": ("sum", "outstanding_balance"),
         },
+        apart=stored,
     )
     return out.withColumns(
         {
@@ -104,7 +109,7 @@ def dso_monthly(accounts: DataFrame) -> DataFrame:
     )
 
 
-def customer_type_efficiency(accounts: DataFrame) -> DataFrame:
+def customer_type_efficiency(accounts: DataFrame, stored: bool = False) -> DataFrame:
     settled = F.when(F.col("payment_status") != "OverDue", F.col("days_to_payment"))
     out = rollup(
         accounts.withColumn("_days", settled),
@@ -116,6 +121,7 @@ def customer_type_efficiency(accounts: DataFrame) -> DataFrame:
             "outstanding_amount": ("sum", "outstanding_balance"),
             "avg_days_to_pay": ("avg", "_days"),
         },
+        apart=stored,
     )
     return out.withColumns(
         {

@@ -34,10 +34,11 @@ def money(col: Column | str) -> Column:
     return F.round(F.col(col) if isinstance(col, str) else col, 2).cast("decimal(38,2)")
 
 
-def monthly_sales(sales: DataFrame, bitmaps: DataFrame | None = None) -> DataFrame:
+def monthly_sales(sales: DataFrame, bitmaps: DataFrame | None = None, stored: bool = False) -> DataFrame:
     """Monthly revenue trend with the change against the month before.
 
-    ``bitmaps``: a stored mart of customers and invoices that has the month among its keys.
+    ``bitmaps``: a stored mart of customers and invoices that has the month among its keys.  ``stored``: the
+    sales are a stored table, cheap to read several times.
     """
     monthly = rollup(
         sales,
@@ -51,6 +52,7 @@ def monthly_sales(sales: DataFrame, bitmaps: DataFrame | None = None) -> DataFra
             "net_revenue": ("sum", "net_amount"),
         },
         bitmaps=bitmaps,
+        apart=stored,
     )
     monthly = monthly.withColumns(
         {

@@ -203,7 +203,7 @@ def _(t):
 def _(t):
     folder = _folder(t)
     star, _report = store_star(t.spark, star_tables(t), f"{folder}/star")
-    views = marts(star, FY_BASE, FY_CURRENT, YEARS)
+    views = marts(star, FY_BASE, FY_CURRENT, YEARS, stored=True)
     return export_all(t.spark, export_list(star, views), f"{folder}/export", compression="gzip")
 
 

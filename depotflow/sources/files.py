@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from depotflow.functions.calendar import to_moment
-from depotflow.session import with_settings
+from depotflow.session import FREE_SHUFFLES, with_settings
 
 # Position of a row in its file, captured at the scan.
 SCAN_ORDER = ("_file", "_block", "_row")
@@ -137,7 +137,7 @@ def write_table(
     A task writes one file for each year among its rows.  Rows come from an exchange that AQE packs to
     ``FILE_BYTES`` of shuffle data for a task, so files stay large without another exchange of the whole
     table.  ``pack`` adds that exchange: large years are split over several tasks, small ones packed, as
-    pays where years are many.  Returns the row count.
+    pays where years are many.  Files are compressed with zstd.  Returns the row count.
     """
     spark = df.sparkSession
     counter = Observation()
@@ -145,13 +145,13 @@ def write_table(
     if partitioned and pack:
         df = df.hint("rebalance", partition_by)
     name = f"v-{uuid.uuid4().hex}"
-    writer = df.observe(counter, F.count(F.lit(1)).alias("rows")).write
+    writer = df.observe(counter, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd")
     if partitioned:
         writer = writer.partitionBy(partition_by)
-    with with_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": FILE_BYTES}):
+    with with_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": FILE_BYTES} | FREE_SHUFFLES):
         writer.parquet(f"{path}/{name}")
-    rows = counter.get["rows"]
-    _commit(spark, path, name, rows, df.schema)
+        rows = counter.get["rows"]
+        _commit(spark, path, name, rows, df.schema)
     return rows
 
 
@@ -215,7 +215,8 @@ def export_all(
 
     ``workers`` exports run side by side, each in a scheduler pool of its own: small marts fill the
     cores that the tail of a large one leaves idle (with ``spark.scheduler.mode=FAIR`` they share
-    all of them).  ``compression`` as for ``write_csv``.  Returns the manifest in the order given: name, status, column count and message.
+    all of them).  ``compression`` as for ``write_csv``.  An export's shuffle files go when it ends.  Returns the
+    manifest in the order given: name, status, column count and message.
     """
 
     def export(item: tuple[str, Callable[[], DataFrame]]) -> tuple:
@@ -228,7 +229,7 @@ def export_all(
         except Exception as error:  # noqa: BLE001 - any failure is reported, not raised
             return name, "skipped", None, str(error)
 
-    with ThreadPoolExecutor(max_workers=workers) as pool:
+    with with_settings(spark, FREE_SHUFFLES), ThreadPoolExecutor(max_workers=workers) as pool:
         manifest = list(pool.map(inheritable_thread_target(spark)(export), exports.items()))
     return spark.createDataFrame(
         manifest, "name string, status string, columns int, message string"
