@@ -108,16 +108,17 @@ def clean_accounts(
     rules: AccountsRules = AccountsRules(),
     amounts: DataFrame | None = None,
     keep_set_aside: bool = False,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Cleaned invoices with status, age, collection efficiency and days to payment.
 
     ``amounts``: the same raw invoices without joined attributes, for the dataset-wide
     triggers; ``raw`` itself where omitted.  Status and age are null where a number set aside leaves the
-    open balance unknown.
+    open balance unknown.  ``within`` as for ``clean_sales``.
     """
     triggers = None if amounts is None else usable_accounts(amounts, rules)
     rows = reconciled(usable_accounts(raw, rules), rules.correction_scope, triggers)
-    return delivered(accounts_derived(keep_first(rows, ["transaction_id"], order), rules), keep_set_aside)
+    return delivered(accounts_derived(keep_first(rows, [*within, "transaction_id"], order), rules), keep_set_aside)
 
 
 def accounts_derived(rows: DataFrame, rules: AccountsRules) -> DataFrame:

@@ -78,16 +78,22 @@ def _quality_flag(rules: SalesRules):
 
 
 def clean_sales(
-    raw: DataFrame, order: Sequence, rules: SalesRules = SalesRules(), keep_set_aside: bool = False
+    raw: DataFrame,
+    order: Sequence,
+    rules: SalesRules = SalesRules(),
+    keep_set_aside: bool = False,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Cleaned sales lines; ``order`` decides which copy of a sale id is the first.
 
     A line with a number too large for the decimal stays, flagged; ``keep_set_aside`` delivers its text.
+    ``within`` names columns by which ``raw`` lies together already: copies are then removed among rows that
+    share these, without an exchange, and ``store_star`` has to settle those that do not.
 
     Copies are removed before the text and derived columns are computed, so neither
     travels through the exchange.
     """
-    rows = keep_first(usable_sales(raw, rules), ["sale_id"], order)
+    rows = keep_first(usable_sales(raw, rules), [*within, "sale_id"], order)
     rows = _standardised(rows)
     day = F.col("date").cast("date")
     rows = rows.withColumns(

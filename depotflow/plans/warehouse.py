@@ -2,28 +2,51 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from depotflow.operators.dedup import keep_first
 from depotflow.plans import accounts_kpis, inventory_kpis, production_kpis, sales_kpis
+from depotflow.session import FREE_SHUFFLES, with_settings
 from depotflow.sources.files import load_report, read_table, write_table
 
 
 def store_star(
-    spark: SparkSession, tables: Mapping[str, DataFrame], folder: str
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    folder: str,
+    unsettled: Mapping[str, tuple[str, Sequence[str]]] | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Replace the stored star tables and report source against stored row counts.
 
     Facts are partitioned by financial year.  Returns the stored tables, so that every
-    later mart reads columnar files instead of repeating the cleaning.
+    later mart reads columnar files instead of repeating the cleaning.  ``unsettled`` has the id, and the order of
+    its copies, of tables that were cleaned ``within`` some columns.
     """
     paths = {name: f"{folder}/{name}" for name in tables}
-    written = {name: (write_table(df, paths[name]), paths[name]) for name, df in tables.items()}
+    written = {}
+    for name, df in tables.items():
+        rows = write_table(df, paths[name])
+        if name in (unsettled or {}):
+            rows = settle_copies(spark, paths[name], *unsettled[name]) or rows
+        written[name] = (rows, paths[name])
     report = load_report(spark, written)
     return {name: read_table(spark, path) for name, path in paths.items()}, report
 
 
+def settle_copies(spark: SparkSession, path: str, key: str, order: Sequence[str]) -> int | None:
+    """Keep the first row of each id of a stored table; None where every id has one row already.
+
+    The ids alone are shuffled to find that out.  If any is there twice, the table is replaced through
+    ``keep_first``.
+    """
+    table = read_table(spark, path)
+    with with_settings(spark, FREE_SHUFFLES):
+        copies = table.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").count()
+    return write_table(keep_first(table, [key], order), path) if copies else None
+
+
 def marts(
     star: Mapping[str, DataFrame],
     base_year: str,

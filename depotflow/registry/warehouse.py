@@ -48,6 +48,20 @@ def star_tables(t: OrderTables) -> dict:
     }
 
 
+def stored_star(t: OrderTables, folder: str) -> dict:
+    """The star's tables, stored in ``folder``.
+
+    The joins leave a sale's lines with their invoice and invoices with their customer.  Copies are removed there
+    and the cleaned rows stored without being shuffled once more; ids that lie apart are settled afterwards.
+    """
+    tables = star_tables(t) | {
+        "fact_sales": clean_sales(t.raw_sales(), t.RAW_SALES_ORDER, SALES_RULES, within=["invoice_number"]),
+        "fact_accounts": t.fact_accounts(within=["customer_id"]),
+    }
+    unsettled = {"fact_sales": ("sale_id", t.RAW_SALES_ORDER), "fact_accounts": ("transaction_id", ["invoice_number"])}
+    return store_star(t.spark, tables, folder, unsettled)[0]
+
+
 _COUNTS = {
     "fact_sales": "(SELECT count(*) FROM cleaned)",
     "fact_production": "(SELECT count(*) FROM production)",
@@ -202,7 +216,7 @@ def _(t):
 )
 def _(t):
     folder = _folder(t)
-    star, _report = store_star(t.spark, star_tables(t), f"{folder}/star")
+    star = stored_star(t, f"{folder}/star")
     views = marts(star, FY_BASE, FY_CURRENT, YEARS, stored=True)
     return export_all(t.spark, export_list(star, views), f"{folder}/export", compression="gzip")
 

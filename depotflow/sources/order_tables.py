@@ -7,6 +7,7 @@ needs order attributes never shuffles on the part key.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -392,13 +393,13 @@ class OrderTables:
             F.col("o_orderpriority").alias("priority"),
         )
 
-    def fact_accounts(self) -> DataFrame:
+    def fact_accounts(self, within: Sequence[str] = ()) -> DataFrame:
         # The triggers need amounts and days only, so they are taken before the join.
         amounts = self.order_amounts().select(
             "invoice_date", "invoice_amount", "amount_paid", "outstanding_balance", "payment_date",
             F.col("invoice_date").alias("due_date"), F.lit(0).alias("credit_days"),
         )
-        return clean_accounts(self.invoices(), ["invoice_number"], ACCOUNTS_RULES, amounts)
+        return clean_accounts(self.invoices(), ["invoice_number"], ACCOUNTS_RULES, amounts, within=within)
 
     def raw_accounts(self) -> DataFrame:
         """The invoices as an untidy export: one id per customer and month (so copies
