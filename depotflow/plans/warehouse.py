@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from depotflow.operators.dedup import keep_first
 from depotflow.plans import accounts_kpis, inventory_kpis, production_kpis, sales_kpis
 from depotflow.session import FREE_SHUFFLES, with_settings
-from depotflow.sources.files import load_report, read_table, write_table
+from depotflow.sources.files import JOINED_BYTES, load_report, read_table, write_table
 
 
 def store_star(
@@ -27,9 +27,11 @@ def store_star(
     paths = {name: f"{folder}/{name}" for name in tables}
     written = {}
     for name, df in tables.items():
-        rows = write_table(df, paths[name])
         if name in (unsettled or {}):
+            rows = write_table(df, paths[name], task_bytes=JOINED_BYTES)
             rows = settle_copies(spark, paths[name], *unsettled[name]) or rows
+        else:
+            rows = write_table(df, paths[name])
         written[name] = (rows, paths[name])
     report = load_report(spark, written)
     return {name: read_table(spark, path) for name, path in paths.items()}, report

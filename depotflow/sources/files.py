@@ -89,8 +89,8 @@ def restore_dates(df: DataFrame, dates: Sequence[str]) -> DataFrame:
     return df.withColumns({d: to_moment(df, d).cast("date") for d in present})
 
 
-#: Shuffle data of a task that writes a stored table.
-FILE_BYTES = "32m"
+#: Shuffle data of a task that writes a stored table, and of one that also sorts and widens the rows of its join.
+FILE_BYTES, JOINED_BYTES = "32m", "16m"
 
 #: File of a table folder that names the version to read.
 POINTER = "CURRENT"
@@ -125,7 +125,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: str | None = "financial_year", pack: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = "financial_year",
+    pack: bool = False,
+    task_bytes: str = FILE_BYTES,
 ) -> int:
     """Full replace of one table, partitioned so that year filters prune files.
 
@@ -135,7 +139,7 @@ def write_table(
     version in place.  The version before stays for readers that have opened it; older ones go.
 
     A task writes one file for each year among its rows.  Rows come from an exchange that AQE packs to
-    ``FILE_BYTES`` of shuffle data for a task, so files stay large without another exchange of the whole
+    ``task_bytes`` of shuffle data for a task, so files stay large without another exchange of the whole
     table.  ``pack`` adds that exchange: large years are split over several tasks, small ones packed, as
     pays where years are many.  Files are compressed with zstd.  Returns the row count.
     """
@@ -148,7 +152,7 @@ def write_table(
     writer = df.observe(counter, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd")
     if partitioned:
         writer = writer.partitionBy(partition_by)
-    with with_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": FILE_BYTES} | FREE_SHUFFLES):
+    with with_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": task_bytes} | FREE_SHUFFLES):
         writer.parquet(f"{path}/{name}")
         rows = counter.get["rows"]
         _commit(spark, path, name, rows, df.schema)
