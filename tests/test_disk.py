@@ -12,7 +12,8 @@ from depotflow.operators.dedup import keep_first
 from depotflow.operators.rollup import rollup
 from depotflow.plans import accounts_kpis, sales_kpis
 from depotflow.plans.sales_cleaning import clean_sales
-from depotflow.plans.warehouse import store_star
+from depotflow.plans.warehouse import marts, store_star
+from depotflow.registry.kpis import FY_BASE, FY_CURRENT, YEARS
 from depotflow.registry.warehouse import star_tables, stored_star
 from depotflow.session import with_settings
 from depotflow.sources import files
@@ -120,6 +121,10 @@ def test_the_stored_star_is_the_star(spark, tmp_path):
         assert sorted(star[name].columns) == sorted(df.columns)
         got, want = (sorted(map(str, d.select(*df.columns).collect())) for d in (star[name], df))
         assert got == want, name
+    plain_views, views = (marts(star, FY_BASE, FY_CURRENT, YEARS, stored) for stored in (False, True))
+    for name in ("vw_sales_monthly", "vw_billing_collections", "vw_receivables_aging", "vw_custtype_efficiency"):
+        got, want = views[name](), plain_views[name]()
+        assert got.columns == want.columns and got.collect() == want.collect(), name
 
 
 @pytest.mark.parametrize("apart", [False, True])
